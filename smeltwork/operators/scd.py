@@ -21,7 +21,7 @@ METADATA = ("ingest_timestamp", "source_file", "silver_timestamp")
 VALIDITY = ("effective_start_date", "effective_end_date", "is_active")
 HASH = "hash_key"
 
-_HIT = "_hit"
+_HIT, _KNOWN = "_hit", "_known_hash"
 
 
 def business_columns(columns: Sequence[str], keys: Sequence[str]) -> list[str]:
@@ -161,10 +161,15 @@ def scd1(
     return Merge(aligned(closed, columns, staged), updated.unionByName(added), done.count)
 
 
-def new_versions(active: DataFrame, staged: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
-    """Staged rows with no active row of the same key and digest: new keys and changed rows."""
+def new_versions(active: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Staged rows with no active row of the same key and digest: new keys and changed rows.
+
+    Joined on the key alone: the cut of the active rows and this join then share one
+    partitioning. An active key has one row, so nothing fans out.
+    """
     known = existing_keys(active, staged, keys, HASH)
-    return anti(staged, known, [*keys, HASH], null_safe)
+    met = lookup(staged, known, keys, ref(HASH).alias(_KNOWN))
+    return met.where(F.col(_KNOWN).isNull() | (F.col(_KNOWN) != ref(HASH))).drop(_KNOWN)
 
 
 def expire(active: DataFrame, replaced: DataFrame, keys: Sequence[str], clock: BatchClock) -> DataFrame:

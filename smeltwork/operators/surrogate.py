@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smeltwork.functions.naming import ref
@@ -30,11 +30,10 @@ def highest_key(frame: DataFrame, sk: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Numbered:
-    """Rows with their number, how many there are, and the last number given."""
+    """Rows with their number, and how many there are."""
 
     rows: DataFrame
     count: int
-    last: int
 
 
 def number_rows(
@@ -47,19 +46,18 @@ def number_rows(
     """Number rows ``start_after + 1, …`` in key order, on all tasks at once.
 
     Equals ``row_number() over (order by …)``, which would pull every row into one
-    task. Only one count per slice reaches the driver: as many rows as the session
-    has shuffle partitions, whatever the size of the data.
+    task. Only one count per slice reaches the driver: at most as many rows as the
+    session has shuffle partitions, whatever the size of the data. They go back as
+    one array literal, so the result is a plain projection of a stored scan and Spark
+    knows its true size when it picks the joins that follow.
     """
-    spark: SparkSession = frame.sparkSession
-    sliced = sorted_slices(frame, order_by, scratch or Scratch(spark, keep=True))
-    sizes = sorted(sliced.groupBy(SLICE).agg(F.count(F.lit(1)).alias("n")).collect())
-    totals = list(accumulate((size["n"] for size in sizes), initial=0))
-    offsets = spark.createDataFrame(
-        [(size[SLICE], start_after + total) for size, total in zip(sizes, totals)],
-        f"{SLICE} int, _before bigint",
-    )
-    numbered = sliced.join(F.broadcast(offsets), SLICE).withColumn(name, F.col("_before") + F.col(POSITION) + 1)
-    return Numbered(unsliced(numbered).drop("_before"), totals[-1], start_after + totals[-1])
+    sliced = sorted_slices(frame, order_by, scratch or Scratch(frame.sparkSession, keep=True))
+    sizes = {row[SLICE]: row["n"] for row in sliced.groupBy(SLICE).agg(F.count(F.lit(1)).alias("n")).collect()}
+    slices = range(max(sizes, default=0) + 1)
+    *before, total = accumulate((sizes.get(number, 0) for number in slices), initial=0)
+    offsets = F.split(F.lit(",".join(str(start_after + rows) for rows in before)), ",").cast("array<bigint>")
+    number = F.element_at(offsets, F.col(SLICE) + 1) + F.col(POSITION) + 1
+    return Numbered(unsliced(sliced.withColumn(name, number)), total)
 
 
 def existing_keys(dimension: DataFrame, batch: DataFrame, keys: Sequence[str], *carried: str) -> DataFrame:

@@ -19,7 +19,7 @@ from smeltwork.plans.audit import (
     AuditTrail,
     Outcome,
 )
-from smeltwork.plans.control import Target
+from smeltwork.plans.control import Target, in_priority_order
 from smeltwork.sources import files
 from smeltwork.sources.landing import landing_entries, routed_entries
 from smeltwork.sources.readers import SOURCE_FILE, BadFile, Feed, ReadOptions, bronze_frame, feeds
@@ -135,6 +135,7 @@ def run_bronze(
     trail: AuditTrail,
     options: ReadOptions = ReadOptions(),
     fail_fast: bool = False,
+    at_once: int = 1,
 ) -> bool:
     """Ingest what lies in landing; False when there was nothing."""
     start = datetime.now()
@@ -145,15 +146,17 @@ def run_bronze(
         return False
     patterns = [(target.name, target.file_pattern) for target in targets if target.file_pattern]
     routed = routed_entries(spark, entries, patterns)
+
+    def work(target: Target) -> None:
+        mine = [entry for entry in routed if entry["target_table"] == target.name]
+        if mine:
+            _ingest_and_archive(spark, target, mine, zones, clock, batch_id, trail, options, fail_fast)
+
     try:
-        for target in targets:
-            mine = [entry for entry in routed if entry["target_table"] == target.name]
-            if mine:
-                _ingest_and_archive(spark, target, mine, zones, clock, batch_id, trail, options, fail_fast)
+        in_priority_order(targets, work, at_once)
         for entry in routed:
-            if entry["route"] == "UNMATCHED" or entry["target_table"] is None:
-                outcome = Outcome(UNMATCHED, source_file=entry["name"])
-                trail.record(UNMATCHED, BRONZE, start, outcome)
+            if entry["target_table"] is None:
+                trail.record(ALL_TARGETS, BRONZE, start, Outcome(UNMATCHED, source_file=entry["name"]))
     finally:
         trail.flush()
     return True

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from itertools import groupby
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -72,6 +75,18 @@ def load_targets(control: DataFrame) -> list[Target]:
     ]
 
 
+def in_priority_order(targets: Sequence[Target], work: Callable[[Target], Any], at_once: int = 1) -> None:
+    """Call ``work`` for every target, lower priorities first.
+
+    Targets of equal priority do not wait for each other: up to ``at_once`` of them
+    share the cluster, so a small one does not leave it idle.
+    """
+    for _, tier in groupby(targets, key=lambda target: target.priority):
+        with ThreadPoolExecutor(at_once) as pool:
+            for _ in pool.map(work, list(tier)):
+                pass
+
+
 def execution_settings(execution: DataFrame | None) -> dict[str, Any]:
     """The first row of the execution table, or no settings."""
     row = execution.first() if execution is not None else None

@@ -24,7 +24,7 @@ from smeltwork.plans.audit import (
     read_audit,
     should_skip,
 )
-from smeltwork.plans.control import Target
+from smeltwork.plans.control import Target, in_priority_order
 from smeltwork.session import Scratch
 from smeltwork.sources.zones import Zones, read_gold, read_silver, write_gold
 
@@ -104,20 +104,24 @@ def run_gold(
     trail: AuditTrail,
     options: GoldOptions = GoldOptions(),
     fail_fast: bool = False,
+    at_once: int = 1,
 ) -> bool:
     """Publish every target; False when silver stood by in this run."""
     if should_skip(read_audit(spark, zones.audit), SILVER, trail.run_id):
         trail.guard(ALL_TARGETS, GOLD, lambda: Outcome(SKIPPED_NO_FILES))
         trail.flush()
         return False
+
+    def work(target: Target) -> None:
+        trail.guard(
+            target.name,
+            GOLD,
+            lambda: publish_target(spark, target, zones, clock, settings, options),
+            fail_fast,
+        )
+
     try:
-        for target in targets:
-            trail.guard(
-                target.name,
-                GOLD,
-                lambda target=target: publish_target(spark, target, zones, clock, settings, options),
-                fail_fast,
-            )
+        in_priority_order(targets, work, at_once)
     finally:
         trail.flush()
     return True

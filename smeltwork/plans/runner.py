@@ -22,6 +22,7 @@ class RunOptions:
     silver: SilverOptions = field(default_factory=SilverOptions)
     gold: GoldOptions = field(default_factory=GoldOptions)
     fail_fast: bool = False
+    targets_at_once: int = 4
 
 
 def run_layers(
@@ -39,9 +40,10 @@ def run_layers(
     scheduler's retry sees it.
     """
     targets = load_targets(control)
+    how = (options.fail_fast, options.targets_at_once)
     trail = AuditTrail(spark, zones.audit, batch_id)
-    run_bronze(spark, zones, targets, clock, batch_id, trail, options.read, options.fail_fast)
-    run_silver(spark, zones, targets, clock, batch_id, trail, options.silver, options.fail_fast)
+    run_bronze(spark, zones, targets, clock, batch_id, trail, options.read, *how)
+    run_silver(spark, zones, targets, clock, batch_id, trail, options.silver, *how)
     settings = execution_settings(execution)
-    run_gold(spark, zones, targets, clock, settings, trail, options.gold, options.fail_fast)
+    run_gold(spark, zones, targets, clock, settings, trail, options.gold, *how)
     return trail

@@ -27,7 +27,7 @@ from smeltwork.plans.audit import (
     read_audit,
     should_skip,
 )
-from smeltwork.plans.control import Target
+from smeltwork.plans.control import Target, in_priority_order
 from smeltwork.sources.zones import (
     BATCH,
     Zones,
@@ -154,20 +154,24 @@ def run_silver(
     trail: AuditTrail,
     options: SilverOptions = SilverOptions(),
     fail_fast: bool = False,
+    at_once: int = 1,
 ) -> bool:
     """Cleanse every target; False when bronze found nothing in this run."""
     if should_skip(read_audit(spark, zones.audit), BRONZE, trail.run_id):
         trail.guard(ALL_TARGETS, SILVER, lambda: Outcome(SKIPPED_NO_FILES))
         trail.flush()
         return False
+
+    def work(target: Target) -> None:
+        trail.guard(
+            target.name,
+            SILVER,
+            lambda: cleanse_target(spark, target, zones, clock, batch_id, options),
+            fail_fast,
+        )
+
     try:
-        for target in targets:
-            trail.guard(
-                target.name,
-                SILVER,
-                lambda target=target: cleanse_target(spark, target, zones, clock, batch_id, options),
-                fail_fast,
-            )
+        in_priority_order(targets, work, at_once)
     finally:
         trail.flush()
     return True

@@ -36,7 +36,7 @@ _CLOCKS = (BatchClock.at(T1), BatchClock.at(T2))
 def _control(spark: SparkSession) -> DataFrame:
     rows = [
         ("gold_customer_dim", "csv", "customer", None, "SCD2", ["c_custkey"], _RULE, 1, True),
-        ("gold_orders_fact", "parquet", "orders", None, "SCD1", ["o_orderkey"], "NONE", 2, True),
+        ("gold_orders_fact", "parquet", "orders", None, "SCD1", ["o_orderkey"], "NONE", 1, True),
         ("gold_retired_dim", "csv", "retired", None, "SCD1", ["id"], None, 3, False),
     ]
     return spark.createDataFrame(rows, CONTROL_SCHEMA)

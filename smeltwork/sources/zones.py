@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smeltwork.functions import rules
+from smeltwork.functions.naming import refs
 from smeltwork.operators.quarantine import VERDICT
 from smeltwork.sources import files
 
-_VERSION, _DONE = "v", "_SUCCESS"
+_VERSION, _DONE, _IS_ACTIVE = "v", "_SUCCESS", "is_active"
 BATCH = "batch_id"
 
 
@@ -47,13 +48,15 @@ class Zones:
         )
 
 
+def _number(name: str) -> int:
+    label, _, number = name.partition("=")
+    return int(number) if label == _VERSION else 0
+
+
 def current_version(spark: SparkSession, folder: str) -> int:
     """The newest finished version, 0 when there is none."""
-    numbers = sorted(
-        (int(entry.name.split("=")[1]) for entry in files.children(spark, folder) if entry.name.startswith(f"{_VERSION}=")),
-        reverse=True,
-    )
-    done = (number for number in numbers if files.exists(spark, f"{folder}/{_VERSION}={number}/{_DONE}"))
+    numbers = sorted((_number(entry.name) for entry in files.children(spark, folder)), reverse=True)
+    done = (number for number in numbers if number and files.exists(spark, f"{folder}/{_VERSION}={number}/{_DONE}"))
     return next(done, 0)
 
 
@@ -103,7 +106,8 @@ def read_silver(spark: SparkSession, folder: str, verdict: str = rules.CLEAN, ve
 
 
 def write_quarantine(bad: DataFrame, folder: str, batch_id: str) -> None:
-    bad.write.mode("overwrite").parquet(f"{folder}/{BATCH}={batch_id}")
+    """Replace the batch's own folder; the few rows are gathered into full files."""
+    bad.hint("rebalance").write.mode("overwrite").parquet(f"{folder}/{BATCH}={batch_id}")
 
 
 def read_quarantine(spark: SparkSession, folder: str) -> DataFrame | None:
@@ -117,46 +121,57 @@ def read_quarantine(spark: SparkSession, folder: str) -> DataFrame | None:
 # --- gold -------------------------------------------------------------------
 
 
+def _active(folder: str) -> str:
+    return f"{folder}/active"
+
+
+def _ended(folder: str) -> str:
+    return f"{folder}/ended"
+
+
 def write_gold(current: DataFrame, folder: str) -> int:
     """Publish the rows that were active before plus the new ones.
 
-    They are split by ``is_active``: the active part replaces the one before, the
-    inactive part holds only versions ended by this batch and is kept for good. So
-    the history is never written again.
+    One job writes them, split by ``is_active``: the active part replaces the one
+    before. The rows this batch ended are few and lie in many small files, so a second
+    job gathers them into ``ended``, which grows and is never written again. The
+    version counts once that second job is done.
     """
-    number = current_version(current.sparkSession, folder) + 1
-    current.write.mode("overwrite").partitionBy("is_active").parquet(version_folder(folder, number))
+    spark = current.sparkSession
+    number = current_version(spark, _ended(folder)) + 1
+    written = version_folder(_active(folder), number)
+    current.write.mode("overwrite").partitionBy(_IS_ACTIVE).parquet(written)
+    ended = _rows_of(spark, written, current.schema).where(~F.col(_IS_ACTIVE)).drop(_IS_ACTIVE)
+    ended.hint("rebalance").write.mode("overwrite").parquet(version_folder(_ended(folder), number))
     return number
 
 
+def _rows_of(spark: SparkSession, written: str, schema: T.StructType) -> DataFrame:
+    """Rows of one version. The schema is given: a boolean folder name would be read as text."""
+    return spark.read.schema(schema).parquet(written)
+
+
 def read_gold(spark: SparkSession, folder: str) -> DataFrame | None:
     """Active rows of the current version and all ended versions; None before the first load."""
-    number = current_version(spark, folder)
+    number = current_version(spark, _ended(folder))
     if number == 0:
         return None
-    # The columns come from the newest version, which has every column seen so far.
-    newest = spark.read.parquet(version_folder(folder, number))
-    columns = newest.columns
-    stored = [field for field in newest.schema.fields if field.name != "is_active"]
-    schema = T.StructType(
-        [*stored, T.StructField("is_active", T.BooleanType()), T.StructField(_VERSION, T.IntegerType())]
-    )
-    everything = spark.read.schema(schema).parquet(folder)
-    live = F.col("is_active") & (F.col(_VERSION) == number)
-    ended = ~F.col("is_active") & (F.col(_VERSION) <= number)
-    ordered = [name for name in columns if name not in ("is_active", "hash_key")] + ["is_active", "hash_key"]
-    return everything.where(live | ended).select(*[F.col(f"`{name}`") for name in ordered])
+    # The newest version has every column seen so far, also when it ended no row.
+    columns = spark.read.parquet(version_folder(_ended(folder), number)).schema.fields
+    flag = T.StructField(_IS_ACTIVE, T.BooleanType())
+    live = _rows_of(spark, version_folder(_active(folder), number), T.StructType([*columns, flag]))
+    counted = T.StructType([*columns, T.StructField(_VERSION, T.IntegerType())])
+    ended = spark.read.schema(counted).parquet(_ended(folder)).where(F.col(_VERSION) <= number)
+    names = [field.name for field in columns]
+    order = [*names[:-1], _IS_ACTIVE, names[-1]]
+    both = live.where(F.col(_IS_ACTIVE)).unionByName(ended.drop(_VERSION).withColumn(_IS_ACTIVE, F.lit(False)))
+    return both.select(*refs(order))
 
 
 def drop_superseded(spark: SparkSession, folder: str, keep: int = 2) -> list[str]:
-    """Delete active parts older than the newest ``keep`` versions; ended versions stay."""
-    newest = current_version(spark, folder)
-    dropped = []
-    for entry in files.children(spark, folder):
-        if not entry.name.startswith(f"{_VERSION}=") or int(entry.name.split("=")[1]) > newest - keep:
-            continue
-        old = f"{entry.path}/is_active=true"
-        if files.exists(spark, old):
-            files.delete(spark, old)
-            dropped.append(old)
-    return dropped
+    """Delete the active parts older than the newest ``keep`` versions; ended rows stay."""
+    newest = current_version(spark, _ended(folder))
+    old = [entry for entry in files.children(spark, _active(folder)) if _number(entry.name) <= newest - keep]
+    for entry in old:
+        files.delete(spark, entry.path)
+    return [entry.path for entry in old]
