@@ -1,0 +1,200 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from smeltwork.functions.clock import BatchClock
+from smeltwork.operators import quality
+from smeltwork.operators import snapshot as snapshots
+from smeltwork.operators.dedup import drop_copies, keep_latest, merge_latest
+from smeltwork.operators.history import versions_from_history
+from smeltwork.operators.quarantine import route
+from smeltwork.operators.snapshot import snapshot
+from smeltwork.operators.surrogate import highest_key, key_text, number_rows, preserve_keys
+from smeltwork.operators.views import batch_validation
+from smeltwork.session import Scratch, scratch_root
+from tests.conftest import plan_of, rows_of
+
+
+def test_keep_latest_settles_ties_and_groups_null_keys(spark):
+    rows = [("a", "t1", "f1", 1), ("a", "t2", "f1", 2), ("a", "t2", "f2", 3), (None, "t1", "f1", 4), (None, "t2", "f1", 5)]
+    frame = spark.createDataFrame(rows, "k string, ingest_timestamp string, source_file string, v int")
+    assert [row[3] for row in rows_of(keep_latest(frame, ["k"]))] == [3, 5]
+    shuffled = frame.orderBy(F.desc("v")).repartition(3)
+    assert rows_of(keep_latest(shuffled, ["k"])) == rows_of(keep_latest(frame, ["k"]))
+
+
+def test_keep_latest_cuts_each_task_to_one_row_per_key(spark):
+    frame = spark.createDataFrame([("a", "t1", 1)], "k string, ingest_timestamp string, v int")
+    plan = plan_of(keep_latest(frame, ["k"]))
+    partial, final = plan.index("Partial"), plan.index("Final")
+    assert final < plan.index("Exchange hashpartitioning") < partial
+
+
+def test_keep_latest_with_one_key_holding_almost_everything(spark):
+    frame = spark.range(20000).select(
+        F.when(F.col("id") % 10 < 9, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id").alias("ingest_timestamp"),
+    )
+    kept = keep_latest(frame, ["k"])
+    assert kept.count() == 2001
+    assert kept.where("k = 'hot'").first().ingest_timestamp == 19998
+
+
+def test_keep_latest_refuses_an_unknown_order_column(spark):
+    with pytest.raises(Exception, match="absent"):
+        keep_latest(spark.range(1), ["id"], ["absent"]).collect()
+
+
+def test_folding_batches_equals_a_rescan(spark):
+    draw = random.Random(3)
+    rows = [(draw.randrange(20), f"{draw.randrange(50):03d}", draw.randrange(9)) for _ in range(400)]
+    frame = spark.createDataFrame(rows, "k int, ingest_timestamp string, v int").withColumn("part", F.col("v") % 3)
+    state = frame.limit(0)
+    for part in (2, 0, 1):
+        state = merge_latest(state, frame.where(F.col("part") == part), ["k"])
+    assert rows_of(state) == rows_of(keep_latest(frame, ["k"]))
+
+
+def test_drop_copies(spark):
+    frame = spark.createDataFrame([("a", "f1"), ("a", "f1"), ("a", "f2")], "v string, source_file string")
+    assert drop_copies(frame).count() == 2
+    assert rows_of(drop_copies(frame, ["source_file"])) == [("a", "f2")]
+
+
+def test_numbers_are_dense_and_in_key_order_over_many_slices(spark, many_slices):
+    frame = spark.range(5000).select((F.hash("id").cast("bigint") * 7 + F.col("id")).alias("k"), "id").repartition(5)
+    done = number_rows(frame, ["k", "id"], "n", start_after=10)
+    rows = done.rows.orderBy("k", "id").collect()
+    assert [row.n for row in rows] == list(range(11, 5011))
+    assert done.count == 5000
+
+
+def test_numbering_uses_no_single_task_and_no_python(spark):
+    frame = spark.range(100).withColumnRenamed("id", "k")
+    plan = plan_of(number_rows(frame, ["k"], "n").rows)
+    assert "SinglePartition" not in plan and "Window" not in plan and "Python" not in plan
+
+
+def test_numbering_nothing(spark):
+    done = number_rows(spark.range(0), ["id"], "n")
+    assert (done.count, done.rows.count()) == (0, 0)
+
+
+def test_numbering_nulls_and_composite_keys(spark, many_slices):
+    rows = [(None, "b"), (None, "a"), ("x", None), ("x", "a"), ("w", "z")]
+    done = number_rows(spark.createDataFrame(rows, "a string, b string"), ["a", "b"], "n")
+    assert [tuple(row)[:2] for row in done.rows.orderBy("n").collect()] == [
+        (None, "a"), (None, "b"), ("w", "z"), ("x", None), ("x", "a"),
+    ]
+
+
+def test_keys_grow_past_three_digits(spark):
+    frame = spark.createDataFrame([(7,), (999,), (1000,), (12345,)], "n bigint")
+    texts = frame.select(key_text(F.col("n")).alias("sk"))
+    assert [row.sk for row in texts.collect()] == ["007", "999", "1000", "12345"]
+    assert highest_key(texts, "sk").first().max_key == 12345
+    assert highest_key(texts.limit(0), "sk").first().max_key == 0
+
+
+def test_preserve_keys_matches_null_keys(spark):
+    dimension = spark.createDataFrame([(1, "001"), (None, "002")], "k int, d_sk string")
+    batch = spark.createDataFrame([(1, "a"), (None, "b"), (3, "c")], "k int, v string")
+    assert rows_of(preserve_keys(batch, dimension, ["k"], "d_sk")) == sorted(
+        [(1, "a", "001"), (None, "b", "002"), (3, "c", None)], key=repr
+    )
+
+
+def _history_by_hand(rows):
+    """Versions per key from sorted (key, time, value) rows."""
+    out = []
+    for key in {row[0] for row in rows}:
+        mine = sorted(set(row[1:] for row in rows if row[0] == key))
+        starts = [pair for i, pair in enumerate(mine) if i == 0 or mine[i - 1][1] != pair[1]]
+        for i, (time, value) in enumerate(starts):
+            end = starts[i + 1][0] if i + 1 < len(starts) else None
+            out.append((key, value, time, end))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_history_with_a_hot_key_over_many_slices(spark, many_slices, seed):
+    draw = random.Random(seed)
+    keys = ["hot"] * 6 + ["b", "c", None]
+    rows = [(draw.choice(keys), time, draw.choice("xxy")) for time in draw.sample(range(10_000), 900)]
+    rows += [row for row in rows if row[1] % 5 == 0]
+    frame = spark.createDataFrame(rows, "k string, t int, v string").withColumn(
+        "t", F.timestamp_seconds(F.col("t")).cast("timestamp_ntz")
+    )
+    versions = versions_from_history(frame, ["k"], ["t"], ["v"])
+    seconds = lambda name: F.unix_timestamp(F.col(name).cast("timestamp"))
+    got = versions.select(
+        "k", "v", seconds("effective_start_date"), F.when(~F.col("is_active"), seconds("effective_end_date"))
+    )
+    assert rows_of(got) == _history_by_hand(rows)
+
+
+def test_history_window_is_split_by_slice(spark):
+    frame = spark.createDataFrame([("a", 1, "x")], "k string, t int, v string").withColumn(
+        "t", F.timestamp_seconds(F.col("t"))
+    )
+    plan = plan_of(versions_from_history(frame, ["k"], ["t"], ["v"], "timestamp"))
+    assert "hashpartitioning(_key" in plan and "_slice" in plan.split("hashpartitioning(_key")[1][:60]
+
+
+def test_snapshot_settings(spark):
+    frame = spark.range(1000).repartition(4)
+    on = {"is_snapshot": True, "snapshot_layer": "GOLD", "sample_type": "limit"}
+    assert rows_of(snapshot(frame, {**on, "row_limit": 3}, ["id"])) == [(0,), (1,), (2,)]
+    assert snapshot(frame, {**on, "row_limit": None}, ["id"]).count() == 100
+    assert snapshot(frame, {**on, "row_limit": 0}, ["id"]).count() == 0
+    assert snapshot(frame, {**on, "snapshot_layer": None}, ["id"]) is frame
+    assert snapshot(frame, {**on, "is_snapshot": None}, ["id"]) is frame
+    shared = {**on, "sample_type": "share", "sample_fraction": 0.3}
+    first, second = (snapshot(spark.range(1000), shared, ["id"], seed=5) for _ in range(2))
+    assert rows_of(first) == rows_of(second)
+    assert 200 < first.count() < 400
+
+
+def test_a_large_limit_is_numbered_instead_of_gathered(spark, many_slices, monkeypatch):
+    monkeypatch.setattr(snapshots, "_SORTED_LIMIT", 10)
+    frame = spark.range(1000).repartition(4)
+    assert rows_of(snapshots.first_rows(frame, 40, ["id"])) == sorted([(n,) for n in range(40)], key=repr)
+
+
+def test_conservation_accounts_for_every_row(spark):
+    rows = [("a", "1", 5), ("a", "2", -5), ("b", "1", 5), ("c", "1", None)]
+    bronze = spark.createDataFrame(rows, "k string, ingest_timestamp string, v int")
+    report = quality.conservation(bronze, route(keep_latest(bronze, ["k"]), "v < 0", "drop"))
+    assert report.first().asDict() == {
+        "bronze_rows": 4, "clean_rows": 1, "bad_rows": 1, "dropped_rows": 1, "superseded_rows": 1,
+    }
+    assert "CartesianProduct" not in plan_of(report) and "NestedLoop" not in plan_of(report)
+
+
+def test_require_unique(spark):
+    frame = spark.createDataFrame([(1,), (2,), (2,)], "k int")
+    with pytest.raises(ValueError, match="2"):
+        quality.require_unique(frame, ["k"])
+    quality.require_unique(frame.distinct(), ["k"])
+
+
+def test_batch_validation_shows_seven_rows_in_key_order(spark):
+    dimension = spark.range(100).withColumnRenamed("id", "k")
+    assert [row.k for row in batch_validation(dimension, dimension.where("k > 50"), ["k"]).collect()] == list(range(51, 58))
+
+
+def test_scratch_is_removed_unless_kept(spark):
+    from smeltwork.sources import files
+
+    with Scratch(spark) as scratch:
+        stored = scratch.store(spark.range(3), "probe")
+        folder = scratch._folders[0]
+        assert stored.count() == 3 and folder.startswith(scratch_root(spark))
+    assert not files.exists(spark, folder)
+
+
+def test_clock_accepts_datetimes():
+    from datetime import datetime
+
+    assert BatchClock.at(datetime(2024, 1, 2, 3, 4, 5, 6)).instant == "2024-01-02 03:04:05.000006"
