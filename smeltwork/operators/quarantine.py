@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from smeltwork.functions import rules
 from smeltwork.functions.naming import ref
 
-VERDICT = "verdict"
+VERDICT = "quarantine_verdict"
 
 
 @dataclass(frozen=True)

@@ -29,7 +29,7 @@ from smeltwork.plans.audit import (
 )
 from smeltwork.plans.control import Target, in_priority_order
 from smeltwork.sources.zones import (
-    BATCH,
+    QUARANTINE_BATCH,
     Zones,
     read_bronze,
     read_quarantine,
@@ -39,7 +39,7 @@ from smeltwork.sources.zones import (
 )
 
 SILVER_TIMESTAMP = "silver_timestamp"
-ROW_HASH = "row_hash"
+ROW_HASH, RULE = "quarantine_row_hash", "quarantine_rule"
 
 
 @dataclass(frozen=True)
@@ -96,7 +96,7 @@ def new_quarantine_rows(bad: DataFrame, caught: DataFrame | None, batch_id: str)
     """Bad rows that no other batch has put into quarantine, so a rescan does not repeat them."""
     if caught is None:
         return bad
-    return anti(bad, caught.where(F.col(BATCH) != batch_id), [ROW_HASH])
+    return anti(bad, caught.where(F.col(QUARANTINE_BATCH) != batch_id), [ROW_HASH])
 
 
 def cleanse_target(
@@ -139,7 +139,7 @@ def _quarantine(spark: SparkSession, target: Target, zones: Zones, clock: BatchC
         "*",
         clock.now.alias("quarantined_at"),
         row_digest(sorted(bad.columns), "struct").alias(ROW_HASH),
-        F.lit(target.rule).alias("rule"),
+        F.lit(target.rule).alias(RULE),
     )
     caught = read_quarantine(spark, folder)
     write_quarantine(new_quarantine_rows(named, caught, batch_id), folder, batch_id)

@@ -203,11 +203,11 @@ QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, ev
     "quarantine_counts": Query(
         lambda spark, sf_dir: quarantine.verdict_counts(_routed(spark, sf_dir, "drop")),
         f"""SELECT CASE WHEN {_RULE} THEN '{rules.QUARANTINE}' WHEN NOT ({_RULE}) THEN '{rules.CLEAN}'
-            ELSE '{rules.DROPPED}' END AS verdict, count(*) AS row_count FROM ({_UNSURE}) GROUP BY 1""",
+            ELSE '{rules.DROPPED}' END AS quarantine_verdict, count(*) AS row_count FROM ({_UNSURE}) GROUP BY 1""",
     ),
     "quarantine_null_keys": Query(
         _null_key_route,
-        f"""SELECT *, CASE WHEN user_id IS NULL OR value > 50 THEN 'quarantine' ELSE 'clean' END AS verdict
+        f"""SELECT *, CASE WHEN user_id IS NULL OR value > 50 THEN 'quarantine' ELSE 'clean' END AS quarantine_verdict
 FROM ({_UNSURE_EVENTS})""",
     ),
     "quarantine_violations": Query(
@@ -219,16 +219,16 @@ FROM ({_UNSURE_EVENTS})""",
     "cleanse_latest_then_rule": Query(
         lambda spark, sf_dir: _cleansed(spark, sf_dir).flagged,
         f"""WITH {_BRONZE_LINES}
-SELECT *, CASE WHEN {_RULED} THEN 'quarantine' ELSE 'clean' END AS verdict FROM lines
+SELECT *, CASE WHEN {_RULED} THEN 'quarantine' ELSE 'clean' END AS quarantine_verdict FROM lines
 QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_BRONZE_NEWEST}) = 1""",
     ),
     "cleanse_last_good": Query(
         lambda spark, sf_dir: _cleansed(spark, sf_dir, SilverOptions(fallback_to_last_good=True)).flagged,
         f"""WITH {_BRONZE_LINES}
-SELECT *, 'quarantine' AS verdict FROM lines WHERE {_RULED}
+SELECT *, 'quarantine' AS quarantine_verdict FROM lines WHERE {_RULED}
 UNION ALL
 SELECT * FROM (
-  SELECT *, 'clean' AS verdict FROM lines WHERE NOT ({_RULED})
+  SELECT *, 'clean' AS quarantine_verdict FROM lines WHERE NOT ({_RULED})
   QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_BRONZE_NEWEST}) = 1
 )""",
     ),

@@ -146,12 +146,8 @@ def landed_name(landing: str) -> Column:
 
 def tagged(spark: SparkSession, frame: DataFrame, landing: str, clock: BatchClock, options: ReadOptions) -> DataFrame:
     """All columns as text, plus the landing name and the ingest instant."""
-    provenance = frame.select(
-        "*",
-        landed_name(files.qualified(spark, landing)).alias(SOURCE_FILE),
-        clock.now.alias(INGEST_TIMESTAMP),
-    )
-    return string_safe(provenance, options.nested)
+    added = {SOURCE_FILE: landed_name(files.qualified(spark, landing)), INGEST_TIMESTAMP: clock.now}
+    return string_safe(frame.withColumns(added), options.nested)
 
 
 def bronze_frame(

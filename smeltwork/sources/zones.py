@@ -19,7 +19,7 @@ from smeltwork.operators.quarantine import VERDICT
 from smeltwork.sources import files
 
 _VERSION, _DONE, _IS_ACTIVE = "v", "_SUCCESS", "is_active"
-BATCH = "batch_id"
+BATCH, QUARANTINE_BATCH = "batch_id", "quarantine_batch"
 
 
 @dataclass(frozen=True)
@@ -64,6 +64,14 @@ def version_folder(folder: str, number: int) -> str:
     return f"{folder}/{_VERSION}={number}"
 
 
+def _versions(spark: SparkSession, folder: str, label: str) -> list[files.Entry]:
+    """The ``<label>=…`` folders below ``folder``.
+
+    They are read by path and not as partitions, so a source column may have any name.
+    """
+    return [entry for entry in files.children(spark, folder) if entry.name.startswith(f"{label}=")]
+
+
 def _has_data(spark: SparkSession, folder: str) -> bool:
     return any(not entry.name.startswith(("_", ".")) for entry in files.children(spark, folder))
 
@@ -78,12 +86,12 @@ def write_bronze(rows: DataFrame, folder: str, batch_id: str) -> None:
 
 def read_bronze(spark: SparkSession, folder: str, batch_id: str | None = None) -> DataFrame | None:
     """All batches of a target, or one; columns a batch lacks are NULL. None without data."""
-    if not _has_data(spark, folder):
-        return None
-    if batch_id is not None:
-        one = f"{folder}/{BATCH}={batch_id}"
-        return spark.read.parquet(one) if _has_data(spark, one) else None
-    return spark.read.option("mergeSchema", True).parquet(folder).drop(BATCH)
+    batches = [
+        entry.path
+        for entry in _versions(spark, folder, BATCH)
+        if (batch_id is None or entry.name == f"{BATCH}={batch_id}") and _has_data(spark, entry.path)
+    ]
+    return spark.read.option("mergeSchema", True).parquet(*batches) if batches else None
 
 
 # --- silver and quarantine --------------------------------------------------
@@ -107,7 +115,7 @@ def read_silver(spark: SparkSession, folder: str, verdict: str = rules.CLEAN, ve
 
 def write_quarantine(bad: DataFrame, folder: str, batch_id: str) -> None:
     """Replace the batch's own folder; the few rows are gathered into full files."""
-    bad.hint("rebalance").write.mode("overwrite").parquet(f"{folder}/{BATCH}={batch_id}")
+    bad.hint("rebalance").write.mode("overwrite").parquet(f"{folder}/{QUARANTINE_BATCH}={batch_id}")
 
 
 def read_quarantine(spark: SparkSession, folder: str) -> DataFrame | None:
@@ -115,7 +123,7 @@ def read_quarantine(spark: SparkSession, folder: str) -> DataFrame | None:
     if not _has_data(spark, folder):
         return None
     frame = spark.read.option("mergeSchema", True).parquet(folder)
-    return frame.withColumn(BATCH, F.col(BATCH).cast("string"))
+    return frame.withColumn(QUARANTINE_BATCH, F.col(QUARANTINE_BATCH).cast("string"))
 
 
 # --- gold -------------------------------------------------------------------
@@ -160,11 +168,11 @@ def read_gold(spark: SparkSession, folder: str) -> DataFrame | None:
     columns = spark.read.parquet(version_folder(_ended(folder), number)).schema.fields
     flag = T.StructField(_IS_ACTIVE, T.BooleanType())
     live = _rows_of(spark, version_folder(_active(folder), number), T.StructType([*columns, flag]))
-    counted = T.StructType([*columns, T.StructField(_VERSION, T.IntegerType())])
-    ended = spark.read.schema(counted).parquet(_ended(folder)).where(F.col(_VERSION) <= number)
+    past = [entry.path for entry in _versions(spark, _ended(folder), _VERSION) if _number(entry.name) <= number]
+    ended = spark.read.schema(T.StructType(columns)).parquet(*past)
     names = [field.name for field in columns]
     order = [*names[:-1], _IS_ACTIVE, names[-1]]
-    both = live.where(F.col(_IS_ACTIVE)).unionByName(ended.drop(_VERSION).withColumn(_IS_ACTIVE, F.lit(False)))
+    both = live.where(F.col(_IS_ACTIVE)).unionByName(ended.withColumn(_IS_ACTIVE, F.lit(False)))
     return both.select(*refs(order))
 
 

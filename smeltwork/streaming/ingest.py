@@ -22,13 +22,15 @@ def landing_stream(
 ) -> DataFrame:
     """New files of one format, with the name of the file each row came from.
 
+    Only landing children with the format's extension are listed, so bronze and archive
+    folders that lie below the landing folder are never walked.
     With ``archive`` the source moves files away once a later batch has finished.
     """
     reader = spark.readStream.format(kind).schema(schema).options(**options)
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    stream = reader.load(landing)
-    return stream.select("*", landed_name(files.qualified(spark, landing)).alias(SOURCE_FILE))
+    stream = reader.load(f"{landing.rstrip('/')}/*.{kind}")
+    return stream.withColumn(SOURCE_FILE, landed_name(files.qualified(spark, landing)))
 
 
 def ingest_available(stream: DataFrame, folder: str, checkpoint: str, clock: BatchClock, nested: str = "json") -> int:

@@ -71,7 +71,7 @@ def test_struct_digest_tells_null_from_empty_and_separators_apart(spark):
 
 def test_a_row_the_rule_cannot_judge(spark):
     frame = spark.createDataFrame([(1, -5.0), (2, 5.0), (3, None)], "id int, v double")
-    by_mode = {mode: dict(rows_of(route(frame, "v < 0", mode).flagged.select("id", "verdict"))) for mode in
+    by_mode = {mode: dict(rows_of(route(frame, "v < 0", mode).flagged.select("id", "quarantine_verdict"))) for mode in
                ("clean", "quarantine", "drop")}
     assert by_mode["clean"] == {1: "quarantine", 2: "clean", 3: "clean"}
     assert by_mode["quarantine"] == {1: "quarantine", 2: "clean", 3: "quarantine"}
