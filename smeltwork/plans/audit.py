@@ -91,6 +91,17 @@ class AuditTrail:
         self.record(table, layer, start, outcome)
         return outcome
 
+    def last_status(self, layer: str) -> str | None:
+        """The newest status this run has recorded for a layer, if it has run here."""
+        return next((outcome.status for name, _, outcome in reversed(self.outcomes) if name == layer), None)
+
+    def upstream_skipped(self, layer: str) -> bool:
+        """Did the layer before find nothing? Asked of the stored trail when it ran in another job."""
+        here = self.last_status(layer)
+        if here is not None:
+            return here == SKIPPED_NO_FILES
+        return should_skip(read_audit(self.spark, self.folder), layer, self.run_id)
+
     def flush(self) -> None:
         if self._pending:
             rows, self._pending = self._pending, []

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
+from itertools import chain, count
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,9 +122,20 @@ def _rows_per_file(spark: SparkSession, folder: str, batch_id: str) -> dict[str,
     return {row[SOURCE_FILE]: row["n"] for row in counted}
 
 
-def archive(spark: SparkSession, zones: Zones, target: str, entry: dict) -> None:
-    """Move an ingested raw file out of landing."""
-    files.move(spark, entry["path"], f"{zones.raw_archive}/{target}_{entry['name']}")
+def archive(spark: SparkSession, zones: Zones, target: str, entry: dict, batch_id: str) -> str:
+    """Move an ingested raw file out of landing and return where it went.
+
+    A feed may deliver under the same name every day: a name that is taken gets the
+    batch id, and a number after that, so no archived file is replaced.
+    """
+    name = entry["name"]
+    candidates = chain(
+        [f"{target}_{name}", f"{target}_{batch_id}_{name}"],
+        (f"{target}_{batch_id}_{number}_{name}" for number in count(2)),
+    )
+    free = next(path for path in (f"{zones.raw_archive}/{c}" for c in candidates) if not files.exists(spark, path))
+    files.move(spark, entry["path"], free)
+    return free
 
 
 def run_bronze(
@@ -173,7 +185,10 @@ def _ingest_and_archive(spark, target, mine, zones, clock, batch_id, trail, opti
     for entry in mine:
         outcome = outcomes[entry["path"]]
         if outcome.status != FAILED:
-            archive(spark, zones, target.name, entry)
+            try:
+                archive(spark, zones, target.name, entry, batch_id)
+            except Exception as error:  # noqa: BLE001 - the rows are in bronze, the file waits for the next run
+                outcome.status, outcome.error_message = FAILED, str(error)
         trail.record(target.name, BRONZE, start, outcome)
     broken = [outcome.error_message for outcome in outcomes.values() if outcome.status == FAILED]
     if broken and fail_fast:

@@ -21,8 +21,6 @@ from smeltwork.plans.audit import (
     SKIPPED_NO_FILES,
     AuditTrail,
     Outcome,
-    read_audit,
-    should_skip,
 )
 from smeltwork.plans.control import Target, in_priority_order
 from smeltwork.session import Scratch
@@ -107,7 +105,7 @@ def run_gold(
     at_once: int = 1,
 ) -> bool:
     """Publish every target; False when silver stood by in this run."""
-    if should_skip(read_audit(spark, zones.audit), SILVER, trail.run_id):
+    if trail.upstream_skipped(SILVER):
         trail.guard(ALL_TARGETS, GOLD, lambda: Outcome(SKIPPED_NO_FILES))
         trail.flush()
         return False

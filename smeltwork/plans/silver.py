@@ -24,8 +24,6 @@ from smeltwork.plans.audit import (
     SKIPPED_NO_FILES,
     AuditTrail,
     Outcome,
-    read_audit,
-    should_skip,
 )
 from smeltwork.plans.control import Target, in_priority_order
 from smeltwork.sources.zones import (
@@ -157,7 +155,7 @@ def run_silver(
     at_once: int = 1,
 ) -> bool:
     """Cleanse every target; False when bronze found nothing in this run."""
-    if should_skip(read_audit(spark, zones.audit), BRONZE, trail.run_id):
+    if trail.upstream_skipped(BRONZE):
         trail.guard(ALL_TARGETS, SILVER, lambda: Outcome(SKIPPED_NO_FILES))
         trail.flush()
         return False

@@ -77,4 +77,5 @@ def routed_entries(
     if not entries:
         return []
     listing = spark.createDataFrame([(entry.name, entry.path) for entry in entries], PATH_SCHEMA)
-    return [row.asDict() for row in route(listing, patterns).orderBy("name").collect()]
+    found = [row.asDict() for row in route(listing, patterns).collect()]
+    return sorted(found, key=lambda entry: entry["name"])

@@ -210,7 +210,9 @@ def test_a_rerun_of_a_batch_changes_nothing(spark, zones):
     for _ in range(2):
         put(zones, "item.csv", "id,v\n1,a\n2,bad\n")
         run_layers(spark, zones, rules, CLOCKS[0], "run-1")
-        (Path(zones.raw_archive) / "gold_item_dim_item.csv").unlink()
+    assert {path.name for path in Path(zones.raw_archive).glob("gold*")} == {
+        "gold_item_dim_item.csv", "gold_item_dim_run-1_item.csv",
+    }
     assert read_bronze(spark, f"{zones.bronze}/gold_item_dim").count() == 2
     assert read_quarantine(spark, f"{zones.quarantine}/gold_item_dim").count() == 1
     assert read_gold(spark, f"{zones.gold}/gold_item_dim").count() == 1
@@ -333,6 +335,23 @@ def test_close_missing_through_the_layers(spark, zones):
     assert rows_of(gold.select("id", "is_active")) == [("1", True), ("2", False)]
 
 
+def test_targets_without_good_rows(spark, zones):
+    """Header-only files and targets whose every row is bad go through without an error."""
+    rules = control_of(
+        spark, target_row("gold_none_dim", "none"), target_row("gold_bad_dim", "bad", rule="id >= ''"),
+    )
+    put(zones, "none.csv", "id,v\n")
+    put(zones, "bad.csv", "id,v\n1,a\n")
+    trail = run_layers(spark, zones, rules, CLOCKS[0], "run-1")
+    assert all(outcome.status in (audit.SUCCESS, audit.SKIPPED_NO_DATA) for _, _, outcome in trail.outcomes)
+    put(zones, "none.csv", "id,v\n1,a\n")
+    put(zones, "bad.csv", "id,v\n")
+    trail = run_layers(spark, zones, rules, CLOCKS[1], "run-2")
+    assert all(outcome.status in (audit.SUCCESS, audit.SKIPPED_NO_DATA) for _, _, outcome in trail.outcomes)
+    assert read_gold(spark, f"{zones.gold}/gold_none_dim").count() == 1
+    assert read_quarantine(spark, f"{zones.quarantine}/gold_bad_dim").count() == 1
+
+
 def test_strategy_change(spark):
     rows = control_of(spark, target_row("a", "a", strategy="SCD1"), target_row("b", "b", strategy="SCD1"))
     changed = control.change_strategy(rows, "b")
@@ -367,6 +386,8 @@ def test_skip_looks_at_the_newest_record_of_the_run(spark, tmp_path):
     trail = read_audit(spark, folder)
     assert should_skip(trail, audit.BRONZE, "run-1") and not should_skip(trail, audit.BRONZE, "run-2")
     assert not should_skip(trail, audit.BRONZE, "run-3")
+    later = {run: AuditTrail(spark, folder, run) for run in ("run-1", "run-2")}
+    assert later["run-1"].upstream_skipped(audit.BRONZE) and not later["run-2"].upstream_skipped(audit.BRONZE)
     assert classic_view(trail).where("status = 'Failed'").first().error_message == "it's {broken}"
     assert last_status(trail, ("run_id",)).count() == 2
 
