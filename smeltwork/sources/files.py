@@ -19,10 +19,10 @@ def _resolve(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def qualified(spark: SparkSession, path: str) -> str:
-    """The full form of ``path``, spelled the way scans report it."""
+def encoded_path(spark: SparkSession, path: str) -> str:
+    """The path of a folder without scheme and host, percent-encoded the way scans report it."""
     system, target = _resolve(spark, path)
-    return system.makeQualified(target).toString()
+    return system.makeQualified(target).toUri().getRawPath()
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -138,15 +138,22 @@ def raw_frame(spark: SparkSession, feed: Feed, options: ReadOptions) -> DataFram
 
 
 def landed_name(landing: str) -> Column:
-    """The landing child a row came from, also when that child is a folder of part files."""
-    depth = len(landing.rstrip("/").split("/"))
-    encoded = F.element_at(F.split(F.col("_metadata.file_path"), "/"), depth + 1)
-    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+    """The landing child a row came from, also when that child is a folder of part files.
+
+    ``landing`` is the folder's encoded path. The name is cut out by position, and
+    decoded only if it holds an escape, since this runs for every row.
+    """
+    prefix = landing.rstrip("/") + "/"
+    path = F.col("_metadata.file_path")
+    below = F.substr(path, F.instr(path, prefix) + F.lit(len(prefix)))
+    child = F.substring_index(below, "/", 1)
+    decoded = F.url_decode(F.replace(child, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(child, F.lit("%")), decoded).otherwise(child)
 
 
 def tagged(spark: SparkSession, frame: DataFrame, landing: str, clock: BatchClock, options: ReadOptions) -> DataFrame:
     """All columns as text, plus the landing name and the ingest instant."""
-    added = {SOURCE_FILE: landed_name(files.qualified(spark, landing)), INGEST_TIMESTAMP: clock.now}
+    added = {SOURCE_FILE: landed_name(files.encoded_path(spark, landing)), INGEST_TIMESTAMP: clock.now}
     return string_safe(frame.withColumns(added), options.nested)
 
 

@@ -30,7 +30,7 @@ def landing_stream(
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     stream = reader.load(f"{landing.rstrip('/')}/*.{kind}")
-    return stream.withColumn(SOURCE_FILE, landed_name(files.qualified(spark, landing)))
+    return stream.withColumn(SOURCE_FILE, landed_name(files.encoded_path(spark, landing)))
 
 
 def ingest_available(stream: DataFrame, folder: str, checkpoint: str, clock: BatchClock, nested: str = "json") -> int:

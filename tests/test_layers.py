@@ -66,6 +66,15 @@ def test_source_file_and_instant(spark, zones):
     assert outcomes["my item+1%.csv"].rows_processed == 1
 
 
+def test_landing_folder_with_escaped_characters(spark, tmp_path):
+    zones = Zones.under(f"{tmp_path}/my base+1%")
+    Path(zones.landing).mkdir(parents=True)
+    put(zones, "item.csv", "id\n1\n")
+    spark.sql("SELECT 2 id").write.parquet(f"{zones.landing}/item part.parquet")
+    _, rows = ingest(spark, zones, "t", "item")
+    assert sorted(row.source_file for row in rows.collect()) == ["item part.parquet", "item.csv"]
+
+
 def test_source_columns_may_have_any_name(spark, zones):
     names = ["id", "v", "batch_id", "rule", "row_hash", "verdict", "source_file"]
     put(zones, "item.csv", ",".join(names) + "\n1,2,3,4,5,6,7\n9,bad,3,4,5,6,7\n")
