@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smeltwork.functions.casting import string_safe
@@ -37,12 +38,18 @@ def ingest_available(stream: DataFrame, folder: str, checkpoint: str, clock: Bat
     """Write every file not seen before to bronze, then stop; returns the rows written.
 
     A micro-batch owns one bronze folder and replaces it, so a batch that is replayed
-    after a failure leaves its rows once.
+    after a failure leaves its rows once. The folder carries the query id kept in the
+    checkpoint: a stream begun anew cannot replace what an earlier one wrote.
     """
+    written: dict[int, int] = {}
 
     def write(rows: DataFrame, number: int) -> None:
+        query_id = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        seen = Observation()
         stamped = rows.withColumn(INGEST_TIMESTAMP, clock.now)
-        write_bronze(string_safe(stamped, nested), folder, f"stream-{number}")
+        counted = string_safe(stamped, nested).observe(seen, F.count(F.lit(1)).alias("rows"))
+        write_bronze(counted, folder, f"stream-{query_id}-{number}")
+        written[number] = seen.get["rows"]
 
     query = (
         stream.writeStream.foreachBatch(write)
@@ -51,4 +58,4 @@ def ingest_available(stream: DataFrame, folder: str, checkpoint: str, clock: Bat
         .start()
     )
     query.awaitTermination()
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+    return sum(written.values())

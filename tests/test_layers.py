@@ -418,6 +418,20 @@ def test_stream_reads_each_file_once(spark, zones):
     ]
 
 
+def test_a_stream_begun_anew_replaces_nothing(spark, zones):
+    put(zones, "one.csv", "id\n1\n")
+    schema = spark.createDataFrame([("",)], "id string").schema
+    folder = f"{zones.bronze}/t"
+    for checkpoint in ("first", "second"):
+        stream = landing_stream(spark, zones.landing, "csv", schema, header="true", maxFilesPerTrigger="1")
+        assert ingest_available(stream, folder, f"{zones.bronze}/_{checkpoint}", CLOCKS[0]) == 1
+        Path(zones.landing, "one.csv").unlink(missing_ok=True)
+        put(zones, "two.csv", "id\n2\n")
+    assert sorted(row.id for row in read_bronze(spark, folder).collect()) == ["1", "2"]
+    names = [path.name for path in Path(folder).iterdir()]
+    assert len(names) == 2 and not any("None" in name for name in names)
+
+
 def test_move_refuses_to_lose_a_file(spark, tmp_path):
     with pytest.raises(Exception):
         files.move(spark, f"{tmp_path}/absent", f"{tmp_path}/there/x")
