@@ -13,7 +13,7 @@ from smeltwork.functions.clock import BatchClock
 from smeltwork.functions.hashing import row_digest
 from smeltwork.functions.naming import ref
 from smeltwork.operators.joining import anti, lookup, right_side, same_key, without_right
-from smeltwork.operators.surrogate import existing_keys, highest_key, key_text, number_rows
+from smeltwork.operators.surrogate import Numbered, existing_keys, highest_key, key_text, number_rows
 from smeltwork.session import Scratch
 
 # Columns that are not business content, and the columns a dimension ends with.
@@ -21,7 +21,7 @@ METADATA = ("ingest_timestamp", "source_file", "silver_timestamp")
 VALIDITY = ("effective_start_date", "effective_end_date", "is_active")
 HASH = "hash_key"
 
-_HIT, _KNOWN = "_hit", "_known_hash"
+_HIT, _KNOWN, _NUMBER = "_hit", "_known_hash", "_number"
 
 
 def business_columns(columns: Sequence[str], keys: Sequence[str]) -> list[str]:
@@ -53,16 +53,33 @@ def check_source(columns: Sequence[str], keys: Sequence[str], sk: str) -> None:
         raise ValueError(f"source columns use reserved names: {reserved}")
 
 
-def stage(silver: DataFrame, keys: Sequence[str], clock: BatchClock, hash_mode: str = "joined") -> DataFrame:
-    """Silver rows with their digest and an open validity range."""
-    business = business_columns(silver.columns, keys)
-    return silver.select(
-        "*",
-        clock.now.alias(VALIDITY[0]),
-        clock.open_end.alias(VALIDITY[1]),
-        F.lit(True).alias(VALIDITY[2]),
-        row_digest(business, hash_mode).alias(HASH),
-    )
+@dataclass(frozen=True)
+class Batch:
+    """Silver rows to merge, one per key, and how they are stamped."""
+
+    silver: DataFrame
+    keys: tuple[str, ...]
+    clock: BatchClock
+    hash_mode: str = "joined"
+
+    def stage(self, rows: DataFrame) -> DataFrame:
+        """Rows of this batch with an open validity range and their digest."""
+        business = [name for name in business_columns(rows.columns, self.keys) if name in self.silver.columns]
+        return rows.select(
+            "*",
+            self.clock.now.alias(VALIDITY[0]),
+            self.clock.open_end.alias(VALIDITY[1]),
+            F.lit(True).alias(VALIDITY[2]),
+            row_digest(business, self.hash_mode).alias(HASH),
+        )
+
+    @property
+    def staged(self) -> DataFrame:
+        return self.stage(self.silver)
+
+
+def batch_of(silver: DataFrame, keys: Sequence[str], clock: BatchClock, hash_mode: str = "joined") -> Batch:
+    return Batch(silver, tuple(keys), clock, hash_mode)
 
 
 def aligned(frame: DataFrame, columns: Sequence[str], like: DataFrame | None = None) -> DataFrame:
@@ -97,26 +114,32 @@ class Merge:
         return self.current if self.closed is None else self.closed.unionByName(self.current)
 
 
-def _merged_columns(dimension: DataFrame, staged: DataFrame, keys: Sequence[str], sk: str) -> list[str]:
-    batch_side = source_columns(staged, sk)
-    old_only = [name for name in source_columns(dimension, sk) if name not in batch_side]
-    return dimension_columns([*batch_side, *old_only], keys, sk)
+def _merged_columns(dimension: DataFrame, batch: Batch, sk: str) -> list[str]:
+    """Column order of the merged dimension: the batch's columns, then those only the dimension has."""
+    new = batch.silver.columns
+    old_only = [name for name in source_columns(dimension, sk) if name not in new]
+    return dimension_columns([*new, *old_only], batch.keys, sk)
 
 
-def _numbered(staged: DataFrame, keys: Sequence[str], sk: str, base: int, scratch: Scratch | None):
-    number = "_number"
-    done = number_rows(staged, keys, number, base, scratch)
-    return done, done.rows.withColumn(sk, key_text(F.col(number))).drop(number)
+def _numbered(rows: DataFrame, keys: Sequence[str], sk: str, base: int, scratch: Scratch | None) -> Numbered:
+    """Rows with the surrogate keys after ``base``."""
+    done = number_rows(rows, keys, _NUMBER, base, scratch)
+    return Numbered(done.rows.withColumn(sk, key_text(F.col(_NUMBER))).drop(_NUMBER), done.count)
 
 
 def _base(dimension: DataFrame, sk: str) -> int:
     return highest_key(dimension, sk).first()["max_key"]
 
 
-def initial_load(staged: DataFrame, keys: Sequence[str], sk: str, scratch: Scratch | None = None) -> Merge:
-    """The first version of a dimension: every staged row, numbered in key order."""
-    done, rows = _numbered(staged, keys, sk, 0, scratch)
-    return Merge(None, aligned(rows, dimension_columns(source_columns(staged, sk), keys, sk)), done.count)
+def initial_load(batch: Batch, sk: str, scratch: Scratch | None = None) -> Merge:
+    """The first version of a dimension: every row, numbered in key order.
+
+    Numbering comes before the digest: the range borders are sampled in a pass of
+    their own, which then hashes nothing.
+    """
+    done = _numbered(batch.silver, batch.keys, sk, 0, scratch)
+    columns = dimension_columns(batch.silver.columns, batch.keys, sk)
+    return Merge(None, aligned(batch.stage(done.rows), columns), done.count)
 
 
 def _split_active(dimension: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -125,8 +148,7 @@ def _split_active(dimension: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def scd1(
     dimension: DataFrame,
-    staged: DataFrame,
-    keys: Sequence[str],
+    batch: Batch,
     sk: str,
     skip_unchanged: bool = False,
     scratch: Scratch | None = None,
@@ -138,13 +160,13 @@ def scd1(
     The dimension is the left side of the update join: a small batch is broadcast to
     it and the dimension stays where it is.
     """
-    columns = _merged_columns(dimension, staged, keys, sk)
+    keys, staged = batch.keys, batch.staged
+    columns = _merged_columns(dimension, batch, sk)
     active, closed = _split_active(dimension)
-    fresh = anti(staged, existing_keys(active, staged, keys), keys)
-    done, inserted = _numbered(fresh, keys, sk, _base(dimension, sk), scratch)
+    fresh = anti(batch.silver, existing_keys(active, batch.silver, keys), keys)
+    done = _numbered(fresh, keys, sk, _base(dimension, sk), scratch)
 
-    batch = set(staged.columns)
-    carried = [name for name in columns if name in batch and name not in keys]
+    carried = [name for name in columns if name in staged.columns and name not in keys]
     incoming = right_side(staged, keys, F.lit(True).alias(_HIT), *[ref(name).alias(f"_new_{name}") for name in carried])
     old = aligned(active, columns, staged)
     met = old.join(incoming, same_key(keys), "left")
@@ -157,7 +179,7 @@ def scd1(
             for name in columns
         ]
     )
-    added = aligned(inserted, columns, dimension)
+    added = aligned(batch.stage(done.rows), columns, dimension)
     return Merge(aligned(closed, columns, staged), updated.unionByName(added), done.count)
 
 
@@ -189,10 +211,8 @@ def _end_where_hit(met: DataFrame, columns: Sequence[str], clock: BatchClock) ->
 
 def scd2(
     dimension: DataFrame,
-    staged: DataFrame,
-    keys: Sequence[str],
+    batch: Batch,
     sk: str,
-    clock: BatchClock,
     close_missing: bool = False,
     dense_sk: bool = True,
     scratch: Scratch | None = None,
@@ -203,24 +223,25 @@ def scd2(
     batch first and so leaves gaps for unchanged rows. ``close_missing`` also ends
     active rows whose key is not in the batch.
     """
-    columns = _merged_columns(dimension, staged, keys, sk)
+    keys, staged = batch.keys, batch.staged
+    columns = _merged_columns(dimension, batch, sk)
     active, closed = _split_active(dimension)
     base = _base(dimension, sk)
     if dense_sk:
-        done, inserted = _numbered(new_versions(active, staged, keys), keys, sk, base, scratch)
-        count = done.count
+        done = _numbered(new_versions(active, staged, keys), keys, sk, base, scratch)
+        inserted, count = done.rows, done.count
     else:
-        _, all_numbered = _numbered(staged, keys, sk, base, scratch)
-        inserted = new_versions(active, all_numbered, keys)
+        everything = _numbered(batch.silver, keys, sk, base, scratch).rows
+        inserted = new_versions(active, aligned(batch.stage(everything), [sk, *staged.columns]), keys)
         count = inserted.count()
 
-    kept = expire(active, inserted, keys, clock)
+    kept = expire(active, inserted, keys, batch.clock)
     if close_missing:
         present = kept.join(right_side(staged, keys, F.lit(True).alias("_present")), same_key(keys), "left")
         gone = without_right(present, keys).withColumn(
             _HIT, F.when(F.col("is_active") & F.col("_present").isNull(), F.lit(True))
         )
-        kept = _end_where_hit(gone, active.columns, clock)
+        kept = _end_where_hit(gone, active.columns, batch.clock)
     current = aligned(kept, columns, staged).unionByName(aligned(inserted, columns, dimension))
     return Merge(aligned(closed, columns, staged), current, count, changed=count > 0 or close_missing)
 
@@ -231,10 +252,8 @@ STRATEGIES = ("SCD1", "SCD2")
 def merge(
     strategy: str | None,
     dimension: DataFrame | None,
-    staged: DataFrame,
-    keys: Sequence[str],
+    batch: Batch,
     sk: str,
-    clock: BatchClock,
     scratch: Scratch | None = None,
     **options: bool,
 ) -> Merge:
@@ -242,7 +261,7 @@ def merge(
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown scd_strategy: {strategy}")
     if dimension is None:
-        return initial_load(staged, keys, sk, scratch)
+        return initial_load(batch, sk, scratch)
     if strategy == "SCD1":
-        return scd1(dimension, staged, keys, sk, scratch=scratch, **options)
-    return scd2(dimension, staged, keys, sk, clock, scratch=scratch, **options)
+        return scd1(dimension, batch, sk, scratch=scratch, **options)
+    return scd2(dimension, batch, sk, scratch=scratch, **options)

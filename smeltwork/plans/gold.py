@@ -52,17 +52,9 @@ def merge_silver(
 ) -> scd.Merge:
     """Stage silver rows and merge them into the dimension by the target's strategy."""
     scd.check_source(silver.columns, target.keys, target.surrogate)
-    staged = scd.stage(silver, target.keys, clock, options.hash_mode)
-    return scd.merge(
-        target.strategy,
-        dimension,
-        staged,
-        target.keys,
-        target.surrogate,
-        clock,
-        scratch,
-        **_merge_options(target.strategy, options),
-    )
+    batch = scd.batch_of(silver, target.keys, clock, options.hash_mode)
+    chosen = _merge_options(target.strategy, options)
+    return scd.merge(target.strategy, dimension, batch, target.surrogate, scratch, **chosen)
 
 
 def publish_target(

@@ -170,16 +170,16 @@ def shown(rows: DataFrame) -> DataFrame:
     )
 
 
-def _staged(source: Source, batch: DataFrame, clock: BatchClock) -> DataFrame:
-    return scd.stage(batch, [source.key], clock)
+def _batch(source: Source, rows: DataFrame, clock: BatchClock) -> scd.Batch:
+    return scd.batch_of(rows, [source.key], clock)
 
 
 def _first_dimension(source: Source, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scd.initial_load(_staged(source, source.first(spark, sf_dir), CLOCK1), [source.key], source.sk).rows
+    return scd.initial_load(_batch(source, source.first(spark, sf_dir), CLOCK1), source.sk).rows
 
 
-def _second_staged(source: Source, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _staged(source, source.second(spark, sf_dir), CLOCK2)
+def _second_batch(source: Source, spark: SparkSession, sf_dir: str) -> scd.Batch:
+    return _batch(source, source.second(spark, sf_dir), CLOCK2)
 
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -192,8 +192,8 @@ def _initial(source: Source) -> Query:
 def _scd1(source: Source, skip_unchanged: bool = False) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         old = _first_dimension(source, spark, sf_dir)
-        batch = _second_staged(source, spark, sf_dir)
-        return shown(scd.scd1(old, batch, [source.key], source.sk, skip_unchanged).rows)
+        batch = _second_batch(source, spark, sf_dir)
+        return shown(scd.scd1(old, batch, source.sk, skip_unchanged).rows)
 
     guard = "b.hash_key <> o.hash_key" if skip_unchanged else "TRUE"
     return Query(run, source.sql() + "," + source.scd1_sql("d1", "b2", T2, "d2", guard) + source.out("d2"))
@@ -202,8 +202,8 @@ def _scd1(source: Source, skip_unchanged: bool = False) -> Query:
 def _scd2(source: Source) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         old = _first_dimension(source, spark, sf_dir)
-        batch = _second_staged(source, spark, sf_dir)
-        return shown(scd.scd2(old, batch, [source.key], source.sk, CLOCK2).rows)
+        batch = _second_batch(source, spark, sf_dir)
+        return shown(scd.scd2(old, batch, source.sk).rows)
 
     return Query(run, source.sql() + "," + source.scd2_sql("d1", "b2", T2, "d2") + source.out("d2"))
 
@@ -211,7 +211,7 @@ def _scd2(source: Source) -> Query:
 def _scd2_expired(source: Source) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         active = _first_dimension(source, spark, sf_dir)
-        fresh = scd.new_versions(active, _second_staged(source, spark, sf_dir), [source.key])
+        fresh = scd.new_versions(active, _second_batch(source, spark, sf_dir).staged, [source.key])
         return shown(scd.expire(active, fresh, [source.key], CLOCK2).where("NOT is_active"))
 
     sql = source.sql() + "," + source.scd2_sql("d1", "b2", T2, "d2") + source.out("d2 WHERE NOT is_active")
@@ -221,7 +221,7 @@ def _scd2_expired(source: Source) -> Query:
 def _scd2_versions(source: Source) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         active = _first_dimension(source, spark, sf_dir)
-        fresh = scd.new_versions(active, _second_staged(source, spark, sf_dir), [source.key])
+        fresh = scd.new_versions(active, _second_batch(source, spark, sf_dir).staged, [source.key])
         return fresh.select(source.key, *source.business, "hash_key")
 
     columns = ", ".join([source.key, *source.business, "hash_key"])
@@ -231,8 +231,8 @@ def _scd2_versions(source: Source) -> Query:
 def _scd2_close_missing(source: Source) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         old = _first_dimension(source, spark, sf_dir)
-        batch = _second_staged(source, spark, sf_dir)
-        return shown(scd.scd2(old, batch, [source.key], source.sk, CLOCK2, close_missing=True).rows)
+        batch = _second_batch(source, spark, sf_dir)
+        return shown(scd.scd2(old, batch, source.sk, close_missing=True).rows)
 
     gone = f"is_active AND {source.key} NOT IN (SELECT {source.key} FROM b2)"
     closed = f""",
@@ -248,8 +248,8 @@ def _scd2_sparse(source: Source) -> Query:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         old = _first_dimension(source, spark, sf_dir)
-        batch = _second_staged(source, spark, sf_dir)
-        return shown(scd.scd2(old, batch, [source.key], source.sk, CLOCK2, dense_sk=False).rows)
+        batch = _second_batch(source, spark, sf_dir)
+        return shown(scd.scd2(old, batch, source.sk, dense_sk=False).rows)
 
     renumbered = f""",
 n2 AS (SELECT {source.key}, (SELECT max(sk) FROM d1) + row_number() OVER (ORDER BY {source.key}) AS gap_sk FROM b2),
@@ -264,12 +264,11 @@ def _switch(source: Source, strategies: Sequence[str]) -> Query:
     """Batches two and three, each merged by its own strategy."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        keys, space = [source.key], Scratch(spark, keep=True)
+        space = Scratch(spark, keep=True)
         dimension = _first_dimension(source, spark, sf_dir)
         later = ((source.second(spark, sf_dir), CLOCK2), (source.third(spark, sf_dir), CLOCK3))
         for strategy, (batch, clock) in zip(strategies, later):
-            staged = _staged(source, batch, clock)
-            merged = scd.merge(strategy, dimension, staged, keys, source.sk, clock, space)
+            merged = scd.merge(strategy, dimension, _batch(source, batch, clock), source.sk, space)
             dimension = space.store(merged.rows, "dimension")
         return shown(dimension)
 
@@ -282,8 +281,7 @@ def _schema_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second batch lacks one column and brings another."""
     old = _first_dimension(CUSTOMER, spark, sf_dir)
     batch = CUSTOMER.second(spark, sf_dir).drop("c_nationkey").withColumn("c_origin", F.lit("import"))
-    staged = _staged(CUSTOMER, batch, CLOCK2)
-    return shown(scd.scd1(old, staged, ["c_custkey"], CUSTOMER.sk).rows)
+    return shown(scd.scd1(old, _batch(CUSTOMER, batch, CLOCK2), CUSTOMER.sk).rows)
 
 
 _SCHEMA_CHANGE_SQL = (
@@ -366,15 +364,14 @@ def _preserved(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = _first_dimension(CUSTOMER, spark, sf_dir)
-    staged = _second_staged(CUSTOMER, spark, sf_dir)
-    merged = scd.scd2(old, staged, ["c_custkey"], CUSTOMER.sk, CLOCK2).rows
-    return shown(batch_validation(merged, staged, ["c_custkey"]))
+    batch = _second_batch(CUSTOMER, spark, sf_dir)
+    merged = scd.scd2(old, batch, CUSTOMER.sk).rows
+    return shown(batch_validation(merged, batch.silver, ["c_custkey"]))
 
 
 def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = _first_dimension(ORDERS, spark, sf_dir)
-    staged = _second_staged(ORDERS, spark, sf_dir)
-    merged = scd.scd2(old, staged, ["o_orderkey"], ORDERS.sk, CLOCK2).rows
+    merged = scd.scd2(old, _second_batch(ORDERS, spark, sf_dir), ORDERS.sk).rows
     return quality.dimension_report(merged, ["o_orderkey"], ORDERS.sk)
 
 

@@ -13,8 +13,8 @@ CLOCKS = [BatchClock.at(text, "timestamp_ntz") for text in T]
 KEYS, SK = ["k"], "item_sk"
 
 
-def staged(spark, rows, clock, schema="k string, v string, source_file string"):
-    return scd.stage(spark.createDataFrame(rows, schema), KEYS, clock)
+def batch_of(spark, rows, clock, schema="k string, v string, source_file string"):
+    return scd.batch_of(spark.createDataFrame(rows, schema), KEYS, clock)
 
 
 def stored(spark, merge):
@@ -29,8 +29,8 @@ def brief(frame):
 
 
 def test_column_order_is_part_of_the_contract(spark):
-    frame = staged(spark, [("f", "z", "b", "1")], CLOCKS[0], "source_file string, z string, b string, k string")
-    merged = scd.initial_load(frame, KEYS, SK)
+    frame = batch_of(spark, [("f", "z", "b", "1")], CLOCKS[0], "source_file string, z string, b string, k string")
+    merged = scd.initial_load(frame, SK)
     assert merged.rows.columns == [
         "item_sk", "k", "b", "z", "source_file", "effective_start_date", "effective_end_date", "is_active", "hash_key",
     ]
@@ -39,13 +39,13 @@ def test_column_order_is_part_of_the_contract(spark):
 
 
 def test_metadata_does_not_count_as_change(spark):
-    first = staged(spark, [("1", "a", "f1")], CLOCKS[0]).first().hash_key
-    assert staged(spark, [("1", "a", "f2")], CLOCKS[1]).first().hash_key == first
+    first = batch_of(spark, [("1", "a", "f1")], CLOCKS[0]).staged.first().hash_key
+    assert batch_of(spark, [("1", "a", "f2")], CLOCKS[1]).staged.first().hash_key == first
 
 
 def test_scd1_updates_in_place_and_deletes_nothing(spark):
-    old = stored(spark, scd.initial_load(staged(spark, [("1", "a", "f"), ("2", "b", "f"), ("3", "c", "f")], CLOCKS[0]), KEYS, SK))
-    merged = scd.scd1(old, staged(spark, [("2", "B", "g"), ("3", "c", "g"), ("0", "n", "g")], CLOCKS[1]), KEYS, SK)
+    old = stored(spark, scd.initial_load(batch_of(spark, [("1", "a", "f"), ("2", "b", "f"), ("3", "c", "f")], CLOCKS[0]), SK))
+    merged = scd.scd1(old, batch_of(spark, [("2", "B", "g"), ("3", "c", "g"), ("0", "n", "g")], CLOCKS[1]), SK)
     assert merged.inserted == 1
     assert brief(merged.rows) == [
         ("001", "1", "a", 1, None, True),
@@ -56,15 +56,15 @@ def test_scd1_updates_in_place_and_deletes_nothing(spark):
 
 
 def test_scd1_can_leave_equal_rows_alone(spark):
-    old = stored(spark, scd.initial_load(staged(spark, [("1", "a", "f"), ("2", "b", "f")], CLOCKS[0]), KEYS, SK))
-    merged = scd.scd1(old, staged(spark, [("1", "a", "g"), ("2", "B", "g")], CLOCKS[1]), KEYS, SK, skip_unchanged=True)
+    old = stored(spark, scd.initial_load(batch_of(spark, [("1", "a", "f"), ("2", "b", "f")], CLOCKS[0]), SK))
+    merged = scd.scd1(old, batch_of(spark, [("1", "a", "g"), ("2", "B", "g")], CLOCKS[1]), SK, skip_unchanged=True)
     assert brief(merged.rows) == [("001", "1", "a", 1, None, True), ("002", "2", "B", 2, None, True)]
     assert sorted(row.source_file for row in merged.rows.collect()) == ["f", "g"]
 
 
 def test_scd2_ends_and_adds_at_one_instant(spark):
-    old = stored(spark, scd.initial_load(staged(spark, [("1", "a", "f"), ("2", "b", "f"), ("3", "c", "f")], CLOCKS[0]), KEYS, SK))
-    merged = scd.scd2(old, staged(spark, [("2", "B", "g"), ("3", "c", "g"), ("0", "n", "g")], CLOCKS[1]), KEYS, SK, CLOCKS[1])
+    old = stored(spark, scd.initial_load(batch_of(spark, [("1", "a", "f"), ("2", "b", "f"), ("3", "c", "f")], CLOCKS[0]), SK))
+    merged = scd.scd2(old, batch_of(spark, [("2", "B", "g"), ("3", "c", "g"), ("0", "n", "g")], CLOCKS[1]), SK)
     assert merged.inserted == 2
     assert brief(merged.rows) == [
         ("001", "1", "a", 1, None, True),
@@ -76,49 +76,49 @@ def test_scd2_ends_and_adds_at_one_instant(spark):
 
 
 def test_scd2_sparse_keys_number_the_whole_batch(spark):
-    old = stored(spark, scd.initial_load(staged(spark, [("1", "a", "f"), ("2", "b", "f")], CLOCKS[0]), KEYS, SK))
-    batch = staged(spark, [("1", "a", "g"), ("2", "B", "g")], CLOCKS[1])
-    sparse = scd.scd2(old, batch, KEYS, SK, CLOCKS[1], dense_sk=False)
+    old = stored(spark, scd.initial_load(batch_of(spark, [("1", "a", "f"), ("2", "b", "f")], CLOCKS[0]), SK))
+    batch = batch_of(spark, [("1", "a", "g"), ("2", "B", "g")], CLOCKS[1])
+    sparse = scd.scd2(old, batch, SK, dense_sk=False)
     assert [row[0] for row in brief(sparse.rows)] == ["001", "002", "004"]
 
 
 def test_scd2_close_missing(spark):
-    old = stored(spark, scd.initial_load(staged(spark, [("1", "a", "f"), ("2", "b", "f")], CLOCKS[0]), KEYS, SK))
-    merged = scd.scd2(old, staged(spark, [("2", "b", "g")], CLOCKS[1]), KEYS, SK, CLOCKS[1], close_missing=True)
+    old = stored(spark, scd.initial_load(batch_of(spark, [("1", "a", "f"), ("2", "b", "f")], CLOCKS[0]), SK))
+    merged = scd.scd2(old, batch_of(spark, [("2", "b", "g")], CLOCKS[1]), SK, close_missing=True)
     assert brief(merged.rows) == [("001", "1", "a", 1, 2, False), ("002", "2", "b", 1, None, True)]
     # A closed key that comes back gets a new version with a key never used before.
-    back = scd.scd2(stored(spark, merged), staged(spark, [("1", "a", "h")], CLOCKS[2]), KEYS, SK, CLOCKS[2])
+    back = scd.scd2(stored(spark, merged), batch_of(spark, [("1", "a", "h")], CLOCKS[2]), SK)
     assert brief(back.rows)[-1] == ("003", "1", "a", 3, None, True)
 
 
 def test_a_null_key_is_one_key(spark):
-    for make in (scd.scd1, lambda *a: scd.scd2(*a, CLOCKS[1])):
-        old = stored(spark, scd.initial_load(staged(spark, [(None, "a", "f"), ("1", "b", "f")], CLOCKS[0]), KEYS, SK))
-        merged = make(old, staged(spark, [(None, "a", "g"), ("1", "b", "g")], CLOCKS[1]), KEYS, SK)
+    for make in (scd.scd1, scd.scd2):
+        old = stored(spark, scd.initial_load(batch_of(spark, [(None, "a", "f"), ("1", "b", "f")], CLOCKS[0]), SK))
+        merged = make(old, batch_of(spark, [(None, "a", "g"), ("1", "b", "g")], CLOCKS[1]), SK)
         assert merged.inserted == 0 and merged.rows.count() == 2
 
 
 def test_more_than_a_thousand_keys_stay_distinct(spark, many_slices):
     rows = [(f"{n:05d}", "v", "f") for n in range(2500)]
-    old = stored(spark, scd.initial_load(staged(spark, rows, CLOCKS[0]), KEYS, SK))
+    old = stored(spark, scd.initial_load(batch_of(spark, rows, CLOCKS[0]), SK))
     more = [(f"{n:05d}", "v", "f") for n in range(2400, 2600)]
-    merged = scd.scd2(old, staged(spark, more, CLOCKS[1]), KEYS, SK, CLOCKS[1])
+    merged = scd.scd2(old, batch_of(spark, more, CLOCKS[1]), SK)
     assert merged.inserted == 100
     assert merged.rows.select(SK).distinct().count() == 2600
     assert max(int(row[0]) for row in merged.rows.select(SK).collect()) == 2600
 
 
 def test_switching_strategies_keeps_ended_versions(spark):
-    old = stored(spark, scd.initial_load(staged(spark, [("1", "a", "f")], CLOCKS[0]), KEYS, SK))
-    second = stored(spark, scd.merge("SCD2", old, staged(spark, [("1", "b", "g")], CLOCKS[1]), KEYS, SK, CLOCKS[1]))
-    third = scd.merge("SCD1", second, staged(spark, [("1", "c", "h")], CLOCKS[2]), KEYS, SK, CLOCKS[2])
+    old = stored(spark, scd.initial_load(batch_of(spark, [("1", "a", "f")], CLOCKS[0]), SK))
+    second = stored(spark, scd.merge("SCD2", old, batch_of(spark, [("1", "b", "g")], CLOCKS[1]), SK))
+    third = scd.merge("SCD1", second, batch_of(spark, [("1", "c", "h")], CLOCKS[2]), SK)
     assert brief(third.rows) == [("001", "1", "a", 1, 2, False), ("002", "1", "c", 3, None, True)]
 
 
 def test_unknown_strategy_is_refused(spark):
     for strategy in (None, "SCD3"):
         with pytest.raises(ValueError, match="scd_strategy"):
-            scd.merge(strategy, None, staged(spark, [("1", "a", "f")], CLOCKS[0]), KEYS, SK, CLOCKS[0])
+            scd.merge(strategy, None, batch_of(spark, [("1", "a", "f")], CLOCKS[0]), SK)
 
 
 def test_source_checks():
@@ -133,9 +133,9 @@ def test_source_checks():
 
 @pytest.mark.parametrize("strategy", ["SCD1", "SCD2"])
 def test_columns_may_come_and_go(spark, strategy):
-    old = stored(spark, scd.initial_load(staged(spark, [("1", "a", "f"), ("2", "b", "f")], CLOCKS[0]), KEYS, SK))
-    batch = scd.stage(spark.createDataFrame([("2", 7), ("3", 8)], "k string, w int"), KEYS, CLOCKS[1])
-    merged = scd.merge(strategy, old, batch, KEYS, SK, CLOCKS[1])
+    old = stored(spark, scd.initial_load(batch_of(spark, [("1", "a", "f"), ("2", "b", "f")], CLOCKS[0]), SK))
+    batch = scd.batch_of(spark.createDataFrame([("2", 7), ("3", 8)], "k string, w int"), KEYS, CLOCKS[1])
+    merged = scd.merge(strategy, old, batch, SK)
     got = {(row.k, row.v, row.w) for row in merged.rows.where("is_active").collect()}
     kept = "b" if strategy == "SCD1" else None
     assert got == {("1", "a", None), ("2", kept, 7), ("3", None, 8)}
@@ -161,11 +161,11 @@ def test_scd2_batches_against_brute_force(spark, many_slices, seed):
     for step in range(4):
         names = draw.sample([str(n) for n in range(60)] + [None], 40)
         batch = [(name, draw.choice("abc")) for name in names]
-        frame = staged(spark, [(*pair, "f") for pair in batch], CLOCKS[step])
-        merged = scd.merge("SCD2", dimension, frame, KEYS, SK, CLOCKS[step])
+        frame = batch_of(spark, [(*pair, "f") for pair in batch], CLOCKS[step])
+        merged = scd.merge("SCD2", dimension, frame, SK)
         dimension = stored(spark, merged)
         state = _apply_by_hand(state, batch, step + 1)
-        again = scd.scd2(dimension, frame, KEYS, SK, CLOCKS[step])
+        again = scd.scd2(dimension, frame, SK)
         assert again.inserted == 0 and not again.changed
         assert rows_of(again.rows) == rows_of(dimension)
     want = sorted(((key, *version) for key, versions in state.items() for version in versions), key=repr)
@@ -179,9 +179,9 @@ def test_scd2_batches_against_brute_force(spark, many_slices, seed):
 def test_small_batches_do_not_shuffle_the_dimension(spark):
     space = Scratch(spark, keep=True)
     rows = spark.range(3000).select(F.col("id").cast("string").alias("k"), F.lit("v").alias("v"), F.lit("f").alias("source_file"))
-    old = stored(spark, scd.initial_load(scd.stage(space.store(rows, "silver"), KEYS, CLOCKS[0]), KEYS, SK))
-    batch = scd.stage(space.store(rows.limit(5), "silver"), KEYS, CLOCKS[1])
-    for merged in (scd.scd1(old, batch, KEYS, SK), scd.scd2(old, batch, KEYS, SK, CLOCKS[1])):
+    old = stored(spark, scd.initial_load(scd.batch_of(space.store(rows, "silver"), KEYS, CLOCKS[0]), SK))
+    batch = scd.batch_of(space.store(rows.limit(5), "silver"), KEYS, CLOCKS[1])
+    for merged in (scd.scd1(old, batch, SK), scd.scd2(old, batch, SK)):
         plan = plan_of(merged.current)
         assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
 
@@ -189,13 +189,13 @@ def test_small_batches_do_not_shuffle_the_dimension(spark):
 def test_large_batches_share_one_partitioning(spark):
     space = Scratch(spark, keep=True)
     rows = spark.range(50).select(F.col("id").cast("string").alias("k"), F.lit("v").alias("v"), F.lit("f").alias("source_file"))
-    old = stored(spark, scd.initial_load(scd.stage(space.store(rows, "silver"), KEYS, CLOCKS[0]), KEYS, SK))
-    batch = scd.stage(space.store(rows, "silver"), KEYS, CLOCKS[1])
+    old = stored(spark, scd.initial_load(scd.batch_of(space.store(rows, "silver"), KEYS, CLOCKS[0]), SK))
+    batch = scd.batch_of(space.store(rows, "silver"), KEYS, CLOCKS[1])
     name = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(name)
     spark.conf.set(name, "-1")
     try:
-        plan = plan_of(scd.new_versions(old.where("is_active"), batch, KEYS))
+        plan = plan_of(scd.new_versions(old.where("is_active"), batch.staged, KEYS))
     finally:
         spark.conf.set(name, before)
     assert plan.count("Exchange hashpartitioning") == 3 and "CartesianProduct" not in plan
