@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field
-from datetime import datetime
+from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,9 +38,20 @@ AUDIT_SCHEMA = T.StructType(
         T.StructField("rows_quarantined", T.LongType()),
     ]
 )
+_ARROW = {
+    "string": pa.string(),
+    "timestamp": pa.timestamp("us", "UTC"),
+    "double": pa.float64(),
+    "bigint": pa.int64(),
+}
+_KINDS = [field_.dataType.simpleString() for field_ in AUDIT_SCHEMA.fields]
 CLASSIC_COLUMNS = [field_.name for field_ in AUDIT_SCHEMA.fields[:8]]
 
 
+def now() -> datetime:
+    return datetime.now(timezone.utc)
+
+
 @dataclass
 class Outcome:
     """What a unit of work reports back."""
@@ -64,7 +76,7 @@ class AuditTrail:
     outcomes: list[tuple[str, str, Outcome]] = field(default_factory=list)
 
     def record(self, table: str, layer: str, start: datetime, outcome: Outcome) -> None:
-        end = datetime.now()
+        end = now()
         values = asdict(outcome)
         values.update(
             table_name=table,
@@ -79,7 +91,7 @@ class AuditTrail:
 
     def guard(self, table: str, layer: str, work: Callable[[], Outcome], fail_fast: bool = False) -> Outcome:
         """Run one unit; an error becomes its audit row and does not stop the others."""
-        start = datetime.now()
+        start = now()
         try:
             outcome = work()
         except Exception as error:
@@ -105,7 +117,9 @@ class AuditTrail:
     def flush(self) -> None:
         if self._pending:
             rows, self._pending = self._pending, []
-            self.spark.createDataFrame(rows, AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(self.folder)
+            columns = [pa.array(values, _ARROW[kind]) for values, kind in zip(zip(*rows), _KINDS)]
+            table = pa.Table.from_arrays(columns, names=AUDIT_SCHEMA.fieldNames())
+            self.spark.createDataFrame(table, AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(self.folder)
 
 
 def read_audit(spark: SparkSession, folder: str) -> DataFrame | None:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
 from functools import reduce
 from itertools import chain, count
 
@@ -19,6 +18,7 @@ from smeltwork.plans.audit import (
     UNMATCHED,
     AuditTrail,
     Outcome,
+    now,
 )
 from smeltwork.plans.control import Target, in_priority_order
 from smeltwork.sources import files
@@ -150,7 +150,7 @@ def run_bronze(
     at_once: int = 1,
 ) -> bool:
     """Ingest what lies in landing; False when there was nothing."""
-    start = datetime.now()
+    start = now()
     entries = landing_entries(spark, zones.landing)
     if not entries:
         trail.record(ALL_TARGETS, BRONZE, start, Outcome(SKIPPED_NO_FILES))
@@ -175,7 +175,7 @@ def run_bronze(
 
 
 def _ingest_and_archive(spark, target, mine, zones, clock, batch_id, trail, options, fail_fast) -> None:
-    start = datetime.now()
+    start = now()
     try:
         outcomes = ingest_target(spark, target, mine, zones, clock, batch_id, options)
     except Exception as error:  # noqa: BLE001 - audited below

@@ -60,8 +60,8 @@ def active_targets(control: DataFrame) -> DataFrame:
 
 
 def load_targets(control: DataFrame) -> list[Target]:
-    """The active targets on the driver: one small row per target."""
-    return [
+    """The active targets on the driver, in processing order: one small row per target."""
+    targets = [
         Target(
             name=row["target_table"],
             file_pattern=row["file_pattern"],
@@ -71,8 +71,9 @@ def load_targets(control: DataFrame) -> list[Target]:
             rule=row["quarantine_rules"],
             priority=row["process_priority"],
         )
-        for row in active_targets(control).collect()
+        for row in control.where(F.col("is_active")).collect()
     ]
+    return sorted(targets, key=lambda target: (target.priority is not None, target.priority or 0, target.name))
 
 
 def in_priority_order(targets: Sequence[Target], work: Callable[[Target], Any], at_once: int = 1) -> None:

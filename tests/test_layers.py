@@ -371,26 +371,25 @@ def test_strategy_change(spark):
 def test_targets_come_in_priority_order(spark):
     rows = control_of(
         spark, target_row("c", "c", priority=2), target_row("b", "b", priority=1), target_row("a", "a", priority=2),
-        target_row("x", "x", active=False),
+        target_row("x", "x", active=False), target_row("n", "n", priority=None),
     )
     targets = control.load_targets(rows)
-    assert [target.name for target in targets] == ["b", "a", "c"]
+    assert [target.name for target in targets] == ["n", "b", "a", "c"]
+    assert [row.target_table for row in control.active_targets(rows).collect()] == ["n", "b", "a", "c"]
     seen = []
     control.in_priority_order(targets, lambda target: seen.append(target.name), at_once=4)
-    assert seen[0] == "b" and sorted(seen[1:]) == ["a", "c"]
+    assert seen[:2] == ["n", "b"] and sorted(seen[2:]) == ["a", "c"]
     assert control.execution_settings(None) == {}
 
 
 def test_skip_looks_at_the_newest_record_of_the_run(spark, tmp_path):
-    from datetime import datetime
-
     folder = f"{tmp_path}/audit"
     assert not should_skip(read_audit(spark, folder), audit.BRONZE)
     first = AuditTrail(spark, folder, "run-1")
-    first.record(audit.ALL_TARGETS, audit.BRONZE, datetime.now(), audit.Outcome(audit.SKIPPED_NO_FILES))
+    first.record(audit.ALL_TARGETS, audit.BRONZE, audit.now(), audit.Outcome(audit.SKIPPED_NO_FILES))
     first.flush()
     second = AuditTrail(spark, folder, "run-2")
-    second.record("t", audit.BRONZE, datetime.now(), audit.Outcome(audit.FAILED, error_message="it's {broken}"))
+    second.record("t", audit.BRONZE, audit.now(), audit.Outcome(audit.FAILED, error_message="it's {broken}"))
     second.flush()
     trail = read_audit(spark, folder)
     assert should_skip(trail, audit.BRONZE, "run-1") and not should_skip(trail, audit.BRONZE, "run-2")
