@@ -17,6 +17,8 @@ _SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Silver and gold are split by a column of two or three values: with a writer for each, a task need not sort.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
 }
 
 _local_scratch: str | None = None

@@ -176,10 +176,18 @@ def read_gold(spark: SparkSession, folder: str) -> DataFrame | None:
     return both.select(*refs(order))
 
 
+def _drop_before(spark: SparkSession, folder: str, oldest: int) -> list[str]:
+    old = [entry.path for entry in _versions(spark, folder, _VERSION) if _number(entry.name) < oldest]
+    for path in old:
+        files.delete(spark, path)
+    return old
+
+
 def drop_superseded(spark: SparkSession, folder: str, keep: int = 2) -> list[str]:
-    """Delete the active parts older than the newest ``keep`` versions; ended rows stay."""
-    newest = current_version(spark, _ended(folder))
-    old = [entry for entry in files.children(spark, _active(folder)) if _number(entry.name) <= newest - keep]
-    for entry in old:
-        files.delete(spark, entry.path)
-    return [entry.path for entry in old]
+    """Delete the active parts of a gold target older than the newest ``keep`` versions; ended rows stay."""
+    return _drop_before(spark, _active(folder), current_version(spark, _ended(folder)) - keep + 1)
+
+
+def drop_old_silver(spark: SparkSession, folder: str, keep: int = 2) -> list[str]:
+    """Delete all but the newest ``keep`` versions of a silver target."""
+    return _drop_before(spark, folder, current_version(spark, folder) - keep + 1)

@@ -323,6 +323,9 @@ def test_superseded_active_parts_can_be_dropped(spark, zones):
     before = rows_of(read_gold(spark, folder))
     assert len(store.drop_superseded(spark, folder, keep=2)) == 2
     assert rows_of(read_gold(spark, folder)) == before and len(before) == 4
+    silver = f"{zones.silver}/gold_item_dim"
+    assert len(store.drop_old_silver(spark, silver, keep=1)) == 3
+    assert [row.v for row in read_silver(spark, silver).collect()] == ["3"]
 
 
 def test_unchanged_scd2_batch_publishes_no_version(spark, zones):
