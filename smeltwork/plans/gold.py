@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from smeltwork.functions.clock import BatchClock
 from smeltwork.functions.naming import ref
 from smeltwork.operators import scd
+from smeltwork.operators.quality import require_unique
 from smeltwork.operators.snapshot import snapshot
 from smeltwork.plans.audit import (
     ALL_TARGETS,
@@ -29,6 +30,9 @@ from smeltwork.sources.zones import Zones, read_gold, read_silver, write_gold
 
 @dataclass(frozen=True)
 class GoldOptions:
+    """``check_keys`` refuses a batch with two rows for one key, at the price of a shuffle of the keys."""
+
+    check_keys: bool = False
     hash_mode: str = "joined"
     skip_unchanged: bool = False
     close_missing: bool = False
@@ -52,6 +56,8 @@ def merge_silver(
 ) -> scd.Merge:
     """Stage silver rows and merge them into the dimension by the target's strategy."""
     scd.check_source(silver.columns, target.keys, target.surrogate)
+    if options.check_keys:
+        require_unique(silver, target.keys)
     batch = scd.batch_of(silver, target.keys, clock, options.hash_mode)
     chosen = _merge_options(target.strategy, options)
     return scd.merge(target.strategy, dimension, batch, target.surrogate, scratch, **chosen)

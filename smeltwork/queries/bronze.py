@@ -18,6 +18,7 @@ from smeltwork.plans.control import Target, active_targets, change_strategy
 from smeltwork.queries.registry import Query, table, text_list
 from smeltwork.session import fresh_folder
 from smeltwork.sources.landing import landing_entries, route, routed_entries
+from smeltwork.sources.readers import ReadOptions
 from smeltwork.sources.zones import Zones, read_bronze
 from smeltwork.streaming.ingest import ingest_available, landing_stream
 
@@ -49,24 +50,32 @@ def land(frame: DataFrame, landing: str, name: str, tag: str = "row") -> None:
         writer.parquet(f"{landing}/{name}")
 
 
-def ingest(spark: SparkSession, files: Sequence[tuple[str, DataFrame]], target: str) -> DataFrame:
+def ingest(
+    spark: SparkSession,
+    files: Sequence[tuple[str, DataFrame]],
+    target: str,
+    options: ReadOptions = ReadOptions(),
+) -> DataFrame:
     """Land the frames under their names, ingest them as one batch, and read bronze back."""
     zones = Zones.under(fresh_folder(spark, "ingest"))
     for name, frame in files:
         land(frame, zones.landing, name)
     rules = Target(target, "feed", "row", "SCD1", (), None, 1)
     routed = routed_entries(spark, landing_entries(spark, zones.landing), [(target, "feed")])
-    outcomes = ingest_target(spark, rules, routed, zones, CLOCK, "batch-1")
+    outcomes = ingest_target(spark, rules, routed, zones, CLOCK, "batch-1", options)
     failed = [outcome.error_message for outcome in outcomes.values() if outcome.error_message]
     if failed:
         raise RuntimeError(failed[0])
     return read_bronze(spark, f"{zones.bronze}/{target}")
 
 
-def _ingest_one(name: str, file: str) -> Callable[[SparkSession, str], DataFrame]:
+def _ingest_one(
+    name: str, file: str, options: ReadOptions = ReadOptions()
+) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         source = table(spark, sf_dir, name)
-        return ingest(spark, [(file, source if file.endswith("parquet") else string_safe(source))], f"gold_{name}_dim")
+        landed = source if file.endswith("parquet") else string_safe(source)
+        return ingest(spark, [(file, landed)], f"gold_{name}_dim", options)
 
     return run
 
@@ -141,7 +150,12 @@ SELECT CAST(c_custkey AS VARCHAR) AS c_custkey,
 FROM customer
 """
 
-_PATTERNS = [("gold_urgent_fact", "1-URGENT"), ("gold_high_fact", "high"), ("gold_order_fact", "_F"), ("gold_low_fact", "5-low")]
+_PATTERNS = [
+    ("gold_urgent_fact", "1-URGENT"),
+    ("gold_high_fact", "high"),
+    ("gold_order_fact", "_F"),
+    ("gold_low_fact", "5-low"),
+]
 
 
 def _landing_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,9 +167,8 @@ def _landing_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("o_orderstatus") == "O", F.lit(".parquet/"))
         .otherwise(F.lit(".xlsx"))
     )
-    return table(spark, sf_dir, "orders").select(
-        F.concat(F.lit("/in/"), "o_orderpriority", F.lit("_"), "o_orderstatus", F.lit("."), "o_orderkey", kind).alias("path")
-    )
+    name = F.concat("o_orderpriority", F.lit("_"), "o_orderstatus", F.lit("."), "o_orderkey", kind)
+    return table(spark, sf_dir, "orders").select(F.concat(F.lit("/in/"), name).alias("path"))
 
 
 _ROUTE_SQL = """
@@ -184,10 +197,12 @@ def control_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Control rows drawn from the part table: one target per brand and type, a row per part."""
     part = table(spark, sf_dir, "part")
     brand = F.lower(F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("brand")))
+    ending = F.when(F.col("p_size") > 25, "_dim").otherwise("_fact")
+    words = F.replace("p_name", F.lit(" "), F.lit("_"))
     return part.select(
-        F.concat(F.lit("gold_"), brand, F.lit("_"), F.lower("p_type"), F.when(F.col("p_size") > 25, "_dim").otherwise("_fact")).alias("target_table"),
+        F.concat(F.lit("gold_"), brand, F.lit("_"), F.lower("p_type"), ending).alias("target_table"),
         F.lit("csv").alias("source_type"),
-        F.concat(F.replace("p_name", F.lit(" "), F.lit("_")), F.lit("_"), F.col("p_partkey").cast("string")).alias("file_pattern"),
+        F.concat(words, F.lit("_"), F.col("p_partkey").cast("string")).alias("file_pattern"),
         F.when(F.col("p_size") > 40, F.lit("row")).alias("row_tag"),
         F.when(F.col("p_size") > 10, F.lit("SCD1")).otherwise(F.lit("SCD2")).alias("scd_strategy"),
         F.array(F.lit("p_partkey")).alias("natural_keys"),
@@ -245,6 +260,10 @@ QUERIES = {
     "string_safe_cast_lines": Query(_all_text(["lineitem"]), f"SELECT {text_list(LINES)} FROM lineitem"),
     "string_safe_nested": Query(_nested, _NESTED_SQL),
     "ingest_csv": Query(_ingest_one("orders", "feed_orders.csv"), _ingest_sql("orders", ORDERS, "feed_orders.csv")),
+    "ingest_csv_inferred": Query(
+        _ingest_one("orders", "feed_orders.csv", ReadOptions(infer_types=True)),
+        _ingest_sql("orders", ORDERS, "feed_orders.csv"),
+    ),
     "ingest_json": Query(
         _ingest_one("documents", "feed_documents.json"), _ingest_sql("documents", DOCUMENTS, "feed_documents.json")
     ),

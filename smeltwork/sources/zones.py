@@ -104,9 +104,9 @@ def write_silver(flagged: DataFrame, folder: str) -> int:
     return number
 
 
-def read_silver(spark: SparkSession, folder: str, verdict: str = rules.CLEAN, version: int | None = None) -> DataFrame | None:
+def read_silver(spark: SparkSession, folder: str, verdict: str = rules.CLEAN) -> DataFrame | None:
     """Rows of one verdict of the current version; None when the target has no rows at all."""
-    number = current_version(spark, folder) if version is None else version
+    number = current_version(spark, folder)
     path = version_folder(folder, number)
     if number == 0 or not _has_data(spark, path):
         return None

@@ -11,6 +11,7 @@ from tests.conftest import plan_of, rows_of
 T = [f"2024-0{month}-01 00:00:00" for month in range(1, 10)]
 CLOCKS = [BatchClock.at(text, "timestamp_ntz") for text in T]
 KEYS, SK = ["k"], "item_sk"
+THREE = [("1", "a", "f"), ("2", "b", "f"), ("3", "c", "f")]
 
 
 def batch_of(spark, rows, clock, schema="k string, v string, source_file string"):
@@ -44,7 +45,7 @@ def test_metadata_does_not_count_as_change(spark):
 
 
 def test_scd1_updates_in_place_and_deletes_nothing(spark):
-    old = stored(spark, scd.initial_load(batch_of(spark, [("1", "a", "f"), ("2", "b", "f"), ("3", "c", "f")], CLOCKS[0]), SK))
+    old = stored(spark, scd.initial_load(batch_of(spark, THREE, CLOCKS[0]), SK))
     merged = scd.scd1(old, batch_of(spark, [("2", "B", "g"), ("3", "c", "g"), ("0", "n", "g")], CLOCKS[1]), SK)
     assert merged.inserted == 1
     assert brief(merged.rows) == [
@@ -63,7 +64,7 @@ def test_scd1_can_leave_equal_rows_alone(spark):
 
 
 def test_scd2_ends_and_adds_at_one_instant(spark):
-    old = stored(spark, scd.initial_load(batch_of(spark, [("1", "a", "f"), ("2", "b", "f"), ("3", "c", "f")], CLOCKS[0]), SK))
+    old = stored(spark, scd.initial_load(batch_of(spark, THREE, CLOCKS[0]), SK))
     merged = scd.scd2(old, batch_of(spark, [("2", "B", "g"), ("3", "c", "g"), ("0", "n", "g")], CLOCKS[1]), SK)
     assert merged.inserted == 2
     assert brief(merged.rows) == [
@@ -121,6 +122,16 @@ def test_unknown_strategy_is_refused(spark):
             scd.merge(strategy, None, batch_of(spark, [("1", "a", "f")], CLOCKS[0]), SK)
 
 
+def test_two_rows_for_one_key_can_be_refused(spark):
+    from smeltwork.plans.control import Target
+    from smeltwork.plans.gold import GoldOptions, merge_silver
+
+    silver = spark.createDataFrame([("1", "a"), ("1", "b")], "k string, v string")
+    target = Target("gold_item_dim", "item", None, "SCD1", ("k",), None, 1)
+    with pytest.raises(ValueError, match="more than one row"):
+        merge_silver(silver, None, target, CLOCKS[0], GoldOptions(check_keys=True))
+
+
 def test_source_checks():
     with pytest.raises(ValueError, match="at least one"):
         scd.check_source(["a"], [], SK)
@@ -178,7 +189,7 @@ def test_scd2_batches_against_brute_force(spark, many_slices, seed):
 
 def test_small_batches_do_not_shuffle_the_dimension(spark):
     space = Scratch(spark, keep=True)
-    rows = spark.range(3000).select(F.col("id").cast("string").alias("k"), F.lit("v").alias("v"), F.lit("f").alias("source_file"))
+    rows = spark.range(3000).selectExpr("cast(id AS string) k", "'v' v", "'f' source_file")
     old = stored(spark, scd.initial_load(scd.batch_of(space.store(rows, "silver"), KEYS, CLOCKS[0]), SK))
     batch = scd.batch_of(space.store(rows.limit(5), "silver"), KEYS, CLOCKS[1])
     for merged in (scd.scd1(old, batch, SK), scd.scd2(old, batch, SK)):
@@ -188,7 +199,7 @@ def test_small_batches_do_not_shuffle_the_dimension(spark):
 
 def test_large_batches_share_one_partitioning(spark):
     space = Scratch(spark, keep=True)
-    rows = spark.range(50).select(F.col("id").cast("string").alias("k"), F.lit("v").alias("v"), F.lit("f").alias("source_file"))
+    rows = spark.range(50).selectExpr("cast(id AS string) k", "'v' v", "'f' source_file")
     old = stored(spark, scd.initial_load(scd.batch_of(space.store(rows, "silver"), KEYS, CLOCKS[0]), SK))
     batch = scd.batch_of(space.store(rows, "silver"), KEYS, CLOCKS[1])
     name = "spark.sql.autoBroadcastJoinThreshold"
