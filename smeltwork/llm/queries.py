@@ -5,9 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from smeltwork.llm import quality, toxicity
 from smeltwork.llm.common import table
+from smeltwork.llm.learning import fold
 from smeltwork.llm.mixing import mix
 from smeltwork.llm.packing import pack
+from smeltwork.llm.simhash import near_duplicates
+
+
+def _classified(spark: SparkSession, sf_dir: str, method, folds: int, held: int, cut: float) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = method.fit(docs, table(spark, sf_dir, "labels"), fold(F.col("doc_id"), folds) != held)
+    scored = docs.select(
+        "doc_id", (fold(F.col("doc_id"), folds) == held).alias("held_out"), method.score(F.col("text"), model).alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= cut).cast("int"))
+
+
+def op1_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _classified(spark, sf_dir, toxicity, folds=3, held=1, cut=0.7)
+
+
+def op2_quality_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _classified(spark, sf_dir, quality, folds=5, held=0, cut=0.3)
+
+
+def op6_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
 def op8_length_bucket_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +51,9 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity_fm": op1_toxicity_fm,
+    "op2_quality_bradley_terry": op2_quality_bradley_terry,
+    "op6_simhash_pigeonring": op6_simhash_pigeonring,
     "op8_length_bucket_packing": op8_length_bucket_packing,
     "op9_source_mixing": op9_source_mixing,
 }
