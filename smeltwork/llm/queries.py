@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from smeltwork.llm import quality, toxicity
 from smeltwork.llm.common import table
+from smeltwork.llm.embeddings import near_vectors
 from smeltwork.llm.learning import fold
 from smeltwork.llm.mixing import mix
 from smeltwork.llm.packing import pack
+from smeltwork.llm.repetition import repetition_rules
 from smeltwork.llm.simhash import near_duplicates
 
 
@@ -30,6 +32,14 @@ def op2_quality_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(spark, sf_dir, quality, folds=5, held=0, cut=0.3)
 
 
+def op4_itq_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op5_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition_rules(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -53,6 +63,8 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity_fm": op1_toxicity_fm,
     "op2_quality_bradley_terry": op2_quality_bradley_terry,
+    "op4_itq_embedding_dedup": op4_itq_embedding_dedup,
+    "op5_suffix_repetition": op5_suffix_repetition,
     "op6_simhash_pigeonring": op6_simhash_pigeonring,
     "op8_length_bucket_packing": op8_length_bucket_packing,
     "op9_source_mixing": op9_source_mixing,
