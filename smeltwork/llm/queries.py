@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltwork.llm import quality, toxicity
+from smeltwork.llm import lines, quality, secrets, toxicity
 from smeltwork.llm.common import table
 from smeltwork.llm.embeddings import near_vectors
 from smeltwork.llm.learning import fold
@@ -32,6 +32,17 @@ def op2_quality_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(spark, sf_dir, quality, folds=5, held=0, cut=0.3)
 
 
+def op3_markov_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.train(secrets.samples_of(docs)))
+    return found.select(
+        "doc_id",
+        *[secrets.n_of(F.col("base"), kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"),
+        secrets.joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op4_itq_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -44,6 +55,14 @@ def op6_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op7_line_run_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "_row.doc_id", "n_lines", "n_removed", "longest_run",
+        F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 def op8_length_bucket_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -63,11 +82,13 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity_fm": op1_toxicity_fm,
     "op2_quality_bradley_terry": op2_quality_bradley_terry,
+    "op3_markov_secret_scan": op3_markov_secret_scan,
     "op4_itq_embedding_dedup": op4_itq_embedding_dedup,
     "op5_suffix_repetition": op5_suffix_repetition,
     "op6_simhash_pigeonring": op6_simhash_pigeonring,
+    "op7_line_run_dedup": op7_line_run_dedup,
     "op8_length_bucket_packing": op8_length_bucket_packing,
     "op9_source_mixing": op9_source_mixing,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op7_line_run_dedup": lines.SQL}
