@@ -13,6 +13,7 @@ from smeltwork.llm.mixing import mix
 from smeltwork.llm.packing import pack
 from smeltwork.llm.repetition import repetition_rules
 from smeltwork.llm.simhash import near_duplicates
+from smeltwork.llm.suffixes import remove_repeats
 
 
 def _classified(spark: SparkSession, sf_dir: str, method, folds: int, held: int, cut: float) -> DataFrame:
@@ -79,6 +80,11 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_bucket_pointer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES = {
     "op1_toxicity_fm": op1_toxicity_fm,
     "op2_quality_bradley_terry": op2_quality_bradley_terry,
@@ -89,6 +95,7 @@ QUERIES = {
     "op7_line_run_dedup": op7_line_run_dedup,
     "op8_length_bucket_packing": op8_length_bucket_packing,
     "op9_source_mixing": op9_source_mixing,
+    "op10_bucket_pointer_dedup": op10_bucket_pointer_dedup,
 }
 
 SQL: dict[str, str] = {"op7_line_run_dedup": lines.SQL}
