@@ -11,6 +11,9 @@ from smeltwork.llm import stages
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", stages.keep_quality),
+    ("line_dedup", stages.drop_repeated_lines),
+    ("simhash_near_dedup", stages.drop_near_duplicates),
     ("source_mixing", stages.mix_sources),
     ("length_bucket_packing", stages.pack_lengths),
 ]

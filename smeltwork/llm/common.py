@@ -24,3 +24,8 @@ def n_words(column: Column) -> Column:
 def only(frame: DataFrame, **columns: str) -> DataFrame:
     """The named columns under private names, so that extra columns of any name do no harm."""
     return frame.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
+
+
+def whole_row(frame: DataFrame) -> Column:
+    """All columns as one struct ``_row``, so that working columns cannot clash with theirs."""
+    return F.struct(*[F.col(f"`{name}`") for name in frame.columns]).alias("_row")

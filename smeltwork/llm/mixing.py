@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smeltwork.llm.common import n_words
+from smeltwork.llm.common import n_words, whole_row
 from smeltwork.session import Scratch
 
 _UNITS = "_source string, _block long, _rank long"
@@ -128,19 +128,15 @@ def _permuted(seed: int, blocks: np.ndarray) -> np.ndarray:
 
 
 def mix(docs: DataFrame, options: MixOptions = MixOptions(), id_column: str = "doc_id", text_column: str = "text",
-        source_column: str = "source") -> tuple[DataFrame, Scratch]:
-    """All rows of ``docs`` with ``_size, _source_size, _target, _places`` (array of copy number and shard).
-
-    The scratch holds the block table; close it when the result has been written.
-    """
+        source_column: str = "source") -> DataFrame:
+    """``_row`` (the row of ``docs``), ``_size, _source_size, _target, _places`` (array of copy number and shard)."""
     spark = docs.sparkSession
     scratch = Scratch(spark, keep=True)
-    sized = docs.withColumns({
-        "_size": n_words(F.col(f"`{text_column}`")),
-        "_source": F.col(f"`{source_column}`").cast("string"),
-    })
-    marked = sized.withColumn(
-        "_block", F.pmod(F.xxhash64(F.lit(options.seed), F.col(f"`{id_column}`")), F.lit(options.blocks_per_source))
+    marked = docs.select(
+        whole_row(docs),
+        n_words(F.col(f"`{text_column}`")).alias("_size"),
+        F.col(f"`{source_column}`").cast("string").alias("_source"),
+        F.pmod(F.xxhash64(F.lit(options.seed), F.col(f"`{id_column}`")), F.lit(options.blocks_per_source)).alias("_block"),
     )
     words = scratch.store(marked.groupBy("_source", "_block").agg(F.sum("_size").alias("words")), "mix-blocks")
     rows = words.groupBy("_source").agg(F.sum("words").alias("words")).limit(options.max_sources + 1).collect()
@@ -192,7 +188,7 @@ def mix(docs: DataFrame, options: MixOptions = MixOptions(), id_column: str = "d
     )
     joined = with_target(marked).join(places, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b")), "left")
     empty = F.array().cast("array<struct<_copy:int,_shard:bigint>>")
-    return joined.withColumn("_places", F.coalesce("_places", empty)).drop("_s", "_b", "_block"), scratch
+    return joined.withColumn("_places", F.coalesce("_places", empty)).drop("_s", "_b", "_block")
 
 
 def _number_in_run(sorted_values: np.ndarray) -> np.ndarray:
@@ -204,16 +200,14 @@ def _number_in_run(sorted_values: np.ndarray) -> np.ndarray:
 
 
 def mixed_rows(mixed: DataFrame, options: MixOptions = MixOptions(), id_column: str = "doc_id") -> DataFrame:
-    """One row per take, with its shard and its place in the shard's local shuffle."""
-    taken = mixed.withColumn("_place", F.explode("_places"))
-    return taken.withColumns({
-        "_shard": F.col("_place._shard"),
-        "_order": F.xxhash64(F.lit(options.seed), F.col(f"`{id_column}`"), F.col("_place._copy"), F.col("_place._shard")),
-    }).drop("_places", "_place", "_size", "_source", "_source_size", "_target")
+    """``_row, _shard, _order`` of every take; ``_order`` is its place in the shard's local shuffle."""
+    taken = mixed.select("_row", F.explode("_places").alias("_place"))
+    order = F.xxhash64(F.lit(options.seed), F.col(f"_row.`{id_column}`"), F.col("_place._copy"), F.col("_place._shard"))
+    return taken.select("_row", F.col("_place._shard").alias("_shard"), order.alias("_order"))
 
 
 def write_shards(mixed: DataFrame, path: str, options: MixOptions = MixOptions(), id_column: str = "doc_id") -> None:
     """Write one folder per shard, each locally shuffled."""
     rows = mixed_rows(mixed, options, id_column)
-    (rows.repartition("_shard").sortWithinPartitions("_shard", "_order", id_column).drop("_order")
+    (rows.repartition("_shard").sortWithinPartitions("_shard", "_order").select("_shard", "_row.*")
      .write.partitionBy("_shard").parquet(path))

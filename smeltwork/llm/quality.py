@@ -106,7 +106,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, options: BtOptions =
 
     found = sampled_texts(docs, sample, id_column, text_column).mapInArrow(
         extract, "_doc string, label int, x array<double>").toPandas().sort_values("_doc", kind="stable")
-    x = np.array(found["x"].tolist(), dtype=np.float64).reshape(len(found), -1)
+    x = np.array(found["x"].tolist(), dtype=np.float64).reshape(len(found), len(features("")))
     return learn(found["label"].to_numpy(), x, sample.shares, options)
 
 

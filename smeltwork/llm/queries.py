@@ -16,7 +16,13 @@ from smeltwork.llm.simhash import near_duplicates
 from smeltwork.llm.suffixes import remove_repeats
 
 
-def _classified(spark: SparkSession, sf_dir: str, method, folds: int, held: int, cut: float) -> DataFrame:
+#: Folds and the held-out remainder of the two classifiers, and their cuts.
+TOXICITY_FOLD, TOXICITY_CUT = (3, 1), 0.7
+QUALITY_FOLD, QUALITY_CUT = (5, 0), 0.3
+
+
+def _classified(spark: SparkSession, sf_dir: str, method, fold_of: tuple[int, int], cut: float) -> DataFrame:
+    folds, held = fold_of
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = method.fit(docs, table(spark, sf_dir, "labels"), fold(F.col("doc_id"), folds) != held)
     scored = docs.select(
@@ -26,11 +32,11 @@ def _classified(spark: SparkSession, sf_dir: str, method, folds: int, held: int,
 
 
 def op1_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _classified(spark, sf_dir, toxicity, folds=3, held=1, cut=0.7)
+    return _classified(spark, sf_dir, toxicity, TOXICITY_FOLD, TOXICITY_CUT)
 
 
 def op2_quality_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _classified(spark, sf_dir, quality, folds=5, held=0, cut=0.3)
+    return _classified(spark, sf_dir, quality, QUALITY_FOLD, QUALITY_CUT)
 
 
 def op3_markov_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,9 +75,9 @@ def op8_length_bucket_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed, _ = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    mixed = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select(
-        "doc_id",
+        "_row.doc_id",
         F.col("_size").alias("size"),
         F.col("_source_size").alias("source_size"),
         F.col("_target").alias("target"),

@@ -28,7 +28,8 @@ PATTERNS = (
     ("hex", r"(?<![0-9a-f])[0-9a-f]{32,}+", 0, 32),
 )
 MODEL_KIND = "markov"
-_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+#: Tokens are compared in lower case, or words in capitals would look random.
+_ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+"
 _IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_][A-Za-z0-9_]{5,}+(?![+/=-])"
 
@@ -38,7 +39,9 @@ class SecretOptions:
     """``sample_docs`` bounds the documents that the models are trained on."""
 
     sample_docs: int = 20_000
+    ordinary_docs: int = 3
     smoothing: float = 0.5
+    backing: float = 5.0
     least_ratio: float = 8.0
     seed: int = 29
 
@@ -74,14 +77,26 @@ def _transitions(tokens: DataFrame) -> DataFrame:
     """``random, before, after, n`` over tokens (random boolean, token string)."""
     pairs = F.transform(
         F.sequence(F.lit(1), F.length("token") - 1),
-        lambda i: F.struct(F.substring(F.col("token"), i, F.lit(1)).alias("before"),
-                           F.substring(F.col("token"), i + 1, F.lit(1)).alias("after")))
+        lambda i: F.struct(F.substring(F.lower("token"), i, F.lit(1)).alias("before"),
+                           F.substring(F.lower("token"), i + 1, F.lit(1)).alias("after")))
     return (
         tokens.where(F.length("token") >= 2).select("random", F.explode(pairs).alias("pair"))
         .groupBy("random", "pair.before", "pair.after").agg(F.count("*").alias("n"))
     )
 
 
+def _chances(counts: list[float], size: int, options: SecretOptions) -> list[float]:
+    """Transition probabilities; rows with few counts lean on how often each character follows any other."""
+    follows = [sum(counts[after::size]) + options.smoothing for after in range(size)]
+    every = sum(follows)
+    out = []
+    for before in range(size):
+        row = counts[before * size:(before + 1) * size]
+        total = sum(row) + options.backing
+        out += [(n + options.backing * f / every) / total for n, f in zip(row, follows)]
+    return out
+
+
 def train(samples: DataFrame, options: SecretOptions = SecretOptions()) -> list[float] | None:
     """Log-likelihood ratios by (before, after), row by row over the alphabet, from labelled ``samples``.
 
@@ -95,19 +110,18 @@ def train(samples: DataFrame, options: SecretOptions = SecretOptions()) -> list[
         counts[bool(row["random"])][place[row["before"]] * size + place[row["after"]]] = float(row["n"])
     if not all(sum(counts[kind]) for kind in counts):
         return None
-    ratios = []
-    for before in range(size):
-        rows = {kind: counts[kind][before * size:(before + 1) * size] for kind in counts}
-        total = {kind: sum(rows[kind]) + options.smoothing * size for kind in rows}
-        for after in range(size):
-            chance = {kind: (rows[kind][after] + options.smoothing) / total[kind] for kind in rows}
-            ratios.append(math.log(chance[True] / chance[False]))
+    chance = {kind: _chances(counts[kind], size, options) for kind in counts}
+    ratios = [math.log(r / o) for r, o in zip(chance[True], chance[False])]
     return ratios
 
 
 def samples_of(docs: DataFrame, options: SecretOptions = SecretOptions(), id_column: str = "doc_id",
                text_column: str = "text") -> DataFrame:
-    """Labelled tokens of about ``sample_docs`` documents: values that patterns found, and identifiers outside of them."""
+    """Labelled tokens of about ``sample_docs`` documents.
+
+    Random: the values that patterns found. Ordinary: identifiers outside of them that occur in ``ordinary_docs`` sampled
+    documents or more, as random strings hardly do.
+    """
     total = docs.count()
     share = min(1 << 30, (1 << 30) * options.sample_docs // max(1, total) + 1)
     texts = only(docs, doc_id=id_column, text=text_column)
@@ -119,10 +133,12 @@ def samples_of(docs: DataFrame, options: SecretOptions = SecretOptions(), id_col
     marked = picked.select(
         F.transform(base_spans(text), lambda s: s["value"]).alias("secrets"),
         F.array_distinct(F.regexp_extract_all(rest, F.lit(_IDENTIFIER), F.lit(0))).alias("words"))
-    return marked.select(F.explode(F.concat(
-        F.transform("secrets", lambda t: F.struct(t.alias("token"), F.lit(True).alias("random"))),
-        F.transform("words", lambda t: F.struct(t.alias("token"), F.lit(False).alias("random"))),
-    )).alias("s")).select("s.token", "s.random")
+    random = marked.select(F.explode("secrets").alias("token"), F.lit(True).alias("random"))
+    ordinary = (
+        marked.select(F.explode("words").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+        .where(F.col("n") >= options.ordinary_docs).select("token", F.lit(False).alias("random"))
+    )
+    return random.union(ordinary)
 
 
 def scan(docs: DataFrame, ratios: list[float] | None, options: SecretOptions = SecretOptions(),
@@ -139,6 +155,7 @@ def scan(docs: DataFrame, ratios: list[float] | None, options: SecretOptions = S
         return F.instr(F.lit(_ALPHABET), F.substring(token, i, F.lit(1))) - 1
 
     def likely(token: Column) -> Column:
+        token = F.lower(token)
         total = F.aggregate(
             F.sequence(F.lit(1), F.length(token) - 1), F.lit(0.0),
             lambda sum_, i: sum_ + F.get(table, code(token, i) * size + code(token, i + 1)))

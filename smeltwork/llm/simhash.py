@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from smeltwork.llm.common import only, text_of
+from smeltwork.llm.common import only, text_of, whole_row
 from smeltwork.llm.components import components, local_stars
 from smeltwork.session import Scratch
 
@@ -183,11 +183,11 @@ def one_per_group(docs: DataFrame, options: SimHashOptions = SimHashOptions(), i
     """The rows of ``docs`` that stay: of each component the one with the smallest id (ties: by digest of the text)."""
     found = near_duplicates(docs, options, id_column, text_column)
     stays = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tie")).alias("least"))
-    stays = stays.select(F.col("least.doc_id").alias("_id"), F.col("least.tie").alias("_tie"))
+    # Digests of id and text are never null: one shuffle serves the join and the window.
+    stays = stays.select(F.xxhash64("least.doc_id").alias("own"), F.col("least.tie").alias("tie"))
     whole = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-        F.col(f"`{id_column}`").alias("_doc"), F.xxhash64(text_of(F.col(f"`{text_column}`"))).alias("_text"),
-    )
-    kept = whole.join(stays, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_tie")), "left_semi")
-    repeated = Window.partitionBy("_doc", "_text").orderBy(F.lit(0))
-    return kept.withColumn("_n", F.row_number().over(repeated)).where("_n = 1").select("_row.*")
+        whole_row(docs), F.xxhash64(F.col(f"`{id_column}`")).alias("own"),
+        F.xxhash64(text_of(F.col(f"`{text_column}`"))).alias("tie"))
+    repeated = Window.partitionBy("own", "tie").orderBy(F.xxhash64("_row"))
+    kept = whole.join(stays, ["own", "tie"], "left_semi").withColumn("n", F.row_number().over(repeated))
+    return kept.where("n = 1").select("_row.*")

@@ -5,20 +5,46 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from smeltwork.llm.common import table
+from smeltwork.llm import quality
+from smeltwork.llm.common import table, whole_row
+from smeltwork.llm.learning import fold
+from smeltwork.llm.lines import dedup_lines
 from smeltwork.llm.mixing import mix, mixed_rows
 from smeltwork.llm.packing import pack
+from smeltwork.llm.queries import QUALITY_CUT, QUALITY_FOLD
+from smeltwork.llm.simhash import one_per_group
 from smeltwork.session import Scratch
 
 
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    folds, held = QUALITY_FOLD
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), fold(F.col("doc_id"), folds) != held)
+    scored = docs.select(whole_row(docs), quality.score(F.col("text"), model).alias("score"))
+    return scored.where(F.col("score") >= QUALITY_CUT).select("_row.*")
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of line runs are cut out of the texts; a document of which nothing is left goes."""
+    cut = dedup_lines(docs).where("n_removed < n_lines")
+    changed = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast(docs.schema["n_chars"].dataType)}
+    return cut.select(*[changed[c].alias(c) if c in changed else F.col(f"_row.`{c}`") for c in docs.columns])
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return one_per_group(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; the shard is where a writer would put each take."""
-    mixed, _ = mix(docs)
-    return mixed_rows(mixed).select(docs.columns)
+    """Documents as often as the mix takes them; a take's shard is where a writer would put it."""
+    return mixed_rows(mix(docs)).select("_row.*")
 
 
 def pack_lengths(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document is packed."""
     return pack(docs)
 
 
