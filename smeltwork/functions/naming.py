@@ -22,6 +22,20 @@ def refs(names: Iterable[str]) -> list[Column]:
     return [ref(name) for name in names]
 
 
+def free_name(taken: Iterable[str], wanted: str) -> str:
+    """``wanted``, with underscores added until no column has that name in any case."""
+    used = {name.lower() for name in taken}
+    while wanted.lower() in used:
+        wanted += "_"
+    return wanted
+
+
+def path_text(part: Column) -> Column:
+    """A part of a scan's file path as text: escapes decoded, only where there are any."""
+    decoded = F.url_decode(F.replace(part, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(part, F.lit("%")), decoded).otherwise(part)
+
+
 def standard_name(name: str) -> str:
     """Trimmed, lower case, spaces as underscores."""
     return name.strip().lower().replace(" ", "_")

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from itertools import chain, count
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from smeltwork.functions.clock import BatchClock
+from smeltwork.operators.joining import anti
 from smeltwork.plans.audit import (
     ALL_TARGETS,
     BRONZE,
@@ -23,16 +25,15 @@ from smeltwork.plans.audit import (
 from smeltwork.plans.control import Target, in_priority_order
 from smeltwork.sources import files
 from smeltwork.sources.landing import landing_entries, routed_entries
-from smeltwork.sources.readers import SOURCE_FILE, BadFile, Feed, ReadOptions, bronze_frame, feeds
-from smeltwork.sources.zones import Zones, read_bronze, write_bronze
+from smeltwork.sources.readers import CORRUPT, SOURCE_FILE, BadFile, Feed, ReadOptions, bronze_frame, feeds
+from smeltwork.sources.zones import Zones, drop_attempt, read_bronze, write_bronze
 
 
-def _stack(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
+_MOVES = 16  # files moved to the archive side by side
 
 
-def _one_by_one(feed: Feed) -> list[Feed]:
-    return [Feed(feed.target, feed.format, (path,), feed.row_tag, feed.json_lines) for path in feed.paths]
+def _stack(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
 
 
 def _readable(
@@ -59,7 +60,7 @@ def _readable(
         if len(feed.paths) == 1:
             errors[feed.paths[0]] = str(error)
             return []
-        parts = [_readable(spark, single, zones, clock, options, errors, probe) for single in _one_by_one(feed)]
+        parts = [_readable(spark, single, zones, clock, options, errors, probe) for single in map(feed.only, feed.paths)]
         return [frame for part in parts for frame in part]
 
 
@@ -84,20 +85,41 @@ def ingest_target(
         for entry in routed
         if entry["route"] != "MATCHED"
     }
-    groups, errors = feeds(spark, target.name, supported, target.row_tag, options)
+    groups, errors = feeds(spark, target.name, supported, target.row_tag, options, zones.landing)
+    names = {entry["path"]: entry["name"] for entry in supported}
 
     def frames(probe: bool) -> list[DataFrame]:
         parts = [_readable(spark, feed, zones, clock, options, errors, probe) for feed in groups]
         return [frame for part in parts for frame in part]
 
+    def write(ready: list[DataFrame]) -> None:
+        """One attempt at the batch, of the files that no error names."""
+        delivered = [name for path, name in names.items() if path not in errors]
+        rows = _stack(ready)
+        if CORRUPT not in rows.columns:
+            write_bronze(_without(spark, rows, errors, names), folder, batch_id, delivered)
+            return
+        seen = Observation()
+        kept = _without(spark, rows, errors, names).observe(seen, F.count(CORRUPT).alias("malformed"))
+        number = write_bronze(kept.drop(CORRUPT), folder, batch_id, delivered)
+        if options.malformed == "reject" and seen.get["malformed"]:
+            drop_attempt(spark, folder, batch_id, number)
+            bad = rows.where(F.col(CORRUPT).isNotNull()).groupBy(SOURCE_FILE).agg(F.count("*").alias("n"))
+            found = {row[SOURCE_FILE]: row["n"] for row in bad.collect()}
+            for path, name in names.items():
+                if name in found:
+                    errors[path] = f"{found[name]} malformed rows in {name}"
+            if set(names) - set(errors):
+                write(ready)
+
     ready = frames(probe=False)
     if ready:
         try:
-            write_bronze(_stack(ready), folder, batch_id)
+            write(ready)
         except Exception:  # noqa: BLE001 - find the file that broke the job
             ready = frames(probe=True)
             if ready:
-                write_bronze(_stack(ready), folder, batch_id)
+                write(ready)
 
     counts = _rows_per_file(spark, folder, batch_id) if ready else {}
     for entry in supported:
@@ -113,6 +135,14 @@ def ingest_target(
     return outcomes
 
 
+def _without(spark: SparkSession, rows: DataFrame, errors: dict[str, str], names: dict[str, str]) -> DataFrame:
+    """Rows of files without an error; a refused folder may have parts in feeds that can be read."""
+    refused = [(names[path],) for path in errors if path in names]
+    if not refused:
+        return rows
+    return anti(rows, spark.createDataFrame(refused, f"`{SOURCE_FILE}` string"), [SOURCE_FILE])
+
+
 def _rows_per_file(spark: SparkSession, folder: str, batch_id: str) -> dict[str, int]:
     """Rows per landing file, from the one column of the batch just written."""
     written = read_bronze(spark, folder, batch_id)
@@ -182,14 +212,19 @@ def _ingest_and_archive(spark, target, mine, zones, clock, batch_id, trail, opti
         outcomes = {
             entry["path"]: Outcome(FAILED, error_message=str(error), source_file=entry["name"]) for entry in mine
         }
-    for entry in mine:
+
+    def put_away(entry: dict) -> None:
         outcome = outcomes[entry["path"]]
         if outcome.status != FAILED:
             try:
                 archive(spark, zones, target.name, entry, batch_id)
             except Exception as error:  # noqa: BLE001 - the rows are in bronze, the file waits for the next run
                 outcome.status, outcome.error_message = FAILED, str(error)
-        trail.record(target.name, BRONZE, start, outcome)
+
+    with ThreadPoolExecutor(_MOVES) as pool:
+        list(pool.map(put_away, mine))
+    for entry in mine:
+        trail.record(target.name, BRONZE, start, outcomes[entry["path"]])
     broken = [outcome.error_message for outcome in outcomes.values() if outcome.status == FAILED]
     if broken and fail_fast:
         raise RuntimeError(broken[0])

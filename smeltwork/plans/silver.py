@@ -14,7 +14,7 @@ from smeltwork.functions.clock import BatchClock
 from smeltwork.functions.hashing import row_digest
 from smeltwork.functions.naming import standardise
 from smeltwork.operators.dedup import drop_copies, keep_latest
-from smeltwork.operators.joining import anti
+from smeltwork.operators.joining import anti, semi
 from smeltwork.operators.quarantine import VERDICT, Routed, route
 from smeltwork.plans.audit import (
     ALL_TARGETS,
@@ -29,7 +29,9 @@ from smeltwork.plans.control import Target, in_priority_order
 from smeltwork.sources.zones import (
     QUARANTINE_BATCH,
     Zones,
-    read_bronze,
+    bronze_attempts,
+    folded_attempts,
+    read_attempts,
     read_quarantine,
     read_silver,
     write_quarantine,
@@ -45,8 +47,8 @@ class SilverOptions:
     """How to treat the cases a control row leaves open.
 
     ``fallback_to_last_good`` applies the rule before dedup, so an older good row
-    takes the place of a bad newest one. ``incremental`` folds only the given batch
-    into the rows kept so far instead of reading the whole history.
+    takes the place of a bad newest one. ``incremental`` folds the bronze attempts not yet
+    held into the rows kept so far instead of reading the whole history.
     """
 
     on_unknown: str = "clean"
@@ -79,15 +81,35 @@ def _kept_so_far(spark: SparkSession, folder: str) -> DataFrame | None:
     return sides[0].unionByName(sides[1]).unionByName(sides[2]).drop(SILVER_TIMESTAMP)
 
 
-def _input(spark: SparkSession, zones: Zones, target: Target, batch_id: str, options: SilverOptions) -> DataFrame | None:
-    folder = f"{zones.bronze}/{target.name}"
-    state = _kept_so_far(spark, f"{zones.silver}/{target.name}") if options.incremental and target.keys else None
-    if state is None:
-        return read_bronze(spark, folder)
-    batch = read_bronze(spark, folder, batch_id)
-    if batch is None:
-        return state
-    return state.unionByName(standardise(batch, options.on_collision), allowMissingColumns=True)
+def fold(state: DataFrame, batch: DataFrame | None, target: Target, options: SilverOptions) -> Routed:
+    """The rows kept so far with new bronze rows folded in; equals a rescan of the whole history.
+
+    Only keys that the new rows touch are ranked. The others pass as they are: no shuffle
+    of the state while the batch is small. The rule is applied anew to every row.
+    """
+    both = typed(state, options.types)
+    if batch is not None:
+        fresh = typed(standardise(batch, options.on_collision), options.types)
+        touched = semi(both, fresh, target.keys).unionByName(fresh, allowMissingColumns=True)
+        both = keep_latest(touched, target.keys).unionByName(anti(both, fresh, target.keys), allowMissingColumns=True)
+    return route(both, target.rule, options.on_unknown, target.keys, options.null_keys)
+
+
+def _flagged(
+    spark: SparkSession, zones: Zones, target: Target, attempts: Sequence[str], options: SilverOptions
+) -> DataFrame | None:
+    """Rows with their verdict, from all of bronze or from the state and what it does not hold yet.
+
+    A batch whose own silver run failed is folded by the next run, and so are stream batches.
+    """
+    bronze, silver = f"{zones.bronze}/{target.name}", f"{zones.silver}/{target.name}"
+    state = _kept_so_far(spark, silver) if options.incremental and target.keys else None
+    held = folded_attempts(spark, silver) if state is not None else set()
+    if state is None or not held:
+        source = read_attempts(spark, bronze, attempts)
+        return None if source is None else cleanse(source, target.keys, target.rule, options).flagged
+    missing = [attempt for attempt in attempts if attempt not in held]
+    return fold(state, read_attempts(spark, bronze, missing), target, options).flagged
 
 
 def new_quarantine_rows(bad: DataFrame, caught: DataFrame | None, batch_id: str) -> DataFrame:
@@ -112,18 +134,18 @@ def cleanse_target(
     """
     if options.incremental and options.fallback_to_last_good:
         raise ValueError("fallback_to_last_good needs the whole history, so it cannot be incremental")
-    source = _input(spark, zones, target, batch_id, options)
-    if source is None:
+    attempts = bronze_attempts(spark, f"{zones.bronze}/{target.name}")
+    rows = _flagged(spark, zones, target, attempts, options)
+    if rows is None:
         return Outcome(SKIPPED_NO_DATA)
     seen = Observation()
-    flagged = cleanse(source, target.keys, target.rule, options).flagged.withColumn(SILVER_TIMESTAMP, clock.now)
-    counted = flagged.observe(
+    counted = rows.withColumn(SILVER_TIMESTAMP, clock.now).observe(
         seen,
         F.count_if(F.col(VERDICT) == rules.CLEAN).alias("clean"),
         F.count_if(F.col(VERDICT) == rules.QUARANTINE).alias("bad"),
     )
     folder = f"{zones.silver}/{target.name}"
-    write_silver(counted, folder)
+    write_silver(counted, folder, attempts)
     totals = seen.get
     if totals["bad"]:
         _quarantine(spark, target, zones, clock, batch_id)

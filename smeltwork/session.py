@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from types import TracebackType
@@ -22,6 +23,7 @@ _SETTINGS = {
 }
 
 _local_scratch: str | None = None
+_made: set[str] = set()
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **settings: str) -> SparkSession:
@@ -45,7 +47,7 @@ def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):  # local-cluster has executors of its own
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     if _local_scratch is None:
         _local_scratch = tempfile.mkdtemp(prefix="smeltwork-")
@@ -53,15 +55,19 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
-    """A path under the scratch root that no earlier run has used."""
-    return f"{scratch_root(spark)}/smeltwork/{label}-{uuid.uuid4().hex}"
+    """A path under the scratch root that no earlier run has used, removed when the session's process ends."""
+    base = f"{scratch_root(spark)}/smeltwork/{spark.sparkContext.applicationId}"
+    if base not in _made:
+        files.make_until_exit(spark, base)
+        _made.add(base)
+    return f"{base}/{label}-{uuid.uuid4().hex}"
 
 
 class Scratch:
     """Frames written to the shared folder, removed when the block ends.
 
-    ``keep=True`` leaves them in place, for callers that return a lazy frame
-    reading from them.
+    ``keep=True`` leaves them in place until the session's process ends, for callers
+    that return a lazy frame reading from them.
     """
 
     def __init__(self, spark: SparkSession, keep: bool = False) -> None:

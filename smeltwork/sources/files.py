@@ -53,3 +53,10 @@ def move(spark: SparkSession, source: str, destination: str) -> None:
 def delete(spark: SparkSession, path: str) -> None:
     system, target = _resolve(spark, path)
     system.delete(target, True)
+
+
+def make_until_exit(spark: SparkSession, path: str) -> None:
+    """Create a folder that goes, with all it holds, when the session's process ends."""
+    system, target = _resolve(spark, path)
+    system.mkdirs(target)
+    system.deleteOnExit(target)

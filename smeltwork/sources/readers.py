@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import csv
 from collections import defaultdict
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from smeltwork.functions.casting import string_safe
 from smeltwork.functions.clock import BatchClock
+from smeltwork.functions.naming import path_text, standard_name
 from smeltwork.sources import files
 
 # The row element when the control table names none.
@@ -19,27 +21,50 @@ ORDER_TAG, DEFAULT_TAG = "order", "employee"
 CORRUPT = "_corrupt_record"
 SOURCE_FILE, INGEST_TIMESTAMP = "source_file", "ingest_timestamp"
 
-_PROBES = 16  # files looked at side by side; each look is one small job
+# Names that a source must leave to the layers, compared in standard form. The file's name and the ingest instant are
+# not among them: they take the place of source columns of those names.
+RESERVED = (CORRUPT, "silver_timestamp", "quarantine_verdict", "quarantined_at")
 
 
 @dataclass(frozen=True)
 class ReadOptions:
-    """``infer_types=False`` keeps the text of the file (``007`` stays ``007``)."""
+    """``infer_types=False`` keeps the text of the file (``007`` stays ``007``).
+
+    ``csv_multiline`` lets quoted fields hold line breaks; such files cannot be split
+    between tasks. ``malformed="keep"`` fills short CSV rows with NULL and cuts long ones,
+    where the default refuses their file.
+    """
 
     infer_types: bool = False
     json_mode: str = "auto"
     nested: str = "json"
+    csv_multiline: bool = False
+    malformed: str = "reject"
 
 
 @dataclass(frozen=True)
 class Feed:
-    """Files of one target and format that share a layout."""
+    """Files of one target and format that share a layout.
+
+    ``paths`` are landing entries. A CSV entry may be a folder whose part files differ in
+    their headers: ``parts`` then holds the part files of this layout, and ``header`` the
+    columns they share.
+    """
 
     target: str
     format: str
     paths: tuple[str, ...]
     row_tag: str | None = None
     json_lines: bool = False
+    header: tuple[str, ...] = ()
+    parts: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+
+    @property
+    def files(self) -> list[str]:
+        return [part for path in self.paths for part in self.parts.get(path, (path,))]
+
+    def only(self, path: str) -> Feed:
+        return replace(self, paths=(path,))
 
 
 class BadFile(ValueError):
@@ -52,36 +77,89 @@ def row_tag(target: str, configured: str | None) -> str:
     return ORDER_TAG if "order" in target.lower() else DEFAULT_TAG
 
 
-def _is_json_lines(spark: SparkSession, path: str, mode: str) -> bool:
-    """One object per line: the first two filled lines are each a closed object or start one.
+def _lines_of(spark: SparkSession, landing: str, entries: Sequence[dict], whole: bool = False) -> DataFrame:
+    """``entry, file, start, value``: the text of landed files, by line or in one piece."""
+    text = spark.read.text([entry["path"] for entry in entries], wholetext=whole)
+    return text.select(
+        landed_name(files.encoded_path(spark, landing)).alias("entry"),
+        path_text(F.col("_metadata.file_path")).alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        "value",
+    )
+
+
+def _one_json_value(text: Column) -> Column:
+    """Is the text one JSON object or array, with nothing after it?
 
-    Only the outer characters of two lines are fetched.
+    A parser stops at the end of the first value, so the text is put between brackets, as
+    an element and as a member: what follows the value breaks one of the two.
     """
-    if mode != "auto":
-        return mode == "lines"
-    line = F.trim(F.col("value"))
-    edges = (
-        spark.read.text(path)
-        .where(line != "")
-        .select(F.left(line, F.lit(1)).alias("first"), F.right(line, F.lit(1)).alias("last"))
-        .take(2)
-    )
-    return len(edges) == 2 and tuple(edges[0]) == ("{", "}") and edges[1]["first"] == "{"
+    element = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")
+    member = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), "v string")
+    found = (F.size(element) == 1) & member["v"].isNotNull() & text.rlike(r"^\s*[\[{]")
+    return F.coalesce(found, F.lit(False))
+
 
+def _json_feeds(spark, landing, target, entries, options, errors) -> list[Feed]:
+    """Files with a value on every line, and files that are one value, from their whole text.
 
-def _layout(spark: SparkSession, kind: str, path: str, options: ReadOptions) -> tuple:
-    """What two files must share to be read by one scan.
+    One pass looks at every line of every file. Where a line is not a value by itself, a
+    second pass asks whether the whole file is one; a file that is neither is refused, so no
+    row is lost to a guess.
+    """
+    if options.json_mode != "auto":
+        lines, single = (entries, []) if options.json_mode == "lines" else ([], entries)
+    else:
+        filled = _lines_of(spark, landing, entries).where(F.col("value").rlike(r"\S"))
+        bad = filled.where(~_one_json_value(F.col("value"))).select("entry").distinct()
+        broken = {row["entry"] for row in bad.collect()}
+        lines = [entry for entry in entries if entry["name"] not in broken]
+        single = [entry for entry in entries if entry["name"] in broken]
+        if single:
+            texts = _lines_of(spark, landing, single, whole=True)
+            neither = texts.where(~_one_json_value(F.col("value"))).select("entry").distinct()
+            refused = {row["entry"] for row in neither.collect()}
+            errors |= {
+                entry["path"]: f"Invalid JSON structure in {entry['name']}"
+                for entry in single
+                if entry["name"] in refused
+            }
+            single = [entry for entry in single if entry["name"] not in refused]
+    made = [(lines, True), (single, False)]
+    return [Feed(target, "json", tuple(e["path"] for e in group), json_lines=flag) for group, flag in made if group]
+
+
+def _csv_feeds(spark, landing, target, entries, errors) -> list[Feed]:
+    """Part files grouped by their header line, found in one pass over all files.
 
     Columns of a CSV file are bound by position, so files with other headers must not
-    share a scan. Parquet files whose types differ cannot.
+    share a scan. Two headers that differ in case only are refused here, before Spark
+    renames them.
     """
-    if kind == "csv":
-        return tuple(spark.read.option("header", True).csv(path).columns)
-    if kind == "parquet":
-        return (spark.read.parquet(path).schema.json(),)
-    if kind == "json":
-        return (_is_json_lines(spark, path, options.json_mode),)
-    return ()
+    first = (
+        _lines_of(spark, landing, entries)
+        .where((F.col("start") == 0) & F.col("value").rlike(r"\S"))
+        .withColumn("place", F.monotonically_increasing_id())
+        .groupBy("entry", "file")
+        .agg(F.min_by("value", "place").alias("line"))
+    )
+    by_name = {entry["name"]: entry["path"] for entry in entries}
+    groups: dict[tuple[str, ...], dict[str, list[str]]] = defaultdict(lambda: defaultdict(list))
+    for row in first.collect():
+        path = by_name[row["entry"]]
+        names = next(csv.reader([row["line"].removeprefix("\ufeff")]))
+        header = tuple(name or f"_c{i}" for i, name in enumerate(names))
+        twins = [name for name in header if sum(other.lower() == name.lower() for other in header) > 1]
+        if twins:
+            errors[path] = f"columns share a name: {twins} in {row['entry']}"
+        groups[header][path].append(row["file"])
+    seen = {path for group in groups.values() for path in group}
+    errors |= {path: f"No data columns in {name}" for name, path in by_name.items() if path not in seen}
+    return [
+        Feed(target, "csv", paths, header=header, parts={path: tuple(group[path]) for path in paths})
+        for header, group in groups.items()
+        if (paths := tuple(path for path in group if path not in errors))
+    ]
 
 
 def feeds(
@@ -90,50 +168,57 @@ def feeds(
     routed: Sequence[dict],
     tag: str | None,
     options: ReadOptions,
+    landing: str,
 ) -> tuple[list[Feed], dict[str, str]]:
-    """Group the routed files of one target; files whose layout cannot be read come back as errors."""
-    errors: dict[str, str] = {}
+    """Group the routed files of one target; files whose layout cannot be read come back as errors.
 
-    def look(entry: dict) -> tuple | None:
+    The number of jobs does not depend on the number of files.
+    """
+    errors: dict[str, str] = {}
+    kinds: dict[str, list[dict]] = defaultdict(list)
+    for entry in routed:
+        kinds[entry["extension"]].append(entry)
+    made: list[Feed] = []
+    for kind, entries in kinds.items():
         try:
-            return _layout(spark, entry["extension"], entry["path"], options)
-        except Exception as error:  # noqa: BLE001 - one bad file must not stop the others
-            errors[entry["path"]] = str(error)
-            return None
-
-    with ThreadPoolExecutor(_PROBES) as pool:
-        layouts = list(pool.map(look, routed))
-    groups: dict[tuple, list[str]] = defaultdict(list)
-    for entry, layout in zip(routed, layouts):
-        if layout is not None:
-            groups[(entry["extension"], layout)].append(entry["path"])
-    made = [
-        Feed(
-            target,
-            kind,
-            tuple(paths),
-            row_tag(target, tag) if kind == "xml" else None,
-            kind == "json" and layout[0],
-        )
-        for (kind, layout), paths in groups.items()
-    ]
+            if kind == "csv":
+                made += _csv_feeds(spark, landing, target, entries, errors)
+            elif kind == "json":
+                made += _json_feeds(spark, landing, target, entries, options, errors)
+            else:
+                paths = tuple(entry["path"] for entry in entries)
+                made.append(Feed(target, kind, paths, row_tag(target, tag) if kind == "xml" else None))
+        except Exception as error:  # noqa: BLE001 - find the file that cannot be read at all
+            if len(entries) == 1:
+                errors[entries[0]["path"]] = str(error)
+                continue
+            for entry in entries:
+                single, failed = feeds(spark, target, [entry], tag, options, landing)
+                made, errors = made + single, errors | failed
     return made, errors
 
 
 def raw_frame(spark: SparkSession, feed: Feed, options: ReadOptions) -> DataFrame:
     """The rows of a feed as the reader gives them."""
-    paths = list(feed.paths)
+    paths = feed.files
     text = "false" if options.infer_types else "true"
     typed = "true" if options.infer_types else "false"
     if feed.format == "csv":
-        return spark.read.options(header="true", inferSchema=typed).csv(paths)
+        lines = "true" if options.csv_multiline else "false"
+        reader = spark.read.options(header="true", multiLine=lines)
+        kinds = ["string"] * len(feed.header)
+        if options.infer_types:
+            kinds = [kind for _, kind in reader.options(inferSchema="true").csv(paths).dtypes]
+        fields = [T.StructField(name, T.DataType.fromDDL(kind)) for name, kind in zip(feed.header, kinds)]
+        fields.append(T.StructField(CORRUPT, T.StringType()))
+        return reader.options(columnNameOfCorruptRecord=CORRUPT).schema(T.StructType(fields)).csv(paths)
     if feed.format == "json":
         multiline = "false" if feed.json_lines else "true"
         return spark.read.options(multiLine=multiline, primitivesAsString=text).json(paths)
     if feed.format == "xml":
         return spark.read.format("xml").options(rowTag=feed.row_tag, inferSchema=typed).load(paths)
     if feed.format == "parquet":
-        return spark.read.parquet(*paths)
+        return spark.read.option("mergeSchema", True).parquet(*paths)
     raise BadFile(f"Unsupported file format: {feed.format}")
 
 
@@ -146,9 +231,7 @@ def landed_name(landing: str) -> Column:
     prefix = landing.rstrip("/") + "/"
     path = F.col("_metadata.file_path")
     below = F.substr(path, F.instr(path, prefix) + F.lit(len(prefix)))
-    child = F.substring_index(below, "/", 1)
-    decoded = F.url_decode(F.replace(child, F.lit("+"), F.lit("%2B")))
-    return F.when(F.contains(child, F.lit("%")), decoded).otherwise(child)
+    return path_text(F.substring_index(below, "/", 1))
 
 
 def tagged(spark: SparkSession, frame: DataFrame, landing: str, clock: BatchClock, options: ReadOptions) -> DataFrame:
@@ -163,8 +246,12 @@ def bronze_frame(
     """A feed as bronze rows; refuses files without a readable layout."""
     frame = raw_frame(spark, feed, options)
     names = ", ".join(path.rsplit("/", 1)[-1] for path in feed.paths)
-    if CORRUPT in frame.columns:
+    if feed.format != "csv" and CORRUPT in frame.columns:
         raise BadFile(f"Invalid {feed.format.upper()} structure in {names}")
-    if not frame.columns:
+    source = [name for name in frame.columns if feed.format != "csv" or name != CORRUPT]
+    if not source:
         raise BadFile(f"No data columns in {names}")
+    reserved = [name for name in source if standard_name(name) in RESERVED]
+    if reserved:
+        raise BadFile(f"source columns use reserved names: {reserved} in {names}")
     return tagged(spark, frame, landing, clock, options)

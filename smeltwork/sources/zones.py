@@ -1,12 +1,13 @@
 """Where each layer keeps its data, and how a new version becomes visible.
 
-Silver and gold are published as ``v=<n>`` folders. A version counts once its write
+Bronze batches, silver and gold are published as ``v=<n>`` folders. A version counts once its write
 job has left ``_SUCCESS``; until then readers stay on the one before, and a rerun
 overwrites the unfinished folder. Nothing is ever overwritten that a plan reads.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,12 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smeltwork.functions import rules
-from smeltwork.functions.naming import refs
+from smeltwork.functions.naming import path_text, refs
+from smeltwork.operators.joining import anti
 from smeltwork.operators.quarantine import VERDICT
 from smeltwork.sources import files
 
-_VERSION, _DONE, _IS_ACTIVE = "v", "_SUCCESS", "is_active"
-BATCH, QUARANTINE_BATCH = "batch_id", "quarantine_batch"
+_VERSION, _DONE, _IS_ACTIVE, _FOLDED = "v", "_SUCCESS", "is_active", "folded"
+BATCH, QUARANTINE_BATCH, SOURCE_FILE = "batch_id", "quarantine_batch", "source_file"
 
 
 @dataclass(frozen=True)
@@ -79,31 +81,83 @@ def _has_data(spark: SparkSession, folder: str) -> bool:
 # --- bronze -----------------------------------------------------------------
 
 
-def write_bronze(rows: DataFrame, folder: str, batch_id: str) -> None:
-    """Replace the batch's own folder, so a rerun adds nothing twice."""
-    rows.write.mode("overwrite").parquet(f"{folder}/{BATCH}={batch_id}")
+def write_bronze(
+    rows: DataFrame, folder: str, batch_id: str, delivered: Sequence[str] | None = None
+) -> int:
+    """Publish a new attempt at a batch and return its number.
+
+    The unit that an attempt replaces is the file: rows that earlier attempts took from
+    files not ``delivered`` now stay, and a file delivered again replaces its own rows. So
+    a retry after some files were archived loses nothing and repeats nothing. Without
+    ``delivered`` the whole batch is replaced.
+    """
+    spark = rows.sparkSession
+    batch = f"{folder}/{BATCH}={batch_id}"
+    number = current_version(spark, batch)
+    if number and delivered is not None:
+        names = spark.createDataFrame([(name,) for name in delivered], f"`{SOURCE_FILE}` string")
+        before = spark.read.parquet(version_folder(batch, number))
+        rows = rows.unionByName(anti(before, names, [SOURCE_FILE]), allowMissingColumns=True)
+    rows.write.mode("overwrite").parquet(version_folder(batch, number + 1))
+    return number + 1
+
+
+def drop_attempt(spark: SparkSession, folder: str, batch_id: str, number: int) -> None:
+    """Take back an attempt; the one before it counts again."""
+    files.delete(spark, version_folder(f"{folder}/{BATCH}={batch_id}", number))
+
+
+def bronze_attempts(spark: SparkSession, folder: str) -> list[str]:
+    """The newest attempt at every batch, as ``batch_id=<id>/v=<n>``."""
+    found = []
+    for entry in _versions(spark, folder, BATCH):
+        number = current_version(spark, entry.path)
+        if number:
+            found.append(version_folder(entry.name, number))
+    return found
+
+
+def read_attempts(spark: SparkSession, folder: str, attempts: Sequence[str]) -> DataFrame | None:
+    """The rows of these attempts; columns one of them lacks are NULL. None without data."""
+    paths = [f"{folder}/{attempt}" for attempt in attempts if _has_data(spark, f"{folder}/{attempt}")]
+    return spark.read.option("mergeSchema", True).parquet(*paths) if paths else None
 
 
 def read_bronze(spark: SparkSession, folder: str, batch_id: str | None = None) -> DataFrame | None:
     """All batches of a target, or one; columns a batch lacks are NULL. None without data."""
-    batches = [
-        entry.path
-        for entry in _versions(spark, folder, BATCH)
-        if (batch_id is None or entry.name == f"{BATCH}={batch_id}") and _has_data(spark, entry.path)
+    wanted = [
+        attempt
+        for attempt in bronze_attempts(spark, folder)
+        if batch_id is None or attempt.rsplit("/", 1)[0] == f"{BATCH}={batch_id}"
     ]
-    return spark.read.option("mergeSchema", True).parquet(*batches) if batches else None
+    return read_attempts(spark, folder, wanted)
 
 
 # --- silver and quarantine --------------------------------------------------
 
 
-def write_silver(flagged: DataFrame, folder: str) -> int:
-    """Publish a version holding clean and bad rows apart, in one write job."""
-    number = current_version(flagged.sparkSession, folder) + 1
+def write_silver(flagged: DataFrame, folder: str, folded: Sequence[str] = ()) -> int:
+    """Publish a version holding clean and bad rows apart, in one write job.
+
+    ``folded`` names the bronze attempts the version holds. The list is written first: a
+    version that counts always has it.
+    """
+    spark = flagged.sparkSession
+    number = current_version(spark, folder) + 1
+    listed = spark.createDataFrame([(attempt,) for attempt in folded], "attempt string")
+    listed.coalesce(1).write.mode("overwrite").parquet(version_folder(f"{folder}/{_FOLDED}", number))
     flagged.write.mode("overwrite").partitionBy(VERDICT).parquet(version_folder(folder, number))
     return number
 
 
+def folded_attempts(spark: SparkSession, folder: str) -> set[str]:
+    """The bronze attempts that the current silver version holds."""
+    path = version_folder(f"{folder}/{_FOLDED}", current_version(spark, folder))
+    if not files.exists(spark, f"{path}/{_DONE}"):
+        return set()
+    return {row["attempt"] for row in spark.read.parquet(path).collect()}
+
+
 def read_silver(spark: SparkSession, folder: str, verdict: str = rules.CLEAN) -> DataFrame | None:
     """Rows of one verdict of the current version; None when the target has no rows at all."""
     number = current_version(spark, folder)
@@ -120,10 +174,12 @@ def write_quarantine(bad: DataFrame, folder: str, batch_id: str) -> None:
 
 def read_quarantine(spark: SparkSession, folder: str) -> DataFrame | None:
     """Every quarantined row with the batch that caught it first."""
-    if not _has_data(spark, folder):
+    paths = [e.path for e in _versions(spark, folder, QUARANTINE_BATCH) if _has_data(spark, e.path)]
+    if not paths:
         return None
-    frame = spark.read.option("mergeSchema", True).parquet(folder)
-    return frame.withColumn(QUARANTINE_BATCH, F.col(QUARANTINE_BATCH).cast("string"))
+    # Taken from the path and not as a partition column: Spark would guess a type, and read 007 as 7.
+    name = F.regexp_extract(F.col("_metadata.file_path"), f"/{QUARANTINE_BATCH}=([^/]*)/[^/]*$", 1)
+    return spark.read.option("mergeSchema", True).parquet(*paths).withColumn(QUARANTINE_BATCH, path_text(name))
 
 
 # --- gold -------------------------------------------------------------------
@@ -190,4 +246,6 @@ def drop_superseded(spark: SparkSession, folder: str, keep: int = 2) -> list[str
 
 def drop_old_silver(spark: SparkSession, folder: str, keep: int = 2) -> list[str]:
     """Delete all but the newest ``keep`` versions of a silver target."""
-    return _drop_before(spark, folder, current_version(spark, folder) - keep + 1)
+    oldest = current_version(spark, folder) - keep + 1
+    _drop_before(spark, f"{folder}/{_FOLDED}", oldest)
+    return _drop_before(spark, folder, oldest)
