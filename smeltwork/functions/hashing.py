@@ -14,17 +14,22 @@ SEPARATOR = "||"
 DIGEST_BITS = 256
 
 
-def row_digest(columns: Sequence[str], mode: str = "joined") -> Column:
-    """SHA-256 over the columns in the order given.
+def row_digest(columns: Sequence[str], mode: str = "joined", missing_in: Sequence[str] | None = None) -> Column:
+    """SHA-256 over the columns in the order given; one not in ``missing_in``, if that is given, is NULL.
 
     ``joined`` hashes the values as separated text, where NULL and an empty string
     look alike. ``struct`` hashes JSON with names and explicit nulls, which also
     keeps a separator inside a value apart from a column border.
     """
+
+    def value(name: str) -> Column:
+        have = missing_in is None or name in missing_in
+        return ref(name) if have else F.lit(None).cast("string").alias(name)
+
     if mode == "struct":
-        whole = F.struct(*[ref(name) for name in columns]) if columns else F.struct(F.lit(0).alias("_none"))
+        whole = F.struct(*[value(name) for name in columns]) if columns else F.struct(F.lit(0).alias("_none"))
         return F.sha2(F.to_json(whole, {"ignoreNullFields": "false"}), DIGEST_BITS)
     if mode != "joined":
         raise ValueError(f"unknown hash mode: {mode}")
-    texts = [F.ifnull(ref(name).cast("string"), F.lit("")) for name in columns]
+    texts = [F.ifnull(value(name).cast("string"), F.lit("")) for name in columns]
     return F.sha2(F.concat_ws(SEPARATOR, *texts), DIGEST_BITS)

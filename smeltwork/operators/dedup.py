@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smeltwork.functions.naming import ref, refs
+from smeltwork.functions.naming import free_name, ref, refs
 
 
 def _newest_first(frame: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> list:
@@ -32,7 +32,8 @@ def keep_latest(frame: DataFrame, keys: Sequence[str], order_by: Sequence[str] =
     per task.
     """
     newest = Window.partitionBy(*refs(keys)).orderBy(*_newest_first(frame, keys, order_by))
-    return frame.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
+    rank = free_name(frame.columns, "_rank")
+    return frame.withColumn(rank, F.row_number().over(newest)).where(F.col(rank) == 1).drop(rank)
 
 
 def merge_latest(

@@ -17,7 +17,7 @@ _KEY = "_key"
 
 
 def _beside(frame: DataFrame, value: str, step: int, name: str) -> DataFrame:
-    """Add the value one row before (-1) or after (+1) in the same key.
+    """Add the value one row before (-1) or after (+1) in the same key, in a struct; NULL without such a row.
 
     ``frame`` comes from ``sorted_slices``. The window runs per key and slice, so a
     key that fills many slices is spread over as many tasks. What a window cannot see
@@ -26,13 +26,15 @@ def _beside(frame: DataFrame, value: str, step: int, name: str) -> DataFrame:
     """
     within = Window.partitionBy(_KEY, SLICE).orderBy(POSITION)
     pick = F.max_by if step < 0 else F.min_by
-    edges = frame.groupBy(SLICE).agg(pick(F.struct(F.col(_KEY), F.col(value).alias("value")), POSITION).alias("edge"))
+    # The value travels in a struct: a row beside that holds NULL differs from no row beside.
+    held = F.struct(F.col(value).alias("value"))
+    edges = frame.groupBy(SLICE).agg(pick(F.struct(F.col(_KEY), held.alias("held")), POSITION).alias("edge"))
     # One row per slice: this unpartitioned window never sees more rows than there are slices.
     across = Window.orderBy(SLICE)
     reach = (F.lag if step < 0 else F.lead)("edge").over(across)
     borders = edges.select(SLICE, reach.alias("_edge"))
-    inside = (F.lag if step < 0 else F.lead)(value).over(within)
-    outside = F.when(F.col("_edge")[_KEY].eqNullSafe(F.col(_KEY)), F.col("_edge")["value"])
+    inside = (F.lag if step < 0 else F.lead)(held).over(within)
+    outside = F.when(F.col("_edge")[_KEY].eqNullSafe(F.col(_KEY)), F.col("_edge")["held"])
     stepped = frame.withColumn("_inside", inside).join(F.broadcast(borders), SLICE, "left")
     return stepped.withColumn(name, F.coalesce(F.col("_inside"), outside)).drop("_inside", "_edge")
 
@@ -44,13 +46,19 @@ def versions_from_history(
     tracked: Sequence[str],
     clock_kind: str = "timestamp_ntz",
     scratch: Scratch | None = None,
+    null_times: str = "raise",
 ) -> DataFrame:
     """One row per run of equal ``tracked`` values of a key, valid ``[start, end)``.
 
     ``order_by[0]`` is the time a row takes effect. Exact copies collapse map-side
     before anything is sorted. The result equals applying every row as its own batch
-    of an SCD2 merge.
+    of an SCD2 merge. A row without a time cannot be placed: it is refused unless
+    ``null_times="drop"``.
     """
+    if null_times == "drop":
+        history = history.where(ref(order_by[0]).isNotNull())
+    elif history.where(ref(order_by[0]).isNull()).limit(1).count():
+        raise ValueError(f"rows without a time in {order_by[0]}")
     space = scratch or Scratch(history.sparkSession, keep=True)
     wanted = list(dict.fromkeys([*keys, *order_by, *tracked]))
     versions = history.select(*refs(wanted)).distinct().withColumn("hash_key", row_digest(sorted(tracked)))
@@ -58,7 +66,7 @@ def versions_from_history(
     sliced = sliced.withColumn(_KEY, F.struct(*refs(keys)))
 
     with_previous = _beside(sliced, "hash_key", -1, "_previous")
-    starts = with_previous.where(F.col("_previous").isNull() | (F.col("_previous") != F.col("hash_key")))
+    starts = with_previous.where(F.col("_previous").isNull() | (F.col("_previous")["value"] != F.col("hash_key")))
     starts = space.store(starts.drop("_previous"), "version-starts")
 
     start = order_by[0]
@@ -67,7 +75,7 @@ def versions_from_history(
         *refs(keys),
         *[ref(name) for name in tracked if name not in keys],
         F.col("_start").cast(clock_kind).alias("effective_start_date"),
-        F.coalesce(F.col("_end").cast(clock_kind), BatchClock("", clock_kind).open_end).alias("effective_end_date"),
+        F.when(F.col("_end").isNull(), BatchClock("", clock_kind).open_end).otherwise(F.col("_end")["value"].cast(clock_kind)).alias("effective_end_date"),
         F.col("_end").isNull().alias("is_active"),
         F.col("hash_key"),
     )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from smeltwork.functions.clock import BatchClock
 from smeltwork.functions.hashing import row_digest
 from smeltwork.functions.naming import ref
 from smeltwork.operators.joining import anti, lookup, right_side, same_key, without_right
+from smeltwork.operators.quality import require_unique
 from smeltwork.operators.surrogate import Numbered, existing_keys, highest_key, key_text, number_rows
 from smeltwork.session import Scratch
 
@@ -55,31 +56,70 @@ def check_source(columns: Sequence[str], keys: Sequence[str], sk: str) -> None:
 
 @dataclass(frozen=True)
 class Batch:
-    """Silver rows to merge, one per key, and how they are stamped."""
+    """Silver rows to merge, one per key, and how they are stamped.
+
+    ``digest_columns`` rules batches whose columns are not the dimension's. ``aligned``
+    hashes the columns of both, NULL where one lacks them: a new column versions the rows
+    that have a value in it. ``shared`` hashes what both have, so a column that comes or
+    goes versions nothing.
+    """
 
     silver: DataFrame
     keys: tuple[str, ...]
     clock: BatchClock
     hash_mode: str = "joined"
+    digest_columns: str = "aligned"
+    hashed: tuple[str, ...] | None = None
 
     def stage(self, rows: DataFrame) -> DataFrame:
         """Rows of this batch with an open validity range and their digest."""
-        business = [name for name in business_columns(rows.columns, self.keys) if name in self.silver.columns]
+        business = self.hashed
+        if business is None:
+            business = [name for name in business_columns(rows.columns, self.keys) if name in self.silver.columns]
         return rows.select(
             "*",
             self.clock.now.alias(VALIDITY[0]),
             self.clock.open_end.alias(VALIDITY[1]),
             F.lit(True).alias(VALIDITY[2]),
-            row_digest(business, self.hash_mode).alias(HASH),
+            row_digest(business, self.hash_mode, missing_in=rows.columns).alias(HASH),
         )
 
+    def against(self, dimension: DataFrame, sk: str) -> tuple[Batch, DataFrame, bool]:
+        """This batch and the dimension with digests over the same columns, and whether they had others.
+
+        With equal columns the stored digests are used as they are. Otherwise the active rows
+        are hashed anew and keep the new digests, or the next batch would find all of them changed.
+        """
+        old = business_columns(source_columns(dimension, sk), self.keys)
+        new = business_columns(self.silver.columns, self.keys)
+        if old == new:
+            return self, dimension, False
+        if self.digest_columns not in ("aligned", "shared"):
+            raise ValueError(f"unknown digest_columns: {self.digest_columns}")
+        pick = set.union if self.digest_columns == "aligned" else set.intersection
+        hashed = tuple(sorted(pick(set(old), set(new))))
+        digest = row_digest(hashed, self.hash_mode, missing_in=dimension.columns)
+        anew = F.when(F.col("is_active"), digest).otherwise(ref(HASH))
+        return replace(self, hashed=hashed), dimension.withColumn(HASH, anew), True
+
     @property
     def staged(self) -> DataFrame:
         return self.stage(self.silver)
 
 
-def batch_of(silver: DataFrame, keys: Sequence[str], clock: BatchClock, hash_mode: str = "joined") -> Batch:
-    return Batch(silver, tuple(keys), clock, hash_mode)
+def batch_of(
+    silver: DataFrame,
+    keys: Sequence[str],
+    clock: BatchClock,
+    hash_mode: str = "joined",
+    check_keys: bool = True,
+    digest_columns: str = "aligned",
+) -> Batch:
+    """A batch to merge. A key with two rows would fan out the dimension, so it is refused here
+    unless the caller knows that keys are unique."""
+    if check_keys:
+        require_unique(silver, keys)
+    return Batch(silver, tuple(keys), clock, hash_mode, digest_columns)
 
 
 def aligned(frame: DataFrame, columns: Sequence[str], like: DataFrame | None = None) -> DataFrame:
@@ -160,6 +200,7 @@ def scd1(
     The dimension is the left side of the update join: a small batch is broadcast to
     it and the dimension stays where it is.
     """
+    batch, dimension, _ = batch.against(dimension, sk)
     keys, staged = batch.keys, batch.staged
     columns = _merged_columns(dimension, batch, sk)
     active, closed = _split_active(dimension)
@@ -223,6 +264,7 @@ def scd2(
     batch first and so leaves gaps for unchanged rows. ``close_missing`` also ends
     active rows whose key is not in the batch.
     """
+    batch, dimension, rehashed = batch.against(dimension, sk)
     keys, staged = batch.keys, batch.staged
     columns = _merged_columns(dimension, batch, sk)
     active, closed = _split_active(dimension)
@@ -243,7 +285,7 @@ def scd2(
         )
         kept = _end_where_hit(gone, active.columns, batch.clock)
     current = aligned(kept, columns, staged).unionByName(aligned(inserted, columns, dimension))
-    return Merge(aligned(closed, columns, staged), current, count, changed=count > 0 or close_missing)
+    return Merge(aligned(closed, columns, staged), current, count, changed=count > 0 or close_missing or rehashed)
 
 
 STRATEGIES = ("SCD1", "SCD2")

@@ -12,16 +12,27 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from smeltwork.functions.naming import refs
 from smeltwork.session import Scratch
 
 SLICE, POSITION = "_slice", "_position"
+_UNORDERED = (T.MapType, T.VariantType)
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition in the low 33 bits
 
 
+def with_ties(frame: DataFrame, order_by: Sequence[str]) -> list[str]:
+    """``order_by`` and then every other sortable column, so that only whole copies are equal."""
+    rest = [f.name for f in frame.schema.fields if f.name not in order_by and not isinstance(f.dataType, _UNORDERED)]
+    return [*order_by, *rest]
+
+
 def sorted_slices(frame: DataFrame, order_by: Sequence[str], scratch: Scratch) -> DataFrame:
     """``frame`` in contiguous sorted slices, with ``_slice`` and ``_position`` (from 0)."""
+    clash = [name for name in frame.columns if name.lower() in (SLICE, POSITION)]
+    if clash:
+        raise ValueError(f"columns use reserved names: {clash}")
     ordered = frame.repartitionByRange(*refs(order_by)).sortWithinPartitions(*refs(order_by))
     placed = ordered.select(
         "*",

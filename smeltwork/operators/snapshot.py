@@ -8,7 +8,9 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smeltwork.functions.naming import refs
+from smeltwork.functions.hashing import row_digest
+from smeltwork.functions.naming import free_name
+from smeltwork.operators.slices import with_ties
 from smeltwork.operators.surrogate import number_rows
 from smeltwork.session import Scratch
 
@@ -17,16 +19,26 @@ DEFAULT_ROW_LIMIT = 100
 DEFAULT_FRACTION = 0.1
 SNAPSHOT_LAYERS = ("gold", "all")
 
-# Beyond this many rows a sorted limit would gather too much in one task.
-_SORTED_LIMIT = 100_000
+# Fixed value: a digest sample compares this many leading hex digits of the key's digest.
+_DIGEST_DIGITS = 8
 
 
 def first_rows(frame: DataFrame, limit: int, order_by: Sequence[str], scratch: Scratch | None = None) -> DataFrame:
-    """The first ``limit`` rows in key order."""
-    if limit <= _SORTED_LIMIT:
-        return frame.orderBy(*refs(order_by)).limit(limit)
-    numbered = number_rows(frame, order_by, "_number", scratch=scratch).rows
-    return numbered.where(F.col("_number") <= limit).drop("_number")
+    """The first ``limit`` rows in key order, by one way for every limit.
+
+    Counts per sorted slice say which slices and rows to keep, so no task gathers the
+    rows. Equal keys are told apart by all other sortable columns, so that a key held by
+    many rows fills several slices and reruns agree.
+    """
+    number = free_name(frame.columns, "_number")
+    numbered = number_rows(frame, with_ties(frame, order_by), number, scratch=scratch).rows
+    return numbered.where(F.col(number) <= limit).drop(number)
+
+
+def by_key_digest(frame: DataFrame, fraction: float, keys: Sequence[str]) -> DataFrame:
+    """About ``fraction`` of the keys, chosen by their digest: the same ones on every run and layout."""
+    head = F.conv(F.substring(row_digest(keys), 1, _DIGEST_DIGITS), 16, 10).cast("bigint")
+    return frame.where(head < int(fraction * 16**_DIGEST_DIGITS))
 
 
 def snapshot(
@@ -44,4 +56,7 @@ def snapshot(
         limit = settings.get("row_limit")
         return first_rows(frame, DEFAULT_ROW_LIMIT if limit is None else limit, order_by, scratch)
     fraction = settings.get("sample_fraction")
-    return frame.sample(False, DEFAULT_FRACTION if fraction is None else fraction, seed)
+    fraction = DEFAULT_FRACTION if fraction is None else fraction
+    if settings.get("sample_type") == "key_digest":
+        return by_key_digest(frame, fraction, order_by)
+    return frame.sample(False, fraction, seed)

@@ -21,6 +21,7 @@ NO_ERROR = "None"
 
 SKIPPED_NO_DATA, UNMATCHED = "SKIPPED_NO_DATA", "UNMATCHED"
 
+# The first eight columns of the audit trail; the others are added here.
 AUDIT_SCHEMA = T.StructType(
     [
         T.StructField("table_name", T.StringType()),
@@ -36,6 +37,7 @@ AUDIT_SCHEMA = T.StructType(
         T.StructField("rows_inserted", T.LongType()),
         T.StructField("rows_expired", T.LongType()),
         T.StructField("rows_quarantined", T.LongType()),
+        T.StructField("rows_updated", T.LongType()),
     ]
 )
 _ARROW = {
@@ -63,6 +65,7 @@ class Outcome:
     rows_inserted: int | None = None
     rows_expired: int | None = None
     rows_quarantined: int | None = None
+    rows_updated: int | None = None
 
 
 @dataclass

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 
 from smeltwork.functions.naming import surrogate_name
 
+# The columns of the control table and of the execution settings.
 CONTROL_SCHEMA = T.StructType(
     [
         T.StructField("target_table", T.StringType()),
@@ -59,6 +61,25 @@ def active_targets(control: DataFrame) -> DataFrame:
     return control.where(F.col("is_active")).orderBy("process_priority", "target_table")
 
 
+def check_targets(targets: Sequence[Target]) -> None:
+    """Refuse control rows that cannot run together, before any file moves.
+
+    Two rows of one target, or of one gold folder's surrogate key name, would write to the
+    same place at once; an empty pattern matches every file.
+    """
+    faults = []
+    for what, value in (("target", lambda t: t.name), ("surrogate key", lambda t: t.surrogate)):
+        counted = Counter(value(target) for target in targets)
+        faults += [f"{n} active rows for the {what} {name}" for name, n in counted.items() if n > 1]
+    for target in targets:
+        if not target.name:
+            faults.append("a row without a target")
+        if target.file_pattern is not None and not target.file_pattern.strip():
+            faults.append(f"an empty file pattern for {target.name}")
+    if faults:
+        raise ValueError("control table: " + "; ".join(faults))
+
+
 def load_targets(control: DataFrame) -> list[Target]:
     """The active targets on the driver, in processing order: one small row per target."""
     targets = [
@@ -73,6 +94,7 @@ def load_targets(control: DataFrame) -> list[Target]:
         )
         for row in control.where(F.col("is_active")).collect()
     ]
+    check_targets(targets)
     return sorted(targets, key=lambda target: (target.priority is not None, target.priority or 0, target.name))
 
 

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from smeltwork.functions.clock import BatchClock
 from smeltwork.functions.naming import ref
 from smeltwork.operators import scd
-from smeltwork.operators.quality import require_unique
 from smeltwork.operators.snapshot import snapshot
 from smeltwork.plans.audit import (
     ALL_TARGETS,
@@ -30,10 +29,15 @@ from smeltwork.sources.zones import Zones, read_gold, read_silver, write_gold
 
 @dataclass(frozen=True)
 class GoldOptions:
-    """``check_keys`` refuses a batch with two rows for one key, at the price of a shuffle of the keys."""
+    """``check_keys`` refuses a batch with two rows for one key, at the price of a shuffle of the keys.
+
+    Silver has one row per key by construction, so a run does not ask again.
+    ``digest_columns`` says what a changed set of columns means, see ``scd.Batch``.
+    """
 
     check_keys: bool = False
     hash_mode: str = "joined"
+    digest_columns: str = "aligned"
     skip_unchanged: bool = False
     close_missing: bool = False
     dense_sk: bool = True
@@ -56,9 +60,7 @@ def merge_silver(
 ) -> scd.Merge:
     """Stage silver rows and merge them into the dimension by the target's strategy."""
     scd.check_source(silver.columns, target.keys, target.surrogate)
-    if options.check_keys:
-        require_unique(silver, target.keys)
-    batch = scd.batch_of(silver, target.keys, clock, options.hash_mode)
+    batch = scd.batch_of(silver, target.keys, clock, options.hash_mode, options.check_keys, options.digest_columns)
     chosen = _merge_options(target.strategy, options)
     return scd.merge(target.strategy, dimension, batch, target.surrogate, scratch, **chosen)
 
@@ -77,6 +79,8 @@ def publish_target(
     silver = read_silver(spark, f"{zones.silver}/{target.name}")
     if silver is None:
         return Outcome(SKIPPED_NO_DATA)
+    if options.close_missing and settings.get("is_snapshot"):
+        raise ValueError("close_missing would end every key outside the snapshot")
     folder = f"{zones.gold}/{target.name}"
     with Scratch(spark) as scratch:
         if settings.get("is_snapshot"):

@@ -156,10 +156,17 @@ def test_snapshot_settings(spark):
     assert 200 < first.count() < 400
 
 
-def test_a_large_limit_is_numbered_instead_of_gathered(spark, many_slices, monkeypatch):
-    monkeypatch.setattr(snapshots, "_SORTED_LIMIT", 10)
+def test_every_limit_is_numbered_instead_of_gathered(spark, many_slices):
     frame = spark.range(1000).repartition(4)
-    assert rows_of(snapshots.first_rows(frame, 40, ["id"])) == sorted([(n,) for n in range(40)], key=repr)
+    for limit in (0, 1, 40, 999, 2000):
+        first = snapshots.first_rows(frame, limit, ["id"])
+        assert rows_of(first) == sorted([(n,) for n in range(min(limit, 1000))], key=repr)
+        assert "TakeOrdered" not in plan_of(first) and "SinglePartition" not in plan_of(first)
+
+
+def test_a_limit_within_one_key_is_settled_by_the_other_columns(spark, many_slices):
+    frame = spark.range(1000).selectExpr("id % 2 AS k", "id AS v", "id AS _number").repartition(4)
+    assert rows_of(snapshots.first_rows(frame, 300, ["k"])) == sorted([(0, n, n) for n in range(0, 600, 2)], key=repr)
 
 
 def test_conservation_accounts_for_every_row(spark):
