@@ -216,10 +216,11 @@ def _refined(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     classes = scratch.store(
         rows.groupBy("key", "identifier").agg(F.count("*").alias("n"), F.min(F.struct("id", "tie", "place")).alias("one")),
         "suffix-classes")
-    mixed = (
+    # Stored, so that the join reads two plain shuffles and Spark may split a key with many classes.
+    mixed = scratch.store(
         classes.groupBy(F.col("key").alias("_key"))
-        .agg(F.count("*").alias("classes"), F.min("n").alias("least")).where("classes > 1 AND least = 1").select("_key")
-    )
+        .agg(F.count("*").alias("classes"), F.min("n").alias("least")).where("classes > 1 AND least = 1").select("_key"),
+        "suffix-mixed")
     live = classes.join(mixed, F.col("key") == F.col("_key"), "left_semi").select("one.*")
     return classes.where("n = 1").select("one.*"), live
 
