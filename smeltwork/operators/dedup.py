@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smeltwork.functions.naming import free_name, ref, refs
+from smeltwork.operators.joining import anti, semi
 
 
 def _newest_first(frame: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> list:
@@ -44,9 +45,12 @@ def merge_latest(
 ) -> DataFrame:
     """Fold a batch into the newest row per key; equals a rescan of the whole history.
 
-    The state holds good and bad rows alike: a rule is applied after this step.
+    The state holds good and bad rows alike: a rule is applied after this step. Only keys
+    in the batch are ranked: the other rows of the state pass without a shuffle while the
+    batch is small enough to be broadcast.
     """
-    return keep_latest(state.unionByName(batch, allowMissingColumns=True), keys, order_by)
+    touched = semi(state, batch, keys).unionByName(batch, allowMissingColumns=True)
+    return keep_latest(touched, keys, order_by).unionByName(anti(state, batch, keys), allowMissingColumns=True)
 
 
 def drop_copies(frame: DataFrame, ignoring: Sequence[str] = ()) -> DataFrame:

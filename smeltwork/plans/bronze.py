@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from smeltwork.functions.clock import BatchClock
+from smeltwork.functions.naming import refs
 from smeltwork.operators.joining import anti
 from smeltwork.plans.audit import (
     ALL_TARGETS,
@@ -104,7 +105,9 @@ def ingest_target(
         number = write_bronze(kept.drop(CORRUPT), folder, batch_id, delivered)
         if options.malformed == "reject" and seen.get["malformed"]:
             drop_attempt(spark, folder, batch_id, number)
-            bad = rows.where(F.col(CORRUPT).isNotNull()).groupBy(SOURCE_FILE).agg(F.count("*").alias("n"))
+            # Spark answers no query on the corrupt column alone, so the others are looked at too.
+            others = F.length(F.concat_ws("", *refs(name for name in rows.columns if name != CORRUPT))) >= 0
+            bad = rows.where(F.col(CORRUPT).isNotNull() & others).groupBy(SOURCE_FILE).agg(F.count("*").alias("n"))
             found = {row[SOURCE_FILE]: row["n"] for row in bad.collect()}
             for path, name in names.items():
                 if name in found:

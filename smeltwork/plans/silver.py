@@ -13,8 +13,8 @@ from smeltwork.functions.casting import typed
 from smeltwork.functions.clock import BatchClock
 from smeltwork.functions.hashing import row_digest
 from smeltwork.functions.naming import standardise
-from smeltwork.operators.dedup import drop_copies, keep_latest
-from smeltwork.operators.joining import anti, semi
+from smeltwork.operators.dedup import drop_copies, keep_latest, merge_latest
+from smeltwork.operators.joining import anti
 from smeltwork.operators.quarantine import VERDICT, Routed, route
 from smeltwork.plans.audit import (
     ALL_TARGETS,
@@ -90,8 +90,7 @@ def fold(state: DataFrame, batch: DataFrame | None, target: Target, options: Sil
     both = typed(state, options.types)
     if batch is not None:
         fresh = typed(standardise(batch, options.on_collision), options.types)
-        touched = semi(both, fresh, target.keys).unionByName(fresh, allowMissingColumns=True)
-        both = keep_latest(touched, target.keys).unionByName(anti(both, fresh, target.keys), allowMissingColumns=True)
+        both = merge_latest(both, fresh, target.keys)
     return route(both, target.rule, options.on_unknown, target.keys, options.null_keys)
 
 

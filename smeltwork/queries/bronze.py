@@ -13,14 +13,16 @@ from smeltwork.functions.casting import string_safe
 from smeltwork.functions.clock import BatchClock
 from smeltwork.functions.naming import surrogate_name_of
 from smeltwork.operators.views import control_rules
+from smeltwork.plans.audit import AuditTrail
 from smeltwork.plans.bronze import ingest_target
 from smeltwork.plans.control import Target, active_targets, change_strategy
 from smeltwork.queries.registry import Query, table, text_list
 from smeltwork.session import fresh_folder
+from smeltwork.sources import files
 from smeltwork.sources.landing import landing_entries, route, routed_entries
 from smeltwork.sources.readers import ReadOptions
 from smeltwork.sources.zones import Zones, read_bronze
-from smeltwork.streaming.ingest import ingest_available, landing_stream
+from smeltwork.streaming.ingest import ingest_available, landing_stream, stream_targets
 
 INGESTED_AT = "2024-01-01 00:00:00"
 CLOCK = BatchClock.at(INGESTED_AT)
@@ -38,7 +40,7 @@ EVENTS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 def land(frame: DataFrame, landing: str, name: str, tag: str = "row") -> None:
     """Put a frame into the landing folder in the format its name says."""
-    kind = name.rsplit(".", 1)[1]
+    kind = name.rsplit(".", 1)[1].lower()
     writer = frame.write
     if kind == "csv":
         writer.option("header", True).csv(f"{landing}/{name}")
@@ -50,23 +52,30 @@ def land(frame: DataFrame, landing: str, name: str, tag: str = "row") -> None:
         writer.parquet(f"{landing}/{name}")
 
 
+def ingest_landed(
+    spark: SparkSession, zones: Zones, target: str, batch_id: str = "batch-1", options: ReadOptions = ReadOptions()
+) -> DataFrame:
+    """Ingest what lies in landing as one batch and read all of the target's bronze back."""
+    rules = Target(target, "feed", "row", "SCD1", (), None, 1)
+    routed = routed_entries(spark, landing_entries(spark, zones.landing), [(target, "feed")])
+    outcomes = ingest_target(spark, rules, routed, zones, CLOCK, batch_id, options)
+    failed = [outcome.error_message for outcome in outcomes.values() if outcome.error_message]
+    if failed:
+        raise RuntimeError(failed[0])
+    return read_bronze(spark, f"{zones.bronze}/{target}")
+
+
 def ingest(
     spark: SparkSession,
-    files: Sequence[tuple[str, DataFrame]],
+    landed: Sequence[tuple[str, DataFrame]],
     target: str,
     options: ReadOptions = ReadOptions(),
 ) -> DataFrame:
     """Land the frames under their names, ingest them as one batch, and read bronze back."""
     zones = Zones.under(fresh_folder(spark, "ingest"))
-    for name, frame in files:
+    for name, frame in landed:
         land(frame, zones.landing, name)
-    rules = Target(target, "feed", "row", "SCD1", (), None, 1)
-    routed = routed_entries(spark, landing_entries(spark, zones.landing), [(target, "feed")])
-    outcomes = ingest_target(spark, rules, routed, zones, CLOCK, "batch-1", options)
-    failed = [outcome.error_message for outcome in outcomes.values() if outcome.error_message]
-    if failed:
-        raise RuntimeError(failed[0])
-    return read_bronze(spark, f"{zones.bronze}/{target}")
+    return ingest_landed(spark, zones, target, options=options)
 
 
 def _ingest_one(
@@ -98,17 +107,18 @@ _SEGMENT_FILES = {
 def _ingest_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One target fed by five files in four formats; one CSV has its columns in another order."""
     customer = table(spark, sf_dir, "customer")
-    frames = [
-        (file, customer.where(F.col("c_mktsegment") == segment)) for segment, file in _SEGMENT_FILES.items()
-    ]
-    turned = frames[-1][1].select(*reversed(CUSTOMERS))
+    *named, last = _SEGMENT_FILES
+    frames = [(_SEGMENT_FILES[segment], customer.where(F.col("c_mktsegment") == segment)) for segment in named]
+    rest = customer.where(F.coalesce(~F.col("c_mktsegment").isin(named), F.lit(True)))
+    frames.append((_SEGMENT_FILES[last], rest))
+    turned = rest.select(*reversed(CUSTOMERS))
     return ingest(spark, [*frames[:-1], (frames[-1][0], turned)], "gold_customer_dim")
 
 
 _MIXED_SQL = f"""
 SELECT {text_list(CUSTOMERS)},
-       CASE c_mktsegment {" ".join(f"WHEN '{segment}' THEN '{file}'" for segment, file in _SEGMENT_FILES.items())}
-       END AS source_file,
+       CASE c_mktsegment {" ".join(f"WHEN '{segment}' THEN '{file}'" for segment, file in list(_SEGMENT_FILES.items())[:-1])}
+       ELSE '{list(_SEGMENT_FILES.values())[-1]}' END AS source_file,
        '{INGESTED_AT}' AS ingest_timestamp
 FROM customer
 """
@@ -119,7 +129,12 @@ def _drifted(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     small = part.where("p_size <= 25").drop("p_type")
     large = part.where("p_size > 25").withColumn("p_origin", F.lit("import"))
-    return ingest(spark, [("feed_small.csv", small), ("feed_large.parquet", large)], "gold_part_dim")
+    zones = Zones.under(fresh_folder(spark, "drift"))
+    for name, frame, batch in (("feed_small.csv", small, "batch-1"), ("feed_large.parquet", large, "batch-2")):
+        land(frame, zones.landing, name)
+        ingest_landed(spark, zones, "gold_part_dim", batch)
+        files.move(spark, f"{zones.landing}/{name}", f"{zones.raw_archive}/{name}")
+    return read_bronze(spark, f"{zones.bronze}/gold_part_dim")
 
 
 _DRIFTED_SQL = f"""
@@ -238,13 +253,111 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event through the file stream; the second run finds nothing new."""
     base = fresh_folder(spark, "stream")
     events = table(spark, sf_dir, "events")
-    events.write.parquet(f"{base}/landing")
+    events.write.parquet(f"{base}/landing/feed_events.parquet")
     folder = f"{base}/bronze/events"
     schema = T.StructType(events.schema.fields)
     for _ in range(2):
         stream = landing_stream(spark, f"{base}/landing", "parquet", schema)
         ingest_available(stream, folder, f"{base}/checkpoint", CLOCK)
-    return read_bronze(spark, folder).drop("source_file")
+    return read_bronze(spark, folder)
+
+
+def _stream_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines streamed as CSV files of two column orders and a JSON file, routed by the control rows."""
+    zones = Zones.under(fresh_folder(spark, "stream"))
+    lines = string_safe(table(spark, sf_dir, "lineitem"))
+    targets = [Target("gold_line_fact", "feed", None, "SCD1", ("l_orderkey", "l_linenumber"), None, 1)]
+    parts = (
+        ("feed_a.csv", lines.where("l_returnflag = 'A'")),
+        ("feed_n.CSV", lines.where("l_returnflag = 'N'").select(*reversed(LINES))),
+        ("feed_rest.json", lines.where("l_returnflag NOT IN ('A', 'N') OR l_returnflag IS NULL")),
+    )
+    for name, rows in parts:
+        land(rows, zones.landing, name)
+        trail = AuditTrail(spark, zones.audit, name)
+        stream_targets(spark, zones, targets, CLOCK, f"{zones.audit}-checkpoint", trail)
+    return read_bronze(spark, f"{zones.bronze}/gold_line_fact")
+
+
+_STREAM_LAYOUTS_SQL = f"""
+SELECT {text_list(LINES)},
+       CASE l_returnflag WHEN 'A' THEN 'feed_a.csv' WHEN 'N' THEN 'feed_n.CSV' ELSE 'feed_rest.json' END AS source_file,
+       '{INGESTED_AT}' AS ingest_timestamp
+FROM lineitem
+"""
+
+
+def _json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One object per line, the lines ending in a tab or spaces, in a folder of several files."""
+    zones = Zones.under(fresh_folder(spark, "json"))
+    events = string_safe(table(spark, sf_dir, "events"))
+    end = F.when(F.col("event_type") == "click", F.lit("\t")).otherwise(F.lit("  "))
+    text = events.select(F.concat(F.to_json(F.struct(*EVENTS), {"ignoreNullFields": "false"}), end))
+    text.repartition(4).write.text(f"{zones.landing}/feed_events.json")
+    return ingest_landed(spark, zones, "gold_event_fact")
+
+
+def _json_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A value per line, an array over many lines, and one object over many lines, in one landing folder."""
+    zones = Zones.under(fresh_folder(spark, "json"))
+    parts = string_safe(table(spark, sf_dir, "part")).select("p_partkey", "p_name")
+    parts.select(F.to_json(F.struct("*"))).write.text(f"{zones.landing}/feed_lines.json")
+    nations = string_safe(table(spark, sf_dir, "nation")).select(
+        F.col("n_nationkey").alias("p_partkey"), F.col("n_name").alias("p_name"))
+    listed = nations.agg(F.to_json(F.array_sort(F.collect_list(F.struct("*")))).alias("value"))  # 25 nations at any size
+    spread = listed.select(F.replace("value", F.lit("},{"), F.lit("},\n{")))
+    spread.coalesce(1).write.text(f"{zones.landing}/feed_array.json")
+    region = string_safe(table(spark, sf_dir, "region").where("r_regionkey = 0")).select(
+        F.to_json(F.struct(F.col("r_regionkey").alias("p_partkey"), F.col("r_name").alias("p_name")), {"pretty": "true"}))
+    region.coalesce(1).write.text(f"{zones.landing}/feed_object.json")
+    return ingest_landed(spark, zones, "gold_part_dim")
+
+
+_JSON_SHAPES_SQL = f"""
+SELECT *, '{INGESTED_AT}' AS ingest_timestamp FROM (
+  SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, 'feed_lines.json' AS source_file FROM part
+  UNION ALL SELECT CAST(n_nationkey AS VARCHAR), n_name, 'feed_array.json' FROM nation
+  UNION ALL SELECT CAST(r_regionkey AS VARCHAR), r_name, 'feed_object.json' FROM region WHERE r_regionkey = 0
+)
+"""
+
+
+def _csv_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One CSV folder whose part files have their columns in two orders."""
+    zones = Zones.under(fresh_folder(spark, "csv"))
+    orders = string_safe(table(spark, sf_dir, "orders"))
+    writer = {"header": "true"}
+    urgent = F.coalesce(F.col("o_orderpriority") == "1-URGENT", F.lit(False))
+    orders.where(urgent).write.options(**writer).csv(f"{zones.landing}/feed_orders.csv")
+    turned = orders.where(~urgent).select(*reversed(ORDERS))
+    turned.write.mode("append").options(**writer).csv(f"{zones.landing}/feed_orders.csv")
+    return ingest_landed(spark, zones, "gold_orders_fact")
+
+
+def _csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts with line breaks in quoted fields."""
+    zones = Zones.under(fresh_folder(spark, "csv"))
+    documents = string_safe(table(spark, sf_dir, "documents"))
+    keep = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    documents.write.options(**keep).csv(f"{zones.landing}/feed_documents.csv")
+    return ingest_landed(spark, zones, "gold_document_fact", options=ReadOptions(csv_multiline=True))
+
+
+def _parquet_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One Parquet folder whose part files have two sets of columns."""
+    zones = Zones.under(fresh_folder(spark, "parquet"))
+    customer = table(spark, sf_dir, "customer")
+    rich = F.coalesce(F.col("c_acctbal") > 0, F.lit(False))
+    customer.where(rich).write.parquet(f"{zones.landing}/feed_customer.parquet")
+    customer.where(~rich).drop("c_name").write.mode("append").parquet(f"{zones.landing}/feed_customer.parquet")
+    return ingest_landed(spark, zones, "gold_customer_dim")
+
+
+_PARQUET_FOLDER_SQL = f"""
+SELECT {text_list([c for c in CUSTOMERS if c != "c_name"])}, CASE WHEN c_acctbal > 0 THEN c_name END AS c_name,
+       'feed_customer.parquet' AS source_file, '{INGESTED_AT}' AS ingest_timestamp
+FROM customer
+"""
 
 
 def _all_text(names: Sequence[str]) -> Callable[[SparkSession, str], DataFrame]:
@@ -297,7 +410,11 @@ FROM control""",
        replace(replace(replace(target_table, 'gold_', ''), '_dim', ''), '_fact', '') || '_sk' AS surrogate_name
 FROM control""",
     ),
-    "stream_ingest": Query(
-        _stream, f"SELECT {text_list(EVENTS)}, '{INGESTED_AT}' AS ingest_timestamp FROM events"
-    ),
+    "stream_ingest": Query(_stream, _ingest_sql("events", EVENTS, "feed_events.parquet")),
+    "stream_ingest_layouts": Query(_stream_layouts, _STREAM_LAYOUTS_SQL),
+    "ingest_json_lines": Query(_json_lines, _ingest_sql("events", EVENTS, "feed_events.json")),
+    "ingest_json_shapes": Query(_json_shapes, _JSON_SHAPES_SQL),
+    "ingest_csv_folder": Query(_csv_folder, _ingest_sql("orders", ORDERS, "feed_orders.csv")),
+    "ingest_csv_quoted": Query(_csv_quoted, _ingest_sql("documents", DOCUMENTS, "feed_documents.csv")),
+    "ingest_parquet_folder": Query(_parquet_folder, _PARQUET_FOLDER_SQL),
 }

@@ -94,11 +94,18 @@ def _merged_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches by order status, folded one after the other into the newest row per line."""
     joined = _lines(spark, sf_dir)
     state = keep_latest(joined.where("l_returnflag = 'A'"), _LINE_KEYS, _LINE_ORDER)
-    for flag in ("N", "R"):
-        state = merge_latest(state, joined.where(F.col("l_returnflag") == flag), _LINE_KEYS, _LINE_ORDER)
+    other = F.coalesce(~F.col("l_returnflag").isin("A", "N"), F.lit(True))
+    for batch in (F.col("l_returnflag") == "N", other):
+        state = merge_latest(state, joined.where(batch), _LINE_KEYS, _LINE_ORDER)
     return state
 
 
+def _own_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source may have columns named like the library's own working columns."""
+    ranked = _lines(spark, sf_dir).withColumns({"_rank": F.col("l_linenumber"), "_RANK_": F.lit("kept")})
+    return keep_latest(ranked, _LINE_KEYS, _LINE_ORDER)
+
+
 _RULE = "c_acctbal < 0"
 _UNSURE = """
 SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_acctbal END AS c_acctbal, c_mktsegment
@@ -183,6 +190,9 @@ QUALIFY row_number() OVER (PARTITION BY text, lang, n_chars ORDER BY doc_id DESC
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",
     ),
     "dedup_skewed_key": Query(_skewed, _SKEWED_SQL),
+    "dedup_own_names": Query(
+        _own_rank, f"SELECT *, l_linenumber AS _rank, 'kept' AS _RANK_ FROM ({_LATEST_LINES_SQL})"
+    ),
     "latest_incremental": Query(_merged_batches, _LATEST_LINES_SQL),
     "quarantine_bad": Query(
         lambda spark, sf_dir: _routed(spark, sf_dir).bad, f"SELECT * FROM ({_UNSURE}) WHERE ({_RULE}) IS TRUE"

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smeltwork.functions.casting import string_safe
 from smeltwork.functions.clock import BatchClock
+from smeltwork.plans.audit import ALL_TARGETS, BRONZE, UNMATCHED, AuditTrail, Outcome, now
+from smeltwork.plans.bronze import ingest_target
+from smeltwork.plans.control import Target
 from smeltwork.sources import files
-from smeltwork.sources.readers import INGEST_TIMESTAMP, SOURCE_FILE, landed_name
-from smeltwork.sources.zones import write_bronze
+from smeltwork.sources.landing import landing_entries, routed_entries
+from smeltwork.sources.readers import INGEST_TIMESTAMP, SOURCE_FILE, ReadOptions, landed_name
+from smeltwork.sources.zones import Zones, write_bronze
 
 
 def landing_stream(
@@ -59,3 +66,61 @@ def ingest_available(stream: DataFrame, folder: str, checkpoint: str, clock: Bat
     )
     query.awaitTermination()
     return sum(written.values())
+
+
+def stream_targets(
+    spark: SparkSession,
+    zones: Zones,
+    targets: Sequence[Target],
+    clock: BatchClock,
+    checkpoint: str,
+    trail: AuditTrail,
+    options: ReadOptions = ReadOptions(),
+) -> list[str]:
+    """Ingest all landed files not seen before, by the same steps as a batch run; returns the landed names.
+
+    The stream carries the names of files, not their rows: what it has seen is kept in its
+    checkpoint, and each micro-batch routes its files, groups them by layout, refuses bad
+    ones and leaves audit rows like ``run_bronze``. Files of every format, with any header,
+    may arrive; files stay where they are, since the checkpoint knows them. Names without a
+    dot are not listed, and so neither are the archive folders below landing.
+    """
+    names: list[str] = []
+    patterns = [(target.name, target.file_pattern) for target in targets if target.file_pattern]
+    by_name = {target.name: target for target in targets}
+    inner = [files.encoded_path(spark, folder) for folder in (zones.bronze, zones.raw_archive)]
+    listing = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .option("recursiveFileLookup", True)
+        .load(f"{zones.landing.rstrip('/')}/*.*")
+        .select(landed_name(files.encoded_path(spark, zones.landing)).alias("name"), "path")
+    )
+
+    def write(rows: DataFrame, number: int) -> None:
+        query_id = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        outside = ~reduce(Column.__or__, [F.contains("path", F.lit(f"{folder}/")) for folder in inner])
+        landed = {row["name"] for row in rows.where(outside).select("name").distinct().collect()}
+        waiting = [entry for entry in landing_entries(spark, zones.landing) if entry.name in landed]
+        routed = routed_entries(spark, waiting, patterns)
+        for entry in routed:
+            if entry["target_table"] is None:
+                trail.record(ALL_TARGETS, BRONZE, now(), Outcome(UNMATCHED, source_file=entry["name"]))
+        for name, target in by_name.items():
+            mine = [entry for entry in routed if entry["target_table"] == name]
+            if mine:
+                start = now()
+                outcomes = ingest_target(spark, target, mine, zones, clock, f"stream-{query_id}-{number}", options)
+                for outcome in outcomes.values():
+                    trail.record(name, BRONZE, start, outcome)
+        trail.flush()
+        names.extend(sorted(landed))
+
+    query = (
+        listing.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return names
