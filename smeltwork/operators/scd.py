@@ -58,17 +58,14 @@ def check_source(columns: Sequence[str], keys: Sequence[str], sk: str) -> None:
 class Batch:
     """Silver rows to merge, one per key, and how they are stamped.
 
-    ``digest_columns`` rules batches whose columns are not the dimension's. ``aligned``
-    hashes the columns of both, NULL where one lacks them: a new column versions the rows
-    that have a value in it. ``shared`` hashes what both have, so a column that comes or
-    goes versions nothing.
+    Where the batch's columns are not the dimension's, digests cover the columns of both,
+    NULL where one lacks them: a new column versions the rows that have a value in it.
     """
 
     silver: DataFrame
     keys: tuple[str, ...]
     clock: BatchClock
     hash_mode: str = "joined"
-    digest_columns: str = "aligned"
     hashed: tuple[str, ...] | None = None
 
     def stage(self, rows: DataFrame) -> DataFrame:
@@ -94,10 +91,7 @@ class Batch:
         new = business_columns(self.silver.columns, self.keys)
         if old == new:
             return self, dimension, False
-        if self.digest_columns not in ("aligned", "shared"):
-            raise ValueError(f"unknown digest_columns: {self.digest_columns}")
-        pick = set.union if self.digest_columns == "aligned" else set.intersection
-        hashed = tuple(sorted(pick(set(old), set(new))))
+        hashed = tuple(sorted({*old, *new}))
         digest = row_digest(hashed, self.hash_mode, missing_in=dimension.columns)
         anew = F.when(F.col("is_active"), digest).otherwise(ref(HASH))
         return replace(self, hashed=hashed), dimension.withColumn(HASH, anew), True
@@ -113,13 +107,12 @@ def batch_of(
     clock: BatchClock,
     hash_mode: str = "joined",
     check_keys: bool = True,
-    digest_columns: str = "aligned",
 ) -> Batch:
     """A batch to merge. A key with two rows would fan out the dimension, so it is refused here
     unless the caller knows that keys are unique."""
     if check_keys:
         require_unique(silver, keys)
-    return Batch(silver, tuple(keys), clock, hash_mode, digest_columns)
+    return Batch(silver, tuple(keys), clock, hash_mode)
 
 
 def aligned(frame: DataFrame, columns: Sequence[str], like: DataFrame | None = None) -> DataFrame:

@@ -32,12 +32,10 @@ class GoldOptions:
     """``check_keys`` refuses a batch with two rows for one key, at the price of a shuffle of the keys.
 
     Silver has one row per key by construction, so a run does not ask again.
-    ``digest_columns`` says what a changed set of columns means, see ``scd.Batch``.
     """
 
     check_keys: bool = False
     hash_mode: str = "joined"
-    digest_columns: str = "aligned"
     skip_unchanged: bool = False
     close_missing: bool = False
     dense_sk: bool = True
@@ -60,7 +58,7 @@ def merge_silver(
 ) -> scd.Merge:
     """Stage silver rows and merge them into the dimension by the target's strategy."""
     scd.check_source(silver.columns, target.keys, target.surrogate)
-    batch = scd.batch_of(silver, target.keys, clock, options.hash_mode, options.check_keys, options.digest_columns)
+    batch = scd.batch_of(silver, target.keys, clock, options.hash_mode, options.check_keys)
     chosen = _merge_options(target.strategy, options)
     return scd.merge(target.strategy, dimension, batch, target.surrogate, scratch, **chosen)
 
