@@ -150,10 +150,9 @@ def mix(docs: DataFrame, options: MixOptions = MixOptions(), id_column: str = "d
                       T.StructField("_target", T.DoubleType())]),
     )
 
-    def with_target(frame: DataFrame) -> DataFrame:
-        return frame.join(plan, F.col("_source").eqNullSafe(F.col("_s")), "inner").drop("_s")
-
-    blocks = with_target(words)
+    # At most max_sources small rows, checked above: broadcast, or a join on sources would gather a hot one.
+    named = F.broadcast(plan)
+    blocks = words.join(named, F.col("_source").eqNullSafe(F.col("_s")), "inner").drop("_s")
     seed, most = options.seed, options.most_repeats
 
     def choose(group: pd.DataFrame) -> pd.DataFrame:
@@ -186,9 +185,12 @@ def mix(docs: DataFrame, options: MixOptions = MixOptions(), id_column: str = "d
         .groupBy(F.col("_source").alias("_s"), F.col("_block").alias("_b"))
         .agg(F.array_sort(F.collect_list(F.struct("_copy", "_shard"))).alias("_places"))
     )
-    joined = with_target(marked).join(places, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b")), "left")
+    same = F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b"))
     empty = F.array().cast("array<struct<_copy:int,_shard:bigint>>")
-    return joined.withColumn("_places", F.coalesce("_places", empty)).drop("_s", "_b", "_block")
+    drawn_blocks = blocks.join(places, same, "left").select(
+        F.col("_source").alias("_s"), F.col("_block").alias("_b"), "_source_size", "_target",
+        F.coalesce("_places", empty).alias("_places"))
+    return marked.join(drawn_blocks, same).drop("_s", "_b", "_block")
 
 
 def _number_in_run(sorted_values: np.ndarray) -> np.ndarray:
