@@ -193,7 +193,8 @@ def scd1(
     The dimension is the left side of the update join: a small batch is broadcast to
     it and the dimension stays where it is.
     """
-    batch, dimension, _ = batch.against(dimension, sk)
+    if skip_unchanged:  # else nothing is compared, and digests cover the batch's own columns
+        batch, dimension, _ = batch.against(dimension, sk)
     keys, staged = batch.keys, batch.staged
     columns = _merged_columns(dimension, batch, sk)
     active, closed = _split_active(dimension)
