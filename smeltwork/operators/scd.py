@@ -189,15 +189,24 @@ def scd1(
     """Update matching rows in place, insert new ones, delete nothing.
 
     Only active rows are matched, so a dimension that was versioned before keeps its
-    ended versions. ``skip_unchanged`` leaves a row alone when its digest is equal.
-    The dimension is the left side of the update join: a small batch is broadcast to
+    ended versions. ``skip_unchanged`` leaves a row alone when its digest is equal: the
+    rows that differ are found first, only they are merged, and a batch without any
+    changes nothing. The dimension is the left side of the update join: a small batch is broadcast to
     it and the dimension stays where it is.
     """
+    rehashed = False
     if skip_unchanged:  # else nothing is compared, and digests cover the batch's own columns
-        batch, dimension, _ = batch.against(dimension, sk)
+        batch, dimension, rehashed = batch.against(dimension, sk)
     keys, staged = batch.keys, batch.staged
     columns = _merged_columns(dimension, batch, sk)
     active, closed = _split_active(dimension)
+    if skip_unchanged:
+        space = scratch or Scratch(dimension.sparkSession, keep=True)
+        differing = space.store(new_versions(active, staged, keys), "differing")
+        if not rehashed and not differing.limit(1).count():
+            return Merge(aligned(closed, columns, staged), aligned(active, columns, staged), 0, changed=False)
+        batch = replace(batch, silver=differing.select(*[ref(name) for name in batch.silver.columns]))
+        staged = batch.staged
     fresh = anti(batch.silver, existing_keys(active, batch.silver, keys), keys)
     done = _numbered(fresh, keys, sk, _base(dimension, sk), scratch)
 

@@ -71,7 +71,7 @@ def publish_target(
     settings: Mapping[str, Any],
     options: GoldOptions = GoldOptions(),
 ) -> Outcome:
-    """Merge one target and publish the result; an SCD2 batch without changes writes nothing."""
+    """Merge one target and publish the result; a batch known to change nothing writes nothing."""
     if not target.keys:
         return Outcome(SKIPPED_NO_DATA, error_message="no natural keys: the target ends at silver")
     silver = read_silver(spark, f"{zones.silver}/{target.name}")
@@ -87,10 +87,19 @@ def publish_target(
         merged = merge_silver(silver, read_gold(spark, folder), target, clock, options, scratch)
         rows = silver.count()
         if not merged.changed:
-            return Outcome(rows_processed=rows, rows_inserted=0, rows_expired=0)
+            return Outcome(rows_processed=rows, rows_inserted=0, rows_expired=0, rows_updated=0)
         seen = Observation()
-        write_gold(merged.current.observe(seen, F.count_if(~ref("is_active")).alias("expired")), folder)
-        return Outcome(rows_processed=rows, rows_inserted=merged.inserted, rows_expired=seen.get["expired"])
+        stamped = ref("is_active") & (ref("effective_start_date") == clock.now)
+        counted = merged.current.observe(
+            seen, F.count_if(~ref("is_active")).alias("expired"), F.count_if(stamped).alias("stamped")
+        )
+        write_gold(counted, folder)
+        return Outcome(
+            rows_processed=rows,
+            rows_inserted=merged.inserted,
+            rows_expired=seen.get["expired"],
+            rows_updated=seen.get["stamped"] - merged.inserted,
+        )
 
 
 def run_gold(

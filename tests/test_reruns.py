@@ -229,3 +229,17 @@ def test_stream_of_any_layout(spark, zones):
     put(zones, "item_e.json", '{"v":"e","id":"5"}')
     assert stream_targets(spark, zones, rules, CLOCKS[1], checkpoint, trail) == ["item_e.json"]
     assert rows_of(read_bronze(spark, f"{zones.bronze}/{ITEM}").select("id", "v")) == [("1", "a"), ("2", "b"), ("5", "e")]
+
+
+def test_an_unchanged_scd1_batch_writes_nothing(spark, zones):
+    rules = control_of(spark, target_row(ITEM, "item", strategy="SCD1"))
+    options = RunOptions(gold=GoldOptions(skip_unchanged=True))
+    outcomes = []
+    for n, text in enumerate(("1,a\n2,b\n", "1,a\n2,b\n", "2,B\n3,c\n"), start=1):
+        put(zones, f"item_{n}.csv", "id,v\n" + text)
+        trail = run_layers(spark, zones, rules, CLOCKS[n - 1], f"run-{n}", options=options)
+        outcomes.append(next(o for layer, _, o in trail.outcomes if layer == "Gold_V2"))
+    assert [(o.rows_inserted, o.rows_updated) for o in outcomes] == [(2, 0), (0, 0), (1, 1)]
+    gold = Path(f"{zones.gold}/{ITEM}/active")
+    assert sorted(p.name for p in gold.iterdir()) == ["v=1", "v=2"]
+    assert rows_of(read_gold(spark, f"{zones.gold}/{ITEM}").select("id", "v")) == [("1", "a"), ("2", "B"), ("3", "c")]
