@@ -3,7 +3,8 @@
 The suffix array is built by prefix doubling; the longest common prefix of neighbours in it gives, for every position,
 the longest substring that starts there and occurs elsewhere in the document. The longest-common-prefix intervals are
 the maximal repeated substrings; the union of their occurrences of ``least_words`` words or more is the covered part.
-A document is rejected if the covered share of its word characters or its longest repeat passes a limit.
+A document is rejected if the covered share of its word characters or its longest repeat passes a limit. Both limits lie
+well inside the base rule on repeated windows of three words, which alone rejects what repeats over half of its words.
 
 Defined results: null and empty texts have no words, fail the base rules and are not kept; one very long text is held by
 one task, with a few numbers per word; rows with equal ids are judged each on its own; an empty table gives no rows.
@@ -29,12 +30,16 @@ _SCHEMA = (", ".join(f"{name} long" for name in _LONGS)
 
 @dataclass(frozen=True)
 class RepetitionOptions:
-    """``longest_share`` limits the longest repeat as a share of the document's words, once it has ``longest_words``."""
+    """``longest_share`` limits the longest repeat as a share of the document's words, once it has ``longest_words``.
+
+    A repeat of more than ``longest_most`` words is too long in a document of any length: a passage copied, not a phrase.
+    """
 
     least_words: int = 8
-    most_covered: float = 0.5
+    most_covered: float = 0.2
     longest_words: int = 60
-    longest_share: float = 0.25
+    longest_share: float = 0.05
+    longest_most: int = 200
     base_words: int = 50
     base_percent: int = 50
 
@@ -106,7 +111,7 @@ def judge(text: str | None, options: RepetitionOptions) -> tuple:
         long = np.flatnonzero(lengths >= options.least_words)
         covered = float(sizes[_covered(long, lengths[long], n)].sum() / max(1, sizes.sum()))
     failed = n < options.base_words or 100 * repeat_words > options.base_percent * n
-    too_long = longest >= options.longest_words and longest > options.longest_share * n
+    too_long = longest >= options.longest_words and longest > min(options.longest_share * n, options.longest_most)
     kept = not failed and covered <= options.most_covered and not too_long
     return n, word_chars, symbols, dup_lines, repeat_words, failed, kept, covered, longest
 

@@ -63,6 +63,28 @@ def test_long_repeats_are_rejected_and_plain_texts_kept(words):
     assert not row[5] and not row[6] and 0.2 < row[7] < 0.4
 
 
+def test_default_limits_reject_what_the_base_rules_pass(words):
+    # 20,000 words that hold one passage of 4,900 words twice: 49 % covered.
+    passage = words(2, 4900)
+    row = judge(passage + " " + words(3, 10_200) + " " + passage, OPTIONS)
+    assert not row[5] and not row[6] and row[7] < 0.5 and row[8] == 4900
+    # A copied passage of 300 words is too long in a text of any length, though it covers little.
+    passage = words(4, 300)
+    row = judge(passage + " " + words(5, 19_400) + " " + passage, OPTIONS)
+    assert not row[5] and not row[6] and row[7] < 0.05 and row[8] == 300
+    # In a shorter text 80 words are.
+    passage = words(6, 80)
+    row = judge(passage + " " + words(7, 840) + " " + passage, OPTIONS)
+    assert not row[5] and not row[6] and row[7] < 0.2 and row[8] == 80
+    # Many short repeats cover too much, though none is long.
+    parts = [words(10 + i, 25) for i in range(6)]
+    row = judge(" ".join([*parts, words(8, 700), *reversed(parts)]), OPTIONS)
+    assert not row[5] and not row[6] and 0.2 < row[7] < 0.5 and row[8] == 25
+    # A phrase said twice is no reason.
+    phrase = words(9, 40)
+    assert judge(phrase + " " + words(10, 900) + " " + phrase, OPTIONS)[6]
+
+
 def test_odd_rows(make_docs, odd_rows):
     got = repetition_rules(make_docs(odd_rows)).collect()
     want = [(doc, *plain_base(text)) for doc, text in odd_rows]
