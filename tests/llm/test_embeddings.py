@@ -43,6 +43,32 @@ def test_links_reach_nearly_all_pairs_and_no_others(spark, block_rows):
             assert row["component_id"] == row["vec_id"]
 
 
+@pytest.mark.parametrize("group", [200, 300, 600])
+def test_pairs_of_a_dominant_group_are_found(spark, group):
+    """A third, a half or all of the vectors lie round one centre: seen from the mean, near copies lie far apart."""
+    rng = np.random.default_rng(group)
+    vectors = rng.normal(size=(600, 64))
+    vectors[:group] = 3 * rng.normal(size=64) + rng.normal(size=(group, 64))
+    vectors = vectors.astype(np.float32)
+    links = brute(vectors)
+    assert links.sum() > 10_000 and brute(vectors, 0.94).sum() < 0.02 * links.sum()
+    rows = [(i, [float(x) for x in v], None) for i, v in enumerate(vectors)]
+    n = np.array([r["n_links"] for r in sorted(near_vectors(frame(spark, rows)).collect())])
+    assert (n <= links.sum(1)).all()
+    assert n.sum() >= 0.99 * links.sum(), n.sum() / links.sum()
+
+
+def test_any_number_of_lengths(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for length in range(2, 42):
+        vector = rng.normal(size=length)
+        rows += [(10 * length + i, [float(x) for x in vector * (i + 1)], None) for i in range(3)]
+    got = near_vectors(frame(spark, rows), ItqOptions(max_lengths=3, block_rows=2)).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == [
+        (10 * length + i, 2, 10 * length) for length in range(2, 42) for i in range(3)]
+
+
 def test_equal_and_bad_vectors(spark):
     a, nan, inf = [1.0, 2.0, 3.0], float("nan"), float("inf")
     rows = [(7, a, 1), (5, a, 1), (5, a, 2), (9, [2.0, 4.0, 6.0], 1), (1, None, 1), (2, [], 1), (3, [0.0, 0.0, 0.0], 1),
