@@ -1,8 +1,8 @@
 """Secret scans: fixed patterns, and two character Markov models compared by log-likelihood ratio.
 
 The patterns find assigned values, access keys and long hex strings. A first-order Markov model of random strings is
-trained on the characters of what they find, another of ordinary identifiers on words outside of it, both from a bounded
-sample of documents and both smoothed. A further token of 16 characters or more is a secret if it holds a letter (digits
+trained on the characters of what they find, another of ordinary identifiers on words outside of it, both smoothed and
+both counted over all documents: each distinct secret and each distinct identifier counts once. A further token of 16 characters or more is a secret if it holds a letter (digits
 alone are numbers, not secrets) and random strings explain its transitions better than identifiers by ``least_ratio``
 (natural log). Everything runs on built-in functions.
 
@@ -36,14 +36,12 @@ _IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_][A-Za-z0-9_]{5,}+(?![+/=-])"
 
 @dataclass(frozen=True)
 class SecretOptions:
-    """``sample_docs`` bounds the documents that the models are trained on."""
+    """Identifiers of ``ordinary_docs`` documents or more are ordinary, however many documents there are."""
 
-    sample_docs: int = 20_000
     ordinary_docs: int = 3
     smoothing: float = 0.5
     backing: float = 5.0
     least_ratio: float = 8.0
-    seed: int = 29
 
 
 def _spans(text: Column, kind: str, rank: int, pattern: str, group: int, least: int) -> Column:
@@ -115,30 +113,26 @@ def train(samples: DataFrame, options: SecretOptions = SecretOptions()) -> list[
     return ratios
 
 
-def samples_of(docs: DataFrame, options: SecretOptions = SecretOptions(), id_column: str = "doc_id",
-               text_column: str = "text") -> DataFrame:
-    """Labelled tokens of about ``sample_docs`` documents.
+def samples_of(docs: DataFrame, options: SecretOptions = SecretOptions(), text_column: str = "text") -> DataFrame:
+    """Labelled tokens of all documents, each distinct one once.
 
-    Random: the values that patterns found. Ordinary: identifiers outside of them that occur in ``ordinary_docs`` sampled
+    Random: the values that patterns found. Ordinary: identifiers outside of them that occur in ``ordinary_docs``
     documents or more, as random strings hardly do.
     """
-    total = docs.count()
-    share = min(1 << 30, (1 << 30) * options.sample_docs // max(1, total) + 1)
-    texts = only(docs, doc_id=id_column, text=text_column)
-    picked = texts.where(F.pmod(F.xxhash64(F.lit(options.seed), "doc_id"), F.lit(1 << 30)) < share)
     text = text_of(F.col("text"))
     rest = text
     for _, pattern, _, _ in PATTERNS:
         rest = F.regexp_replace(rest, pattern, " ")
-    marked = picked.select(
-        F.transform(base_spans(text), lambda s: s["value"]).alias("secrets"),
-        F.array_distinct(F.regexp_extract_all(rest, F.lit(_IDENTIFIER), F.lit(0))).alias("words"))
-    random = marked.select(F.explode("secrets").alias("token"), F.lit(True).alias("random"))
-    ordinary = (
-        marked.select(F.explode("words").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-        .where(F.col("n") >= options.ordinary_docs).select("token", F.lit(False).alias("random"))
+    marked = only(docs, text=text_column).select(
+        F.transform(base_spans(text), lambda s: F.struct(s["value"].alias("token"), F.lit(True).alias("random"))).alias("secrets"),
+        F.transform(F.array_distinct(F.regexp_extract_all(rest, F.lit(_IDENTIFIER), F.lit(0))),
+                    lambda w: F.struct(w.alias("token"), F.lit(False).alias("random"))).alias("words"))
+    # One pass: the number of documents by identifier, and the secrets by value.
+    return (
+        marked.select(F.explode(F.concat("secrets", "words")).alias("one"))
+        .groupBy("one.token", "one.random").agg(F.count("*").alias("n"))
+        .where(F.col("random") | (F.col("n") >= options.ordinary_docs)).select("token", "random")
     )
-    return random.union(ordinary)
 
 
 def scan(docs: DataFrame, ratios: list[float] | None, options: SecretOptions = SecretOptions(),

@@ -64,6 +64,15 @@ def test_models_tell_random_strings_from_identifiers(spark, make_docs):
     assert hits >= 95
 
 
+def test_samples_cover_all_documents_and_count_each_token_once(spark):
+    """An identifier of three documents is ordinary among 60,000 too; a secret in many documents is one secret."""
+    docs = spark.range(60_000).select(
+        F.col("id").alias("doc_id"),
+        F.concat(F.lit("identifier_"), F.floor(F.col("id") / 3), F.lit(f" token={random_token(1, 24)}")).alias("text"))
+    got = secrets.samples_of(docs)
+    assert {r["random"]: r["count"] for r in got.groupBy("random").count().collect()} == {True: 1, False: 20_000}
+
+
 def test_without_samples_or_rows(spark, make_docs):
     empty = make_docs(rows()).limit(0)
     assert secrets.train(secrets.samples_of(empty)) is None
