@@ -34,6 +34,20 @@ def test_fm_learns_an_interaction(spark, make_docs, words):
     assert right >= 0.95 * len(got) > 200
 
 
+def test_fm_learns_a_pair_whose_words_alone_say_nothing(spark, make_docs, words):
+    """Toxic with one of two words, clean with both or none: each word is as frequent in both classes."""
+    rows, labels = [], []
+    for i in range(1600):
+        a, b = i % 2, i // 2 % 2
+        extra = ["bad"] * a + ["people"] * b
+        rows.append((i, " ".join([words(i, 12, 200), *extra])))
+        labels.append((i, int(a != b)))
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = judged(make_docs(rows), table, toxicity, FmOptions(), "toxic").where("held").join(table, "doc_id").collect()
+    right = sum((r["s"] >= 0.5) == bool(r["toxic"]) for r in got)
+    assert right >= 0.9 * len(got) > 400, right / len(got)
+
+
 def test_bradley_terry_ranks_held_out_documents(spark, make_docs, words):
     rng = random.Random(5)
     rows, labels = [], []
