@@ -12,10 +12,14 @@ _RANGE = 1 << 30
 
 @dataclass(frozen=True)
 class Sample:
-    """``ids``: doc_id and label of the sampled rows; ``shares``: each label's share of all usable labelled rows."""
+    """``ids``: doc_id and label of the sampled rows; ``shares``: each label's share of all usable labelled rows.
+
+    ``known``: doc_id and label of all usable labelled rows.
+    """
 
     ids: DataFrame
     shares: dict[int, float]
+    known: DataFrame
 
 
 def fold(id_column: Column, folds: int) -> Column:
@@ -42,7 +46,7 @@ def labelled_sample(labels: DataFrame, label: str, usable: Column, per_class: in
     for value, n in counts.items():
         limit = F.when(F.col("label") == value, min(_RANGE, int(_RANGE * per_class / n) + 1)).otherwise(limit)
     drawn = known.where(F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(_RANGE)) < limit)
-    return Sample(drawn, {value: n / total for value, n in counts.items()})
+    return Sample(drawn, {value: n / total for value, n in counts.items()}, known)
 
 
 def sampled_texts(docs: DataFrame, sample: Sample, id_column: str, text_column: str) -> DataFrame:

@@ -2,8 +2,9 @@
 
 Every document is described by numbers on its words, lines and characters. In a preference pair the document labelled 1
 should beat the one labelled 0; the chance that it does is the logistic function of the difference of their scores, so
-the weights come from a logistic regression on feature differences. The cut is a quantile of the raw scores: the share
-of label 0 among the labelled rows. Scores are shifted so that this quantile falls on ``cut``.
+the weights come from a logistic regression on feature differences. The cut is a quantile of the raw scores of all usable
+labelled documents, sampled or not: the share of label 0 among the labelled rows. It comes from a distributed aggregation
+(to a millionth of the rows). Scores are shifted so that this quantile falls on ``cut``.
 
 Defined results: null and empty texts have all-zero counts and are scored like any other; a null id counts as empty
 text in the fold; ids whose labels disagree are not learned from; without labelled rows of both classes every document
@@ -15,7 +16,7 @@ from __future__ import annotations
 import operator
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from itertools import islice
 
 import numpy as np
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smeltwork.llm.learning import labelled_sample, sampled_texts
+from smeltwork.session import Scratch
 
 _SYMBOLS = np.frombuffer(b"#*$%&|<>", dtype=np.uint8)
 _STOPS = np.frombuffer(b".,;:?", dtype=np.uint8)
@@ -107,10 +109,20 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, options: BtOptions =
     found = sampled_texts(docs, sample, id_column, text_column).mapInArrow(
         extract, "_doc string, label int, x array<double>").toPandas().sort_values("_doc", kind="stable")
     x = np.array(found["x"].tolist(), dtype=np.float64).reshape(len(found), len(features("")))
-    return learn(found["label"].to_numpy(), x, sample.shares, options)
-
-
-def learn(labels: np.ndarray, x: np.ndarray, shares: dict[int, float], options: BtOptions) -> BtModel:
+    model = learn(found["label"].to_numpy(), x, options)
+    if model.constant is not None:
+        return model
+    # Scores, not texts, meet the labels: only ids and numbers are shuffled.
+    scored = docs.select(F.col(f"`{id_column}`").alias("_doc"), raw_score(F.col(f"`{text_column}`"), model).alias("raw"))
+    raw = Scratch(docs.sparkSession, keep=True).store(
+        scored.join(sample.known, F.col("_doc") == F.col("doc_id")).select("raw"), "quality-scores")
+    below = raw.agg(F.percentile_approx("raw", F.lit(sample.shares[0]), F.lit(1_000_000))).first()[0]
+    above = raw.where(F.col("raw") > F.lit(below)).agg(F.min("raw")).first()[0]
+    return replace(model, threshold=below if above is None else (below + above) / 2)
+
+
+def learn(labels: np.ndarray, x: np.ndarray, options: BtOptions) -> BtModel:
+    """The weights; the threshold is left at 0."""
     good, bad = np.flatnonzero(labels == 1), np.flatnonzero(labels == 0)
     if not len(good) or not len(bad):
         return BtModel(constant=0.0 if len(bad) else 1.0, cut=options.cut)
@@ -128,13 +140,23 @@ def learn(labels: np.ndarray, x: np.ndarray, shares: dict[int, float], options:
         w -= step
         if np.abs(step).max() < 1e-6:
             break
-    raw = z @ w
-    share = np.where(labels == 1, shares[1] / len(good), shares[0] / len(bad))
-    order = np.argsort(raw, kind="stable")
-    passed = np.searchsorted(np.cumsum(share[order]), shares[0])
-    at = min(int(passed), len(raw) - 1)
-    threshold = float((raw[order[at]] + raw[order[min(at + 1, len(raw) - 1)]]) / 2)
-    return BtModel(middle, spread, w, threshold, options.cut, None)
+    return BtModel(middle, spread, w, 0.0, options.cut, None)
+
+
+def _raw(texts: pd.Series, model: BtModel) -> np.ndarray:
+    x = np.array([features(t if isinstance(t, str) else "") for t in texts])
+    return _expanded(np.clip((x - model.middle) / model.spread, -6, 6)) @ model.weights
+
+
+def raw_score(text: Column, model: BtModel) -> Column:
+    """The score before threshold and cut."""
+
+    @F.pandas_udf("double")
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(_raw(texts, model) if len(texts) else np.zeros(0))
+
+    return scored(text)
 
 
 def score(text: Column, model: BtModel) -> Column:
@@ -147,9 +169,7 @@ def score(text: Column, model: BtModel) -> Column:
             if model.constant is not None or not len(texts):
                 yield pd.Series(np.full(len(texts), model.constant or 0.0))
                 continue
-            x = np.array([features(t if isinstance(t, str) else "") for t in texts])
-            z = _expanded(np.clip((x - model.middle) / model.spread, -6, 6))
-            raw = z @ model.weights - model.threshold + shift
+            raw = _raw(texts, model) - model.threshold + shift
             yield pd.Series(1 / (1 + np.exp(-np.clip(raw, -40, 40))))
 
     return scored(text)

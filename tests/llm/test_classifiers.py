@@ -61,6 +61,17 @@ def test_bradley_terry_ranks_held_out_documents(spark, make_docs, words):
     assert sum((r["s"] >= 0.3) == bool(r["quality"]) for r in got) >= 0.97 * len(got) > 150
 
 
+def test_quality_cut_is_the_quantile_of_all_labelled_documents(spark, make_docs, words):
+    """A fit on few sampled rows still cuts off the labels' share of all labelled documents."""
+    rng = random.Random(9)
+    rows = [(i, words(i, rng.randrange(20, 120))) for i in range(3000)]
+    table = spark.createDataFrame([(i, int(rng.random() >= 0.3)) for i, _ in rows], "doc_id long, quality int")
+    docs = make_docs(rows)
+    model = quality.fit(docs, table, F.lit(True), BtOptions(per_class=40, pairs=2000))
+    low = docs.select(quality.score(F.col("text"), model).alias("s")).where("s < 0.3").count()
+    assert abs(low - table.where("quality = 0").count()) <= 2
+
+
 @pytest.mark.parametrize("method,label", [(toxicity, "toxic"), (quality, "quality")])
 def test_odd_rows_and_labels(spark, make_docs, odd_rows, method, label):
     docs = make_docs(odd_rows)
