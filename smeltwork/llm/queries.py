@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltwork.llm import lines, quality, secrets, toxicity
+from smeltwork.llm import languages, lines, quality, ranking, secrets, spelling, toxicity
 from smeltwork.llm.common import table
 from smeltwork.llm.embeddings import near_vectors
 from smeltwork.llm.learning import fold
@@ -19,6 +19,7 @@ from smeltwork.llm.suffixes import remove_repeats
 #: Folds and the held-out remainder of the two classifiers, and their cuts.
 TOXICITY_FOLD, TOXICITY_CUT = (3, 1), 0.7
 QUALITY_FOLD, QUALITY_CUT = (5, 0), 0.3
+LANGUAGE_FOLD = (4, 2)
 
 
 def _classified(spark: SparkSession, sf_dir: str, method, fold_of: tuple[int, int], cut: float) -> DataFrame:
@@ -91,6 +92,23 @@ def op10_bucket_pointer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_permuterm_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+def op12_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folds, held = LANGUAGE_FOLD
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = languages.train(docs, fold(F.col("doc_id"), folds) != held)
+    judged = docs.select(
+        "doc_id", (fold(F.col("doc_id"), folds) == held).alias("held_out"), languages.identify(F.col("text"), model).alias("_found"))
+    return judged.select("doc_id", "held_out", F.col("_found.lang").alias("lang_pred"), "_found.score", "_found.mixture")
+
+
+def op13_norm_bucket_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity_fm": op1_toxicity_fm,
     "op2_quality_bradley_terry": op2_quality_bradley_terry,
@@ -102,6 +120,13 @@ QUERIES = {
     "op8_length_bucket_packing": op8_length_bucket_packing,
     "op9_source_mixing": op9_source_mixing,
     "op10_bucket_pointer_dedup": op10_bucket_pointer_dedup,
+    "op11_permuterm_spelling": op11_permuterm_spelling,
+    "op12_language_mixture": op12_language_mixture,
+    "op13_norm_bucket_search": op13_norm_bucket_search,
 }
 
-SQL: dict[str, str] = {"op7_line_run_dedup": lines.SQL}
+SQL: dict[str, str] = {
+    "op7_line_run_dedup": lines.SQL,
+    "op11_permuterm_spelling": spelling.SQL,
+    "op13_norm_bucket_search": ranking.SQL,
+}
