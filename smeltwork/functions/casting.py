@@ -30,5 +30,5 @@ def string_safe(frame: DataFrame, nested: str = "json") -> DataFrame:
 
 
 def typed(frame: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Cast the named text columns; a value that does not parse becomes NULL."""
-    return frame.withColumns({name: ref(name).try_cast(kind) for name, kind in types.items()})
+    """Cast those of the named text columns that there are; a value that does not parse becomes NULL."""
+    return frame.withColumns({name: ref(name).try_cast(kind) for name, kind in types.items() if name in frame.columns})

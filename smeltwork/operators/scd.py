@@ -134,13 +134,15 @@ class Merge:
     ``closed`` are versions that had already ended and do not change. ``current``
     are the rows that were active before, plus the new ones. ``inserted`` rows got a
     surrogate key in this batch; ``changed`` is false when ``current`` equals the
-    active rows of the old dimension.
+    active rows of the old dimension. ``max_key`` is the highest surrogate key then, None
+    where only the rows can tell.
     """
 
     closed: DataFrame | None
     current: DataFrame
     inserted: int
     changed: bool = True
+    max_key: int | None = None
 
     @property
     def rows(self) -> DataFrame:
@@ -160,8 +162,9 @@ def _numbered(rows: DataFrame, keys: Sequence[str], sk: str, base: int, scratch:
     return Numbered(done.rows.withColumn(sk, key_text(F.col(_NUMBER))).drop(_NUMBER), done.count)
 
 
-def _base(dimension: DataFrame, sk: str) -> int:
-    return highest_key(dimension, sk).first()["max_key"]
+def _base(dimension: DataFrame, sk: str, known: int | None) -> int:
+    """The highest surrogate key; it is read from the rows only where it is not known."""
+    return highest_key(dimension, sk).first()["max_key"] if known is None else known
 
 
 def initial_load(batch: Batch, sk: str, scratch: Scratch | None = None) -> Merge:
@@ -172,7 +175,7 @@ def initial_load(batch: Batch, sk: str, scratch: Scratch | None = None) -> Merge
     """
     done = _numbered(batch.silver, batch.keys, sk, 0, scratch)
     columns = dimension_columns(batch.silver.columns, batch.keys, sk)
-    return Merge(None, aligned(batch.stage(done.rows), columns), done.count)
+    return Merge(None, aligned(batch.stage(done.rows), columns), done.count, max_key=done.count)
 
 
 def _split_active(dimension: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -185,6 +188,7 @@ def scd1(
     sk: str,
     skip_unchanged: bool = False,
     scratch: Scratch | None = None,
+    max_key: int | None = None,
 ) -> Merge:
     """Update matching rows in place, insert new ones, delete nothing.
 
@@ -204,11 +208,12 @@ def scd1(
         space = scratch or Scratch(dimension.sparkSession, keep=True)
         differing = space.store(new_versions(active, staged, keys), "differing")
         if not rehashed and not differing.limit(1).count():
-            return Merge(aligned(closed, columns, staged), aligned(active, columns, staged), 0, changed=False)
+            return Merge(aligned(closed, columns, staged), aligned(active, columns, staged), 0, False, max_key)
         batch = replace(batch, silver=differing.select(*[ref(name) for name in batch.silver.columns]))
         staged = batch.staged
     fresh = anti(batch.silver, existing_keys(active, batch.silver, keys), keys)
-    done = _numbered(fresh, keys, sk, _base(dimension, sk), scratch)
+    base = _base(dimension, sk, max_key)
+    done = _numbered(fresh, keys, sk, base, scratch)
 
     carried = [name for name in columns if name in staged.columns and name not in keys]
     incoming = right_side(staged, keys, F.lit(True).alias(_HIT), *[ref(name).alias(f"_new_{name}") for name in carried])
@@ -224,7 +229,7 @@ def scd1(
         ]
     )
     added = aligned(batch.stage(done.rows), columns, dimension)
-    return Merge(aligned(closed, columns, staged), updated.unionByName(added), done.count)
+    return Merge(aligned(closed, columns, staged), updated.unionByName(added), done.count, max_key=base + done.count)
 
 
 def new_versions(active: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -260,35 +265,43 @@ def scd2(
     close_missing: bool = False,
     dense_sk: bool = True,
     scratch: Scratch | None = None,
+    max_key: int | None = None,
+    gone: DataFrame | None = None,
 ) -> Merge:
     """End changed versions and add the new ones, at one instant.
 
     Surrogate keys count inserted rows only; ``dense_sk=False`` numbers the whole
     batch first and so leaves gaps for unchanged rows. ``close_missing`` also ends
-    active rows whose key is not in the batch.
+    active rows whose key is not in the batch, or, where the batch is a change set, the
+    keys that are ``gone``.
     """
     batch, dimension, rehashed = batch.against(dimension, sk)
     keys, staged = batch.keys, batch.staged
     columns = _merged_columns(dimension, batch, sk)
     active, closed = _split_active(dimension)
-    base = _base(dimension, sk)
+    base, highest = _base(dimension, sk, max_key), None
     if dense_sk:
         done = _numbered(new_versions(active, staged, keys), keys, sk, base, scratch)
-        inserted, count = done.rows, done.count
+        inserted, count, highest = done.rows, done.count, base + done.count
     else:
         everything = _numbered(batch.silver, keys, sk, base, scratch).rows
         inserted = new_versions(active, aligned(batch.stage(everything), [sk, *staged.columns]), keys)
         count = inserted.count()
 
     kept = expire(active, inserted, keys, batch.clock)
-    if close_missing:
+    if close_missing and gone is not None:
+        met = lookup(kept, gone, keys, F.lit(True).alias("_gone"))
+        marked = met.withColumn(_HIT, F.when(F.col("is_active") & F.col("_gone").isNotNull(), F.lit(True)))
+        kept = _end_where_hit(marked, active.columns, batch.clock)
+    elif close_missing:
         present = kept.join(right_side(staged, keys, F.lit(True).alias("_present")), same_key(keys), "left")
-        gone = without_right(present, keys).withColumn(
+        absent = without_right(present, keys).withColumn(
             _HIT, F.when(F.col("is_active") & F.col("_present").isNull(), F.lit(True))
         )
-        kept = _end_where_hit(gone, active.columns, batch.clock)
+        kept = _end_where_hit(absent, active.columns, batch.clock)
     current = aligned(kept, columns, staged).unionByName(aligned(inserted, columns, dimension))
-    return Merge(aligned(closed, columns, staged), current, count, changed=count > 0 or close_missing or rehashed)
+    changed = count > 0 or close_missing or rehashed
+    return Merge(aligned(closed, columns, staged), current, count, changed, highest)
 
 
 STRATEGIES = ("SCD1", "SCD2")
@@ -300,13 +313,19 @@ def merge(
     batch: Batch,
     sk: str,
     scratch: Scratch | None = None,
+    max_key: int | None = None,
+    gone: DataFrame | None = None,
     **options: bool,
 ) -> Merge:
-    """Apply the target's strategy; without a dimension yet, any strategy loads the batch."""
+    """Apply the target's strategy; without a dimension yet, any strategy loads the batch.
+
+    ``max_key`` is the dimension's highest surrogate key where the caller knows it. A batch
+    that is a change set comes with the keys ``gone`` since.
+    """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown scd_strategy: {strategy}")
     if dimension is None:
         return initial_load(batch, sk, scratch)
     if strategy == "SCD1":
-        return scd1(dimension, batch, sk, scratch=scratch, **options)
-    return scd2(dimension, batch, sk, scratch=scratch, **options)
+        return scd1(dimension, batch, sk, scratch=scratch, max_key=max_key, **options)
+    return scd2(dimension, batch, sk, scratch=scratch, max_key=max_key, gone=gone, **options)

@@ -19,7 +19,7 @@ SUCCESS, FAILED, SKIPPED_NO_FILES = "Success", "Failed", "SKIPPED_NO_FILES"
 ALL_TARGETS = "ALL_TARGETS"
 NO_ERROR = "None"
 
-SKIPPED_NO_DATA, UNMATCHED = "SKIPPED_NO_DATA", "UNMATCHED"
+SKIPPED_NO_DATA, UNMATCHED, TAKEN_BEFORE = "SKIPPED_NO_DATA", "UNMATCHED", "TAKEN_BEFORE"
 
 # The first eight columns of the audit trail; the others are added here.
 AUDIT_SCHEMA = T.StructType(

@@ -18,6 +18,7 @@ from smeltwork.plans.audit import (
     BRONZE,
     FAILED,
     SKIPPED_NO_FILES,
+    TAKEN_BEFORE,
     UNMATCHED,
     AuditTrail,
     Outcome,
@@ -26,6 +27,7 @@ from smeltwork.plans.audit import (
 from smeltwork.plans.control import Target, in_priority_order
 from smeltwork.sources import files
 from smeltwork.sources.landing import landing_entries, routed_entries
+from smeltwork.sources.ledger import OFF, already_taken, write_ledger
 from smeltwork.sources.readers import CORRUPT, SOURCE_FILE, BadFile, Feed, ReadOptions, bronze_frame, feeds
 from smeltwork.sources.zones import Zones, drop_attempt, read_bronze, write_bronze
 
@@ -77,9 +79,13 @@ def ingest_target(
     """Write the routed files of one target as one batch; an outcome for every file.
 
     All files go out in a single job. When that job fails, each file is parsed alone,
-    the bad ones are reported, and the good ones are written.
+    the bad ones are reported, and the good ones are written. Files that another batch has
+    taken are passed over.
     """
     folder = f"{zones.bronze}/{target.name}"
+    held = already_taken(spark, folder, routed, zones.landing, options.ledger, batch_id)
+    before = {entry["path"]: _taken_before(entry, held[entry["name"]]) for entry in routed if entry["name"] in held}
+    routed = [entry for entry in routed if entry["path"] not in before]
     supported = [entry for entry in routed if entry["route"] == "MATCHED"]
     outcomes = {
         entry["path"]: Outcome(FAILED, error_message=f"Unsupported file format: {entry['extension']}")
@@ -96,13 +102,19 @@ def ingest_target(
     def write(ready: list[DataFrame]) -> None:
         """One attempt at the batch, of the files that no error names."""
         delivered = [name for path, name in names.items() if path not in errors]
+        noted = [entry for entry in supported if entry["path"] not in errors]
+
+        def note(attempt: str) -> None:
+            if options.ledger != OFF and noted:
+                write_ledger(spark, folder, attempt, noted, zones.landing, options.ledger)
+
         rows = _stack(ready)
         if CORRUPT not in rows.columns:
-            write_bronze(_without(spark, rows, errors, names), folder, batch_id, delivered)
+            write_bronze(_without(spark, rows, errors, names), folder, batch_id, delivered, note)
             return
         seen = Observation()
         kept = _without(spark, rows, errors, names).observe(seen, F.count(CORRUPT).alias("malformed"))
-        number = write_bronze(kept.drop(CORRUPT), folder, batch_id, delivered)
+        number = write_bronze(kept.drop(CORRUPT), folder, batch_id, delivered, note)
         if options.malformed == "reject" and seen.get["malformed"]:
             drop_attempt(spark, folder, batch_id, number)
             # Spark answers no query on the corrupt column alone, so the others are looked at too.
@@ -135,7 +147,12 @@ def ingest_target(
             outcomes[entry["path"]] = Outcome(rows_processed=counts.get(name, 0))
     for entry in routed:
         outcomes[entry["path"]].source_file = entry["name"]
-    return outcomes
+    return outcomes | before
+
+
+def _taken_before(entry: dict, attempt: str) -> Outcome:
+    """A file whose rows are in bronze: it is only put away."""
+    return Outcome(TAKEN_BEFORE, source_file=entry["name"], error_message=f"bronze holds it in {attempt}")
 
 
 def _without(spark: SparkSession, rows: DataFrame, errors: dict[str, str], names: dict[str, str]) -> DataFrame:

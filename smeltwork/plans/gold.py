@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -10,8 +11,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from smeltwork.functions.clock import BatchClock
-from smeltwork.functions.naming import ref
+from smeltwork.functions.naming import ref, refs
 from smeltwork.operators import scd
+from smeltwork.operators.changes import CHANGE, GONE, newest_changes
 from smeltwork.operators.snapshot import snapshot
 from smeltwork.plans.audit import (
     ALL_TARGETS,
@@ -24,7 +26,18 @@ from smeltwork.plans.audit import (
 )
 from smeltwork.plans.control import Target, in_priority_order
 from smeltwork.session import Scratch
-from smeltwork.sources.zones import Zones, read_gold, read_silver, write_gold
+from smeltwork.sources.zones import (
+    GoldState,
+    Zones,
+    current_version,
+    read_changes,
+    read_gold,
+    read_silver,
+    read_state,
+    write_gold,
+)
+
+_VERSION = "_silver_version"
 
 
 @dataclass(frozen=True)
@@ -55,12 +68,39 @@ def merge_silver(
     clock: BatchClock,
     options: GoldOptions = GoldOptions(),
     scratch: Scratch | None = None,
+    max_key: int | None = None,
+    gone: DataFrame | None = None,
 ) -> scd.Merge:
-    """Stage silver rows and merge them into the dimension by the target's strategy."""
+    """Stage silver rows, all of them or a change set, and merge them into the dimension by the target's strategy."""
     scd.check_source(silver.columns, target.keys, target.surrogate)
     batch = scd.batch_of(silver, target.keys, clock, options.hash_mode, options.check_keys)
     chosen = _merge_options(target.strategy, options)
-    return scd.merge(target.strategy, dimension, batch, target.surrogate, scratch, **chosen)
+    return scd.merge(target.strategy, dimension, batch, target.surrogate, scratch, max_key, gone, **chosen)
+
+
+def _merge_settings(target: Target, options: GoldOptions) -> str:
+    """All that decides what a merge makes of the same rows, as text."""
+    return json.dumps([target.strategy, target.keys, options.hash_mode, sorted(_merge_options(target.strategy, options).items())])
+
+
+def pending_changes(
+    spark: SparkSession, target: Target, folder: str, state: GoldState, version: int, options: GoldOptions
+) -> DataFrame | None:
+    """What silver changed since the version that gold holds; None where gold has to see all of silver.
+
+    That is so if a version in between has no change set, if gold was made in another way, or if
+    the strategy does something to unchanged rows: SCD1 stamps them unless it skips them, and
+    numbers with gaps count them.
+    """
+    sparing = options.skip_unchanged if target.strategy == "SCD1" else options.dense_sk
+    if not sparing or state.silver_version is None or state.settings != _merge_settings(target, options):
+        return None
+    changes = read_changes(spark, folder, state.silver_version, version, _VERSION)
+    if changes is None:
+        return None
+    if version == state.silver_version + 1:
+        return changes.drop(_VERSION)
+    return newest_changes(changes, target.keys, _VERSION)
 
 
 def publish_target(
@@ -71,21 +111,40 @@ def publish_target(
     settings: Mapping[str, Any],
     options: GoldOptions = GoldOptions(),
 ) -> Outcome:
-    """Merge one target and publish the result; a batch known to change nothing writes nothing."""
+    """Merge one target and publish the result; a batch known to change nothing writes nothing.
+
+    Where silver says what it changed since the version that gold holds, only that is merged:
+    ``rows_processed`` then counts the changes. A gold version keeps its highest surrogate key.
+    """
     if not target.keys:
         return Outcome(SKIPPED_NO_DATA, error_message="no natural keys: the target ends at silver")
-    silver = read_silver(spark, f"{zones.silver}/{target.name}")
+    source = f"{zones.silver}/{target.name}"
+    version = current_version(spark, source)
+    silver = read_silver(spark, source)
     if silver is None:
         return Outcome(SKIPPED_NO_DATA)
-    if options.close_missing and settings.get("is_snapshot"):
+    snapped = bool(settings.get("is_snapshot"))
+    if options.close_missing and snapped:
         raise ValueError("close_missing would end every key outside the snapshot")
     folder = f"{zones.gold}/{target.name}"
+    state = read_state(spark, folder)
     with Scratch(spark) as scratch:
-        if settings.get("is_snapshot"):
+        changes = None if snapped else pending_changes(spark, target, source, state, version, options)
+        gone = None
+        if changes is not None:
+            changes = scratch.store(changes, "changes")
+            rows = changes.count()
+            if not rows:
+                return Outcome(rows_inserted=0, rows_expired=0, rows_updated=0)
+            silver = changes.where(ref(CHANGE) != GONE).drop(CHANGE)
+            if options.close_missing:
+                gone = changes.where(ref(CHANGE) == GONE).select(*refs(target.keys))
+        elif snapped:
             reduced = snapshot(silver, settings, target.keys, options.seed, scratch)
             silver = reduced if reduced is silver else scratch.store(reduced, "snapshot")
-        merged = merge_silver(silver, read_gold(spark, folder), target, clock, options, scratch)
-        rows = silver.count()
+        merged = merge_silver(silver, read_gold(spark, folder), target, clock, options, scratch, state.max_key, gone)
+        if changes is None:
+            rows = silver.count()
         if not merged.changed:
             return Outcome(rows_processed=rows, rows_inserted=0, rows_expired=0, rows_updated=0)
         seen = Observation()
@@ -93,7 +152,8 @@ def publish_target(
         counted = merged.current.observe(
             seen, F.count_if(~ref("is_active")).alias("expired"), F.count_if(stamped).alias("stamped")
         )
-        write_gold(counted, folder)
+        held = None if snapped else version
+        write_gold(counted, folder, GoldState(held, _merge_settings(target, options), merged.max_key))
         return Outcome(
             rows_processed=rows,
             rows_inserted=merged.inserted,
@@ -112,8 +172,9 @@ def run_gold(
     options: GoldOptions = GoldOptions(),
     fail_fast: bool = False,
     at_once: int = 1,
+    own: Mapping[str, GoldOptions] | None = None,
 ) -> bool:
-    """Publish every target; False when silver stood by in this run."""
+    """Publish every target; False when silver stood by in this run. ``own`` holds targets' own options."""
     if trail.upstream_skipped(SILVER):
         trail.guard(ALL_TARGETS, GOLD, lambda: Outcome(SKIPPED_NO_FILES))
         trail.flush()
@@ -123,7 +184,7 @@ def run_gold(
         trail.guard(
             target.name,
             GOLD,
-            lambda: publish_target(spark, target, zones, clock, settings, options),
+            lambda: publish_target(spark, target, zones, clock, settings, (own or {}).get(target.name, options)),
             fail_fast,
         )
 

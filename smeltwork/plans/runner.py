@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,11 +19,15 @@ from smeltwork.sources.zones import Zones
 
 @dataclass(frozen=True)
 class RunOptions:
+    """``silver_of`` and ``gold_of`` hold the options of single targets, in place of the common ones."""
+
     read: ReadOptions = field(default_factory=ReadOptions)
     silver: SilverOptions = field(default_factory=SilverOptions)
     gold: GoldOptions = field(default_factory=GoldOptions)
     fail_fast: bool = False
     targets_at_once: int = 4
+    silver_of: Mapping[str, SilverOptions] = field(default_factory=dict)
+    gold_of: Mapping[str, GoldOptions] = field(default_factory=dict)
 
 
 def run_layers(
@@ -43,7 +48,7 @@ def run_layers(
     how = (options.fail_fast, options.targets_at_once)
     trail = AuditTrail(spark, zones.audit, batch_id)
     run_bronze(spark, zones, targets, clock, batch_id, trail, options.read, *how)
-    run_silver(spark, zones, targets, clock, batch_id, trail, options.silver, *how)
+    run_silver(spark, zones, targets, clock, batch_id, trail, options.silver, *how, options.silver_of)
     settings = execution_settings(execution)
-    run_gold(spark, zones, targets, clock, settings, trail, options.gold, *how)
+    run_gold(spark, zones, targets, clock, settings, trail, options.gold, *how, options.gold_of)
     return trail

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -12,9 +13,10 @@ from smeltwork.functions import rules
 from smeltwork.functions.casting import typed
 from smeltwork.functions.clock import BatchClock
 from smeltwork.functions.hashing import row_digest
-from smeltwork.functions.naming import standardise
+from smeltwork.functions.naming import standard_name, standardise
+from smeltwork.operators.changes import CHANGE, change_set
 from smeltwork.operators.dedup import drop_copies, keep_latest, merge_latest
-from smeltwork.operators.joining import anti
+from smeltwork.operators.joining import anti, semi
 from smeltwork.operators.quarantine import VERDICT, Routed, route
 from smeltwork.plans.audit import (
     ALL_TARGETS,
@@ -26,6 +28,7 @@ from smeltwork.plans.audit import (
     Outcome,
 )
 from smeltwork.plans.control import Target, in_priority_order
+from smeltwork.session import Scratch
 from smeltwork.sources.zones import (
     QUARANTINE_BATCH,
     Zones,
@@ -34,6 +37,7 @@ from smeltwork.sources.zones import (
     read_attempts,
     read_quarantine,
     read_silver,
+    write_changes,
     write_quarantine,
     write_silver,
 )
@@ -48,7 +52,9 @@ class SilverOptions:
 
     ``fallback_to_last_good`` applies the rule before dedup, so an older good row
     takes the place of a bad newest one. ``incremental`` folds the bronze attempts not yet
-    held into the rows kept so far instead of reading the whole history.
+    held into the rows kept so far instead of reading the whole history, and publishes what
+    that changed, so that gold need not compare all of silver. Columns of ``types`` and
+    ``ignore_in_copies`` that a target lacks are passed over.
     """
 
     on_unknown: str = "clean"
@@ -60,11 +66,17 @@ class SilverOptions:
     types: Mapping[str, str] = field(default_factory=dict)
 
 
+def _verdict_settings(target: Target, options: SilverOptions) -> str:
+    """All that a verdict on unchanged rows depends on, as text."""
+    return json.dumps([target.rule, target.keys, options.on_unknown, options.null_keys, sorted(options.types.items())])
+
+
 def cleanse(bronze: DataFrame, keys: Sequence[str], rule: str | None, options: SilverOptions = SilverOptions()) -> Routed:
     """Standard names, one row per key (or per content), and a verdict for each row left."""
     frame = typed(standardise(bronze, options.on_collision), options.types)
     if not keys:
-        return route(drop_copies(frame, options.ignore_in_copies), rule, options.on_unknown)
+        ignored = [name for name in options.ignore_in_copies if name in frame.columns]
+        return route(drop_copies(frame, ignored), rule, options.on_unknown)
     if not options.fallback_to_last_good:
         return route(keep_latest(frame, keys), rule, options.on_unknown, keys, options.null_keys)
     routed = route(frame, rule, options.on_unknown, keys, options.null_keys).flagged
@@ -94,21 +106,56 @@ def fold(state: DataFrame, batch: DataFrame | None, target: Target, options: Sil
     return route(both, target.rule, options.on_unknown, target.keys, options.null_keys)
 
 
-def _flagged(
-    spark: SparkSession, zones: Zones, target: Target, attempts: Sequence[str], options: SilverOptions
-) -> DataFrame | None:
+@dataclass(frozen=True)
+class Folded:
+    """Rows with their verdict, and what differs from the version before where that is known."""
+
+    flagged: DataFrame
+    changes: DataFrame | None = None
+
+
+def fold_changes(
+    state: DataFrame, batch: DataFrame | None, target: Target, options: SilverOptions, scratch: Scratch
+) -> Folded:
+    """``fold``, with the clean rows that it adds, changes or takes away.
+
+    Verdicts on untouched keys must be those of the version before. What the touched keys
+    held before and hold now is stored, so the state is read twice, as by ``fold``.
+    """
+    state = typed(state, options.types)
+    if batch is None:
+        fresh = state.limit(0)
+    else:
+        fresh = typed(standardise(batch, options.on_collision), options.types)
+
+    def judged(rows: DataFrame) -> Routed:
+        return route(rows, target.rule, options.on_unknown, target.keys, options.null_keys)
+
+    before = scratch.store(semi(state, fresh, target.keys), "touched-before")
+    touched = keep_latest(before.unionByName(fresh, allowMissingColumns=True), target.keys)
+    after = scratch.store(touched, "touched-after")
+    whole = after.unionByName(anti(state, fresh, target.keys), allowMissingColumns=True)
+    return Folded(judged(whole).flagged, change_set(judged(before).clean, judged(after).clean, target.keys))
+
+
+def _folded(
+    spark: SparkSession, zones: Zones, target: Target, attempts: Sequence[str], options: SilverOptions, scratch: Scratch
+) -> Folded | None:
     """Rows with their verdict, from all of bronze or from the state and what it does not hold yet.
 
     A batch whose own silver run failed is folded by the next run, and so are stream batches.
     """
     bronze, silver = f"{zones.bronze}/{target.name}", f"{zones.silver}/{target.name}"
     state = _kept_so_far(spark, silver) if options.incremental and target.keys else None
-    held = folded_attempts(spark, silver) if state is not None else set()
+    held, settings = folded_attempts(spark, silver) if state is not None else (set(), None)
     if state is None or not held:
         source = read_attempts(spark, bronze, attempts)
-        return None if source is None else cleanse(source, target.keys, target.rule, options).flagged
-    missing = [attempt for attempt in attempts if attempt not in held]
-    return fold(state, read_attempts(spark, bronze, missing), target, options).flagged
+        return None if source is None else Folded(cleanse(source, target.keys, target.rule, options).flagged)
+    missing = read_attempts(spark, bronze, [attempt for attempt in attempts if attempt not in held])
+    columns = [*state.columns, *(missing.columns if missing is not None else ())]
+    if settings != _verdict_settings(target, options) or CHANGE in (standard_name(name) for name in columns):
+        return Folded(fold(state, missing, target, options).flagged)
+    return fold_changes(state, missing, target, options, scratch)
 
 
 def new_quarantine_rows(bad: DataFrame, caught: DataFrame | None, batch_id: str) -> DataFrame:
@@ -134,17 +181,20 @@ def cleanse_target(
     if options.incremental and options.fallback_to_last_good:
         raise ValueError("fallback_to_last_good needs the whole history, so it cannot be incremental")
     attempts = bronze_attempts(spark, f"{zones.bronze}/{target.name}")
-    rows = _flagged(spark, zones, target, attempts, options)
-    if rows is None:
-        return Outcome(SKIPPED_NO_DATA)
-    seen = Observation()
-    counted = rows.withColumn(SILVER_TIMESTAMP, clock.now).observe(
-        seen,
-        F.count_if(F.col(VERDICT) == rules.CLEAN).alias("clean"),
-        F.count_if(F.col(VERDICT) == rules.QUARANTINE).alias("bad"),
-    )
     folder = f"{zones.silver}/{target.name}"
-    write_silver(counted, folder, attempts)
+    with Scratch(spark) as scratch:
+        folded = _folded(spark, zones, target, attempts, options, scratch)
+        if folded is None:
+            return Outcome(SKIPPED_NO_DATA)
+        seen = Observation()
+        counted = folded.flagged.withColumn(SILVER_TIMESTAMP, clock.now).observe(
+            seen,
+            F.count_if(F.col(VERDICT) == rules.CLEAN).alias("clean"),
+            F.count_if(F.col(VERDICT) == rules.QUARANTINE).alias("bad"),
+        )
+        number = write_silver(counted, folder, attempts, _verdict_settings(target, options))
+        if folded.changes is not None:
+            write_changes(folded.changes.withColumn(SILVER_TIMESTAMP, clock.now), folder, number)
     totals = seen.get
     if totals["bad"]:
         _quarantine(spark, target, zones, clock, batch_id)
@@ -174,8 +224,9 @@ def run_silver(
     options: SilverOptions = SilverOptions(),
     fail_fast: bool = False,
     at_once: int = 1,
+    own: Mapping[str, SilverOptions] | None = None,
 ) -> bool:
-    """Cleanse every target; False when bronze found nothing in this run."""
+    """Cleanse every target; False when bronze found nothing in this run. ``own`` holds targets' own options."""
     if trail.upstream_skipped(BRONZE):
         trail.guard(ALL_TARGETS, SILVER, lambda: Outcome(SKIPPED_NO_FILES))
         trail.flush()
@@ -185,7 +236,7 @@ def run_silver(
         trail.guard(
             target.name,
             SILVER,
-            lambda: cleanse_target(spark, target, zones, clock, batch_id, options),
+            lambda: cleanse_target(spark, target, zones, clock, batch_id, (own or {}).get(target.name, options)),
             fail_fast,
         )
 

@@ -9,9 +9,13 @@ from pyspark.sql import SparkSession
 
 @dataclass(frozen=True)
 class Entry:
+    """``length`` is that of all files below a folder, ``modified`` a time in milliseconds; both only where asked for."""
+
     name: str
     path: str
     is_folder: bool
+    length: int = 0
+    modified: int = 0
 
 
 def _resolve(spark: SparkSession, path: str):
@@ -30,13 +34,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
-def children(spark: SparkSession, path: str) -> list[Entry]:
+def children(spark: SparkSession, path: str, sizes: bool = False) -> list[Entry]:
     """Direct children of a folder in name order; a missing folder has none."""
     system, target = _resolve(spark, path)
     if not system.exists(target):
         return []
+
+    def sized(status) -> tuple[int, int]:
+        whole = status.isDirectory()
+        return system.getContentSummary(status.getPath()).getLength() if whole else status.getLen(), status.getModificationTime()
+
     found = [
-        Entry(status.getPath().getName(), status.getPath().toString(), status.isDirectory())
+        Entry(status.getPath().getName(), status.getPath().toString(), status.isDirectory(), *(sized(status) if sizes else ()))
         for status in system.listStatus(target)
     ]
     return sorted(found, key=lambda entry: entry.name)

@@ -18,7 +18,7 @@ def landing_entries(spark: SparkSession, landing: str) -> list[files.Entry]:
     """Files and dataset folders waiting in the landing folder; archive folders are not input."""
     return [
         entry
-        for entry in files.children(spark, landing)
+        for entry in files.children(spark, landing, sizes=True)
         if not (entry.is_folder and ARCHIVE_WORD in entry.name.lower())
     ]
 
@@ -67,7 +67,7 @@ def route(paths: DataFrame, patterns: Sequence[tuple[str, str]]) -> DataFrame:
     )
 
 
-PATH_SCHEMA = "name string, path string"
+PATH_SCHEMA = "name string, path string, length bigint, modified bigint"
 
 
 def routed_entries(
@@ -76,6 +76,6 @@ def routed_entries(
     """Route one landing listing."""
     if not entries:
         return []
-    listing = spark.createDataFrame([(entry.name, entry.path) for entry in entries], PATH_SCHEMA)
+    listing = spark.createDataFrame([(entry.name, entry.path, entry.length, entry.modified) for entry in entries], PATH_SCHEMA)
     found = [row.asDict() for row in route(listing, patterns).collect()]
     return sorted(found, key=lambda entry: entry["name"])

@@ -32,7 +32,8 @@ class ReadOptions:
 
     ``csv_multiline`` lets quoted fields hold line breaks; such files cannot be split
     between tasks. ``malformed="keep"`` fills short CSV rows with NULL and cuts long ones,
-    where the default refuses their file.
+    where the default refuses their file. ``ledger`` says how a file that bronze holds already
+    is known: by its ``delivery``, also by its ``content``, or ``off``: not at all.
     """
 
     infer_types: bool = False
@@ -40,6 +41,7 @@ class ReadOptions:
     nested: str = "json"
     csv_multiline: bool = False
     malformed: str = "reject"
+    ledger: str = "delivery"
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,7 @@ overwrites the unfinished folder. Nothing is ever overwritten that a plan reads.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +20,7 @@ from smeltwork.operators.joining import anti
 from smeltwork.operators.quarantine import VERDICT
 from smeltwork.sources import files
 
-_VERSION, _DONE, _IS_ACTIVE, _FOLDED = "v", "_SUCCESS", "is_active", "folded"
+_VERSION, _DONE, _IS_ACTIVE, _FOLDED, _CHANGES, _STATE = "v", "_SUCCESS", "is_active", "folded", "changes", "state"
 BATCH, QUARANTINE_BATCH, SOURCE_FILE = "batch_id", "quarantine_batch", "source_file"
 
 
@@ -82,14 +82,19 @@ def _has_data(spark: SparkSession, folder: str) -> bool:
 
 
 def write_bronze(
-    rows: DataFrame, folder: str, batch_id: str, delivered: Sequence[str] | None = None
+    rows: DataFrame,
+    folder: str,
+    batch_id: str,
+    delivered: Sequence[str] | None = None,
+    note: Callable[[str], None] | None = None,
 ) -> int:
     """Publish a new attempt at a batch and return its number.
 
     The unit that an attempt replaces is the file: rows that earlier attempts took from
     files not ``delivered`` now stay, and a file delivered again replaces its own rows. So
     a retry after some files were archived loses nothing and repeats nothing. Without
-    ``delivered`` the whole batch is replaced.
+    ``delivered`` the whole batch is replaced. ``note`` is told the attempt's name before its
+    rows are written.
     """
     spark = rows.sparkSession
     batch = f"{folder}/{BATCH}={batch_id}"
@@ -98,6 +103,8 @@ def write_bronze(
         names = spark.createDataFrame([(name,) for name in delivered], f"`{SOURCE_FILE}` string")
         before = spark.read.parquet(version_folder(batch, number))
         rows = rows.unionByName(anti(before, names, [SOURCE_FILE]), allowMissingColumns=True)
+    if note is not None:
+        note(version_folder(f"{BATCH}={batch_id}", number + 1))
     rows.write.mode("overwrite").parquet(version_folder(batch, number + 1))
     return number + 1
 
@@ -136,26 +143,30 @@ def read_bronze(spark: SparkSession, folder: str, batch_id: str | None = None) -
 # --- silver and quarantine --------------------------------------------------
 
 
-def write_silver(flagged: DataFrame, folder: str, folded: Sequence[str] = ()) -> int:
+_FOLDED_SCHEMA = "attempt string, settings string"
+
+
+def write_silver(flagged: DataFrame, folder: str, folded: Sequence[str] = (), settings: str | None = None) -> int:
     """Publish a version holding clean and bad rows apart, in one write job.
 
-    ``folded`` names the bronze attempts the version holds. The list is written first: a
-    version that counts always has it.
+    ``folded`` names the bronze attempts the version holds, ``settings`` what decided its verdicts.
+    The list is written first: a version that counts always has it.
     """
     spark = flagged.sparkSession
     number = current_version(spark, folder) + 1
-    listed = spark.createDataFrame([(attempt,) for attempt in folded], "attempt string")
+    listed = spark.createDataFrame([(attempt, settings) for attempt in folded], _FOLDED_SCHEMA)
     listed.coalesce(1).write.mode("overwrite").parquet(version_folder(f"{folder}/{_FOLDED}", number))
     flagged.write.mode("overwrite").partitionBy(VERDICT).parquet(version_folder(folder, number))
     return number
 
 
-def folded_attempts(spark: SparkSession, folder: str) -> set[str]:
-    """The bronze attempts that the current silver version holds."""
+def folded_attempts(spark: SparkSession, folder: str) -> tuple[set[str], str | None]:
+    """The bronze attempts that the current silver version holds, and the settings of its verdicts."""
     path = version_folder(f"{folder}/{_FOLDED}", current_version(spark, folder))
     if not files.exists(spark, f"{path}/{_DONE}"):
-        return set()
-    return {row["attempt"] for row in spark.read.parquet(path).collect()}
+        return set(), None
+    rows = spark.read.schema(_FOLDED_SCHEMA).parquet(path).collect()
+    return {row["attempt"] for row in rows}, rows[0]["settings"] if rows else None
 
 
 def read_silver(spark: SparkSession, folder: str, verdict: str = rules.CLEAN) -> DataFrame | None:
@@ -167,6 +178,20 @@ def read_silver(spark: SparkSession, folder: str, verdict: str = rules.CLEAN) ->
     return spark.read.parquet(path).where(F.col(VERDICT) == verdict).drop(VERDICT)
 
 
+def write_changes(changes: DataFrame, folder: str, number: int) -> None:
+    """Publish what silver version ``number`` changed; a version without this list has to be merged whole."""
+    changes.hint("rebalance").write.mode("overwrite").parquet(version_folder(f"{folder}/{_CHANGES}", number))
+
+
+def read_changes(spark: SparkSession, folder: str, after: int, upto: int, version_column: str) -> DataFrame | None:
+    """The change sets of the versions in (after, upto], each row with its version; None if one is missing."""
+    paths = [version_folder(f"{folder}/{_CHANGES}", number) for number in range(after + 1, upto + 1)]
+    if not paths or not all(files.exists(spark, f"{path}/{_DONE}") for path in paths):
+        return None
+    number = F.regexp_extract(F.col("_metadata.file_path"), f"/{_VERSION}=([0-9]+)/[^/]*$", 1).cast("bigint")
+    return spark.read.option("mergeSchema", True).parquet(*paths).withColumn(version_column, number)
+
+
 def write_quarantine(bad: DataFrame, folder: str, batch_id: str) -> None:
     """Replace the batch's own folder; the few rows are gathered into full files."""
     bad.hint("rebalance").write.mode("overwrite").parquet(f"{folder}/{QUARANTINE_BATCH}={batch_id}")
@@ -193,7 +218,31 @@ def _ended(folder: str) -> str:
     return f"{folder}/ended"
 
 
-def write_gold(current: DataFrame, folder: str) -> int:
+@dataclass(frozen=True)
+class GoldState:
+    """What a gold version was made from, and how.
+
+    ``silver_version`` is None where the version does not stand for all of one silver version,
+    ``max_key`` where the highest surrogate key is not known without reading the rows.
+    """
+
+    silver_version: int | None = None
+    settings: str | None = None
+    max_key: int | None = None
+
+
+_STATE_SCHEMA = "silver_version bigint, settings string, max_key bigint"
+
+
+def read_state(spark: SparkSession, folder: str) -> GoldState:
+    """The state of the current gold version; one that was lost says nothing, and all is read from the data."""
+    path = version_folder(f"{folder}/{_STATE}", current_version(spark, _ended(folder)))
+    if not files.exists(spark, f"{path}/{_DONE}"):
+        return GoldState()
+    return GoldState(*spark.read.schema(_STATE_SCHEMA).parquet(path).first())
+
+
+def write_gold(current: DataFrame, folder: str, state: GoldState = GoldState()) -> int:
     """Publish the rows that were active before plus the new ones.
 
     One job writes them, split by ``is_active``: the active part replaces the one
@@ -205,6 +254,8 @@ def write_gold(current: DataFrame, folder: str) -> int:
     number = current_version(spark, _ended(folder)) + 1
     written = version_folder(_active(folder), number)
     current.write.mode("overwrite").partitionBy(_IS_ACTIVE).parquet(written)
+    noted = spark.createDataFrame([(state.silver_version, state.settings, state.max_key)], _STATE_SCHEMA)
+    noted.coalesce(1).write.mode("overwrite").parquet(version_folder(f"{folder}/{_STATE}", number))
     ended = _rows_of(spark, written, current.schema).where(~F.col(_IS_ACTIVE)).drop(_IS_ACTIVE)
     ended.hint("rebalance").write.mode("overwrite").parquet(version_folder(_ended(folder), number))
     return number
@@ -241,11 +292,17 @@ def _drop_before(spark: SparkSession, folder: str, oldest: int) -> list[str]:
 
 def drop_superseded(spark: SparkSession, folder: str, keep: int = 2) -> list[str]:
     """Delete the active parts of a gold target older than the newest ``keep`` versions; ended rows stay."""
-    return _drop_before(spark, _active(folder), current_version(spark, _ended(folder)) - keep + 1)
+    oldest = current_version(spark, _ended(folder)) - keep + 1
+    _drop_before(spark, f"{folder}/{_STATE}", oldest)
+    return _drop_before(spark, _active(folder), oldest)
 
 
 def drop_old_silver(spark: SparkSession, folder: str, keep: int = 2) -> list[str]:
-    """Delete all but the newest ``keep`` versions of a silver target."""
+    """Delete all but the newest ``keep`` versions of a silver target, and the change sets that led to the others.
+
+    A gold target that is further behind merges all of silver once.
+    """
     oldest = current_version(spark, folder) - keep + 1
     _drop_before(spark, f"{folder}/{_FOLDED}", oldest)
+    _drop_before(spark, f"{folder}/{_CHANGES}", oldest)
     return _drop_before(spark, folder, oldest)
