@@ -16,12 +16,13 @@ ADDED, CHANGED, GONE = "added", "changed", "gone"
 _BEFORE, _AFTER = "_digest_before", "_digest_after"
 
 
-def change_set(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
+def change_set(before: DataFrame, after: DataFrame, keys: Sequence[str], ignoring: Sequence[str] = ()) -> DataFrame:
     """The rows of ``after`` that are new or differ in any column, and the bare keys that ``before`` alone holds.
 
     Both have one row per key, NULL equal to NULL; a column that one side lacks is NULL there.
+    Columns in ``ignoring`` make no difference: a row delivered again unchanged is no change.
     """
-    columns = sorted({*before.columns, *after.columns} - set(keys))
+    columns = sorted({*before.columns, *after.columns} - {*keys, *ignoring})
     old = before.select(*refs(keys), row_digest(columns, "struct", missing_in=before.columns).alias(_BEFORE))
     new = after.select("*", row_digest(columns, "struct", missing_in=after.columns).alias(_AFTER))
     met = lookup(new, old, keys, ref(_BEFORE))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from smeltwork.functions.clock import BatchClock
@@ -15,6 +15,7 @@ from smeltwork.functions.naming import ref, refs
 from smeltwork.operators import scd
 from smeltwork.operators.changes import CHANGE, GONE, newest_changes
 from smeltwork.operators.snapshot import snapshot
+from smeltwork.operators.surrogate import highest_key
 from smeltwork.plans.audit import (
     ALL_TARGETS,
     GOLD,
@@ -44,7 +45,9 @@ _VERSION = "_silver_version"
 class GoldOptions:
     """``check_keys`` refuses a batch with two rows for one key, at the price of a shuffle of the keys.
 
-    Silver has one row per key by construction, so a run does not ask again.
+    Silver has one row per key by construction, so a run does not ask again. With ``buckets``
+    the active rows lie in that many folders by a digest of their keys, and a batch reads and
+    writes only those that its keys fall into; worth it where batches touch few of them.
     """
 
     check_keys: bool = False
@@ -53,6 +56,7 @@ class GoldOptions:
     close_missing: bool = False
     dense_sk: bool = True
     seed: int = 0
+    buckets: int = 0
 
 
 def _merge_options(strategy: str | None, options: GoldOptions) -> dict[str, bool]:
@@ -80,7 +84,33 @@ def merge_silver(
 
 def _merge_settings(target: Target, options: GoldOptions) -> str:
     """All that decides what a merge makes of the same rows, as text."""
-    return json.dumps([target.strategy, target.keys, options.hash_mode, sorted(_merge_options(target.strategy, options).items())])
+    chosen = sorted(_merge_options(target.strategy, options).items())
+    return json.dumps([target.strategy, target.keys, options.hash_mode, chosen, options.buckets])
+
+
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    """The bucket of a row: by its keys' text, NULL apart from the empty text."""
+    return F.pmod(F.xxhash64(*[F.struct(ref(key).cast("string")) for key in keys]), F.lit(buckets)).cast("int")
+
+
+def _touched(
+    batch: DataFrame, gone: DataFrame | None, dimension: DataFrame, target: Target, state: GoldState, options: GoldOptions
+) -> set[int] | None:
+    """The buckets that a batch touches, at most all of them; None where the whole dimension is concerned.
+
+    That is so if the layout is another one, if digests have to be made anew because the columns or
+    the keys' types are not the dimension's, or if rows that the batch does not name may end.
+    """
+    keys = target.keys
+    types = [dict(frame.select(*refs(keys)).dtypes) for frame in (batch, dimension)]
+    business = [scd.business_columns(names, keys) for names in (batch.columns, scd.source_columns(dimension, target.surrogate))]
+    if not state.layout or state.settings != _merge_settings(target, options) or types[0] != types[1] or business[0] != business[1]:
+        return None
+    if options.close_missing and gone is None:
+        return None
+    named = batch.select(*refs(keys))
+    named = named if gone is None else named.unionByName(gone)
+    return {row["bucket"] for row in named.select(bucket_of(keys, options.buckets).alias("bucket")).distinct().collect()}
 
 
 def pending_changes(
@@ -142,7 +172,16 @@ def publish_target(
         elif snapped:
             reduced = snapshot(silver, settings, target.keys, options.seed, scratch)
             silver = reduced if reduced is silver else scratch.store(reduced, "snapshot")
-        merged = merge_silver(silver, read_gold(spark, folder), target, clock, options, scratch, state.max_key, gone)
+        dimension, highest, bucket, layout = read_gold(spark, folder), state.max_key, None, ()
+        if options.buckets:
+            bucket = bucket_of(target.keys, options.buckets)
+            touched = _touched(silver, gone, dimension, target, state, options) if dimension is not None else None
+            if touched is not None:
+                if highest is None:  # of all buckets
+                    highest = highest_key(dimension, target.surrogate).first()["max_key"]
+                dimension = read_gold(spark, folder, touched)
+                layout = tuple(place for place in state.layout if place[0] not in touched)
+        merged = merge_silver(silver, dimension, target, clock, options, scratch, highest, gone)
         if changes is None:
             rows = silver.count()
         if not merged.changed:
@@ -153,7 +192,7 @@ def publish_target(
             seen, F.count_if(~ref("is_active")).alias("expired"), F.count_if(stamped).alias("stamped")
         )
         held = None if snapped else version
-        write_gold(counted, folder, GoldState(held, _merge_settings(target, options), merged.max_key))
+        write_gold(counted, folder, GoldState(held, _merge_settings(target, options), merged.max_key, layout), bucket)
         return Outcome(
             rows_processed=rows,
             rows_inserted=merged.inserted,

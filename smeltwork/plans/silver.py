@@ -18,6 +18,7 @@ from smeltwork.operators.changes import CHANGE, change_set
 from smeltwork.operators.dedup import drop_copies, keep_latest, merge_latest
 from smeltwork.operators.joining import anti, semi
 from smeltwork.operators.quarantine import VERDICT, Routed, route
+from smeltwork.operators.scd import METADATA
 from smeltwork.plans.audit import (
     ALL_TARGETS,
     BRONZE,
@@ -135,7 +136,8 @@ def fold_changes(
     touched = keep_latest(before.unionByName(fresh, allowMissingColumns=True), target.keys)
     after = scratch.store(touched, "touched-after")
     whole = after.unionByName(anti(state, fresh, target.keys), allowMissingColumns=True)
-    return Folded(judged(whole).flagged, change_set(judged(before).clean, judged(after).clean, target.keys))
+    changes = change_set(judged(before).clean, judged(after).clean, target.keys, METADATA)
+    return Folded(judged(whole).flagged, changes)
 
 
 def _folded(

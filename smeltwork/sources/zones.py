@@ -7,10 +7,10 @@ overwrites the unfinished folder. Nothing is ever overwritten that a plan reads.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -223,15 +223,19 @@ class GoldState:
     """What a gold version was made from, and how.
 
     ``silver_version`` is None where the version does not stand for all of one silver version,
-    ``max_key`` where the highest surrogate key is not known without reading the rows.
+    ``max_key`` where the highest surrogate key is not known without reading the rows. ``layout``
+    names the folder of every key bucket of the active rows, below the gold folder: a bucket that
+    a batch did not touch stays where an earlier version put it.
     """
 
     silver_version: int | None = None
     settings: str | None = None
     max_key: int | None = None
+    layout: tuple[tuple[int, str], ...] = ()
 
 
-_STATE_SCHEMA = "silver_version bigint, settings string, max_key bigint"
+_STATE_SCHEMA = "silver_version bigint, settings string, max_key bigint, layout array<struct<bucket:int,path:string>>"
+BUCKET = "key_bucket"
 
 
 def read_state(spark: SparkSession, folder: str) -> GoldState:
@@ -239,24 +243,44 @@ def read_state(spark: SparkSession, folder: str) -> GoldState:
     path = version_folder(f"{folder}/{_STATE}", current_version(spark, _ended(folder)))
     if not files.exists(spark, f"{path}/{_DONE}"):
         return GoldState()
-    return GoldState(*spark.read.schema(_STATE_SCHEMA).parquet(path).first())
+    return _state_of(spark.read.schema(_STATE_SCHEMA).parquet(path).first())
 
 
-def write_gold(current: DataFrame, folder: str, state: GoldState = GoldState()) -> int:
+def _state_of(row: Row) -> GoldState:
+    return GoldState(*row[:3], tuple((place["bucket"], place["path"]) for place in row["layout"] or ()))
+
+
+def _bucket_places(spark: SparkSession, folder: str, number: int) -> list[tuple[int, str]]:
+    """The buckets of active rows that a version wrote, each with its folder."""
+    below = f"{version_folder('active', number)}/{_IS_ACTIVE}=true"
+    found = _versions(spark, f"{folder}/{below}", BUCKET)
+    return [(int(entry.name.partition("=")[2]), f"{below}/{entry.name}") for entry in found]
+
+
+def write_gold(current: DataFrame, folder: str, state: GoldState = GoldState(), bucket: Column | None = None) -> int:
     """Publish the rows that were active before plus the new ones.
 
     One job writes them, split by ``is_active``: the active part replaces the one
     before. The rows this batch ended are few and lie in many small files, so a second
     job gathers them into ``ended``, which grows and is never written again. The
     version counts once that second job is done.
+
+    With ``bucket``, the active part is split by it too, and ``current`` holds the rows of the
+    buckets to write; those in the ``layout`` of ``state`` stay where they are.
     """
     spark = current.sparkSession
     number = current_version(spark, _ended(folder)) + 1
     written = version_folder(_active(folder), number)
-    current.write.mode("overwrite").partitionBy(_IS_ACTIVE).parquet(written)
-    noted = spark.createDataFrame([(state.silver_version, state.settings, state.max_key)], _STATE_SCHEMA)
+    if bucket is None:
+        current.write.mode("overwrite").partitionBy(_IS_ACTIVE).parquet(written)
+        layout = []
+    else:
+        dealt = current.withColumn(BUCKET, bucket).hint("rebalance", BUCKET)
+        dealt.write.mode("overwrite").partitionBy(_IS_ACTIVE, BUCKET).parquet(written)
+        layout = [*state.layout, *_bucket_places(spark, folder, number)]
+    noted = spark.createDataFrame([(state.silver_version, state.settings, state.max_key, layout)], _STATE_SCHEMA)
     noted.coalesce(1).write.mode("overwrite").parquet(version_folder(f"{folder}/{_STATE}", number))
-    ended = _rows_of(spark, written, current.schema).where(~F.col(_IS_ACTIVE)).drop(_IS_ACTIVE)
+    ended = _rows_of(spark, written, current.schema).where(~F.col(_IS_ACTIVE)).drop(_IS_ACTIVE, BUCKET)
     ended.hint("rebalance").write.mode("overwrite").parquet(version_folder(_ended(folder), number))
     return number
 
@@ -266,15 +290,25 @@ def _rows_of(spark: SparkSession, written: str, schema: T.StructType) -> DataFra
     return spark.read.schema(schema).parquet(written)
 
 
-def read_gold(spark: SparkSession, folder: str) -> DataFrame | None:
-    """Active rows of the current version and all ended versions; None before the first load."""
+def read_gold(spark: SparkSession, folder: str, buckets: Collection[int] | None = None) -> DataFrame | None:
+    """Active rows of the current version and all ended versions; None before the first load.
+
+    ``buckets`` leaves out the active rows of all others, where they lie in buckets.
+    """
     number = current_version(spark, _ended(folder))
     if number == 0:
         return None
     # The newest version has every column seen so far, also when it ended no row.
     columns = spark.read.parquet(version_folder(_ended(folder), number)).schema.fields
     flag = T.StructField(_IS_ACTIVE, T.BooleanType())
-    live = _rows_of(spark, version_folder(_active(folder), number), T.StructType([*columns, flag]))
+    layout = read_state(spark, folder).layout
+    if layout:
+        paths = [f"{folder}/{path}" for bucket, path in layout if buckets is None or bucket in buckets]
+        rows = spark.read.schema(T.StructType(columns))
+        live = rows.parquet(*paths) if paths else spark.createDataFrame([], T.StructType(columns))
+        live = live.withColumn(_IS_ACTIVE, F.lit(True))
+    else:
+        live = _rows_of(spark, version_folder(_active(folder), number), T.StructType([*columns, flag]))
     past = [entry.path for entry in _versions(spark, _ended(folder), _VERSION) if _number(entry.name) <= number]
     ended = spark.read.schema(T.StructType(columns)).parquet(*past)
     names = [field.name for field in columns]
@@ -283,18 +317,27 @@ def read_gold(spark: SparkSession, folder: str) -> DataFrame | None:
     return both.select(*refs(order))
 
 
-def _drop_before(spark: SparkSession, folder: str, oldest: int) -> list[str]:
-    old = [entry.path for entry in _versions(spark, folder, _VERSION) if _number(entry.name) < oldest]
+def _drop_before(spark: SparkSession, folder: str, oldest: int, but: Collection[int] = ()) -> list[str]:
+    numbers = ((entry.path, _number(entry.name)) for entry in _versions(spark, folder, _VERSION))
+    old = [path for path, number in numbers if number < oldest and number not in but]
     for path in old:
         files.delete(spark, path)
     return old
 
 
 def drop_superseded(spark: SparkSession, folder: str, keep: int = 2) -> list[str]:
-    """Delete the active parts of a gold target older than the newest ``keep`` versions; ended rows stay."""
-    oldest = current_version(spark, _ended(folder)) - keep + 1
+    """Delete the active parts of a gold target older than the newest ``keep`` versions; ended rows stay.
+
+    A version that one of those still takes a bucket from stays too.
+    """
+    newest = current_version(spark, _ended(folder))
+    oldest = newest - keep + 1
     _drop_before(spark, f"{folder}/{_STATE}", oldest)
-    return _drop_before(spark, _active(folder), oldest)
+    states = [version_folder(f"{folder}/{_STATE}", number) for number in range(max(oldest, 1), newest + 1)]
+    held = [path for path in states if files.exists(spark, f"{path}/{_DONE}")]
+    rows = spark.read.schema(_STATE_SCHEMA).parquet(*held).collect() if held else []
+    used = {_number(path.split("/")[1]) for row in rows for _, path in _state_of(row).layout}
+    return _drop_before(spark, _active(folder), oldest, used)
 
 
 def drop_old_silver(spark: SparkSession, folder: str, keep: int = 2) -> list[str]:

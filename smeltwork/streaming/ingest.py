@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from smeltwork.functions.casting import string_safe
 from smeltwork.functions.clock import BatchClock
-from smeltwork.plans.audit import ALL_TARGETS, BRONZE, UNMATCHED, AuditTrail, Outcome, now
-from smeltwork.plans.bronze import ingest_target
+from smeltwork.plans.audit import ALL_TARGETS, BRONZE, FAILED, UNMATCHED, AuditTrail, Outcome, now
+from smeltwork.plans.bronze import archive, ingest_target
 from smeltwork.plans.control import Target
 from smeltwork.sources import files
 from smeltwork.sources.landing import landing_entries, routed_entries
@@ -76,13 +76,16 @@ def stream_targets(
     checkpoint: str,
     trail: AuditTrail,
     options: ReadOptions = ReadOptions(),
+    put_away: bool = False,
 ) -> list[str]:
     """Ingest all landed files not seen before, by the same steps as a batch run; returns the landed names.
 
     The stream carries the names of files, not their rows: what it has seen is kept in its
     checkpoint, and each micro-batch routes its files, groups them by layout, refuses bad
     ones and leaves audit rows like ``run_bronze``. Files of every format, with any header,
-    may arrive; files stay where they are, since the checkpoint knows them. Names without a
+    may arrive; files stay where they are, since the checkpoint knows them, or are archived with
+    ``put_away``, so that the next trigger lists new files only. A file that a batch run has
+    taken, or that a replayed micro-batch finds again, is not taken twice. Names without a
     dot are not listed, and so neither are the archive folders below landing.
     """
     names: list[str] = []
@@ -93,6 +96,7 @@ def stream_targets(
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length long, content binary")
         .option("recursiveFileLookup", True)
+        .option("ignoreMissingFiles", True)  # a replayed micro-batch may name files that were put away
         .load(f"{zones.landing.rstrip('/')}/*.*")
         .select(landed_name(files.encoded_path(spark, zones.landing)).alias("name"), "path")
     )
@@ -111,7 +115,10 @@ def stream_targets(
             if mine:
                 start = now()
                 outcomes = ingest_target(spark, target, mine, zones, clock, f"stream-{query_id}-{number}", options)
-                for outcome in outcomes.values():
+                for entry in mine:
+                    outcome = outcomes[entry["path"]]
+                    if put_away and outcome.status != FAILED:
+                        archive(spark, zones, name, entry, f"stream-{query_id}-{number}")
                     trail.record(name, BRONZE, start, outcome)
         trail.flush()
         names.extend(sorted(landed))
