@@ -43,11 +43,12 @@ def route(
     on_unknown: str = "clean",
     keys: Sequence[str] = (),
     null_keys: str = "keep",
+    on_error: str = "unknown",
 ) -> Routed:
     """Add the verdict column. ``null_keys="quarantine"`` also diverts rows without a full key."""
     if VERDICT in (name.lower() for name in frame.columns):
         raise ValueError(f"a source column uses the reserved name {VERDICT}")
-    outcome = rules.verdict(rule, on_unknown)
+    outcome = rules.verdict(rule, on_unknown, on_error)
     if null_keys == "quarantine" and keys:
         outcome = F.when(null_key(keys), F.lit(rules.QUARANTINE)).otherwise(outcome)
     elif null_keys != "keep" and keys:

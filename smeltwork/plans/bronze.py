@@ -29,7 +29,7 @@ from smeltwork.sources import files
 from smeltwork.sources.landing import landing_entries, routed_entries
 from smeltwork.sources.ledger import OFF, already_taken, write_ledger
 from smeltwork.sources.readers import CORRUPT, SOURCE_FILE, BadFile, Feed, ReadOptions, bronze_frame, feeds
-from smeltwork.sources.zones import Zones, drop_attempt, read_bronze, write_bronze
+from smeltwork.sources.zones import Zones, drop_attempt, read_bronze, write_bronze, write_malformed
 
 
 _MOVES = 16  # files moved to the archive side by side
@@ -114,6 +114,12 @@ def ingest_target(
             return
         seen = Observation()
         kept = _without(spark, rows, errors, names).observe(seen, F.count(CORRUPT).alias("malformed"))
+        if options.malformed == "divert":
+            number = write_bronze(kept.where(F.col(CORRUPT).isNull()).drop(CORRUPT), folder, batch_id, delivered, note)
+            if seen.get["malformed"]:
+                bad = _without(spark, rows, errors, names).where(F.col(CORRUPT).isNotNull())
+                write_malformed(bad, f"{zones.quarantine}/{target.name}", batch_id, number)
+            return
         number = write_bronze(kept.drop(CORRUPT), folder, batch_id, delivered, note)
         if options.malformed == "reject" and seen.get["malformed"]:
             drop_attempt(spark, folder, batch_id, number)

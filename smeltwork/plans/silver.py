@@ -60,6 +60,7 @@ class SilverOptions:
 
     on_unknown: str = "clean"
     null_keys: str = "keep"
+    on_error: str = "unknown"
     on_collision: str = "raise"
     fallback_to_last_good: bool = False
     incremental: bool = False
@@ -69,7 +70,8 @@ class SilverOptions:
 
 def _verdict_settings(target: Target, options: SilverOptions) -> str:
     """All that a verdict on unchanged rows depends on, as text."""
-    return json.dumps([target.rule, target.keys, options.on_unknown, options.null_keys, sorted(options.types.items())])
+    return json.dumps(
+        [target.rule, target.keys, options.on_unknown, options.null_keys, options.on_error, sorted(options.types.items())])
 
 
 def cleanse(bronze: DataFrame, keys: Sequence[str], rule: str | None, options: SilverOptions = SilverOptions()) -> Routed:
@@ -77,10 +79,10 @@ def cleanse(bronze: DataFrame, keys: Sequence[str], rule: str | None, options: S
     frame = typed(standardise(bronze, options.on_collision), options.types)
     if not keys:
         ignored = [name for name in options.ignore_in_copies if name in frame.columns]
-        return route(drop_copies(frame, ignored), rule, options.on_unknown)
+        return route(drop_copies(frame, ignored), rule, options.on_unknown, on_error=options.on_error)
     if not options.fallback_to_last_good:
-        return route(keep_latest(frame, keys), rule, options.on_unknown, keys, options.null_keys)
-    routed = route(frame, rule, options.on_unknown, keys, options.null_keys).flagged
+        return route(keep_latest(frame, keys), rule, options.on_unknown, keys, options.null_keys, options.on_error)
+    routed = route(frame, rule, options.on_unknown, keys, options.null_keys, options.on_error).flagged
     good = routed.where(F.col(VERDICT) == rules.CLEAN)
     rest = routed.where(F.col(VERDICT) != rules.CLEAN)
     return Routed(keep_latest(good, keys).unionByName(rest))
@@ -104,7 +106,7 @@ def fold(state: DataFrame, batch: DataFrame | None, target: Target, options: Sil
     if batch is not None:
         fresh = typed(standardise(batch, options.on_collision), options.types)
         both = merge_latest(both, fresh, target.keys)
-    return route(both, target.rule, options.on_unknown, target.keys, options.null_keys)
+    return route(both, target.rule, options.on_unknown, target.keys, options.null_keys, options.on_error)
 
 
 @dataclass(frozen=True)
@@ -130,7 +132,7 @@ def fold_changes(
         fresh = typed(standardise(batch, options.on_collision), options.types)
 
     def judged(rows: DataFrame) -> Routed:
-        return route(rows, target.rule, options.on_unknown, target.keys, options.null_keys)
+        return route(rows, target.rule, options.on_unknown, target.keys, options.null_keys, options.on_error)
 
     before = scratch.store(semi(state, fresh, target.keys), "touched-before")
     touched = keep_latest(before.unionByName(fresh, allowMissingColumns=True), target.keys)

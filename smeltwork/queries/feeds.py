@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from smeltwork.functions.casting import string_safe
 from smeltwork.functions.clock import OPEN_END, BatchClock
 from smeltwork.operators.late import splice
+from smeltwork.operators.quarantine import route
+from smeltwork.operators.snapshot import snapshot
 from smeltwork.plans.audit import GOLD, AuditTrail, read_audit
 from smeltwork.plans.bronze import run_bronze
 from smeltwork.plans.control import CONTROL_SCHEMA, load_targets
@@ -20,8 +22,10 @@ from smeltwork.queries.bronze import CUSTOMERS, ingest_landed, land
 from smeltwork.queries.dimensions import _history_sql, shown_exact
 from smeltwork.queries.registry import Query, instant_text, table, text_list
 from smeltwork.session import Scratch, fresh_folder
-from smeltwork.sources.zones import Zones, read_bronze, read_changes, read_gold, read_silver
+from smeltwork.sources.readers import ReadOptions
+from smeltwork.sources.zones import Zones, read_bronze, read_changes, read_gold, read_malformed, read_silver
 from smeltwork.streaming.ingest import stream_targets
+from smeltwork.streaming.latest import feed_latest, read_latest
 
 _DIM = "gold_customer_dim"
 _POOR, _BUILT = "c_acctbal < 0", "c_mktsegment = 'BUILDING'"
@@ -247,6 +251,76 @@ SELECT v.* FROM n, LATERAL (VALUES
 """
 
 
+# --- rules that fail, records that cannot be read, samples of a size, a stream's newest rows --------
+
+
+def _tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A price that is no number for one segment, and a division by a balance that may be zero."""
+    price = F.when(F.expr(_BUILT), F.lit("n/a")).otherwise(F.col("c_acctbal").cast("string"))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", price.alias("price"))
+    rule = "(price < 0D AND 10 / c_nationkey > 1) OR (c_custkey % 7 = 0 AND NOT CAST(price AS DOUBLE) > 5000)"
+    parts = [route(rows, rule, on_unknown).flagged.withColumn("mode", F.lit(on_unknown)) for on_unknown in ("clean", "quarantine", "drop")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).drop("c_name")
+
+
+_TOLERANT_SQL = f"""
+WITH rows AS (
+  SELECT c_custkey, c_nationkey, CASE WHEN {_BUILT} THEN 'n/a' ELSE CAST(c_acctbal AS VARCHAR) END AS price FROM customer
+), judged AS (
+  SELECT *, (try_cast(price AS DOUBLE) < 0 AND CASE WHEN c_nationkey <> 0 THEN 10 / c_nationkey > 1 END)
+         OR (c_custkey % 7 = 0 AND NOT try_cast(price AS DOUBLE) > 5000) AS bad FROM rows
+)
+SELECT c_custkey, c_nationkey, price, mode, CASE WHEN bad THEN 'quarantine' WHEN bad IS NULL THEN unknown ELSE 'clean' END AS quarantine_verdict
+FROM judged, (VALUES ('clean', 'clean'), ('quarantine', 'quarantine'), ('drop', 'dropped')) AS m(mode, unknown)
+"""
+
+
+def _diverted(kind: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Files in which the records of one segment are cut off: the others reach bronze, these are put aside."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        zones = Zones.under(fresh_folder(spark, "diverted"))
+        customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+        if kind == "csv":
+            whole, cut, head = F.concat_ws(",", *customer.columns), F.concat_ws(",", "c_custkey", "c_name"), [",".join(customer.columns)]
+        else:
+            whole = F.to_json(F.struct(*customer.columns))
+            cut, head = F.concat(F.lit('{"c_custkey":'), F.col("c_custkey").cast("string")), []
+        lines = customer.select(F.when(F.expr(_BUILT), cut).otherwise(whole).alias("value"))
+        heads = spark.createDataFrame([(line,) for line in head], "value string")
+        ordered = heads.withColumn("n", F.lit(0)).unionByName(lines.withColumn("n", F.lit(1))).coalesce(1).sortWithinPartitions("n")
+        ordered.select("value").write.text(f"{zones.landing}/feed_1.{kind}")
+        bronze = ingest_landed(spark, zones, _DIM, options=ReadOptions(malformed="divert"))
+        bad = read_malformed(spark, f"{zones.quarantine}/{_DIM}")
+        good = bronze.select(F.lit("bronze").alias("zone"), F.concat_ws(",", "c_custkey", "c_name", "c_mktsegment").alias("record"))
+        return good.unionByName(bad.select(F.lit("malformed").alias("zone"), "record"))
+
+    return run
+
+
+def _diverted_sql(cut: str) -> str:
+    return f"""
+SELECT CASE WHEN {_BUILT} THEN 'malformed' ELSE 'bronze' END AS zone,
+       CASE WHEN {_BUILT} THEN {cut} ELSE c_custkey || ',' || c_name || ',' || c_mktsegment END AS record
+FROM customer"""
+
+
+_EXACT = {"is_snapshot": True, "snapshot_layer": "all", "sample_type": "exact", "row_limit": 120}
+
+
+def _stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest order of every customer, from a stream started three times over files that repeat and come late."""
+    base = fresh_folder(spark, "latest")
+    orders = table(spark, sf_dir, "orders")
+    third = [f"pmod(o_orderkey, 3) = {n}" for n in range(3)]
+    files_ = [orders.where(third[0]), orders.where(f"{third[0]} OR {third[1]}"), orders.where("o_orderdate < '1996-01-01'").unionByName(orders.where(third[2]))]
+    for number, rows in enumerate(files_):
+        rows.write.parquet(f"{base}/in/n={number}")
+        stream = spark.readStream.schema(orders.schema).parquet(f"{base}/in/*")
+        feed_latest(stream, ["o_custkey"], f"{base}/out", f"{base}/checkpoint", ["o_orderdate"])
+    return read_latest(spark, f"{base}/out", ["o_custkey"])
+
+
 QUERIES = {
     "gold_from_changes": Query(_from_changes(GoldOptions()), _FROM_CHANGES_SQL),
     "gold_in_buckets": Query(_from_changes(GoldOptions(buckets=16)), _FROM_CHANGES_SQL),
@@ -257,5 +331,29 @@ QUERIES = {
     "ingest_once_by_stream": Query(_once_by_stream, _ONCE_BY_STREAM_SQL),
     "scd2_late_changes": Query(_late(*_EVENTS, _EVENT_PARTS), _history_sql(_EVENTS[0], _EVENTS[1], [_EVENTS[2]], _EVENTS[3])),
     "scd2_late_changes_orders": Query(_late(*_ORDERS, _ORDER_PARTS), _history_sql(_ORDERS[0], _ORDERS[1], [_ORDERS[2]], _ORDERS[3])),
+    "quarantine_tolerant": Query(_tolerant, _TOLERANT_SQL),
+    "ingest_csv_diverted": Query(_diverted("csv"), _diverted_sql("c_custkey || ',' || c_name")),
+    "ingest_json_diverted": Query(_diverted("json"), _diverted_sql("""'{"c_custkey":' || c_custkey""")),
+    "snapshot_exact": Query(
+        lambda spark, sf_dir: snapshot(table(spark, sf_dir, "orders"), _EXACT, ["o_orderkey"]),
+        "SELECT * FROM orders ORDER BY sha256(CAST(o_orderkey AS VARCHAR)) LIMIT 120",
+    ),
+    "snapshot_exact_strata": Query(
+        lambda spark, sf_dir: snapshot(table(spark, sf_dir, "lineitem"), _EXACT | {"strata": ["l_shipdate"], "row_limit": 3}, ["l_orderkey", "l_linenumber"]),
+        """SELECT * FROM lineitem QUALIFY row_number() OVER (
+  PARTITION BY l_shipdate ORDER BY sha256(l_orderkey || '||' || l_linenumber), l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) <= 3""",
+    ),
+    "snapshot_limit_lines": Query(
+        lambda spark, sf_dir: snapshot(
+            table(spark, sf_dir, "lineitem"), _EXACT | {"sample_type": "limit", "row_limit": 4500}, ["l_shipdate", "l_orderkey", "l_linenumber"]),
+        """SELECT * FROM lineitem ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
+       l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus LIMIT 4500""",
+    ),
+    "stream_latest": Query(
+        _stream_latest,
+        """SELECT * FROM orders QUALIFY row_number() OVER (
+  PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC, o_orderstatus DESC, o_totalprice DESC) = 1""",
+    ),
     "options_per_target": Query(_own_options, _OWN_OPTIONS_SQL),
 }

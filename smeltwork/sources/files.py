@@ -64,6 +64,32 @@ def delete(spark: SparkSession, path: str) -> None:
     system.delete(target, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small text into a file, whole or not at all; one of that name is replaced."""
+    system, target = _resolve(spark, path)
+    _, part = _resolve(spark, f"{path.rsplit('/', 1)[0]}/_{path.rsplit('/', 1)[1]}.part")
+    out = system.create(part, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    system.delete(target, False)
+    if not system.rename(part, target):
+        raise OSError(f"could not write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; None if there is none."""
+    system, target = _resolve(spark, path)
+    if not system.exists(target):
+        return None
+    stream = system.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def make_until_exit(spark: SparkSession, path: str) -> None:
     """Create a folder that goes, with all it holds, when the session's process ends."""
     system, target = _resolve(spark, path)

@@ -9,6 +9,7 @@ count only if their attempt has finished, and are matched with the few files tha
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,15 +58,17 @@ def content_digests(spark: SparkSession, entries: Sequence[Entry], landing: str)
 def write_ledger(spark: SparkSession, folder: str, attempt: str, entries: Sequence[Entry], landing: str, mode: str) -> None:
     """Note the files of an attempt, before its rows are written."""
     digests = content_digests(spark, entries, landing) if mode == CONTENT else {}
-    rows = [(entry["name"], entry["length"], entry["modified"], digests.get(entry["name"])) for entry in entries]
-    noted = spark.createDataFrame(rows, _SCHEMA)
-    noted.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{LEDGER}/{attempt}")
+    rows = [
+        {"source_file": entry["name"], "length": entry["length"], "modified": entry["modified"], "digest": digests.get(entry["name"])}
+        for entry in entries
+    ]
+    files.write_text(spark, f"{folder}/{LEDGER}/{attempt}/files.json", "\n".join(map(json.dumps, rows)))
 
 
 def _matches(spark: SparkSession, folder: str, entries: Sequence[Entry]) -> list:
     """Ledger rows with the name and length of an entry, with their attempts: at most those of the waiting files."""
     waiting = spark.createDataFrame([(e["name"], e["length"]) for e in entries], "_name string, _length bigint")
-    noted = spark.read.schema(_SCHEMA).option("recursiveFileLookup", True).parquet(f"{folder}/{LEDGER}")
+    noted = spark.read.schema(_SCHEMA).option("recursiveFileLookup", True).json(f"{folder}/{LEDGER}")
     attempt = path_text(F.regexp_extract("_metadata.file_path", f"/{LEDGER}/([^/]+/[^/]+)/[^/]*$", 1))
     same = (F.col("source_file") == F.col("_name")) & (F.col("length") == F.col("_length"))
     rows = noted.withColumn("attempt", attempt).join(F.broadcast(waiting), same)

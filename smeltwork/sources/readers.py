@@ -32,7 +32,8 @@ class ReadOptions:
 
     ``csv_multiline`` lets quoted fields hold line breaks; such files cannot be split
     between tasks. ``malformed="keep"`` fills short CSV rows with NULL and cuts long ones,
-    where the default refuses their file. ``ledger`` says how a file that bronze holds already
+    where the default refuses their file. ``malformed="divert"`` takes the good rows of a CSV or
+    JSON-lines file and puts the text of the others aside. ``ledger`` says how a file that bronze holds already
     is known: by its ``delivery``, also by its ``content``, or ``off``: not at all.
     """
 
@@ -102,6 +103,20 @@ def _one_json_value(text: Column) -> Column:
     return F.coalesce(found, F.lit(False))
 
 
+def _broken_and_mixed(judged: DataFrame) -> tuple[set[str], set[str]]:
+    """Entries with a line that is no value by itself, and of them those whose bad lines can be put aside.
+
+    The reader must see for itself that such a line is bad: it would take the first of two values
+    on a line and lose the other.
+    """
+    parsed = F.from_json("value", f"v string, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT})
+    seen = F.coalesce(parsed[CORRUPT].isNotNull(), F.lit(False))
+    counts = judged.groupBy("entry").agg(
+        F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"), F.count_if(~F.col("good") & ~seen).alias("hidden"))
+    rows = counts.where("bad > 0").collect()
+    return {row["entry"] for row in rows}, {row["entry"] for row in rows if row["good"] and not row["hidden"]}
+
+
 def _json_feeds(spark, landing, target, entries, options, errors) -> list[Feed]:
     """Files with a value on every line, and files that are one value, from their whole text.
 
@@ -113,14 +128,21 @@ def _json_feeds(spark, landing, target, entries, options, errors) -> list[Feed]:
         lines, single = (entries, []) if options.json_mode == "lines" else ([], entries)
     else:
         filled = _lines_of(spark, landing, entries).where(F.col("value").rlike(r"\S"))
-        bad = filled.where(~_one_json_value(F.col("value"))).select("entry").distinct()
-        broken = {row["entry"] for row in bad.collect()}
+        judged = filled.select("entry", "value", _one_json_value(F.col("value")).alias("good"))
+        if options.malformed == "divert":
+            broken, mixed = _broken_and_mixed(judged)
+        else:
+            bad = judged.where("NOT good").select("entry").distinct()
+            broken, mixed = {row["entry"] for row in bad.collect()}, set()
         lines = [entry for entry in entries if entry["name"] not in broken]
         single = [entry for entry in entries if entry["name"] in broken]
         if single:
             texts = _lines_of(spark, landing, single, whole=True)
             neither = texts.where(~_one_json_value(F.col("value"))).select("entry").distinct()
             refused = {row["entry"] for row in neither.collect()}
+            lines += [entry for entry in single if entry["name"] in refused & mixed]
+            single = [entry for entry in single if entry["name"] not in refused & mixed]
+            refused -= mixed
             errors |= {
                 entry["path"]: f"Invalid JSON structure in {entry['name']}"
                 for entry in single
@@ -248,9 +270,10 @@ def bronze_frame(
     """A feed as bronze rows; refuses files without a readable layout."""
     frame = raw_frame(spark, feed, options)
     names = ", ".join(path.rsplit("/", 1)[-1] for path in feed.paths)
-    if feed.format != "csv" and CORRUPT in frame.columns:
+    diverts = feed.format == "csv" or (feed.json_lines and options.malformed == "divert")
+    if not diverts and CORRUPT in frame.columns:
         raise BadFile(f"Invalid {feed.format.upper()} structure in {names}")
-    source = [name for name in frame.columns if feed.format != "csv" or name != CORRUPT]
+    source = [name for name in frame.columns if not diverts or name != CORRUPT]
     if not source:
         raise BadFile(f"No data columns in {names}")
     reserved = [name for name in source if standard_name(name) in RESERVED]

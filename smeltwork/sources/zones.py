@@ -7,10 +7,11 @@ overwrites the unfinished folder. Nothing is ever overwritten that a plan reads.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Collection, Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,6 +110,28 @@ def write_bronze(
     return number + 1
 
 
+MALFORMED = "malformed"
+
+
+def write_malformed(bad: DataFrame, folder: str, batch_id: str, number: int) -> None:
+    """Put aside the text of records that could not be read, with the file they came from.
+
+    They lie beside the attempt that took the file's other rows, and are replaced with it.
+    """
+    line = F.col("_corrupt_record").alias("record")
+    others = [name for name in bad.columns if name not in ("_corrupt_record", SOURCE_FILE, "ingest_timestamp")]
+    # Spark answers no query on the corrupt column alone, so the others are looked at too.
+    read = F.length(F.concat_ws("", *refs(others))) >= 0 if others else F.lit(True)
+    rows = bad.where(read).select(F.col(SOURCE_FILE), line, F.lit("not a record of its format").alias("reason"), "ingest_timestamp")
+    rows.hint("rebalance").write.mode("overwrite").parquet(version_folder(f"{folder}/{MALFORMED}/{BATCH}={batch_id}", number))
+
+
+def read_malformed(spark: SparkSession, folder: str) -> DataFrame | None:
+    """``source_file, record, reason, ingest_timestamp`` of all records put aside, of each batch's newest attempt."""
+    paths = [f"{folder}/{MALFORMED}/{attempt}" for attempt in bronze_attempts(spark, f"{folder}/{MALFORMED}")]
+    return spark.read.parquet(*paths) if paths else None
+
+
 def drop_attempt(spark: SparkSession, folder: str, batch_id: str, number: int) -> None:
     """Take back an attempt; the one before it counts again."""
     files.delete(spark, version_folder(f"{folder}/{BATCH}={batch_id}", number))
@@ -143,7 +166,9 @@ def read_bronze(spark: SparkSession, folder: str, batch_id: str | None = None) -
 # --- silver and quarantine --------------------------------------------------
 
 
-_FOLDED_SCHEMA = "attempt string, settings string"
+def _note(folder: str, label: str, number: int) -> str:
+    """Where a version keeps a small note about itself."""
+    return f"{version_folder(f'{folder}/{label}', number)}/note.json"
 
 
 def write_silver(flagged: DataFrame, folder: str, folded: Sequence[str] = (), settings: str | None = None) -> int:
@@ -154,19 +179,18 @@ def write_silver(flagged: DataFrame, folder: str, folded: Sequence[str] = (), se
     """
     spark = flagged.sparkSession
     number = current_version(spark, folder) + 1
-    listed = spark.createDataFrame([(attempt, settings) for attempt in folded], _FOLDED_SCHEMA)
-    listed.coalesce(1).write.mode("overwrite").parquet(version_folder(f"{folder}/{_FOLDED}", number))
+    files.write_text(spark, _note(folder, _FOLDED, number), json.dumps({"attempts": list(folded), "settings": settings}))
     flagged.write.mode("overwrite").partitionBy(VERDICT).parquet(version_folder(folder, number))
     return number
 
 
 def folded_attempts(spark: SparkSession, folder: str) -> tuple[set[str], str | None]:
     """The bronze attempts that the current silver version holds, and the settings of its verdicts."""
-    path = version_folder(f"{folder}/{_FOLDED}", current_version(spark, folder))
-    if not files.exists(spark, f"{path}/{_DONE}"):
+    text = files.read_text(spark, _note(folder, _FOLDED, current_version(spark, folder)))
+    if text is None:
         return set(), None
-    rows = spark.read.schema(_FOLDED_SCHEMA).parquet(path).collect()
-    return {row["attempt"] for row in rows}, rows[0]["settings"] if rows else None
+    noted = json.loads(text)
+    return set(noted["attempts"]), noted["settings"]
 
 
 def read_silver(spark: SparkSession, folder: str, verdict: str = rules.CLEAN) -> DataFrame | None:
@@ -234,20 +258,20 @@ class GoldState:
     layout: tuple[tuple[int, str], ...] = ()
 
 
-_STATE_SCHEMA = "silver_version bigint, settings string, max_key bigint, layout array<struct<bucket:int,path:string>>"
 BUCKET = "key_bucket"
 
 
 def read_state(spark: SparkSession, folder: str) -> GoldState:
     """The state of the current gold version; one that was lost says nothing, and all is read from the data."""
-    path = version_folder(f"{folder}/{_STATE}", current_version(spark, _ended(folder)))
-    if not files.exists(spark, f"{path}/{_DONE}"):
-        return GoldState()
-    return _state_of(spark.read.schema(_STATE_SCHEMA).parquet(path).first())
+    return _state_of(spark, folder, current_version(spark, _ended(folder)))
 
 
-def _state_of(row: Row) -> GoldState:
-    return GoldState(*row[:3], tuple((place["bucket"], place["path"]) for place in row["layout"] or ()))
+def _state_of(spark: SparkSession, folder: str, number: int) -> GoldState:
+    text = files.read_text(spark, _note(folder, _STATE, number))
+    if text is None:
+        return GoldState()
+    noted = json.loads(text)
+    return GoldState(**noted | {"layout": tuple((bucket, path) for bucket, path in noted["layout"])})
 
 
 def _bucket_places(spark: SparkSession, folder: str, number: int) -> list[tuple[int, str]]:
@@ -273,13 +297,12 @@ def write_gold(current: DataFrame, folder: str, state: GoldState = GoldState(),
     written = version_folder(_active(folder), number)
     if bucket is None:
         current.write.mode("overwrite").partitionBy(_IS_ACTIVE).parquet(written)
-        layout = []
+        layout = ()
     else:
         dealt = current.withColumn(BUCKET, bucket).hint("rebalance", BUCKET)
         dealt.write.mode("overwrite").partitionBy(_IS_ACTIVE, BUCKET).parquet(written)
-        layout = [*state.layout, *_bucket_places(spark, folder, number)]
-    noted = spark.createDataFrame([(state.silver_version, state.settings, state.max_key, layout)], _STATE_SCHEMA)
-    noted.coalesce(1).write.mode("overwrite").parquet(version_folder(f"{folder}/{_STATE}", number))
+        layout = (*state.layout, *_bucket_places(spark, folder, number))
+    files.write_text(spark, _note(folder, _STATE, number), json.dumps(asdict(replace(state, layout=layout))))
     ended = _rows_of(spark, written, current.schema).where(~F.col(_IS_ACTIVE)).drop(_IS_ACTIVE, BUCKET)
     ended.hint("rebalance").write.mode("overwrite").parquet(version_folder(_ended(folder), number))
     return number
@@ -333,10 +356,8 @@ def drop_superseded(spark: SparkSession, folder: str, keep: int = 2) -> list[str
     newest = current_version(spark, _ended(folder))
     oldest = newest - keep + 1
     _drop_before(spark, f"{folder}/{_STATE}", oldest)
-    states = [version_folder(f"{folder}/{_STATE}", number) for number in range(max(oldest, 1), newest + 1)]
-    held = [path for path in states if files.exists(spark, f"{path}/{_DONE}")]
-    rows = spark.read.schema(_STATE_SCHEMA).parquet(*held).collect() if held else []
-    used = {_number(path.split("/")[1]) for row in rows for _, path in _state_of(row).layout}
+    states = [_state_of(spark, folder, number) for number in range(max(oldest, 1), newest + 1)]
+    used = {_number(path.split("/")[1]) for state in states for _, path in state.layout}
     return _drop_before(spark, _active(folder), oldest, used)
 
 
