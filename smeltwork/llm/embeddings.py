@@ -14,7 +14,7 @@ bucket is a count per vector and a spanning star per local component, never its
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components link with nothing; vectors of
 different lengths never link; rows with equal ids are separate vectors; a null id is ignored in a component's smallest
-id unless all are null. Vectors are told apart by a 64-bit digest.
+id unless all are null; an empty table gives no rows. Vectors are told apart by a 64-bit digest.
 """
 
 from __future__ import annotations

@@ -1,19 +1,22 @@
 """Line dedup: later copies of repeated line runs are deleted.
 
-Each document is a sequence of line ids. Runs of 1, 2, 4 ... lines are named by doubling: the name of a run is made from
-the names of its halves, and two names whose spans overlap give the runs of ``least_lines`` lines. Equal names form a
-bucket over all documents, and a line is deleted if a run of ``least_lines`` lines that covers it has an earlier copy. The
-doubling stops at ``least_lines``, because longer runs only split buckets and cover no further line; what is deleted is
-the same as with all maximal repeated runs. No suffix array is built: this is first-occurrence dedup of runs of
-``least_lines`` lines. ``longest_run`` is accordingly the longest chain of neighbouring deleted runs whose first copies are
-neighbours too. A maximal repeated run is longer where the first copies of its parts lie in different documents. Everything
-runs on built-in functions: naming is local to a document, one aggregation finds the first member of each bucket, and no
-bucket is ever gathered.
-
-Order is by doc_id (null first), digest of the text, place in the text. Defined results: lines end at ``\\n``; a run
-without a word is never deleted; a document with fewer than ``least_lines`` lines loses nothing; rows equal in id and
-text are copies of each other, the first of them (by digest of the row) comes first; where the text is null it stays
-null; a copy of a whole document is left with an empty text. Lines are told apart by two 64-bit digests.
+Each document is a sequence of line ids. What can be part of a repeat are its windows of ``least_lines`` lines that occur
+again: a run of lines repeats just as far as its sequence of such windows does. Over these windows a suffix array is built
+by distributed prefix doubling: a window's rank is its place among the distinct windows, and in each round the rank of
+2**k windows and the rank 2**k places further on, found by a join on the later offset, give the rank of twice as many, until
+no class of equal ranks is split any more. Ranks are dense numbers of the sorted pairs; only counts per slice of the sort
+reach the driver. Neighbours in the array then get their longest common prefix from the ranks of all rounds, the greatest
+first. An interval of neighbours with a common prefix is a repeated run: its first member in order of documents stays, the
+lines of the others are deleted, and the longest prefix that a suffix shares with a neighbour is the maximal repeated run
+that starts there; ``longest_run`` is the greatest of a document. For the deletion the intervals of ``least_lines`` lines
+suffice, because longer ones lie within them and cover no further line.
+
+Order is by doc_id (null first), digest of the text, place in the text. Defined results: lines end at ``\\n``; a window
+without a word is never deleted and ends a run; a document with fewer than ``least_lines`` lines loses nothing; rows equal
+in id and text are copies of each other, the first of them (by digest of the row) comes first; where the text is null it
+stays null; a copy of a whole document is left with an empty text; an empty table gives no rows. Lines are told apart by two
+64-bit digests. A very long text is split into lines in one row, and its windows are rows of their own from there on.
+Everything runs on built-in functions.
 """
 
 from __future__ import annotations
@@ -24,8 +27,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from smeltwork.llm.common import text_of, whole_row
+from smeltwork.operators.history import KEY, beside
+from smeltwork.operators.slices import sorted_slices
+from smeltwork.operators.surrogate import number_rows
 from smeltwork.session import Scratch
 
+_PLACE = ("own", "tie", "at")
+
 
 @dataclass(frozen=True)
 class LineOptions:
@@ -75,9 +83,81 @@ def suffixes_of(texts: DataFrame, options: LineOptions) -> DataFrame:
     )
 
 
+def _at(table: DataFrame, prefix: str, value: str) -> DataFrame:
+    """``rank`` by place, with the place's columns renamed, as the right side of a join."""
+    return table.select(*[F.col(name).alias(prefix + name) for name in _PLACE], F.col("rank").alias(value))
+
+
+def _same(prefix: str, own: str, tie: str, at: Column) -> Column:
+    return (F.col(own) == F.col(f"{prefix}own")) & (F.col(tie) == F.col(f"{prefix}tie")) & (at == F.col(f"{prefix}at"))
+
+
+def _doubled(first: DataFrame, longest: int, classes: int, scratch: Scratch) -> list[DataFrame]:
+    """Ranks by place of 1, 2, 4 ... windows, until they settle. ``first`` has those of one, in ``classes`` classes."""
+    rounds, step = [first], 1
+    while step < longest:
+        now = rounds[-1]
+        later = _at(now, "_", "after")
+        pairs = now.join(later, _same("_", "own", "tie", F.col("at") + step), "left").select(*_PLACE, "rank", "after")
+        numbered = number_rows(pairs.select("rank", "after").distinct(), ["rank", "after"], "next", scratch=scratch)
+        same = (F.col("rank") == F.col("_rank")) & F.col("after").eqNullSafe(F.col("_after"))
+        named = numbered.rows.select(F.col("rank").alias("_rank"), F.col("after").alias("_after"), "next")
+        settled = numbered.count == classes
+        classes, step = numbered.count, 2 * step
+        rounds.append(scratch.store(pairs.join(named, same).select(*_PLACE, F.col("next").alias("rank")), "line-ranks"))
+        if settled:
+            break
+    return rounds
+
+
+def _shared(pairs: DataFrame, rounds: list[DataFrame], scratch: Scratch) -> DataFrame:
+    """``shared`` windows of the suffixes at a place and at ``p_own, p_tie, p_at``, from the ranks of all rounds.
+
+    Equal ranks of 2**k windows move both places on by as many; a rank that ends with its document's run is equal only to
+    one that ends likewise, so the length of the run bounds what they share.
+    """
+    pairs = pairs.withColumn("shared", F.lit(0))
+    for k in reversed(range(len(rounds))):
+        left, right = _at(rounds[k], "l_", "l_rank"), _at(rounds[k], "r_", "r_rank")
+        met = pairs.join(left, _same("l_", "own", "tie", F.col("at") + F.col("shared")), "left")
+        met = met.join(right, _same("r_", "p_own", "p_tie", F.col("p_at") + F.col("shared")), "left")
+        on = F.when(F.col("l_rank") == F.col("r_rank"), F.lit(1 << k)).otherwise(0)
+        pairs = met.withColumn("shared", F.col("shared") + on).drop(*[f"{side}_{name}" for side in "lr" for name in (*_PLACE, "rank")])
+        if k % 3 == 0:  # a few joins to a job
+            pairs = scratch.store(pairs, "line-prefixes")
+    return pairs.withColumn("shared", F.least("shared", "length"))
+
+
+def _maximal_runs(repeated: DataFrame, buckets: DataFrame, least: int, scratch: Scratch) -> DataFrame:
+    """``own, tie, longest``: lines of the longest run of each document that occurs again anywhere.
+
+    ``repeated`` has the windows that occur again (own, tie, at, a, b), once for each row of ``docs``.
+    """
+    classes = number_rows(buckets.select("a", "b"), ["a", "b"], "rank", scratch=scratch)
+    ranked = repeated.groupBy(*_PLACE, "a", "b").agg(F.count("*").alias("rows")).join(classes.rows, ["a", "b"])
+    in_text = Window.partitionBy("own", "tie").orderBy("at")
+    stretch = Window.partitionBy("own", "tie", "stretch")
+    placed = ranked.withColumn("stretch", F.col("at") - F.row_number().over(in_text)).withColumn(
+        "length", F.max("at").over(stretch) - F.col("at") + 1)
+    first = scratch.store(placed.select(*_PLACE, "rank", "rows", "length"), "line-ranks")
+    longest = first.agg(F.max("length")).first()[0] or 0
+    rounds = _doubled(first.select(*_PLACE, "rank"), longest, classes.count, scratch)
+    last = rounds[-1].withColumnRenamed("rank", "place").join(first, list(_PLACE))
+    array = sorted_slices(last, ["place", *_PLACE], scratch).withColumn(KEY, F.lit(0))
+    before = beside(array.withColumn("self", F.struct(*_PLACE, "rank")), "self", -1, "before")
+    neighbour = F.col("before")["value"]
+    pairs = before.where(neighbour["rank"] == F.col("rank")).select(
+        *_PLACE, "length", *[neighbour[name].alias(f"p_{name}") for name in _PLACE])
+    shared = _shared(scratch.store(pairs, "line-neighbours"), rounds, scratch)
+    # A prefix shared with the neighbour before counts for both; rows equal in id and text repeat each other.
+    both = shared.select("own", "tie", "shared").union(shared.select("p_own", "p_tie", "shared")).union(
+        first.where("rows > 1").select("own", "tie", F.col("length").alias("shared")))
+    return both.groupBy("own", "tie").agg((F.max("shared") + (least - 1)).alias("longest"))
+
+
 def dedup_lines(docs: DataFrame, options: LineOptions = LineOptions(), id_column: str = "doc_id",
                 text_column: str = "text") -> DataFrame:
-    """``_row`` (the row of ``docs``), ``kept_text, n_lines, n_removed, longest_run`` (lines of the longest chain copied from one place)."""
+    """``_row`` (the row of ``docs``), ``kept_text, n_lines, n_removed, longest_run`` (lines of the longest maximal repeated run)."""
     least, scratch = options.least_lines, Scratch(docs.sparkSession, keep=True)
     text = text_of(F.col(f"_row.`{text_column}`"))
     # ``own`` and ``tie``, digests of id and text, are never null: one shuffle serves the join and the window below.
@@ -86,38 +166,25 @@ def dedup_lines(docs: DataFrame, options: LineOptions = LineOptions(), id_column
     suffixes = scratch.store(
         suffixes_of(rows.select(F.col(f"_row.`{id_column}`").alias("id"), "own", "tie", text.alias("text")), options),
         "line-suffixes")
-    buckets = suffixes.groupBy("a", "b").agg(
-        F.count("*").alias("members"), F.min(F.struct("id", "tie", "at")).alias("first")).where("members > 1")
+    buckets = scratch.store(
+        suffixes.groupBy("a", "b").agg(F.count("*").alias("members"), F.min(F.struct("id", "tie", "at")).alias("first"))
+        .where("members > 1").drop("members"), "line-buckets")
+    repeated = scratch.store(suffixes.join(buckets, ["a", "b"]), "line-repeated")
+    runs = _maximal_runs(repeated, buckets, least, scratch)
     # A later copy is any member but the first; rows at the very place of the first are told apart at the end.
-    later = (
-        suffixes.join(scratch.store(buckets.drop("members"), "line-buckets"), ["a", "b"])
-        .where(~F.struct("id", "tie", "at").eqNullSafe(F.col("first"))).select("own", "tie", "at", "first").distinct()
-    )
-    order = Window.partitionBy("own", "tie").orderBy("at")
-    # A chain goes on while the next suffix keeps its distance to the first member of its bucket.
-    same = (
-        (F.lag("at").over(order) == F.col("at") - 1)
-        & (F.lag("first.at").over(order) == F.col("first.at") - 1)
-        & F.lag("first.id").over(order).eqNullSafe(F.col("first.id"))
-        & (F.lag("first.tie").over(order) == F.col("first.tie"))
-    )
-    chained = later.withColumn("starts", F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1)).withColumn(
-        "chain", F.sum("starts").over(order))
-    runs = chained.groupBy("own", "tie", "chain").agg(
-        F.min("at").alias("start"), (F.max("at") + least).alias("end"))
-    spans = runs.groupBy("own", "tie").agg(
-        F.flatten(F.collect_list(F.sequence("start", F.col("end") - 1))).alias("later"),
-        F.max(F.col("end") - F.col("start")).alias("longest"))
+    later = repeated.where(~F.struct("id", "tie", "at").eqNullSafe(F.col("first"))).select(*_PLACE).distinct()
+    spans = later.groupBy("own", "tie").agg(
+        F.flatten(F.collect_list(F.sequence("at", F.col("at") + (least - 1)))).alias("later"))
+    found = scratch.store(runs.join(spans, ["own", "tie"], "full"), "line-spans")
     twin = Window.partitionBy("own", "tie").orderBy(F.xxhash64("_row"))
-    joined = rows.join(spans, ["own", "tie"], "left").withColumn("again", F.row_number().over(twin) > 1)
+    joined = rows.join(found, ["own", "tie"], "left").withColumn("again", F.row_number().over(twin) > 1)
     lines = joined.select("_row", "later", "longest", "again", _lines(text).alias("lines"))
     count, worded = F.size("lines"), F.exists("lines", _has_word)
     every = F.sequence(F.lit(0), count - 1)
     # A second row with the same id and text repeats all its runs.
     whole = F.col("again") & (count >= least) & worded
     removed = F.when(whole, every).otherwise(F.coalesce("later", F.array().cast("array<int>")))
-    cut = lines.select("_row", "lines", F.array_except(every, removed).alias("kept"),
-                       F.when(whole, count).otherwise(F.coalesce("longest", F.lit(0))).alias("longest_run"))
+    cut = lines.select("_row", "lines", F.array_except(every, removed).alias("kept"), F.coalesce("longest", F.lit(0)).alias("longest_run"))
     kept_text = F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n")
     return cut.select(
         "_row",
@@ -128,9 +195,9 @@ def dedup_lines(docs: DataFrame, options: LineOptions = LineOptions(), id_column
     )
 
 
-#: The same result by window functions over all pairs of neighbouring lines, for ``least_lines`` 2.
+#: The same result for ``least_lines`` 2: runs grow line by line as long as they occur again.
 SQL = r"""
-WITH lines AS (
+WITH RECURSIVE lines AS (
     SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
            unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
     FROM documents
@@ -138,22 +205,27 @@ WITH lines AS (
     SELECT doc_id, pos, line, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS after,
            lead(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS there
     FROM lines
-), named AS (
-    SELECT doc_id, pos,
+), named AS MATERIALIZED (
+    SELECT doc_id, pos, dense_rank() OVER (ORDER BY line, after) AS name,
+           count(*) OVER (PARTITION BY line, after) AS members,
            first_value(doc_id) OVER same AS first_id, first_value(pos) OVER same AS first_pos
     FROM pairs
     WHERE there IS NOT NULL AND regexp_matches(line || after, '[^\x20\x09-\x0D]')
     WINDOW same AS (PARTITION BY line, after ORDER BY doc_id, pos)
-), later AS (
-    SELECT *, CASE WHEN lag(pos) OVER doc = pos - 1 AND lag(first_pos) OVER doc = first_pos - 1
-                        AND lag(first_id) OVER doc = first_id THEN 0 ELSE 1 END AS starts
-    FROM named WHERE NOT (doc_id = first_id AND pos = first_pos)
-    WINDOW doc AS (PARTITION BY doc_id ORDER BY pos)
-), chains AS (
-    SELECT *, sum(starts) OVER (PARTITION BY doc_id ORDER BY pos) AS chain FROM later
+), again AS MATERIALIZED (
+    SELECT doc_id, pos, name FROM named WHERE members > 1
+), grown AS (
+    SELECT doc_id, pos, name, 2 AS n FROM again
+    UNION ALL
+    SELECT doc_id, pos, name, n FROM (
+        SELECT g.doc_id, g.pos, dense_rank() OVER (ORDER BY g.name, a.name) AS name, g.n + 1 AS n,
+               count(*) OVER (PARTITION BY g.name, a.name) AS members
+        FROM grown g JOIN again a ON a.doc_id = g.doc_id AND a.pos = g.pos + g.n - 1)
+    WHERE members > 1
 ), runs AS (
-    SELECT doc_id, max(n) AS longest_run
-    FROM (SELECT doc_id, chain, count(*) + 1 AS n FROM chains GROUP BY doc_id, chain) GROUP BY doc_id
+    SELECT doc_id, max(n) AS longest_run FROM grown GROUP BY doc_id
+), later AS (
+    SELECT doc_id, pos FROM named WHERE NOT (doc_id = first_id AND pos = first_pos)
 ), gone AS (
     SELECT doc_id, pos FROM later UNION SELECT doc_id, pos + 1 FROM later
 ), kept AS (

@@ -8,7 +8,7 @@ seeded permutation as its quota says, and orders its documents by a seeded hash.
 
 Defined results: a null text has no words; null is a source of its own, last in order; rows with equal ids are separate
 documents that share a block; an empty table gives an empty mix. A document without words is taken like its block and
-adds nothing.
+adds nothing. A very long text counts with all its words, and is one document of its block.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,13 +33,15 @@ _PLACES = "_source string, _block long, _copy int, _shard long"
 class MixOptions:
     """``weights`` repeat over the sources in code point order. ``max_sources`` bounds what the driver holds.
 
-    ``blocks_per_source`` sets the grain: raise it with the number of output shards wanted.
+    ``blocks_per_source`` sets the grain: raise it with the number of output shards wanted, which is
+    the words over ``shard_words``, and ``least_shards`` at least, so that readers can share the work.
     """
 
     weights: tuple[float, ...] = (5.0, 2.0, 1.0)
     most_repeats: int = 3
     blocks_per_source: int = 1024
     shard_words: int = 20_000_000
+    least_shards: int = 8
     max_sources: int = 100_000
     seed: int = 17
 
@@ -167,7 +169,8 @@ def mix(docs: DataFrame, options: MixOptions = MixOptions(), id_column: str = "d
     units = scratch.store(blocks.groupBy("_source").applyInPandas(choose, _UNITS), "mix-units")
     drawn = {row["_source"]: int(row["n"]) for row in units.groupBy("_source").agg(F.count("*").alias("n")).collect()}
     names = sorted(drawn, key=lambda name: (name is None, name or ""))
-    shards = max(1, min(sum(drawn.values()), math.ceil(sum(targets.values()) / options.shard_words)))
+    wanted = max(options.least_shards, math.ceil(sum(targets.values()) / options.shard_words))
+    shards = max(1, min(sum(drawn.values()), wanted))
     quotas = split_quotas(np.array([drawn[name] for name in names], dtype=np.int64), shards, options.seed)
     ends = {name: np.cumsum(quotas[:, i]) for i, name in enumerate(names)}
 
@@ -201,13 +204,24 @@ def _number_in_run(sorted_values: np.ndarray) -> np.ndarray:
     return (np.arange(len(sorted_values)) - np.repeat(starts, np.diff(np.r_[starts, len(sorted_values)]))).astype(np.int32)
 
 
+def order_of(place: Column, options: MixOptions = MixOptions(), id_column: str = "doc_id") -> Column:
+    """Where a take stands in the local shuffle of its shard."""
+    return F.xxhash64(F.lit(options.seed), F.col(f"_row.`{id_column}`"), place["_copy"], place["_shard"])
+
+
 def mixed_rows(mixed: DataFrame, options: MixOptions = MixOptions(), id_column: str = "doc_id") -> DataFrame:
     """``_row, _shard, _order`` of every take; ``_order`` is its place in the shard's local shuffle."""
     taken = mixed.select("_row", F.explode("_places").alias("_place"))
-    order = F.xxhash64(F.lit(options.seed), F.col(f"_row.`{id_column}`"), F.col("_place._copy"), F.col("_place._shard"))
+    order = order_of(F.col("_place"), options, id_column)
     return taken.select("_row", F.col("_place._shard").alias("_shard"), order.alias("_order"))
 
 
+def in_order(mixed: DataFrame, options: MixOptions = MixOptions(), id_column: str = "doc_id") -> DataFrame:
+    """``_row`` of every take, laid out shard after shard, each in the order of its local shuffle."""
+    rows = mixed_rows(mixed, options, id_column)
+    return rows.repartitionByRange("_shard", "_order").sortWithinPartitions("_shard", "_order").select("_row")
+
+
 def write_shards(mixed: DataFrame, path: str, options: MixOptions = MixOptions(), id_column: str = "doc_id") -> None:
     """Write one folder per shard, each locally shuffled."""
     rows = mixed_rows(mixed, options, id_column)

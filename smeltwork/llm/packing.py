@@ -6,7 +6,8 @@ are numbered in a seeded order, and every ``batch_tokens // bound`` consecutive
 bound.
 
 Defined results: a null or empty text gives one piece of length 0 in bucket 0, without a batch; rows with equal ids are
-packed each on its own; an empty table gives no rows. Pieces of one document keep their order in ``piece``.
+packed each on its own; an empty table gives no rows. Pieces of one document keep their order in ``piece``. Of bounds that
+pad equally the choice is the same on every run; pieces of equal seeded order go by id and piece.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ labelled documents, sampled or not: the share of label 0 among the labelled rows
 
 Defined results: null and empty texts have all-zero counts and are scored like any other; a null id counts as empty
 text in the fold; ids whose labels disagree are not learned from; without labelled rows of both classes every document
-gets score 1 (kept) unless all labelled rows are 0 (score 0). Rows with equal ids are scored each on its own.
+gets score 1 (kept) unless all labelled rows are 0 (score 0). Rows with equal ids are scored each on its own; equal texts
+score alike. Very long texts are read whole; an empty table gives no rows.
 """
 
 from __future__ import annotations

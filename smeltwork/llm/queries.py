@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltwork.llm import languages, lines, quality, ranking, secrets, spelling, toxicity
+from smeltwork.llm import languages, lines, mixing, quality, ranking, secrets, spelling, toxicity
 from smeltwork.llm.common import table
 from smeltwork.llm.embeddings import near_vectors
 from smeltwork.llm.learning import fold
@@ -84,12 +84,13 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_target").alias("target"),
         (F.col("_size") * F.size("_places")).alias("taken"),
         F.col("_places._shard").alias("shards"),
+        F.transform("_places", lambda place: mixing.order_of(place)).alias("orders"),
     )
 
 
 def op10_bucket_pointer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = remove_repeats(table(spark, sf_dir, "documents"))
-    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", (F.col("n_removed") > 0).alias("changed"), "text")
 
 
 def op11_permuterm_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,8 @@ alone are numbers, not secrets) and random strings explain its transitions bette
 
 Spans are whole matches in code points, end exclusive; matches of one kind do not overlap, a model's span overlaps no
 pattern's. Defined results: a null text is empty; no match gives counts 0 and the digest of the empty string; without
-samples of both kinds the models add nothing; rows with equal ids are scanned each on its own.
+samples of both kinds the models add nothing; rows with equal ids are scanned each on its own; of spans that start together
+the kinds' order decides. Very long texts are scanned whole; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ over ``block_rows`` is dealt out as pairs of blocks.
 
 Defined results: null and empty texts, and texts without words, have fingerprint zero and are linked like any other;
 fewer words than a shingle make one shingle of all words; rows with equal ids are separate documents; a component's id
-is its smallest doc_id that is not null (null if it has none); an empty table gives no rows.
+is its smallest doc_id that is not null (null if it has none); an empty table gives no rows. Very long texts are read whole.
 """
 
 from __future__ import annotations

@@ -1,4 +1,9 @@
-"""The pipeline's stages: each takes (spark, docs, sf_dir) and gives all but the last the columns of ``documents``."""
+"""The pipeline's stages: each takes (spark, docs, sf_dir) and gives all but the last the columns of ``documents``.
+
+Defined results are those of the operators: a null text is judged, cut, compared and mixed like an empty one and stays null;
+rows that repeat an id are documents of their own; ties go by the operators' orders; an empty table passes through as one; very
+long texts are read whole. Further columns of any name stay with their rows.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +16,7 @@ from smeltwork.llm import quality
 from smeltwork.llm.common import table, whole_row
 from smeltwork.llm.learning import fold
 from smeltwork.llm.lines import dedup_lines
-from smeltwork.llm.mixing import mix, mixed_rows
+from smeltwork.llm.mixing import in_order, mix
 from smeltwork.llm.packing import pack
 from smeltwork.llm.queries import QUALITY_CUT, QUALITY_FOLD
 from smeltwork.llm.simhash import one_per_group
@@ -39,8 +44,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; a take's shard is where a writer would put it."""
-    return mixed_rows(mix(docs)).select("_row.*")
+    """Documents as often as the mix takes them, shard after shard in their local order."""
+    return in_order(mix(docs)).select("_row.*")
 
 
 def pack_lengths(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

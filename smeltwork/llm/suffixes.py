@@ -19,7 +19,8 @@ with unfinished buckets are kept between steps.
 
 Defined results: a null text is empty; matches do not cross documents; a text shorter than ``length`` loses nothing;
 rows equal in id and text are copies of each other, and all copies lose what they share; overlapping copies inside one
-text count; a very long text is read in pieces whose strings overlap.
+text count; a very long text is read in pieces whose strings overlap; an empty table gives no rows; every member of a class of
+equal strings is treated alike, so there are no ties.
 """
 
 from __future__ import annotations
@@ -168,14 +169,11 @@ def merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _cut(raw: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, int, str]:
-    """n_bytes, n_removed, n_spans and the digest of what is left."""
-    kept, at = hashlib.sha256(), 0
-    for start, end in spans:
-        kept.update(raw[at:start])
-        at = end
-    kept.update(raw[at:])
-    return len(raw), sum(end - start for start, end in spans), len(spans), kept.hexdigest()
+def _cut(raw: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, int, str, str]:
+    """n_bytes, n_removed, n_spans, the digest of what is left, and its text, in which a character cut in two is replaced."""
+    edges = [0, *(edge for span in spans for edge in span), len(raw)]
+    kept = b"".join(raw[start:end] for start, end in zip(edges[::2], edges[1::2]))
+    return len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace")
 
 
 def _pairs(flat: list[int] | None) -> list[tuple[int, int]]:
@@ -242,7 +240,10 @@ def _with_places(texts: DataFrame, places: DataFrame) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, options: SuffixOptions = SuffixOptions(), id_column: str = "doc_id",
                    text_column: str = "text") -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans`` of every row; ``spans`` are starts and ends in turn."""
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans, text`` of every row.
+
+    ``spans`` are starts and ends in turn, ``text`` is what is left.
+    """
     scratch = Scratch(docs.sparkSession, keep=True)
     rows = only(docs, id=id_column, text=text_column).select("id", text_of(F.col("text")).alias("text"))
     rows = rows.select("id", F.xxhash64("text").alias("tie"), "text")
@@ -285,7 +286,7 @@ def remove_repeats(docs: DataFrame, options: SuffixOptions = SuffixOptions(), id
                                   ["id", "tie", "packed"])
 
     result = (f"id {kind}, tie long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
-              f"packed binary, spans {_SPAN}, live {_SPAN}")
+              f"text string, packed binary, spans {_SPAN}, live {_SPAN}")
 
     def settle(earlier: str | None, all_of: Callable, shape: Callable) -> Callable:
         """Adds the spans of the places that are not single; a document without live places is done."""
@@ -299,11 +300,11 @@ def remove_repeats(docs: DataFrame, options: SuffixOptions = SuffixOptions(), id
                     spans = shape([p for p in all_of(row) if p not in alone])
                     spans = merged(_pairs(row[earlier] if earlier else None) + spans)
                     left = sorted(set(row["next"] or ()))
-                    numbers = (None,) * 4 if left else _cut(unpack(row["packed"]), spans)
+                    numbers = (None,) * 5 if left else _cut(unpack(row["packed"]), spans)
                     out.append((*numbers, row["packed"] if left else None, _flat(spans), left))
                 if out:
-                    types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-                    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "packed", "spans", "live"]
+                    types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+                    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "text", "packed", "spans", "live"]
                     columns = [pa.array(values, kind_) for values, kind_ in zip(zip(*out), types)]
                     yield pa.record_batch([batch.column("id"), batch.column("tie"), *columns], ["id", "tie", *names])
 
@@ -337,4 +338,4 @@ def remove_repeats(docs: DataFrame, options: SuffixOptions = SuffixOptions(), id
         .mapInArrow(settle("spans", starts, lambda kept: [(start, start + length) for start in kept]), result)
     )
     done = first.where("packed IS NULL").union(second.where("packed IS NULL")).union(third)
-    return done.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")
+    return done.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "text")

@@ -10,7 +10,8 @@ fifth of the sample, held back, tells how many steps of the second part help.
 
 Defined results: null and empty texts have no terms and get the score of the bias alone; a null id is never held out;
 ids whose labels disagree are not learned from; without labelled rows of both classes every score is the share of
-label 1 (0 without labels). Rows with equal ids are scored each on its own.
+label 1 (0 without labels). Rows with equal ids are scored each on its own; equal texts score alike. Very long texts are read
+whole; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -1,3 +1,5 @@
+import random
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -38,16 +40,46 @@ def test_later_copies_go(make_docs, least):
     assert sorted(got) == sorted(plain(ROWS, least))
 
 
-def test_longest_run(make_docs):
-    got = {r["_row"]["doc_id"]: r["longest_run"] for r in dedup_lines(make_docs(ROWS)).collect()}
-    assert got[1] == 0 and got[2] == 2 and got[3] == 4 and got[4] == 2 and got[10] == 5
-
-
-def test_longest_run_ends_where_the_first_copy_changes_document(make_docs):
-    """As the README defines it; the copies go whole all the same."""
-    docs = make_docs([(1, "a\nb"), (2, "b\nc\nd"), (3, "a\nb\nc\nd"), (4, "a\nb\nc\nd")])
-    got = {r["_row"]["doc_id"]: (r["longest_run"], r["n_removed"]) for r in dedup_lines(docs).collect()}
-    assert got[3] == got[4] == (3, 4)
+def plain_longest(rows, least):
+    """Lines of the longest run of each document that occurs again anywhere, every ``least`` neighbours of it with a word."""
+    texts = [(text or "").split("\n") for _, text in rows]
+    whole = [[any(line.strip(" \t\n\r\x0b\x0c") for line in own[i:i + least]) for i in range(len(own) - least + 1)] for own in texts]
+    out = []
+    for n, own in enumerate(texts):
+        best = 0
+        for m, other in enumerate(texts):
+            for i in range(len(own)):
+                for j in range(len(other)):
+                    length = 0
+                    while (n, i) != (m, j) and i + length < len(own) and j + length < len(other) and own[i + length] == other[j + length]:
+                        length += 1
+                        if length >= least and not whole[n][i + length - least]:
+                            length -= 1
+                            break
+                    if length >= least:
+                        best = max(best, length)
+        out.append((rows[n][0], best))
+    return sorted(out, key=repr)
+
+
+def longest(docs, least=2):
+    return sorted(((r["_row"]["doc_id"], r["longest_run"]) for r in dedup_lines(docs, LineOptions(least)).collect()), key=repr)
+
+
+def test_the_maximal_run_may_have_its_parts_copied_elsewhere(make_docs):
+    rows = [(1, "a\nb"), (2, "b\nc\nd"), (3, "a\nb\nc\nd"), (4, "a\nb\nc\nd")]
+    got = {r["_row"]["doc_id"]: (r["longest_run"], r["n_removed"]) for r in dedup_lines(make_docs(rows)).collect()}
+    assert got == {1: (2, 0), 2: (3, 0), 3: (4, 4), 4: (4, 4)}
+
+
+@pytest.mark.parametrize("least,seed", [(2, 1), (3, 2)])
+def test_longest_runs_equal_brute_force(make_docs, least, seed):
+    rng = random.Random(seed)
+    rows = [(i, "\n".join(rng.choice(["a", "b", "c", "", " "]) for _ in range(rng.randrange(1, 24)))) for i in range(14)]
+    passage = "\n".join(f"line {i}" for i in range(37))
+    rows += [(20, passage), (21, f"x\n{passage}\ny"), (22, "\n".join(passage.split("\n")[5:30])), (23, "q\n" * 21), (24, None), (24, passage), (24, passage)]
+    assert longest(make_docs(ROWS), least) == plain_longest(ROWS, least)
+    assert longest(make_docs(rows), least) == plain_longest(rows, least)
 
 
 def test_odd_rows(make_docs, odd_rows):

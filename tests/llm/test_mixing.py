@@ -4,6 +4,10 @@ from pyspark.sql import functions as F
 
 from smeltwork.llm.mixing import MixOptions, block_copies, mix, mixed_rows, share_out, split_quotas, write_shards
 
+from smeltwork.llm.mixing import in_order
+from smeltwork.llm.queries import QUERIES
+from tests.llm.conftest import SF
+
 OPTIONS = MixOptions(blocks_per_source=256, shard_words=200)
 
 
@@ -74,3 +78,34 @@ def test_shards_hold_every_take(spark, make_docs, words, tmp_path):
     mixed = mix(make_docs([(i, words(i, 20), "ab"[i % 2]) for i in range(60)]).select("doc_id", "text", "source"), OPTIONS)
     write_shards(mixed, str(tmp_path / "out"), OPTIONS)
     assert spark.read.parquet(str(tmp_path / "out")).count() == mixed_rows(mixed, OPTIONS).count()
+
+
+def test_copies_equal_brute_force(make_docs, words):
+    """Targets, blocks and copies worked out by hand from the options' rules."""
+    rows = [(i, words(i, 3 + i % 17), ["a", "b", None][min(i % 5, 2)]) for i in range(200)]
+    mixed = mix(make_docs(rows), OPTIONS)
+    blocks = mixed.select("_source", F.pmod(F.xxhash64(F.lit(OPTIONS.seed), "_row.doc_id"), F.lit(256)).alias("b"), "_size", "_places", "_target")
+    table = blocks.toPandas()
+    table["_source"] = table["_source"].fillna("~")
+    for _, source in table.groupby("_source"):
+        target, total = source["_target"].iloc[0], source["_size"].sum()
+        passes = min(3, int(target / total + 1e-9))
+        copies = source["_places"].map(len)
+        assert set(copies) <= {passes, passes + 1}  # whole passes, then single blocks
+        assert (source.assign(n=copies).groupby("b")["n"].nunique() == 1).all()  # a block is taken as one
+        assert abs((source["_size"] * copies).sum() - target) <= source.groupby("b")["_size"].sum().max()
+
+
+def test_rows_come_shard_after_shard_in_local_order(make_docs, words):
+    docs = make_docs([(i, words(i, 20), "ab"[i % 2]) for i in range(80)])
+    mixed = mix(docs, OPTIONS)
+    laid = [r["doc_id"] for r in in_order(mixed, OPTIONS).select("_row.doc_id").collect()]
+    takes = mixed_rows(mixed, OPTIONS).select("_shard", "_order", "_row.doc_id").collect()
+    assert laid == [doc for _, _, doc in sorted((r["_shard"], r["_order"], r["doc_id"]) for r in takes)]
+    assert laid != sorted(laid)
+
+
+def test_query_splits_into_shards(spark):
+    got = QUERIES["op9_source_mixing"](spark, SF).select("doc_id", "size", "taken", "shards", "orders").collect()
+    assert len({shard for r in got for shard in r["shards"]}) == MixOptions().least_shards
+    assert all(r["taken"] == r["size"] * len(r["shards"]) and len(r["orders"]) == len(r["shards"]) for r in got)

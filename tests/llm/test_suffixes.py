@@ -57,6 +57,16 @@ def test_odd_rows(make_docs, odd_rows):
     assert found(make_docs(odd_rows).limit(0), SuffixOptions()) == []
 
 
+def test_the_text_is_what_is_left(make_docs, words):
+    rows = [(1, "é" * 41 + "ab" * 40), (2, "x" + "ab" * 40), (3, "alone"), (4, None), (5, "é" * 30 + "ü" + "é" * 30)]
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in remove_repeats(make_docs(rows), SuffixOptions(60, 20)).collect()}
+    assert got[3] == ("alone", 0) and got[4] == ("", 0) and got[2] == ("x", 80)
+    for doc, text in rows:
+        if text and got[doc][1] == 0:
+            assert got[doc][0] == text
+    assert "\ufffd" not in got[1][0]
+
+
 def test_long_texts_are_read_in_pieces(make_docs, words, monkeypatch):
     monkeypatch.setattr(suffixes, "_PIECE", 64)  # travels with the code
     rows = passages(words, 100)[:100]
