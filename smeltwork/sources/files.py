@@ -90,6 +90,36 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The path itself if it is a file, else all files below it that a scan would read."""
+    system, target = _resolve(spark, path)
+    if not system.getFileStatus(target).isDirectory():
+        return [target.toString()]
+    found = []
+    for entry in children(spark, path):
+        hidden = entry.name.startswith(".") or (entry.name.startswith("_") and "=" not in entry.name)
+        if not hidden:
+            found += data_files(spark, entry.path) if entry.is_folder else [entry.path]
+    return found
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file that is not blank, read from its beginning only; None if there is none."""
+    jvm = spark._jvm
+    system, target = _resolve(spark, path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(target)
+    stream = system.open(target)
+    try:
+        plain = stream if codec is None else codec.createInputStream(stream)
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8"))
+        line = lines.readLine()
+        while line is not None and not line.strip():
+            line = lines.readLine()
+        return line
+    finally:
+        stream.close()
+
+
 def make_until_exit(spark: SparkSession, path: str) -> None:
     """Create a folder that goes, with all it holds, when the session's process ends."""
     system, target = _resolve(spark, path)

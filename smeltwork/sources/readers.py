@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,7 @@ from smeltwork.sources import files
 ORDER_TAG, DEFAULT_TAG = "order", "employee"
 CORRUPT = "_corrupt_record"
 SOURCE_FILE, INGEST_TIMESTAMP = "source_file", "ingest_timestamp"
+_HEADERS = 16  # files whose first line is read side by side
 
 # Names that a source must leave to the layers, compared in standard form. The file's name and the ingest instant are
 # not among them: they take the place of source columns of those names.
@@ -81,14 +83,9 @@ def row_tag(target: str, configured: str | None) -> str:
 
 
 def _lines_of(spark: SparkSession, landing: str, entries: Sequence[dict], whole: bool = False) -> DataFrame:
-    """``entry, file, start, value``: the text of landed files, by line or in one piece."""
+    """``entry, value``: the text of landed files, by line or in one piece."""
     text = spark.read.text([entry["path"] for entry in entries], wholetext=whole)
-    return text.select(
-        landed_name(files.encoded_path(spark, landing)).alias("entry"),
-        path_text(F.col("_metadata.file_path")).alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        "value",
-    )
+    return text.select(landed_name(files.encoded_path(spark, landing)).alias("entry"), "value")
 
 
 def _one_json_value(text: Column) -> Column:
@@ -154,22 +151,18 @@ def _json_feeds(spark, landing, target, entries, options, errors) -> list[Feed]:
 
 
 def _csv_feeds(spark, landing, target, entries, errors) -> list[Feed]:
-    """Part files grouped by their header line, found in one pass over all files.
+    """Part files grouped by their header line, read from the beginning of each file.
 
     Columns of a CSV file are bound by position, so files with other headers must not
     share a scan. Two headers that differ in case only are refused here, before Spark
     renames them.
     """
-    first = (
-        _lines_of(spark, landing, entries)
-        .where((F.col("start") == 0) & F.col("value").rlike(r"\S"))
-        .withColumn("place", F.monotonically_increasing_id())
-        .groupBy("entry", "file")
-        .agg(F.min_by("value", "place").alias("line"))
-    )
+    parts = [(entry["name"], file) for entry in entries for file in files.data_files(spark, entry["path"])]
+    with ThreadPoolExecutor(_HEADERS) as pool:
+        found = list(pool.map(lambda part: files.first_line(spark, part[1]), parts))
     by_name = {entry["name"]: entry["path"] for entry in entries}
     groups: dict[tuple[str, ...], dict[str, list[str]]] = defaultdict(lambda: defaultdict(list))
-    for row in first.collect():
+    for row in ({"entry": name, "file": file, "line": line} for (name, file), line in zip(parts, found) if line is not None):
         path = by_name[row["entry"]]
         names = next(csv.reader([row["line"].removeprefix("\ufeff")]))
         header = tuple(name or f"_c{i}" for i, name in enumerate(names))

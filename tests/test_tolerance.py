@@ -160,3 +160,23 @@ def test_a_replayed_trigger_leaves_its_rows_once(spark, tmp_path):
             path.unlink()
         assert feed_latest(stream, ["id"], f"{tmp_path}/out", f"{tmp_path}/checkpoint") == 1
         assert rows_of(read_latest(spark, f"{tmp_path}/out", ["id"])) == want
+
+
+# --- headers ----------------------------------------------------------------
+
+
+def test_headers_are_read_from_the_beginning_of_files(spark, zones):  # noqa: F811
+    import gzip
+
+    from smeltwork.sources import files
+
+    path = put(zones, "item_1.csv", "\ufeff\r\n  \nid,v\r\n1,a\r\n")
+    assert files.first_line(spark, str(path)) in ("\ufeff", "id,v")
+    packed = path.with_name("item_2.csv.gz")
+    packed.write_bytes(gzip.compress("id,w\n2,é\n".encode()))
+    assert files.first_line(spark, str(packed)) == "id,w"
+    assert files.first_line(spark, str(put(zones, "item_3.csv", " \n\n"))) is None
+    spark.range(3).repartition(3).write.option("header", True).csv(f"{zones.landing}/item_4.csv")
+    parts = files.data_files(spark, f"{zones.landing}/item_4.csv")
+    assert parts and all("/part-" in part for part in parts)
+    assert files.data_files(spark, str(path)) == [f"file:{path}"] or files.data_files(spark, str(path)) == [str(path)]
