@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -51,6 +52,14 @@ def children(spark: SparkSession, path: str, sizes: bool = False) -> list[Entry]
     return sorted(found, key=lambda entry: entry.name)
 
 
+def matching(spark: SparkSession, folder: str, pattern: str) -> list[str]:
+    """Paths below a folder, without it, that fit a pattern of names: one call, however many there are."""
+    literal = re.sub(r"([\[\]{}*?\\])", r"\\\1", folder)
+    system, target = _resolve(spark, f"{literal}/{pattern}")
+    depth = pattern.count("/") + 1
+    return ["/".join(status.getPath().toString().rsplit("/", depth)[1:]) for status in system.globStatus(target) or ()]
+
+
 def move(spark: SparkSession, source: str, destination: str) -> None:
     system, origin = _resolve(spark, source)
     _, target = _resolve(spark, destination)

@@ -138,13 +138,12 @@ def drop_attempt(spark: SparkSession, folder: str, batch_id: str, number: int) -
 
 
 def bronze_attempts(spark: SparkSession, folder: str) -> list[str]:
-    """The newest attempt at every batch, as ``batch_id=<id>/v=<n>``."""
-    found = []
-    for entry in _versions(spark, folder, BATCH):
-        number = current_version(spark, entry.path)
-        if number:
-            found.append(version_folder(entry.name, number))
-    return found
+    """The newest attempt at every batch, as ``batch_id=<id>/v=<n>``, found in one listing."""
+    newest: dict[str, int] = {}
+    for path in files.matching(spark, folder, f"{BATCH}=*/{_VERSION}=*/{_DONE}"):
+        batch, version, _ = path.split("/")
+        newest[batch] = max(newest.get(batch, 0), _number(version))
+    return [version_folder(batch, number) for batch, number in sorted(newest.items()) if number]
 
 
 def read_attempts(spark: SparkSession, folder: str, attempts: Sequence[str]) -> DataFrame | None:

@@ -371,3 +371,14 @@ def test_a_new_column_and_an_empty_batch(spark):
     wider = at(spark, (1, 5, "b")).withColumn("note", F.lit("n"))
     after, _ = spliced(spark, [wider], first, confirmed)
     assert rows_of(after.select("v", "note")) == [("a", None), ("b", "n")]
+
+
+@pytest.mark.parametrize("base", ["plain", "my base+1% [x] {y}"])
+def test_attempts_are_found_in_one_listing(spark, tmp_path, base):
+    folder = f"{tmp_path}/{base}/t"
+    rows = spark.range(1).withColumn("source_file", F.lit("f"))
+    for batch in ("b1", "2024-01-01 06h", "b1", "x%y"):
+        store.write_bronze(rows, folder, batch)
+    Path(f"{folder}/batch_id=open/v=1").mkdir(parents=True)  # has not finished
+    assert store.bronze_attempts(spark, folder) == ["batch_id=2024-01-01 06h/v=1", "batch_id=b1/v=2", "batch_id=x%y/v=1"]
+    assert store.bronze_attempts(spark, f"{folder}-none") == []
