@@ -1,4 +1,4 @@
-"""Row digests used to tell a changed row from an unchanged one."""
+"""Row digests used to tell a changed row from an unchanged one, and buckets of keys."""
 
 from __future__ import annotations
 
@@ -19,17 +19,23 @@ def row_digest(columns: Sequence[str], mode: str = "joined", missing_in: Sequenc
 
     ``joined`` hashes the values as separated text, where NULL and an empty string
     look alike. ``struct`` hashes JSON with names and explicit nulls, which also
-    keeps a separator inside a value apart from a column border.
+    keeps a separator inside a value apart from a column border; ``present`` leaves the
+    nulls out, so that a column which comes without a value changes no digest.
     """
 
     def value(name: str) -> Column:
         have = missing_in is None or name in missing_in
         return ref(name) if have else F.lit(None).cast("string").alias(name)
 
-    if mode == "struct":
+    if mode in ("struct", "present"):
         whole = F.struct(*[value(name) for name in columns]) if columns else F.struct(F.lit(0).alias("_none"))
-        return F.sha2(F.to_json(whole, {"ignoreNullFields": "false"}), DIGEST_BITS)
+        return F.sha2(F.to_json(whole, {"ignoreNullFields": str(mode == "present").lower()}), DIGEST_BITS)
     if mode != "joined":
         raise ValueError(f"unknown hash mode: {mode}")
     texts = [F.ifnull(value(name).cast("string"), F.lit("")) for name in columns]
     return F.sha2(F.concat_ws(SEPARATOR, *texts), DIGEST_BITS)
+
+
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    """The bucket of a row: by its keys' text, NULL apart from the empty text."""
+    return F.pmod(F.xxhash64(*[F.struct(ref(key).cast("string")) for key in keys]), F.lit(buckets)).cast("int")

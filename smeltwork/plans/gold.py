@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from smeltwork.functions.clock import BatchClock
+from smeltwork.functions.hashing import bucket_of
 from smeltwork.functions.naming import ref, refs
 from smeltwork.operators import scd
 from smeltwork.operators.changes import CHANGE, GONE, newest_changes
@@ -88,11 +89,6 @@ def _merge_settings(target: Target, options: GoldOptions) -> str:
     return json.dumps([target.strategy, target.keys, options.hash_mode, chosen, options.buckets])
 
 
-def bucket_of(keys: Sequence[str], buckets: int) -> Column:
-    """The bucket of a row: by its keys' text, NULL apart from the empty text."""
-    return F.pmod(F.xxhash64(*[F.struct(ref(key).cast("string")) for key in keys]), F.lit(buckets)).cast("int")
-
-
 def _touched(
     batch: DataFrame, gone: DataFrame | None, dimension: DataFrame, target: Target, state: GoldState, options: GoldOptions
 ) -> set[int] | None:

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Collection, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from smeltwork.functions import rules
 from smeltwork.functions.casting import typed
 from smeltwork.functions.clock import BatchClock
-from smeltwork.functions.hashing import row_digest
-from smeltwork.functions.naming import standard_name, standardise
+from smeltwork.functions.hashing import bucket_of, row_digest
+from smeltwork.functions.naming import refs, standard_name, standardise
 from smeltwork.operators.changes import CHANGE, change_set
 from smeltwork.operators.dedup import drop_copies, keep_latest, merge_latest
 from smeltwork.operators.joining import anti, semi
@@ -32,12 +32,14 @@ from smeltwork.plans.control import Target, in_priority_order
 from smeltwork.session import Scratch
 from smeltwork.sources.zones import (
     QUARANTINE_BATCH,
+    SilverState,
     Zones,
     bronze_attempts,
-    folded_attempts,
     read_attempts,
     read_quarantine,
     read_silver,
+    silver_places,
+    silver_state,
     write_changes,
     write_quarantine,
     write_silver,
@@ -55,7 +57,9 @@ class SilverOptions:
     takes the place of a bad newest one. ``incremental`` folds the bronze attempts not yet
     held into the rows kept so far instead of reading the whole history, and publishes what
     that changed, so that gold need not compare all of silver. Columns of ``types`` and
-    ``ignore_in_copies`` that a target lacks are passed over.
+    ``ignore_in_copies`` that a target lacks are passed over. With ``buckets`` the rows of a target
+    with keys lie in that many folders by a digest of their keys, and an incremental batch reads and
+    writes only those that its keys fall into; rows elsewhere keep the ``silver_timestamp`` they have.
     """
 
     on_unknown: str = "clean"
@@ -64,6 +68,7 @@ class SilverOptions:
     on_collision: str = "raise"
     fallback_to_last_good: bool = False
     incremental: bool = False
+    buckets: int = 0
     ignore_in_copies: Sequence[str] = ()
     types: Mapping[str, str] = field(default_factory=dict)
 
@@ -88,9 +93,9 @@ def cleanse(bronze: DataFrame, keys: Sequence[str], rule: str | None, options: S
     return Routed(keep_latest(good, keys).unionByName(rest))
 
 
-def _kept_so_far(spark: SparkSession, folder: str) -> DataFrame | None:
-    """Newest row per key of the published version, good and bad alike."""
-    sides = [read_silver(spark, folder, verdict) for verdict in (rules.CLEAN, rules.QUARANTINE, rules.DROPPED)]
+def _kept_so_far(spark: SparkSession, folder: str, buckets: Collection[int] | None = None) -> DataFrame | None:
+    """Newest row per key of the published version, or of some of its buckets, good and bad alike."""
+    sides = [read_silver(spark, folder, verdict, buckets) for verdict in (rules.CLEAN, rules.QUARANTINE, rules.DROPPED)]
     if sides[0] is None:
         return None
     return sides[0].unionByName(sides[1]).unionByName(sides[2]).drop(SILVER_TIMESTAMP)
@@ -111,10 +116,14 @@ def fold(state: DataFrame, batch: DataFrame | None, target: Target, options: Sil
 
 @dataclass(frozen=True)
 class Folded:
-    """Rows with their verdict, and what differs from the version before where that is known."""
+    """Rows with their verdict, and what differs from the version before where that is known.
+
+    ``kept`` are the folders of buckets whose rows are not among ``flagged`` and stay as they are.
+    """
 
     flagged: DataFrame
     changes: DataFrame | None = None
+    kept: tuple[tuple[int, str, str], ...] = ()
 
 
 def fold_changes(
@@ -142,6 +151,21 @@ def fold_changes(
     return Folded(judged(whole).flagged, changes)
 
 
+def _touched(state: DataFrame, batch: DataFrame | None, target: Target, options: SilverOptions) -> set[int] | None:
+    """The buckets that a batch's keys fall into, at most all of them; None where a column's type is another one.
+
+    Rows of one type cannot be read with those of another, so all are written anew then.
+    """
+    if batch is None:
+        return set()
+    fresh = typed(standardise(batch, options.on_collision), options.types)
+    before, after = dict(typed(state, options.types).dtypes), dict(fresh.dtypes)
+    if any(before[name] != after[name] for name in before.keys() & after.keys()):
+        return None
+    named = fresh.select(*refs(target.keys)).select(bucket_of(target.keys, options.buckets).alias("bucket"))
+    return {row["bucket"] for row in named.distinct().collect()}
+
+
 def _folded(
     spark: SparkSession, zones: Zones, target: Target, attempts: Sequence[str], options: SilverOptions, scratch: Scratch
 ) -> Folded | None:
@@ -151,15 +175,20 @@ def _folded(
     """
     bronze, silver = f"{zones.bronze}/{target.name}", f"{zones.silver}/{target.name}"
     state = _kept_so_far(spark, silver) if options.incremental and target.keys else None
-    held, settings = folded_attempts(spark, silver) if state is not None else (set(), None)
+    noted = silver_state(spark, silver) if state is not None else SilverState()
+    held = set(noted.attempts)
     if state is None or not held:
         source = read_attempts(spark, bronze, attempts)
         return None if source is None else Folded(cleanse(source, target.keys, target.rule, options).flagged)
     missing = read_attempts(spark, bronze, [attempt for attempt in attempts if attempt not in held])
     columns = [*state.columns, *(missing.columns if missing is not None else ())]
-    if settings != _verdict_settings(target, options) or CHANGE in (standard_name(name) for name in columns):
+    if noted.settings != _verdict_settings(target, options) or CHANGE in (standard_name(name) for name in columns):
         return Folded(fold(state, missing, target, options).flagged)
-    return fold_changes(state, missing, target, options, scratch)
+    touched = _touched(state, missing, target, options) if options.buckets and options.buckets == noted.buckets else None
+    if touched is None:
+        return fold_changes(state, missing, target, options, scratch)
+    folded = fold_changes(_kept_so_far(spark, silver, touched), missing, target, options, scratch)
+    return replace(folded, kept=tuple(place for place in silver_places(spark, silver, noted) if place[0] not in touched))
 
 
 def new_quarantine_rows(bad: DataFrame, caught: DataFrame | None, batch_id: str) -> DataFrame:
@@ -196,10 +225,14 @@ def cleanse_target(
             F.count_if(F.col(VERDICT) == rules.CLEAN).alias("clean"),
             F.count_if(F.col(VERDICT) == rules.QUARANTINE).alias("bad"),
         )
-        number = write_silver(counted, folder, attempts, _verdict_settings(target, options))
+        buckets = options.buckets if target.keys else 0
+        state = SilverState(tuple(attempts), _verdict_settings(target, options), buckets, folded.kept)
+        number = write_silver(counted, folder, state, bucket_of(target.keys, buckets) if buckets else None)
         if folded.changes is not None:
             write_changes(folded.changes.withColumn(SILVER_TIMESTAMP, clock.now), folder, number)
     totals = seen.get
+    if folded.kept:  # counted from file footers
+        totals = {name: read_silver(spark, folder, verdict).count() for name, verdict in (("clean", rules.CLEAN), ("bad", rules.QUARANTINE))}
     if totals["bad"]:
         _quarantine(spark, target, zones, clock, batch_id)
     return Outcome(rows_processed=totals["clean"], rows_quarantined=totals["bad"])
@@ -211,7 +244,7 @@ def _quarantine(spark: SparkSession, target: Target, zones: Zones, clock: BatchC
     named = bad.select(
         "*",
         clock.now.alias("quarantined_at"),
-        row_digest(sorted(bad.columns), "struct").alias(ROW_HASH),
+        row_digest(sorted(bad.columns), "present").alias(ROW_HASH),
         F.lit(target.rule).alias(RULE),
     )
     caught = read_quarantine(spark, folder)

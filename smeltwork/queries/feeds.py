@@ -40,11 +40,13 @@ def _control(spark: SparkSession, strategy: str = "SCD2", keys: Sequence[str] =
 # --- change sets ------------------------------------------------------------
 
 
-def _three_runs(spark: SparkSession, sf_dir: str, gold: GoldOptions, rule: str, second: DataFrame, third: DataFrame) -> Zones:
+def _three_runs(
+    spark: SparkSession, sf_dir: str, gold: GoldOptions, rule: str, second: DataFrame, third: DataFrame, silver_buckets: int = 0
+) -> Zones:
     """Three incremental batches of customers; gold misses the second and merges two change sets at once."""
     zones = Zones.under(fresh_folder(spark, "feeds"))
     control = _control(spark, rule=rule)
-    options = RunOptions(silver=SilverOptions(incremental=True), gold=gold)
+    options = RunOptions(silver=SilverOptions(incremental=True, buckets=silver_buckets), gold=gold)
     for number, rows in enumerate((table(spark, sf_dir, "customer"), second, third), start=1):
         land(string_safe(rows), zones.landing, f"feed_{number}.csv")
         clock, batch = _CLOCKS[number - 1], f"run-{number}"
@@ -58,21 +60,23 @@ def _three_runs(spark: SparkSession, sf_dir: str, gold: GoldOptions, rule: str,
     return zones
 
 
-def _renamed_twice(spark: SparkSession, sf_dir: str, gold: GoldOptions = GoldOptions()) -> Zones:
+def _renamed_twice(
+    spark: SparkSession, sf_dir: str, gold: GoldOptions = GoldOptions(), silver_buckets: int = 0
+) -> Zones:
     """The poor renamed, then one segment renamed and the poor of another delivered again under their first names."""
     customer = table(spark, sf_dir, "customer")
     second = customer.where(_POOR).withColumn("c_name", F.concat("c_name", F.lit("-2")))
     built = customer.where(_BUILT).withColumn("c_name", F.concat("c_name", F.lit("-3")))
     third = built.unionByName(customer.where(f"{_POOR} AND c_mktsegment = 'MACHINERY'"))
-    return _three_runs(spark, sf_dir, gold, "NONE", second, third)
+    return _three_runs(spark, sf_dir, gold, "NONE", second, third, silver_buckets)
 
 
 _NAMED_AGAIN = f"({_BUILT} OR ({_POOR} AND c_mktsegment <> 'MACHINERY'))"
 
 
-def _from_changes(options: GoldOptions) -> Callable[[SparkSession, str], DataFrame]:
+def _from_changes(options: GoldOptions, silver_buckets: int = 0) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        gold = read_gold(spark, f"{_renamed_twice(spark, sf_dir, options).gold}/{_DIM}")
+        gold = read_gold(spark, f"{_renamed_twice(spark, sf_dir, options, silver_buckets).gold}/{_DIM}")
         stamps = {name: instant_text(F.col(name)) for name in ("effective_start_date", "effective_end_date")}
         return gold.withColumns(stamps).select("customer_sk", *CUSTOMERS, *stamps, "is_active")
 
@@ -94,6 +98,29 @@ FROM two
 """
 
 
+def _silver_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few customers renamed by a file with one more column: only the buckets of their keys are written again."""
+    zones = Zones.under(fresh_folder(spark, "feeds"))
+    customer = table(spark, sf_dir, "customer")
+    targets = load_targets(_control(spark, rule="c_acctbal < -900"))
+    renamed = customer.where(_FEW).withColumns({"c_name": F.concat("c_name", F.lit("-2")), "c_note": F.lit("renamed")})
+    for number, rows in enumerate((customer, renamed), start=1):
+        land(string_safe(rows), zones.landing, f"feed_{number}.csv")
+        trail = AuditTrail(spark, zones.audit, f"run-{number}")
+        run_bronze(spark, zones, targets, _CLOCKS[number - 1], f"run-{number}", trail)
+        run_silver(spark, zones, targets, _CLOCKS[number - 1], f"run-{number}", trail, SilverOptions(incremental=True, buckets=64))
+    return read_silver(spark, f"{zones.silver}/{_DIM}").select(*CUSTOMERS, "c_note", "source_file")
+
+
+_FEW = "c_mktsegment = 'BUILDING' AND c_nationkey < 3"
+_SILVER_IN_BUCKETS_SQL = f"""
+WITH t AS (SELECT *, {_FEW} AS again FROM customer WHERE c_acctbal >= -900)
+SELECT {text_list([name for name in CUSTOMERS if name != "c_name"])}, CASE WHEN again THEN c_name || '-2' ELSE c_name END AS c_name,
+       CASE WHEN again THEN 'renamed' END AS c_note, CASE WHEN again THEN 'feed_2.csv' ELSE 'feed_1.csv' END AS source_file
+FROM t
+"""
+
+
 def _change_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What gold says it has processed: all of silver at first, then only what changed."""
     trail = read_audit(spark, _renamed_twice(spark, sf_dir).audit).where(F.col("layer") == GOLD)
@@ -324,6 +351,8 @@ def _stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "gold_from_changes": Query(_from_changes(GoldOptions()), _FROM_CHANGES_SQL),
     "gold_in_buckets": Query(_from_changes(GoldOptions(buckets=16)), _FROM_CHANGES_SQL),
+    "layers_in_buckets": Query(_from_changes(GoldOptions(buckets=16), silver_buckets=16), _FROM_CHANGES_SQL),
+    "silver_in_buckets": Query(_silver_in_buckets, _SILVER_IN_BUCKETS_SQL),
     "gold_change_counts": Query(_change_counts, _CHANGE_COUNTS_SQL),
     "silver_change_set": Query(_silver_changes, _SILVER_CHANGES_SQL),
     "gold_closed_by_changes": Query(_closed_by_changes, _CLOSED_SQL),

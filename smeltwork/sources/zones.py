@@ -170,32 +170,90 @@ def _note(folder: str, label: str, number: int) -> str:
     return f"{version_folder(f'{folder}/{label}', number)}/note.json"
 
 
-def write_silver(flagged: DataFrame, folder: str, folded: Sequence[str] = (), settings: str | None = None) -> int:
+BUCKET = "key_bucket"
+
+
+@dataclass(frozen=True)
+class SilverState:
+    """What a silver version holds besides its own files.
+
+    ``attempts`` are the bronze attempts folded into it, ``settings`` what decided its verdicts. With ``buckets``
+    its rows lie in folders by key, and ``kept`` names those (bucket, verdict, path) that an earlier version wrote
+    and this one left where they are. Such a version notes its ``schema``: a kept bucket may lack newer columns.
+    """
+
+    attempts: tuple[str, ...] = ()
+    settings: str | None = None
+    buckets: int = 0
+    kept: tuple[tuple[int, str, str], ...] = ()
+    schema: str | None = None
+
+
+def write_silver(
+    flagged: DataFrame, folder: str, state: SilverState = SilverState(), bucket: Column | None = None
+) -> int:
     """Publish a version holding clean and bad rows apart, in one write job.
 
-    ``folded`` names the bronze attempts the version holds, ``settings`` what decided its verdicts.
-    The list is written first: a version that counts always has it.
+    With ``bucket``, ``flagged`` holds the rows of the buckets to write and is split by it too.
+    The note is written first: a version that counts always has it.
     """
     spark = flagged.sparkSession
     number = current_version(spark, folder) + 1
-    files.write_text(spark, _note(folder, _FOLDED, number), json.dumps({"attempts": list(folded), "settings": settings}))
-    flagged.write.mode("overwrite").partitionBy(VERDICT).parquet(version_folder(folder, number))
+    path = version_folder(folder, number)
+    if bucket is None:
+        files.write_text(spark, _note(folder, _FOLDED, number), json.dumps(asdict(state)))
+        flagged.write.mode("overwrite").partitionBy(VERDICT).parquet(path)
+        return number
+    if BUCKET in flagged.columns:
+        raise ValueError(f"column name is reserved for buckets: {BUCKET}")
+    noted = replace(state, schema=flagged.drop(VERDICT).schema.json())
+    files.write_text(spark, _note(folder, _FOLDED, number), json.dumps(asdict(noted)))
+    dealt = flagged.withColumn(BUCKET, bucket).hint("rebalance", BUCKET)
+    dealt.write.mode("overwrite").partitionBy(VERDICT, BUCKET).parquet(path)
     return number
 
 
-def folded_attempts(spark: SparkSession, folder: str) -> tuple[set[str], str | None]:
-    """The bronze attempts that the current silver version holds, and the settings of its verdicts."""
-    text = files.read_text(spark, _note(folder, _FOLDED, current_version(spark, folder)))
+def silver_state(spark: SparkSession, folder: str, number: int | None = None) -> SilverState:
+    """The state of the current silver version, or of a given one; a lost note says nothing."""
+    number = current_version(spark, folder) if number is None else number
+    text = files.read_text(spark, _note(folder, _FOLDED, number))
     if text is None:
-        return set(), None
+        return SilverState()
     noted = json.loads(text)
-    return set(noted["attempts"]), noted["settings"]
+    noted["kept"] = tuple((bucket, verdict, path) for bucket, verdict, path in noted.get("kept", ()))
+    return SilverState(**noted | {"attempts": tuple(noted["attempts"])})
 
 
-def read_silver(spark: SparkSession, folder: str, verdict: str = rules.CLEAN) -> DataFrame | None:
-    """Rows of one verdict of the current version; None when the target has no rows at all."""
+def silver_places(spark: SparkSession, folder: str, state: SilverState) -> list[tuple[int, str, str]]:
+    """(bucket, verdict, path) of all folders of the current version: those it kept and those it wrote."""
+    number = current_version(spark, folder)
+    wrote = []
+    for kind in _versions(spark, version_folder(folder, number), VERDICT):
+        below = f"{_VERSION}={number}/{kind.name}"
+        verdict = kind.name.partition("=")[2]
+        wrote += [(int(entry.name.partition("=")[2]), verdict, f"{below}/{entry.name}")
+                  for entry in _versions(spark, kind.path, BUCKET)]
+    return [*state.kept, *wrote]
+
+
+def read_silver(
+    spark: SparkSession, folder: str, verdict: str = rules.CLEAN, buckets: Collection[int] | None = None
+) -> DataFrame | None:
+    """Rows of one verdict of the current version; None when the target has no rows at all.
+
+    ``buckets`` leaves out the rows of all others, where they lie in buckets.
+    """
     number = current_version(spark, folder)
     path = version_folder(folder, number)
+    state = silver_state(spark, folder, number) if number else SilverState()
+    if state.buckets:
+        places = silver_places(spark, folder, state)
+        if not places:
+            return None
+        schema = T.StructType.fromJson(json.loads(state.schema))
+        chosen = [f"{folder}/{path}" for bucket, kind, path in places
+                  if kind == verdict and (buckets is None or bucket in buckets)]
+        return spark.read.schema(schema).parquet(*chosen) if chosen else spark.createDataFrame([], schema)
     if number == 0 or not _has_data(spark, path):
         return None
     return spark.read.parquet(path).where(F.col(VERDICT) == verdict).drop(VERDICT)
@@ -257,9 +315,6 @@ class GoldState:
     layout: tuple[tuple[int, str], ...] = ()
 
 
-BUCKET = "key_bucket"
-
-
 def read_state(spark: SparkSession, folder: str) -> GoldState:
     """The state of the current gold version; one that was lost says nothing, and all is read from the data."""
     return _state_of(spark, folder, current_version(spark, _ended(folder)))
@@ -363,9 +418,13 @@ def drop_superseded(spark: SparkSession, folder: str, keep: int = 2) -> list[str
 def drop_old_silver(spark: SparkSession, folder: str, keep: int = 2) -> list[str]:
     """Delete all but the newest ``keep`` versions of a silver target, and the change sets that led to the others.
 
-    A gold target that is further behind merges all of silver once.
+    A gold target that is further behind merges all of silver once. A version that one of those
+    left still takes a bucket from stays too.
     """
-    oldest = current_version(spark, folder) - keep + 1
+    newest = current_version(spark, folder)
+    oldest = newest - keep + 1
     _drop_before(spark, f"{folder}/{_FOLDED}", oldest)
     _drop_before(spark, f"{folder}/{_CHANGES}", oldest)
-    return _drop_before(spark, folder, oldest)
+    states = [silver_state(spark, folder, number) for number in range(max(oldest, 1), newest + 1)]
+    used = {_number(path.split("/")[0]) for state in states for _, _, path in state.kept}
+    return _drop_before(spark, folder, oldest, used)

@@ -14,11 +14,11 @@ from smeltwork.operators.changes import change_set, newest_changes
 from smeltwork.operators.history import versions_from_history
 from smeltwork.operators.late import splice
 from smeltwork.plans import bronze, control
-from smeltwork.plans.audit import GOLD, TAKEN_BEFORE, AuditTrail, read_audit
+from smeltwork.plans.audit import GOLD, SILVER, TAKEN_BEFORE, AuditTrail, read_audit
 from smeltwork.plans.bronze import run_bronze
 from smeltwork.plans.gold import GoldOptions, merge_silver, publish_target
 from smeltwork.plans.runner import RunOptions, run_layers
-from smeltwork.plans.silver import SilverOptions, run_silver
+from smeltwork.plans.silver import SilverOptions, cleanse_target, run_silver
 from smeltwork.sources import ledger, zones as store
 from smeltwork.sources.readers import ReadOptions
 from smeltwork.sources.zones import Zones, read_bronze, read_changes, read_gold, read_state
@@ -170,6 +170,83 @@ def test_a_batch_rewrites_only_the_buckets_it_touches(spark, zones):
     assert merged.where("is_active").count() < 40
 
 
+IN_BUCKETS = SilverOptions(incremental=True, buckets=8)
+
+
+def test_a_batch_rewrites_only_the_silver_buckets_it_touches(spark, zones):
+    rules = control_of(spark, target_row(ITEM, "item", rule="v = 'bad'"))
+    options, folder = RunOptions(silver=IN_BUCKETS), f"{zones.silver}/{ITEM}"
+
+    def run(number, text):
+        put(zones, f"item_{number}.csv", text)
+        run_layers(spark, zones, rules, CLOCKS[number - 1], f"run-{number}", options=options)
+        return {bucket: path for bucket, verdict, path in store.silver_places(spark, folder, store.silver_state(spark, folder)) if verdict == "clean"}
+
+    first = run(1, "id,v\n" + "".join(f"{n},{'bad' if n == 39 else 'a'}\n" for n in range(40)))
+    assert len(first) == 8 and all(path.startswith("v=1/") for path in first.values())
+    second = run(2, "id,v,w\n7,b,x\n")  # a new column does not touch the other buckets
+    assert sorted(path[:4] for path in second.values()) == ["v=1/"] * 7 + ["v=2/"]
+    silver = store.read_silver(spark, folder)
+    assert silver.count() == 39 and rows_of(silver.where("w IS NOT NULL").select("id", "v", "w")) == [("7", "b", "x")]
+    assert silver.select("silver_timestamp").distinct().count() == 2
+    assert rows_of(store.read_silver(spark, folder, "quarantine").select("id")) == [("39",)]
+    audit = {row["run_id"]: row for row in read_audit(spark, zones.audit).where(F.col("layer") == SILVER).collect()}
+    assert audit["run-2"]["rows_processed"] == 39 and audit["run-2"]["rows_quarantined"] == 1
+    assert store.read_quarantine(spark, f"{zones.quarantine}/{ITEM}").count() == 1
+    gold = read_gold(spark, f"{zones.gold}/{ITEM}")
+    assert gold.where("is_active").count() == 39 and gold.where("is_active AND id = '7'").first()["v"] == "b"
+    assert store.drop_old_silver(spark, folder, keep=1) == []  # seven buckets are still those of the first version
+    options = RunOptions(silver=SilverOptions(incremental=True, buckets=4))  # another layout: all is written anew
+    third = run(3, "id,v,w\n8,c,\n")
+    assert len(third) == 4 and all(path.startswith("v=3/") for path in third.values())
+    assert len(store.drop_old_silver(spark, folder, keep=1)) == 2
+    assert store.read_silver(spark, folder).count() == 39
+    options = RunOptions(silver=INCREMENTAL)  # no buckets any more
+    assert run(4, "id,v,w\n39,good,\n") == {} and store.read_silver(spark, folder).count() == 40
+
+
+def test_silver_in_buckets_with_null_keys_no_new_rows_and_other_types(spark, zones):
+    rules = control_of(spark, target_row(ITEM, "item"))
+    folder = f"{zones.silver}/{ITEM}"
+    target = control.load_targets(rules)[0]
+
+    def run(number, rows, schema):
+        if rows is not None:
+            store.write_bronze(
+                spark.createDataFrame(rows, schema).withColumn("ingest_timestamp", F.lit(f"2024-01-0{number}").cast("timestamp")),
+                f"{zones.bronze}/{ITEM}", f"run-{number}", [])
+        cleanse_target(spark, target, zones, CLOCKS[0], f"run-{number}", IN_BUCKETS)
+        return rows_of(store.read_silver(spark, folder).select("id", "v"))
+
+    assert run(1, [(None, 1), ("", 2), ("a", 3)], "id string, v int") == [("", 2), ("a", 3), (None, 1)]
+    assert run(2, [(None, 4)], "id string, v int") == [("", 2), ("a", 3), (None, 4)]
+    assert run(3, None, None) == [("", 2), ("a", 3), (None, 4)]  # nothing new: every bucket is kept
+    assert len(store.silver_state(spark, folder).kept) == len(store.silver_places(spark, folder, store.silver_state(spark, folder)))
+    assert run(4, [("", 5.5)], "id string, v double") == [("", 5.5), ("a", 3.0), (None, 4.0)]  # all written anew as double
+    assert store.silver_state(spark, folder).kept == ()
+
+
+def test_silver_refuses_a_column_named_like_the_buckets(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "clean", 1)], "id string, verdict string, key_bucket int")
+    with pytest.raises(ValueError, match="key_bucket"):
+        store.write_silver(rows, str(tmp_path), store.SilverState(buckets=2), F.lit(0))
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_silver_in_buckets_equals_silver_as_a_whole(spark, tmp_path, seed):
+    rules = control_of(spark, target_row(ITEM, "item", rule="v = 'bad'"))
+    found = []
+    for name, silver in (("whole", INCREMENTAL), ("buckets", IN_BUCKETS)):
+        zones = made(tmp_path / name)
+        for number, text in enumerate(deliveries(seed, 3), start=1):
+            put(zones, f"item_{number}.csv", text)
+            run_layers(spark, zones, rules, CLOCKS[number - 1], f"run-{number}", options=RunOptions(silver=silver, gold=GoldOptions(close_missing=True)))
+        gold = read_gold(spark, f"{zones.gold}/{ITEM}")
+        found.append([rows_of(store.read_silver(spark, f"{zones.silver}/{ITEM}", verdict).select("id", "v")) for verdict in ("clean", "quarantine")]
+                     + [rows_of(gold.select("id", "v", "is_active", "effective_start_date", "effective_end_date"))])
+    assert found[0] == found[1]
+
+
 def test_a_merge_does_not_shuffle_the_dimension(spark, zones):
     rules = control_of(spark, target_row(ITEM, "item"))
     put(zones, "item_1.csv", "id,v\n1,a\n2,b\n")
