@@ -1,10 +1,17 @@
 """Secret scans: fixed patterns, and two character Markov models compared by log-likelihood ratio.
 
-The patterns find assigned values, access keys and long hex strings. A first-order Markov model of random strings is
-trained on the characters of what they find, another of ordinary identifiers on words outside of it, both smoothed and
-both counted over all documents: each distinct secret and each distinct identifier counts once. A further token of 16 characters or more is a secret if it holds a letter (digits
-alone are numbers, not secrets) and random strings explain its transitions better than identifiers by ``least_ratio``
-(natural log). Everything runs on built-in functions.
+The patterns find assigned values, access keys and long hex strings. Two first-order Markov models are trained on labelled
+samples: random strings, which are what the patterns find and as many base64 texts of digests, and ordinary identifiers, which
+are the tokens outside of the patterns. Both are counted over all documents, each distinct secret and identifier once; digits
+count as one character, so names that differ in their numbers are one. Letters are compared in lower case, and a second chain
+tells how upper and lower case follow each other in tokens that mix them. Counts lean on those of character classes, no single
+transition says more than ``most_step``, and those to and from a sign say nothing: paths and dashed names are their parts.
+Identifiers that the models call random by far are taken out and the models trained again: a key pasted into many documents
+is not learned as ordinary.
+
+A further token of 16 characters or more is a secret if it holds a letter (digits alone are numbers, not secrets) and random
+strings explain its transitions better than identifiers by ``least_ratio`` in total and ``least_mean`` per transition (natural
+log). Everything runs on built-in functions.
 
 Spans are whole matches in code points, end exclusive; matches of one kind do not overlap, a model's span overlaps no
 pattern's. Defined results: a null text is empty; no match gives counts 0 and the digest of the empty string; without
@@ -15,12 +22,13 @@ the kinds' order decides. Very long texts are scanned whole; an empty table give
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smeltwork.llm.common import only, text_of
+from smeltwork.session import Scratch
 
 #: Kind, pattern, group whose length counts, least length. Kinds are in order of rank.
 PATTERNS = (
@@ -29,20 +37,44 @@ PATTERNS = (
     ("hex", r"(?<![0-9a-f])[0-9a-f]{32,}+", 0, 32),
 )
 MODEL_KIND = "markov"
-#: Tokens are compared in lower case, or words in capitals would look random.
-_ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+_SIGNS = "+/_=-"
+#: What tokens are compared in: lower case, or words in capitals would look random, and 0 for every digit; signs are borders.
+_KNOWN = _LETTERS + "0"
+_ALPHABET = _KNOWN + _SIGNS
+#: A lower-case letter, a capital, anything else.
+_CASES = "aA0"
 _TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+"
-_IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_][A-Za-z0-9_]{5,}+(?![+/=-])"
+_IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{6,}+"
 
 
 @dataclass(frozen=True)
 class SecretOptions:
-    """Identifiers of ``ordinary_docs`` documents or more are ordinary, however many documents there are."""
+    """Identifiers of ``ordinary_docs`` documents or more are ordinary, however many documents there are.
+
+    Of these, what the first models call random by ``pasted_mean`` per transition is not learned from.
+    """
 
     ordinary_docs: int = 3
     smoothing: float = 0.5
     backing: float = 5.0
+    most_step: float = 3.0
     least_ratio: float = 8.0
+    least_mean: float = 0.3
+    pasted_mean: float = 1.0
+
+
+def _folded(token: Column) -> Column:
+    return F.translate(F.lower(token), "123456789", "0" * 9)
+
+
+def _cased(token: Column) -> Column:
+    return F.translate(token, _LETTERS + _LETTERS.upper() + "123456789" + _SIGNS, "a" * 26 + "A" * 26 + "0" * 14)
+
+
+def _mixed(token: Column) -> Column:
+    """Whether there are letters of both cases; a token in one case throughout says nothing by it."""
+    return token.rlike("[a-z]") & token.rlike("[A-Z]")
 
 
 def _spans(text: Column, kind: str, rank: int, pattern: str, group: int, least: int) -> Column:
@@ -73,67 +105,126 @@ def base_spans(text: Column) -> Column:
 
 
 def _transitions(tokens: DataFrame) -> DataFrame:
-    """``random, before, after, n`` over tokens (random boolean, token string)."""
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.length("token") - 1),
-        lambda i: F.struct(F.substring(F.lower("token"), i, F.lit(1)).alias("before"),
-                           F.substring(F.lower("token"), i + 1, F.lit(1)).alias("after")))
+    """``random, chain, before, after, n`` over tokens (random boolean, token string)."""
+    places = F.sequence(F.lit(1), F.length("token") - 1)
+
+    def steps(chain: str, of: Column) -> Column:
+        return F.transform(places, lambda i: F.struct(
+            F.lit(chain).alias("chain"), F.substring(of, i, F.lit(1)).alias("before"), F.substring(of, i + 1, F.lit(1)).alias("after")))
+
+    token = F.col("token")
+    cases = F.filter(steps("case", _cased(token)), lambda step: _mixed(token) & (step["after"] != "0"))
     return (
-        tokens.where(F.length("token") >= 2).select("random", F.explode(pairs).alias("pair"))
-        .groupBy("random", "pair.before", "pair.after").agg(F.count("*").alias("n"))
+        tokens.where(F.length("token") >= 2)
+        .select("random", F.explode(F.concat(steps("letter", _folded(token)), cases)).alias("step"))
+        .groupBy("random", "step.chain", "step.before", "step.after").agg(F.count("*").alias("n"))
     )
 
 
-def _chances(counts: list[float], size: int, options: SecretOptions) -> list[float]:
-    """Transition probabilities; rows with few counts lean on how often each character follows any other."""
-    follows = [sum(counts[after::size]) + options.smoothing for after in range(size)]
-    every = sum(follows)
-    out = []
-    for before in range(size):
-        row = counts[before * size:(before + 1) * size]
-        total = sum(row) + options.backing
-        out += [(n + options.backing * f / every) / total for n, f in zip(row, follows)]
+def _class_of(character: str) -> int:
+    return 1 if character == "0" else 0
+
+
+def _chances(counts: dict[tuple[str, str], float], befores: str, afters: str, options: SecretOptions) -> dict[tuple[str, str], float]:
+    """Transition probabilities.
+
+    Rows with few counts lean on the class of what follows the class before, and on how often each character of that class occurs.
+    """
+    classes, pairs = [0.0] * 2, [[options.smoothing] * 2 for _ in range(2)]
+    follows = {c: options.smoothing for c in afters}
+    for (before, after), n in counts.items():
+        follows[after] += n
+        pairs[_class_of(before)][_class_of(after)] += n
+    for c, n in follows.items():
+        classes[_class_of(c)] += n
+    there = [k for k in range(2) if classes[k]]
+    out = {}
+    for before in befores:
+        row = pairs[_class_of(before)]
+        lean = {c: row[_class_of(c)] / sum(row[k] for k in there) * n / classes[_class_of(c)] for c, n in follows.items()}
+        total = sum(counts.get((before, c), 0.0) for c in afters) + options.backing
+        for c in afters:
+            out[before, c] = (counts.get((before, c), 0.0) + options.backing * lean[c]) / total
     return out
 
 
-def train(samples: DataFrame, options: SecretOptions = SecretOptions()) -> list[float] | None:
-    """Log-likelihood ratios by (before, after), row by row over the alphabet, from labelled ``samples``.
+def ratios_of(counts: dict[tuple[bool, str, str, str], float], options: SecretOptions = SecretOptions()) -> list[float] | None:
+    """Log-likelihood ratios from counts by (random, chain, before, after), letters' by row and then cases'.
 
-    ``samples`` has ``token string, random boolean``. At most two counts per pair of characters reach the driver.
+    Steps to and from a sign have 0. None without counts of both kinds.
     """
-    size = len(_ALPHABET)
-    place = {c: i for i, c in enumerate(_ALPHABET)}
-    counts = {True: [0.0] * (size * size), False: [0.0] * (size * size)}
-    for row in _transitions(samples).where(
-            F.col("before").isin(*_ALPHABET) & F.col("after").isin(*_ALPHABET)).collect():
-        counts[bool(row["random"])][place[row["before"]] * size + place[row["after"]]] = float(row["n"])
-    if not all(sum(counts[kind]) for kind in counts):
-        return None
-    chance = {kind: _chances(counts[kind], size, options) for kind in counts}
-    ratios = [math.log(r / o) for r, o in zip(chance[True], chance[False])]
-    return ratios
+    out = []
+    for chain, befores, afters, all_of in (("letter", _KNOWN, _KNOWN, _ALPHABET), ("case", _CASES, _CASES[:2], _CASES)):
+        chance = {}
+        for random in (True, False):
+            own = {(b, a): n for (r, k, b, a), n in counts.items() if r == random and k == chain and b in befores and a in afters}
+            if not own and chain == "letter":
+                return None
+            chance[random] = _chances(own, befores, afters, options)
+        step = {pair: math.log(p / chance[False][pair]) for pair, p in chance[True].items()}
+        out += [max(-options.most_step, min(options.most_step, step[b, a])) if (b, a) in step else 0.0
+                for b in all_of for a in all_of]
+    return out
+
+
+def _counts(samples: DataFrame) -> dict[tuple[bool, str, str, str], float]:
+    """At most two counts per pair of characters reach the driver."""
+    known = F.col("before").isin(*_ALPHABET, *_CASES) & F.col("after").isin(*_ALPHABET, *_CASES)
+    return {(r["random"], r["chain"], r["before"], r["after"]): float(r["n"]) for r in _transitions(samples).where(known).collect()}
+
+
+def train(samples: DataFrame, options: SecretOptions = SecretOptions()) -> list[float] | None:
+    """Log-likelihood ratios, as of ``ratios_of``, from labelled ``samples`` (token string, random boolean)."""
+    with Scratch(samples.sparkSession) as scratch:
+        stored = scratch.store(samples.select("token", "random"), "secret-samples")
+        ratios = ratios_of(_counts(stored), options)
+        if ratios is None:
+            return None
+        pasted = (F.length("token") >= 16) & _likely(F.col("token"), ratios, replace(options, least_mean=options.pasted_mean))
+        return ratios_of(_counts(stored.where(F.col("random") | ~pasted)), options)
 
 
 def samples_of(docs: DataFrame, options: SecretOptions = SecretOptions(), text_column: str = "text") -> DataFrame:
     """Labelled tokens of all documents, each distinct one once.
 
-    Random: the values that patterns found. Ordinary: identifiers outside of them that occur in ``ordinary_docs``
-    documents or more, as random strings hardly do.
+    Random: the values that patterns found, and the digest of each in base64, which knows all letters where the values are
+    hex. Ordinary: tokens with a letter outside of them that occur, numbers aside, in ``ordinary_docs`` documents or more, as random
+    strings hardly do.
     """
     text = text_of(F.col("text"))
     rest = text
     for _, pattern, _, _ in PATTERNS:
         rest = F.regexp_replace(rest, pattern, " ")
+    names = F.array_distinct(F.transform(
+        F.regexp_extract_all(rest, F.lit(_IDENTIFIER), F.lit(0)), lambda w: F.translate(w, "123456789", "0" * 9)))
     marked = only(docs, text=text_column).select(
         F.transform(base_spans(text), lambda s: F.struct(s["value"].alias("token"), F.lit(True).alias("random"))).alias("secrets"),
-        F.transform(F.array_distinct(F.regexp_extract_all(rest, F.lit(_IDENTIFIER), F.lit(0))),
-                    lambda w: F.struct(w.alias("token"), F.lit(False).alias("random"))).alias("words"))
+        F.transform(names, lambda w: F.struct(w.alias("token"), F.lit(False).alias("random"))).alias("words"))
     # One pass: the number of documents by identifier, and the secrets by value.
-    return (
+    found = (
         marked.select(F.explode(F.concat("secrets", "words")).alias("one"))
         .groupBy("one.token", "one.random").agg(F.count("*").alias("n"))
-        .where(F.col("random") | (F.col("n") >= options.ordinary_docs)).select("token", "random")
+        .where(F.col("random") | ((F.col("n") >= options.ordinary_docs) & F.col("token").rlike("[A-Za-z]")))
     )
+    digest = F.rtrim(F.base64(F.unhex(F.sha2("token", 256))), F.lit("="))
+    return found.select(
+        F.explode(F.when(F.col("random"), F.array(F.col("token"), digest)).otherwise(F.array("token"))).alias("token"), "random")
+
+
+def _likely(token: Column, ratios: list[float], options: SecretOptions) -> Column:
+    """Whether random strings explain the token's transitions better, by enough in total and for each."""
+    table, size, cases = F.lit(ratios), len(_ALPHABET), len(_CASES)
+    folded, cased = _folded(token), _cased(token)
+    steps = F.sequence(F.lit(1), F.length(token) - 1)
+
+    def ratio(alphabet: str, of: Column, i: Column, shift: int, width: int) -> Column:
+        before, after = (F.instr(F.lit(alphabet), F.substring(of, at, F.lit(1))) - 1 for at in (i, i + 1))
+        return F.get(table, before * width + after + shift)
+
+    letters = F.aggregate(steps, F.lit(0.0), lambda sum_, i: sum_ + ratio(_ALPHABET, folded, i, 0, size))
+    by_case = F.aggregate(steps, F.lit(0.0), lambda sum_, i: sum_ + ratio(_CASES, cased, i, size * size, cases))
+    total = letters + F.when(_mixed(token), by_case).otherwise(0.0)
+    return (total >= options.least_ratio) & (total >= options.least_mean * (F.length(token) - 1))
 
 
 def scan(docs: DataFrame, ratios: list[float] | None, options: SecretOptions = SecretOptions(),
@@ -144,21 +235,10 @@ def scan(docs: DataFrame, ratios: list[float] | None, options: SecretOptions = S
         return texts.select("doc_id", base_spans(F.col("text")).alias("base")).withColumn("spans", F.col("base"))
     tokens = _spans(F.col("text"), MODEL_KIND, len(PATTERNS), _TOKEN, 0, 16)
     found = texts.select("doc_id", base_spans(F.col("text")).alias("base"), tokens.alias("tokens"))
-    size, table = len(_ALPHABET), F.lit(ratios)
-
-    def code(token: Column, i: Column) -> Column:
-        return F.instr(F.lit(_ALPHABET), F.substring(token, i, F.lit(1))) - 1
-
-    def likely(token: Column) -> Column:
-        token = F.lower(token)
-        total = F.aggregate(
-            F.sequence(F.lit(1), F.length(token) - 1), F.lit(0.0),
-            lambda sum_, i: sum_ + F.get(table, code(token, i) * size + code(token, i + 1)))
-        return total >= options.least_ratio
 
     def secret(span: Column) -> Column:
         apart = ~F.exists("base", lambda b: (span["start"] < b["end"]) & (b["start"] < span["end"]))
-        return apart & span["value"].rlike("[A-Za-z]") & likely(span["value"])
+        return apart & span["value"].rlike("[A-Za-z]") & _likely(span["value"], ratios, options)
 
     return found.select("doc_id", "base", F.array_sort(F.concat("base", F.filter("tokens", secret))).alias("spans"))
 

@@ -1,6 +1,9 @@
+import base64
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -66,11 +69,87 @@ def test_models_tell_random_strings_from_identifiers(spark, make_docs):
 
 def test_samples_cover_all_documents_and_count_each_token_once(spark):
     """An identifier of three documents is ordinary among 60,000 too; a secret in many documents is one secret."""
+    word = F.translate(F.floor(F.col("id") / 3).cast("string"), "0123456789", "abcdefghij")
     docs = spark.range(60_000).select(
         F.col("id").alias("doc_id"),
-        F.concat(F.lit("identifier_"), F.floor(F.col("id") / 3), F.lit(f" token={random_token(1, 24)}")).alias("text"))
-    got = secrets.samples_of(docs)
-    assert {r["random"]: r["count"] for r in got.groupBy("random").count().collect()} == {True: 1, False: 20_000}
+        F.concat(F.lit("identifier_"), word, F.lit(" dated-2024-"), F.col("id"), F.lit(f" token={random_token(1, 24)}")).alias("text"))
+    got = secrets.samples_of(docs).collect()
+    digest = base64.b64encode(hashlib.sha256(random_token(1, 24).encode()).digest()).decode().rstrip("=")
+    assert {r["token"] for r in got if r["random"]} == {random_token(1, 24), digest}
+    ordinary = [r["token"] for r in got if not r["random"]]
+    assert sum(t.startswith("identifier_") for t in ordinary) == 20_000 == len(set(ordinary)) - 5  # 1 to 5 digits: five dated names
+    assert {t for t in ordinary if t.startswith("dated")} == {f"dated-0000-{'0' * n}" for n in range(1, 6)}
+
+
+def plain_counts(samples):
+    counts = Counter()
+    for token, kind in samples:
+        folded = re.sub("[0-9]", "0", token.lower())
+        counts.update((kind, "letter", a, b) for a, b in zip(folded, folded[1:]))
+        if re.search("[a-z]", token) and re.search("[A-Z]", token):
+            cased = re.sub("[^aA]", "0", re.sub("[A-Z]", "A", re.sub("[a-z]", "a", token)))
+            counts.update((kind, "case", a, b) for a, b in zip(cased, cased[1:]) if b != "0")
+    return counts
+
+
+def plain_total(token, counts, options=SecretOptions()):
+    """The ratio by its formula: chances of a step and, where the row is thin, of its class, each transition clipped."""
+    def chance(kind, chain, befores, afters, a, b):
+        n = {(x, y): counts.get((kind, chain, x, y), 0) for x in befores for y in afters}
+        often = {y: sum(n[x, y] for x in befores) + options.smoothing for y in afters}
+        digit = [y for y in afters if (y == "0") == (b == "0")]
+        alike = [x for x in befores if (x == "0") == (a == "0")]
+        groups = [[y for y in afters if y != "0"], [y for y in afters if y == "0"]]
+        to = [sum(n[x, y] for x in alike for y in group) + options.smoothing for group in groups if group]
+        own = sum(n[x, y] for x in alike for y in digit) + options.smoothing
+        lean = own / sum(to) * often[b] / sum(often[y] for y in digit)
+        return (n[a, b] + options.backing * lean) / (sum(n[a, y] for y in afters) + options.backing)
+
+    def step(chain, befores, afters, a, b):
+        value = math.log(chance(True, chain, befores, afters, a, b) / chance(False, chain, befores, afters, a, b))
+        return max(-options.most_step, min(options.most_step, value))
+
+    known = "abcdefghijklmnopqrstuvwxyz0"
+    folded = re.sub("[0-9]", "0", token.lower())
+    total = sum(step("letter", known, known, a, b) for a, b in zip(folded, folded[1:]) if a in known and b in known)
+    if re.search("[a-z]", token) and re.search("[A-Z]", token):
+        cased = re.sub("[^aA]", "0", re.sub("[A-Z]", "A", re.sub("[a-z]", "a", token)))
+        total += sum(step("case", "aA0", "aA", a, b) for a, b in zip(cased, cased[1:]) if b != "0")
+    return total
+
+
+def test_the_ratio_equals_its_formula(make_docs):
+    """Tokens near the limit on both sides: marked exactly where the plain formula says so."""
+    secret = [random_token(i, 24) for i in range(12)] + [random_token(50 + i, 40, "0123456789abcdef") for i in range(4)]
+    names = ["get_next_record", "maximum_connection", "PreferenceManager", "src/main/settings", "build-2024-nightly", "READ_ONLY_MODE"]
+    samples = [(t, True) for t in secret] + [(n, False) for n in names]
+    tokens = [random_token(100 + i, 16 + i % 9) for i in range(60)] + [n + random_token(200 + i, i % 12) for i, n in enumerate(names * 8)]
+    tokens = [t for t in tokens if len(t) >= 16 and re.search("[A-Za-z]", t)]
+    counts = plain_counts(samples)
+    ratios = secrets.ratios_of(counts)
+    want = {}
+    for i, token in enumerate(tokens):
+        total = plain_total(token, counts)
+        want[i] = total >= 8.0 and total >= 0.3 * (len(token) - 1)
+    got = {r["doc_id"]: len(r["spans"]) == 1 for r in secrets.scan(make_docs(list(enumerate(tokens))), ratios).collect()}
+    assert got == want and {True, False} == set(want.values())
+
+
+def test_recall_of_unseen_secrets_and_names_left_alone(spark, make_docs):
+    names = ["build-2024-11-03-nightly", "src/main/java/settings", "get_next_record_batch", "internationalization", "PreferenceManagerSettings",
+             "MAX_CONNECTION_TIMEOUT", "customer-orders-2024-q3", "user_profile_image_url", "release-2023-01-17-candidate"]
+    kinds = ["ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "abcdefghijklmnopqrstuvwxyz0123456789",
+             "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"]
+    pasted, rng = random_token(7, 32), random.Random(8)
+    words = ["".join(rng.choice(["tion", "er", "ma", "king", "pre", "sol", "ter", "ing", "con", "de"]) for _ in range(3)) for _ in range(150)]
+    docs = [(i, f"token={random_token(i, 24)} in {re.sub('[0-9]', str(i % 10), names[i % 9])} and {' '.join(words)}") for i in range(300)]
+    docs += [(1000 + i, f"see {random_token(5000 + i, 20 + i % 21, kinds[i % 3])} there") for i in range(600)]
+    docs += [(2000 + i, f"as {name} says") for i, name in enumerate(names)] + [(3000 + i, f"key {pasted}") for i in range(30)]
+    table = make_docs(docs)
+    found = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in secrets.scan(table, secrets.train(secrets.samples_of(table))).collect()}
+    assert sum(found[1000 + i] == ["markov"] for i in range(600)) >= 570  # 0.95
+    assert all(found[i] == ["assign"] for i in range(300)) and all(found[2000 + i] == [] for i in range(9))
+    assert all(found[3000 + i] == ["markov"] for i in range(30))
 
 
 def test_without_samples_or_rows(spark, make_docs):
@@ -83,7 +162,7 @@ def test_without_samples_or_rows(spark, make_docs):
 
 def test_no_python_on_the_main_path(make_docs):
     docs = make_docs(rows())
-    plan = secrets.scan(docs, [0.0] * 41**2)._jdf.queryExecution().executedPlan().toString()
+    plan = secrets.scan(docs, [0.0] * (32**2 + 9))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
 
 
