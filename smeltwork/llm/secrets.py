@@ -6,8 +6,8 @@ are the tokens outside of the patterns. Both are counted over all documents, eac
 count as one character, so names that differ in their numbers are one. Letters are compared in lower case, and a second chain
 tells how upper and lower case follow each other in tokens that mix them. Counts lean on those of character classes, no single
 transition says more than ``most_step``, and those to and from a sign say nothing: paths and dashed names are their parts.
-Identifiers that the models call random by far are taken out and the models trained again: a key pasted into many documents
-is not learned as ordinary.
+Identifiers that models trained on the others call random by far are left out: a key pasted into many documents is not learned
+as ordinary.
 
 A further token of 16 characters or more is a secret if it holds a letter (digits alone are numbers, not secrets) and random
 strings explain its transitions better than identifiers by ``least_ratio`` in total and ``least_mean`` per transition (natural
@@ -52,7 +52,7 @@ _IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{6,}+"
 class SecretOptions:
     """Identifiers of ``ordinary_docs`` documents or more are ordinary, however many documents there are.
 
-    Of these, what the first models call random by ``pasted_mean`` per transition is not learned from.
+    Of these, what models of the others call random by ``pasted_mean`` per transition is not learned from.
     """
 
     ordinary_docs: int = 3
@@ -174,13 +174,19 @@ def _counts(samples: DataFrame) -> dict[tuple[bool, str, str, str], float]:
 
 
 def train(samples: DataFrame, options: SecretOptions = SecretOptions()) -> list[float] | None:
-    """Log-likelihood ratios, as of ``ratios_of``, from labelled ``samples`` (token string, random boolean)."""
+    """Log-likelihood ratios, as of ``ratios_of``, from labelled ``samples`` (token string, random boolean).
+
+    Each half of the ordinary samples is looked through by models that learned from the other half.
+    """
     with Scratch(samples.sparkSession) as scratch:
-        stored = scratch.store(samples.select("token", "random"), "secret-samples")
-        ratios = ratios_of(_counts(stored), options)
-        if ratios is None:
-            return None
-        pasted = (F.length("token") >= 16) & _likely(F.col("token"), ratios, replace(options, least_mean=options.pasted_mean))
+        half = F.pmod(F.xxhash64("token"), F.lit(2))
+        stored = scratch.store(samples.select("token", "random", half.alias("half")), "secret-samples")
+        pasted = F.lit(False)
+        for this in (0, 1):
+            ratios = ratios_of(_counts(stored.where(F.col("random") | (F.col("half") != this))), options)
+            if ratios is not None:
+                by_far = _likely(F.col("token"), ratios, replace(options, least_mean=options.pasted_mean))
+                pasted = pasted | ((F.col("half") == this) & (F.length("token") >= 16) & by_far)
         return ratios_of(_counts(stored.where(F.col("random") | ~pasted)), options)
 
 
