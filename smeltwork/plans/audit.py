@@ -1,10 +1,14 @@
-"""The audit trail: one typed row per file or target, and the skip decision read from it."""
+"""The audit trail: one typed row per file or target, and the skip decision read from it.
+
+The rows of a day, by their end in UTC, lie in one folder: a lookup of the newest record reads the newest days, and
+old days can be dropped.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,6 +51,7 @@ _ARROW = {
     "bigint": pa.int64(),
 }
 _KINDS = [field_.dataType.simpleString() for field_ in AUDIT_SCHEMA.fields]
+_END, _DAY = AUDIT_SCHEMA.fieldNames().index("end_time"), "day="
 CLASSIC_COLUMNS = [field_.name for field_ in AUDIT_SCHEMA.fields[:8]]
 
 
@@ -70,7 +75,7 @@ class Outcome:
 
 @dataclass
 class AuditTrail:
-    """Collects the records of one run and appends them as one typed write per layer."""
+    """Collects the records of one run and appends them as one typed write per layer and day."""
 
     spark: SparkSession
     folder: str
@@ -115,21 +120,50 @@ class AuditTrail:
         here = self.last_status(layer)
         if here is not None:
             return here == SKIPPED_NO_FILES
-        return should_skip(read_audit(self.spark, self.folder), layer, self.run_id)
+        return skipped_before(self.spark, self.folder, layer, self.run_id)
 
     def flush(self) -> None:
-        if self._pending:
-            rows, self._pending = self._pending, []
-            columns = [pa.array(values, _ARROW[kind]) for values, kind in zip(zip(*rows), _KINDS)]
+        rows, self._pending = self._pending, []
+        days: dict[str, list[tuple]] = {}
+        for row in rows:
+            days.setdefault(f"{row[_END]:%Y-%m-%d}", []).append(row)
+        for day, own in days.items():
+            columns = [pa.array(values, _ARROW[kind]) for values, kind in zip(zip(*own), _KINDS)]
             table = pa.Table.from_arrays(columns, names=AUDIT_SCHEMA.fieldNames())
-            self.spark.createDataFrame(table, AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(self.folder)
+            frame = self.spark.createDataFrame(table, AUDIT_SCHEMA).coalesce(1)
+            frame.write.mode("append").parquet(f"{self.folder}/{_DAY}{day}")
+
+
+def _by_day(spark: SparkSession, folder: str) -> list[list[str]]:
+    """Paths of each day, newest first; files written before there were days come last."""
+    found = files.children(spark, folder)
+    days = [[entry.path] for entry in reversed(found) if entry.is_folder and entry.name.startswith(_DAY)]
+    loose = [entry.path for entry in found if not entry.is_folder and entry.name.endswith(".parquet")]
+    return [*days, loose] if loose else days
+
+
+def _day_of(path: str) -> str:
+    """The day of a path as text, empty for a file written before there were days."""
+    name = path.rsplit("/", 1)[1]
+    return name.removeprefix(_DAY) if name.startswith(_DAY) else ""
+
+
+def _rows_in(spark: SparkSession, groups: Sequence[list[str]]) -> DataFrame:
+    return spark.read.schema(AUDIT_SCHEMA).parquet(*[path for group in groups for path in group])
 
 
-def read_audit(spark: SparkSession, folder: str) -> DataFrame | None:
-    """The whole trail, or None before the first run."""
-    if not files.children(spark, folder):
-        return None
-    return spark.read.schema(AUDIT_SCHEMA).parquet(folder)
+def read_audit(spark: SparkSession, folder: str, since: date | None = None) -> DataFrame | None:
+    """The trail, whole or of the days from ``since`` on; None where there is none."""
+    groups = [group for group in _by_day(spark, folder) if since is None or _day_of(group[0]) >= since.isoformat()]
+    return _rows_in(spark, groups) if groups else None
+
+
+def drop_audit_before(spark: SparkSession, folder: str, day: date) -> list[str]:
+    """Delete the days before ``day``, and files written before there were days."""
+    old = [path for group in _by_day(spark, folder) for path in group if _day_of(path) < day.isoformat()]
+    for path in old:
+        files.delete(spark, path)
+    return old
 
 
 def classic_view(audit: DataFrame) -> DataFrame:
@@ -150,10 +184,23 @@ def last_status(audit: DataFrame, by: Sequence[str] = ("layer",)) -> DataFrame:
     return audit.groupBy(*by).agg(F.max_by("status", _newest()).alias("status"))
 
 
+def _newest_status(audit: DataFrame, layer: str, run_id: str | None) -> str | None:
+    scope = audit.where(F.col("layer") == layer)
+    row = last_status(scope if run_id is None else scope.where(F.col("run_id") == run_id)).first()
+    return None if row is None else row["status"]
+
+
 def should_skip(audit: DataFrame | None, upstream: str, run_id: str | None = None) -> bool:
     """True when the upstream layer's newest record says there were no files."""
-    if audit is None:
-        return False
-    scope = audit.where(F.col("layer") == upstream)
-    row = last_status(scope if run_id is None else scope.where(F.col("run_id") == run_id)).first()
-    return row is not None and row["status"] == SKIPPED_NO_FILES
+    return audit is not None and _newest_status(audit, upstream, run_id) == SKIPPED_NO_FILES
+
+
+def skipped_before(spark: SparkSession, folder: str, upstream: str, run_id: str | None = None) -> bool:
+    """``should_skip`` of the stored trail: reads the newest day, then 2, 4, 8 ... days before it, until there is a record."""
+    groups, step = _by_day(spark, folder), 1
+    while groups:
+        status = _newest_status(_rows_in(spark, groups[:step]), upstream, run_id)
+        if status is not None:
+            return status == SKIPPED_NO_FILES
+        groups, step = groups[step:], 2 * step
+    return False

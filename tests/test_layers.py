@@ -1,4 +1,6 @@
 import json
+import shutil
+from datetime import date, datetime, timezone
 from pathlib import Path
 
 import pytest
@@ -403,6 +405,34 @@ def test_skip_looks_at_the_newest_record_of_the_run(spark, tmp_path):
     assert last_status(trail, ("run_id",)).count() == 2
 
 
+def test_the_trail_lies_by_day_and_lookups_read_the_newest_days(spark, tmp_path, monkeypatch):
+    folder = f"{tmp_path}/audit"
+
+    def write(day, run, status):
+        monkeypatch.setattr(audit, "now", lambda: datetime(2024, 3, day, 12, tzinfo=timezone.utc))
+        trail = AuditTrail(spark, folder, run)
+        trail.record("t", audit.BRONZE, audit.now(), audit.Outcome(status))
+        trail.flush()
+
+    # A trail from before there were days: its file lies in the folder itself.
+    write(1, "run-0", audit.SKIPPED_NO_FILES)
+    for file in Path(folder, "day=2024-03-01").glob("*.parquet"):
+        shutil.copy(file, folder)
+    shutil.rmtree(f"{folder}/day=2024-03-01")
+    assert read_audit(spark, folder).count() == 1 and read_audit(spark, folder, date(2024, 3, 1)) is None
+    assert audit.skipped_before(spark, folder, audit.BRONZE)
+    for day in range(2, 9):
+        write(day, f"run-{day}", audit.SKIPPED_NO_FILES if day == 3 else audit.SUCCESS)
+    assert read_audit(spark, folder).count() == 8 and read_audit(spark, folder, date(2024, 3, 7)).count() == 2
+    assert not audit.skipped_before(spark, folder, audit.BRONZE) and not audit.skipped_before(spark, folder, audit.SILVER)
+    asked = {run: audit.skipped_before(spark, folder, audit.BRONZE, run) for run in ("run-0", "run-3", "run-8", "run-9")}
+    assert asked == {"run-0": True, "run-3": True, "run-8": False, "run-9": False}
+    Path(folder, "day=2024-03-02", "part-0.parquet").write_text("broken")  # an old day is not read for a newer answer
+    assert not audit.skipped_before(spark, folder, audit.BRONZE, "run-8") and not audit.skipped_before(spark, folder, audit.BRONZE)
+    assert len(audit.drop_audit_before(spark, folder, date(2024, 3, 7))) == 6
+    assert sorted(r.run_id for r in read_audit(spark, folder).collect()) == ["run-7", "run-8"]
+
+
 def test_stream_reads_each_file_once(spark, zones):
     put(zones, "one.csv", "id,v\n1,a\n")
     schema = spark.createDataFrame([("", "")], "id string, v string").schema
