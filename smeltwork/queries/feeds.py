@@ -102,7 +102,7 @@ def _silver_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A few customers renamed by a file with one more column: only the buckets of their keys are written again."""
     zones = Zones.under(fresh_folder(spark, "feeds"))
     customer = table(spark, sf_dir, "customer")
-    targets = load_targets(_control(spark, rule="c_acctbal < -900"))
+    targets = load_targets(_control(spark, rule="c_acctbal < -900D"))
     renamed = customer.where(_FEW).withColumns({"c_name": F.concat("c_name", F.lit("-2")), "c_note": F.lit("renamed")})
     for number, rows in enumerate((customer, renamed), start=1):
         land(string_safe(rows), zones.landing, f"feed_{number}.csv")
