@@ -1,21 +1,28 @@
 """Suffix-array dedup: removes each byte covered by a string of ``length`` bytes that also starts elsewhere.
 
-Sorting every suffix of a corpus moves many bytes for each byte of text. Here each string of ``length`` bytes is stood
-for by an anchor: the place of the least digest among its substrings of ``gram`` bytes. Equal strings have their anchor
-at the same offset, and neighbouring strings mostly share one, so only about one suffix in a hundred takes part. These
-suffixes are bucketed and the buckets refined, as bucket-pointer refinement does:
-
-1. The initial bucket of an anchor is the digest of its q-gram. A bucket of one is finished: nothing it stands for
-   repeats. In a larger one, anchors are refined by the identifier of all the bytes their strings cover; where two agree,
-   all their strings repeat, and the bucket of the two is finished.
+Sorting every suffix of a corpus moves many bytes for each byte of text. Here suffixes are put into buckets by their first
+``gram`` bytes, and buckets are refined by the bucket identifiers of later offsets (bucket-pointer refinement):
+
+- A suffix's initial bucket is that of its q-gram. In each round its identifier becomes the name of the pair (its bucket,
+  the bucket of the suffix that starts where the first one's reach ends), so reach doubles and each round reuses the
+  identifiers that the round before refined. A reach that is no such power is a pair whose second bucket overlaps the first.
+- The name of a pair is a digest of its two identifiers, so that every task gives one bucket the same name; no numbering
+  pass over the corpus is needed, and only identifiers that are looked at are worked out.
+- A bucket of one is finished, and so is one whose members agree over all bytes asked for.
+
+Neighbouring strings share nearly all bytes, so they are refined together, first by many, then by few:
+
+1. Each string is stood for by an anchor: the place of the least initial bucket among its q-grams. Equal strings have their
+   anchor at the same offset, and neighbouring ones mostly share one, so only about one suffix in a hundred takes part. A
+   bucket of anchors is refined over all the bytes that their strings cover; where two agree, all their strings repeat.
 2. What is left agrees in the q-gram but not throughout, as at the edge of a shared passage. Its strings are dealt by
-   offset into cells of 16, whose buckets are named by the bytes common to all strings of the cell, and these are refined
+   offset into cells of 16, whose buckets reach over the bytes common to all strings of the cell, and these are refined
    in the same way.
-3. What is left of that is refined string by string, with offsets inside the cell.
+3. What is left of that is refined string by string: the bucket of its first bytes, then the one at the later offset.
 
 One member stands for each finished bucket in the next step, so the others can still find it; the results of a step are
-used by the next. All digests that decide are 128 bits long. Texts are moved compressed, and only those of documents
-with unfinished buckets are kept between steps.
+used by the next. Bucket and refined identifier decide together, 64 bits each. Texts are moved compressed, and only those
+of documents with unfinished buckets are kept between steps.
 
 Defined results: a null text is empty; matches do not cross documents; a text shorter than ``length`` loses nothing;
 rows equal in id and text are copies of each other, and all copies lose what they share; overlapping copies inside one
@@ -28,6 +35,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -40,15 +48,18 @@ from smeltwork.session import Scratch
 
 _CELL = 16
 _OFFSET_BITS = 10
-_PIECE = 1 << 20
 _STEP = 0x9E3779B97F4A7C15
+_PAIR = np.uint64(0xD6E8FEB86659FD93)
 _SPAN = "array<bigint>"
 
 
 @dataclass(frozen=True)
 class SuffixOptions:
+    """``piece`` bounds the bytes of one text that are looked at together."""
+
     length: int = 400
     gram: int = 128
+    piece: int = 1 << 20
 
     def __post_init__(self) -> None:
         if not 0 < self.gram <= self.length or self.length - self.gram >= 1 << _OFFSET_BITS:
@@ -82,6 +93,42 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+class Buckets:
+    """Bucket identifiers of the suffixes of one piece of text, from its prefix sums."""
+
+    def __init__(self, data: np.ndarray, gram: int, roller: Roller) -> None:
+        self.gram, self.roller, self.sums = gram, roller, roller.sums(data)
+
+    def initial(self, at: np.ndarray | slice) -> np.ndarray:
+        """The buckets by q-gram of the suffixes at ``at``."""
+        if isinstance(at, slice):  # all of them, without a copy of the sums
+            n = len(self.sums) - self.gram
+            return _mixed((self.sums[self.gram:] - self.sums[:n]) * self.roller.down[:n])
+        return _mixed((self.sums[at + self.gram] - self.sums[at]) * self.roller.down[at])
+
+    def refined(self, at: np.ndarray, rounds: int) -> np.ndarray:
+        """The buckets after so many rounds; they reach over ``gram << rounds`` bytes."""
+        if rounds == 0:
+            return self.initial(at)
+        later = at + (self.gram << (rounds - 1))
+        return _pair(self.refined(at, rounds - 1), self.refined(later, rounds - 1), rounds)
+
+    def over(self, at: np.ndarray, width: np.ndarray) -> np.ndarray:
+        """The identifiers of the next ``width`` bytes, ``gram`` at least: a refined bucket and one at a later offset."""
+        out = np.zeros(len(at), dtype=np.uint64)
+        rounds = np.frexp(width // self.gram)[1] - 1
+        for count in np.unique(rounds).tolist():
+            some = np.flatnonzero(rounds == count)
+            here, reach = at[some], width[some]
+            later = here + reach - (self.gram << count)
+            out[some] = _pair(self.refined(here, count), self.refined(later, count), reach)
+        return out
+
+
+def _pair(first: np.ndarray, second: np.ndarray, salt: np.ndarray | int) -> np.ndarray:
+    return _mixed(_mixed(first + np.asarray(salt).astype(np.uint64) * _PAIR) * _PAIR + second)
+
+
 def _least_in_window(values: np.ndarray, width: int) -> np.ndarray:
     """For each window of ``width`` values the place of the first least one."""
     least, place, have = values, np.arange(len(values)), 1
@@ -99,58 +146,96 @@ def anchors(raw: bytes, options: SuffixOptions, roller: Roller) -> tuple[np.ndar
     """(place, key, identifier) of the anchors; a place holds the anchor and the offsets of its strings' starts."""
     found = []
     length, gram = options.length, options.gram
-    for begin in range(0, max(0, len(raw) - length + 1), _PIECE):
-        data = np.frombuffer(raw, dtype=np.uint8, count=min(len(raw) - begin, _PIECE + length - 1), offset=begin)
-        sums = roller.sums(data)
-        n = len(data)
-        grams = _mixed((sums[gram:] - sums[:-gram]) * roller.down[: n - gram + 1])
-        at = _least_in_window(grams, length - gram + 1)
+    for begin in range(0, max(0, len(raw) - length + 1), options.piece):
+        data = np.frombuffer(raw, dtype=np.uint8, count=min(len(raw) - begin, options.piece + length - 1), offset=begin)
+        buckets = Buckets(data, gram, roller)
+        initial = buckets.initial(slice(None))
+        at = _least_in_window(initial, length - gram + 1)
         first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
         last = np.r_[first[1:], len(at)] - 1
         place = at[first]
-        low, high = (place - last).astype(np.int64), (place - first).astype(np.int64)
-        covered = (sums[last + length] - sums[first]) * roller.down[first]
-        identifier = _mixed(covered + _mixed((low << _OFFSET_BITS | high).astype(np.uint64)))
-        packed = (place + begin).astype(np.int64) << (2 * _OFFSET_BITS) | low << _OFFSET_BITS | high
-        found.append((packed, grams[place].view(np.int64), identifier.view(np.int64)))
+        low, high = place - last, place - first
+        identifier = buckets.over(first, last - first + length)
+        found.append((_packed(place + begin, low, high), initial[place], _pair(identifier, _offsets(low, high), 0)))
+    return _columns(found)
+
+
+def _offsets(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return (low << _OFFSET_BITS | high).astype(np.uint64)
+
+
+def _packed(at: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return at << (2 * _OFFSET_BITS) | low << _OFFSET_BITS | high
+
+
+def _columns(found: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     if not found:
         return (np.zeros(0, dtype=np.int64),) * 3
-    return tuple(np.concatenate(column) for column in zip(*found))
+    return tuple(np.concatenate(column).view(np.int64) for column in zip(*found))
 
 
-def _unpacked(place: int) -> tuple[int, int, int]:
+def _unpacked(place: Any) -> tuple[Any, Any, Any]:
+    """(anchor, least, greatest offset) of a place or an array of places."""
     mask = (1 << _OFFSET_BITS) - 1
     return place >> (2 * _OFFSET_BITS), (place >> _OFFSET_BITS) & mask, place & mask
 
 
-def _cells(places: Iterable[int]) -> Iterator[tuple[int, int, int, int]]:
-    """(anchor, first offset of the cell, least and greatest offset used) for every cell of every place."""
-    for place in places:
-        at, low, high = _unpacked(place)
-        for cell in range(low - low % _CELL, high + 1, _CELL):
-            yield at, cell, max(low, cell), min(high, cell + _CELL - 1)
+def _dealt(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For ``counts`` members each: which place a member is of, and its number there."""
+    of = np.repeat(np.arange(len(counts)), counts)
+    return of, np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-def _digest(data: bytes, salt: int = 0) -> tuple[int, int]:
-    raw = hashlib.blake2b(data, digest_size=16, salt=salt.to_bytes(8, "little")).digest()
-    return int.from_bytes(raw[:8], "little", signed=True), int.from_bytes(raw[8:], "little", signed=True)
+def _cells(places: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(anchor, first offset of the cell, least and greatest offset used) of every cell of every place."""
+    at, low, high = _unpacked(places)
+    begin = low - low % _CELL
+    of, number = _dealt((high - begin) // _CELL + 1)
+    cell = begin[of] + number * _CELL
+    return at[of], cell, np.maximum(low[of], cell), np.minimum(high[of], cell + _CELL - 1)
 
 
-def cell_rows(raw: bytes, places: Iterable[int], options: SuffixOptions) -> Iterator[tuple[int, int, int]]:
-    """(place, key, identifier) of the cells: the key is the bytes that all strings of the full cell share."""
-    length = options.length
-    for at, cell, low, high in _cells(places):
-        key = _digest(raw[at - cell: at - cell - _CELL + 1 + length], cell + 1)[0]
-        identifier = _digest(raw[at - high: at - low + length], low << _OFFSET_BITS | high)[0]
-        yield at << (2 * _OFFSET_BITS) | low << _OFFSET_BITS | high, key, identifier
+def _starts(places: np.ndarray) -> np.ndarray:
+    """The starts of the strings of all places."""
+    at, low, high = _unpacked(places)
+    of, number = _dealt(high - low + 1)
+    return (at - high)[of] + number
 
 
-def string_rows(raw: bytes, places: Iterable[int], options: SuffixOptions) -> Iterator[tuple[int, int, int]]:
-    """(place, key, identifier) of single strings; here a place is a start, key and identifier are one digest."""
-    for place in places:
-        at, low, high = _unpacked(place)
-        for start in range(at - high, at - low + 1):
-            yield (start, *_digest(raw[start: start + options.length]))
+def _pieces(raw: bytes, begins: np.ndarray, options: SuffixOptions, gram: int,
+            roller: Roller) -> Iterator[tuple[int, np.ndarray, Buckets]]:
+    """Pieces of the text: where each begins, which members begin in it, and its buckets, enough for all their bytes."""
+    of = begins // options.piece
+    for piece in np.unique(of).tolist():
+        begin = piece * options.piece
+        data = np.frombuffer(raw, dtype=np.uint8, count=min(len(raw) - begin, options.piece + 2 * options.length), offset=begin)
+        yield begin, np.flatnonzero(of == piece), Buckets(data, gram, roller)
+
+
+def cell_rows(raw: bytes, places: np.ndarray, options: SuffixOptions, roller: Roller) -> tuple[np.ndarray, ...]:
+    """(place, key, identifier) of the cells: the key is the bucket of the bytes that all strings of the full cell share."""
+    length, common = options.length, max(0, options.length - _CELL + 1)
+    gram = max(1, min(options.gram, common))
+    at, cell, low, high = _cells(places)
+    found = []
+    for begin, some, buckets in _pieces(raw, at - high, options, gram, roller):
+        a, c, least, most = at[some], cell[some], low[some], high[some]
+        key = buckets.over(a - c - begin, np.full(len(a), common)) if common else np.zeros(len(a), dtype=np.uint64)
+        identifier = buckets.over(a - most - begin, most - least + length)
+        found.append((_packed(a, least, most), _pair(key, c.astype(np.uint64), 1),
+                      _pair(identifier, _offsets(least, most), 0)))
+    return _columns(found)
+
+
+def string_rows(raw: bytes, places: np.ndarray, options: SuffixOptions, roller: Roller) -> tuple[np.ndarray, ...]:
+    """(place, key, identifier) of single strings; here a place is a start, the key the bucket of its first bytes."""
+    starts = _starts(places)
+    rounds = (options.length // options.gram).bit_length() - 1
+    found = []
+    for begin, some, buckets in _pieces(raw, starts, options, options.gram, roller):
+        here = starts[some] - begin
+        found.append((starts[some], buckets.refined(here, rounds), buckets.over(here, np.full(len(here), options.length))))
+    return _columns(found)
 
 
 def _spans_of(places: Iterable[int], length: int) -> list[tuple[int, int]]:
@@ -184,24 +269,25 @@ def _flat(spans: list[tuple[int, int]]) -> list[int]:
     return [value for span in spans for value in span]
 
 
+def _batch_of(batch: pa.RecordBatch, found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """(id, tie, place, key, identifier) from the columns found in each text of the batch."""
+    index = pa.array(np.repeat(np.arange(len(found), dtype=np.int32), [len(f[0]) for f in found]))
+    columns = [pa.array(np.concatenate(column)) for column in zip(*found)]
+    return pa.record_batch([batch.column("id").take(index), batch.column("tie").take(index), *columns],
+                           ["id", "tie", "place", "key", "identifier"])
+
+
 def _rows_udf(rows_of: Callable, options: SuffixOptions, places_column: str) -> Callable:
     """From kept texts and places to (id, tie, place, key, identifier)."""
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
+        unpack, roller = zstandard.ZstdDecompressor().decompress, Roller()
         for batch in batches:
-            doc, found = [], []
             texts, places = batch.column("packed").to_pylist(), batch.column(places_column).to_pylist()
-            for i, (packed, wanted) in enumerate(zip(texts, places)):
-                if wanted:
-                    before = len(found)
-                    found.extend(rows_of(unpack(packed), wanted, options))
-                    doc.extend([i] * (len(found) - before))
+            found = [rows_of(unpack(packed), np.array(wanted or (), dtype=np.int64), options, roller)
+                     for packed, wanted in zip(texts, places)]
             if found:
-                index = pa.array(doc, pa.int32())
-                columns = [pa.array(values, pa.int64()) for values in zip(*found)]
-                yield pa.record_batch([batch.column("id").take(index), batch.column("tie").take(index), *columns],
-                                      ["id", "tie", "place", "key", "identifier"])
+                yield _batch_of(batch, found)
 
     return rows
 
@@ -263,10 +349,7 @@ def remove_repeats(docs: DataFrame, options: SuffixOptions = SuffixOptions(), id
         for batch in batches:
             found = [anchors(text.encode(), options, roller) for text in batch.column("text").to_pylist()]
             if found:
-                index = pa.array(np.repeat(np.arange(len(found), dtype=np.int32), [len(f[0]) for f in found]))
-                columns = [pa.array(np.concatenate(column)) for column in zip(*found)]
-                yield pa.record_batch([batch.column("id").take(index), batch.column("tie").take(index), *columns],
-                                      ["id", "tie", "place", "key", "identifier"])
+                yield _batch_of(batch, found)
 
     # Initial buckets: only keys that occur again go on.
     again = scratch.store(
@@ -310,6 +393,13 @@ def remove_repeats(docs: DataFrame, options: SuffixOptions = SuffixOptions(), id
 
         return settled
 
+    def cells_of(row: dict) -> list[int]:
+        at, _, low, high = _cells(np.array(row["live"], dtype=np.int64))
+        return _packed(at, low, high).tolist()
+
+    def starts_of(row: dict) -> list[int]:
+        return _starts(np.array(row["live"], dtype=np.int64)).tolist()
+
     texts = rows.mapInArrow(packed, f"id {kind}, tie long, packed binary")
     first = scratch.store(
         _with_places(texts, listed).withColumnRenamed("live", "next").mapInArrow(
@@ -320,22 +410,16 @@ def remove_repeats(docs: DataFrame, options: SuffixOptions = SuffixOptions(), id
     single, live = _refined(cells, scratch)
     second = scratch.store(
         _with_places(waiting.select("id", "tie", "packed", "spans", "live"), _by_document(single=single, next=live))
-        .mapInArrow(settle(
-            "spans",
-            lambda row: [at << (2 * _OFFSET_BITS) | low << _OFFSET_BITS | high for at, _, low, high in _cells(row["live"])],
-            lambda kept: _spans_of(kept, length)), result), "suffix-texts")
+        .mapInArrow(settle("spans", cells_of, lambda kept: _spans_of(kept, length)), result), "suffix-texts")
     waiting = second.where("packed IS NOT NULL")
 
     strings = waiting.mapInArrow(_rows_udf(string_rows, options, "live"), row_schema)
     single, _ = _refined(strings, scratch)
 
-    def starts(row: dict) -> list[int]:
-        return [start for at, low, high in map(_unpacked, row["live"]) for start in range(at - high, at - low + 1)]
-
     third = (
         _with_places(waiting.select("id", "tie", "packed", "spans", "live"), _by_document(single=single))
         .withColumn("next", F.lit(None).cast(_SPAN))
-        .mapInArrow(settle("spans", starts, lambda kept: [(start, start + length) for start in kept]), result)
+        .mapInArrow(settle("spans", starts_of, lambda kept: [(start, start + length) for start in kept]), result)
     )
     done = first.where("packed IS NULL").union(second.where("packed IS NULL")).union(third)
     return done.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "text")

@@ -1,10 +1,10 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
-from smeltwork.llm import suffixes
-from smeltwork.llm.suffixes import SuffixOptions, merged, remove_repeats
+from smeltwork.llm.suffixes import Buckets, Roller, SuffixOptions, _pair, merged, remove_repeats
 
 
 def plain(rows, length):
@@ -45,7 +45,7 @@ def passages(words, length):
     return rows + [(500, "ab" * 300), (501, "ab" * 150 + "a"), (502, shared[0] * 3), (503, "é" * 200)]
 
 
-@pytest.mark.parametrize("length,gram", [(100, 32), (50, 50), (64, 1), (120, 60)])
+@pytest.mark.parametrize("length,gram", [(100, 32), (50, 50), (64, 1), (120, 60), (9, 4)])
 def test_equals_brute_force(make_docs, words, length, gram):
     rows = passages(words, length)
     assert sorted(found(make_docs(rows), SuffixOptions(length, gram))) == sorted(plain(rows, length))
@@ -67,10 +67,46 @@ def test_the_text_is_what_is_left(make_docs, words):
     assert "\ufffd" not in got[1][0]
 
 
-def test_long_texts_are_read_in_pieces(make_docs, words, monkeypatch):
-    monkeypatch.setattr(suffixes, "_PIECE", 64)  # travels with the code
+@pytest.mark.parametrize("piece", [64, 1000])
+def test_long_texts_are_read_in_pieces(make_docs, words, piece):
     rows = passages(words, 100)[:100]
-    assert sorted(found(make_docs(rows), SuffixOptions(100, 32))) == sorted(plain(rows, 100))
+    assert sorted(found(make_docs(rows), SuffixOptions(100, 32, piece))) == sorted(plain(rows, 100))
+
+
+def test_buckets_are_refined_by_identifiers_of_later_offsets():
+    data = np.frombuffer(random.Random(3).randbytes(40) * 3, dtype=np.uint8)
+    buckets = Buckets(data, 8, Roller())
+    one, two = np.array([0, 5]), np.array([40, 45])
+    assert (buckets.initial(one) == buckets.initial(slice(None))[one]).all()
+    for rounds in range(3):  # a pair of the identifiers of the round before
+        later = buckets.refined(one + (8 << rounds), rounds)
+        assert (buckets.refined(one, rounds + 1) == _pair(buckets.refined(one, rounds), later, rounds + 1)).all()
+        assert (buckets.refined(one, rounds) == buckets.refined(two, rounds)).all()
+    width = np.array([37, 16])
+    assert (buckets.over(one, width) == buckets.over(two, width)).all()
+    assert buckets.over(one, width)[0] == _pair(buckets.refined(one, 2), buckets.refined(one + 5, 2), np.array([37, 37]))[0]
+
+
+def test_a_later_offset_alone_decides():
+    """Two strings of one bucket, whose refined buckets agree until the bucket at the later offset is read."""
+    raw = random.Random(4).randbytes(40)
+    other = raw[:39] + bytes([raw[39] ^ 1])
+    ours, theirs = (Buckets(np.frombuffer(r, dtype=np.uint8), 8, Roller()) for r in (raw, other))
+    at = np.array([0])
+    assert all(ours.refined(at, rounds) == theirs.refined(at, rounds) for rounds in range(3))
+    assert ours.over(at, np.array([39])) == theirs.over(at, np.array([39]))
+    assert ours.over(at, np.array([40])) != theirs.over(at, np.array([40]))
+
+
+def test_equal_reaches_have_equal_identifiers_and_no_others():
+    rng = random.Random(5)
+    raw = bytes(rng.choice(b"ab") for _ in range(3000))
+    buckets = Buckets(np.frombuffer(raw, dtype=np.uint8), 3, Roller())
+    for width in (3, 5, 6, 11, 12, 13):
+        at = np.arange(len(raw) - width + 1)
+        names = buckets.over(at, np.full(len(at), width)).tolist()
+        pairs = {(raw[i:i + width], name) for i, name in zip(at, names)}
+        assert len(pairs) == len({text for text, _ in pairs}) == len({name for _, name in pairs})
 
 
 def test_runs_that_touch_are_one():
