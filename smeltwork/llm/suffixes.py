@@ -55,11 +55,11 @@ _SPAN = "array<bigint>"
 
 @dataclass(frozen=True)
 class SuffixOptions:
-    """``piece`` bounds the bytes of one text that are looked at together."""
+    """``piece`` is about how many bytes are looked at together."""
 
     length: int = 400
     gram: int = 128
-    piece: int = 1 << 20
+    piece: int = 1 << 17
 
     def __post_init__(self) -> None:
         if not 0 < self.gram <= self.length or self.length - self.gram >= 1 << _OFFSET_BITS:
@@ -142,22 +142,45 @@ def _least_in_window(values: np.ndarray, width: int) -> np.ndarray:
     return place
 
 
-def anchors(raw: bytes, options: SuffixOptions, roller: Roller) -> tuple[np.ndarray, ...]:
-    """(place, key, identifier) of the anchors; a place holds the anchor and the offsets of its strings' starts."""
-    found = []
+def _joined(texts: list[bytes], options: SuffixOptions) -> Iterator[list[tuple[int, int, bytes]]]:
+    """(text, offset in it, bytes): short texts together, long ones in pieces that overlap by a string less a byte."""
+    group, size = [], 0
+    for i, raw in enumerate(texts):
+        for begin in range(0, max(0, len(raw) - options.length + 1), options.piece):
+            part = raw[begin: begin + options.piece + options.length - 1]
+            group.append((i, begin, part))
+            size += len(part)
+            if size >= options.piece:
+                yield group
+                group, size = [], 0
+    if group:
+        yield group
+
+
+def anchors(texts: list[bytes], options: SuffixOptions, roller: Roller) -> Iterator[tuple[np.ndarray, np.ndarray, Callable]]:
+    """For some of the texts at a time: which text, the key and (place, key, identifier) of the anchors when asked for.
+
+    A place holds the anchor and the offsets of its strings' starts.
+    """
     length, gram = options.length, options.gram
-    for begin in range(0, max(0, len(raw) - length + 1), options.piece):
-        data = np.frombuffer(raw, dtype=np.uint8, count=min(len(raw) - begin, options.piece + length - 1), offset=begin)
-        buckets = Buckets(data, gram, roller)
+    for group in _joined(texts, options):
+        sizes = np.array([len(part) for _, _, part in group])
+        base = np.cumsum(sizes) - sizes
+        buckets = Buckets(np.frombuffer(b"".join(part for _, _, part in group), dtype=np.uint8), gram, roller)
         initial = buckets.initial(slice(None))
-        at = _least_in_window(initial, length - gram + 1)
-        first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-        last = np.r_[first[1:], len(at)] - 1
-        place = at[first]
-        low, high = place - last, place - first
-        identifier = buckets.over(first, last - first + length)
-        found.append((_packed(place + begin, low, high), initial[place], _pair(identifier, _offsets(low, high), 0)))
-    return _columns(found)
+        of, number = _dealt(sizes - length + 1)  # strings that lie inside one text
+        start = base[of] + number
+        at = _least_in_window(initial, length - gram + 1)[start]
+        edge = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        first, last, place = start[edge], start[np.r_[edge[1:], len(at)] - 1], at[edge]
+        shift = np.array([begin for _, begin, _ in group]) - base
+
+        def rows(buckets=buckets, initial=initial, first=first, last=last, place=place, shift=shift[of[edge]]):
+            low, high = place - last, place - first
+            identifier = _pair(buckets.over(first, last - first + length), _offsets(low, high), 0)
+            return _columns([(_packed(place + shift, low, high), initial[place], identifier)])
+
+        yield np.array([i for i, _, _ in group])[of[edge]], initial[place].view(np.int64), rows
 
 
 def _offsets(low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -269,11 +292,10 @@ def _flat(spans: list[tuple[int, int]]) -> list[int]:
     return [value for span in spans for value in span]
 
 
-def _batch_of(batch: pa.RecordBatch, found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    """(id, tie, place, key, identifier) from the columns found in each text of the batch."""
-    index = pa.array(np.repeat(np.arange(len(found), dtype=np.int32), [len(f[0]) for f in found]))
-    columns = [pa.array(np.concatenate(column)) for column in zip(*found)]
-    return pa.record_batch([batch.column("id").take(index), batch.column("tie").take(index), *columns],
+def _batch_of(batch: pa.RecordBatch, of: np.ndarray, found: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+    """(id, tie, place, key, identifier) from the columns found and the rows of the batch that they are of."""
+    index = pa.array(of)
+    return pa.record_batch([batch.column("id").take(index), batch.column("tie").take(index), *map(pa.array, found)],
                            ["id", "tie", "place", "key", "identifier"])
 
 
@@ -287,7 +309,8 @@ def _rows_udf(rows_of: Callable, options: SuffixOptions, places_column: str) ->
             found = [rows_of(unpack(packed), np.array(wanted or (), dtype=np.int64), options, roller)
                      for packed, wanted in zip(texts, places)]
             if found:
-                yield _batch_of(batch, found)
+                of = np.repeat(np.arange(len(found)), [len(columns[0]) for columns in found])
+                yield _batch_of(batch, of, tuple(map(np.concatenate, zip(*found))))
 
     return rows
 
@@ -339,17 +362,14 @@ def remove_repeats(docs: DataFrame, options: SuffixOptions = SuffixOptions(), id
     def keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller = Roller()
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                found = anchors(text.encode(), options, roller)[1]
-                if len(found):
-                    yield pa.record_batch([pa.array(found)], ["key"])
+            for _, key, _ in anchors([text.encode() for text in batch.column("text").to_pylist()], options, roller):
+                yield pa.record_batch([pa.array(key)], ["key"])
 
     def places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller = Roller()
         for batch in batches:
-            found = [anchors(text.encode(), options, roller) for text in batch.column("text").to_pylist()]
-            if found:
-                yield _batch_of(batch, found)
+            for text, _, found in anchors([text.encode() for text in batch.column("text").to_pylist()], options, roller):
+                yield _batch_of(batch, text, found())
 
     # Initial buckets: only keys that occur again go on.
     again = scratch.store(
