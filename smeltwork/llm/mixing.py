@@ -6,6 +6,10 @@ range, and each left half draws its share of every source's remaining units from
 distribution, so the quotas of the leaves add up exactly. A shard takes as many consecutive units of a source's
 seeded permutation as its quota says, and orders its documents by a seeded hash.
 
+Any number of sources will do. They are numbered in code point order and put into ``groups``; the driver splits the units
+of the groups, and for each group a task splits its quotas among its sources, by the same tree. Drawing groups first and
+then sources given the groups' draws has the same distribution as drawing sources at once.
+
 Defined results: a null text has no words; null is a source of its own, last in order; rows with equal ids are separate
 documents that share a block; an empty table gives an empty mix. A document without words is taken like its block and
 adds nothing. A very long text counts with all its words, and is one document of its block.
@@ -14,27 +18,29 @@ adds nothing. A very long text counts with all its words, and is one document of
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from smeltwork.llm.common import n_words, whole_row
+from smeltwork.operators.surrogate import number_rows
 from smeltwork.session import Scratch
 
-_UNITS = "_source string, _block long, _rank long"
-_PLACES = "_source string, _block long, _copy int, _shard long"
+_UNITS = "_number long, _block long, _rank long, _group int"
+_PLACES = "_number long, _block long, _copy int, _shard long"
 
 
 @dataclass(frozen=True)
 class MixOptions:
-    """``weights`` repeat over the sources in code point order. ``max_sources`` bounds what the driver holds.
+    """``weights`` repeat over the sources in code point order.
 
     ``blocks_per_source`` sets the grain: raise it with the number of output shards wanted, which is
     the words over ``shard_words``, and ``least_shards`` at least, so that readers can share the work.
+    The driver holds one number for each shard and each of the ``groups`` of sources.
     """
 
     weights: tuple[float, ...] = (5.0, 2.0, 1.0)
@@ -42,26 +48,32 @@ class MixOptions:
     blocks_per_source: int = 1024
     shard_words: int = 20_000_000
     least_shards: int = 8
-    max_sources: int = 100_000
+    groups: int = 64
     seed: int = 17
 
 
-def share_out(sizes: dict[str | None, int], options: MixOptions) -> dict[str | None, float]:
-    """The target of each source: shares by weight, stopped at a multiple of its size, the excess shared again."""
-    order = sorted((name for name in sizes if name is not None)) + [None] * (None in sizes)
-    weight = {name: options.weights[i % len(options.weights)] for i, name in enumerate(order)}
-    target: dict[str | None, float] = {}
-    left, free = float(sum(sizes.values())), list(order)
-    while free:
-        unit = left / sum(weight[name] for name in free)
-        full = [name for name in free if unit * weight[name] > options.most_repeats * sizes[name]]
-        if not full:
-            return target | {name: unit * weight[name] for name in free}
-        for name in full:
-            target[name] = float(options.most_repeats * sizes[name])
-            left -= target[name]
-        free = [name for name in free if name not in set(full)]
-    return target
+def with_targets(sources: DataFrame, options: MixOptions) -> DataFrame:
+    """``sources`` (``_number`` from 1, ``words``) with ``_target``.
+
+    Shares by weight stop at a multiple of the source's size and the excess is shared again. The share of a unit of weight
+    only grows, so each round asks which sources are full at the share of the round before; one row for each of the
+    weights comes back from it.
+    """
+    turn = F.pmod(F.col("_number") - 1, F.lit(len(options.weights))).cast("int")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in options.weights]), turn + 1)
+    most = options.most_repeats * F.col("words")
+    unit, before = 0.0, -1
+    while True:
+        full = most < F.lit(unit) * weight
+        rows = sources.groupBy(turn.alias("turn")).agg(
+            F.sum("words").alias("words"), F.sum(F.when(full, most)).alias("kept"), F.count_if(full).alias("full"),
+            F.count_if(~full).alias("free")).collect()
+        stopped = sum(row["full"] for row in rows)
+        free = sum(row["free"] * options.weights[row["turn"]] for row in sorted(rows, key=lambda row: row["turn"]))
+        if stopped == before or not free:
+            return sources.withColumn("_target", F.when(full, most).otherwise(F.lit(unit) * weight))
+        unit = (sum(row["words"] for row in rows) - sum(row["kept"] or 0 for row in rows)) / free
+        before = stopped
 
 
 def block_copies(words: np.ndarray, order: np.ndarray, target: float, most: int) -> np.ndarray:
@@ -88,37 +100,58 @@ def block_copies(words: np.ndarray, order: np.ndarray, target: float, most: int)
     return copies
 
 
-def split_quotas(units: np.ndarray, shards: int, seed: int) -> np.ndarray:
-    """Quotas (shard, source) that add up to ``units``, by recursive multivariate-hypergeometric halving."""
-    quotas = np.zeros((shards, len(units)), dtype=np.int64)
-    waiting = [(0, shards, units.astype(np.int64))]
+def split_quotas(units: np.ndarray, sizes: np.ndarray, seed: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(shard, colours, their quotas above 0): ``units`` of each colour dealt to shards of ``sizes`` units in all.
+
+    Recursive multivariate-hypergeometric halving; only colours that a half still holds are carried into it.
+    """
+    ends = np.r_[0, np.cumsum(sizes)].tolist()
+    waiting = [(0, len(sizes), np.arange(len(units)), units.astype(np.int64))]
     while waiting:
-        first, count, rest = waiting.pop()
+        first, count, colours, rest = waiting.pop()
+        colours, rest = colours[rest > 0], rest[rest > 0]
+        if not len(colours):
+            continue
         if count == 1:
-            quotas[first] = rest
+            yield first, colours, rest
             continue
         left = count // 2
-        rng = np.random.default_rng([seed, first, count])
+        rng = np.random.default_rng([*seed, first, count])
         # Draw colour by colour: each count is hypergeometric given what the earlier colours took.
-        wanted, behind = int(rest.sum()) * left // count, int(rest.sum())
+        wanted, behind = ends[first + left] - ends[first], int(rest.sum())
         drawn = np.zeros(len(rest), dtype=np.int64)
-        for i, have in enumerate(rest):
-            behind -= int(have)
-            if wanted and have:
-                drawn[i] = _hypergeometric(rng, int(have), behind, wanted)
-                wanted -= int(drawn[i])
-        waiting += [(first, left, drawn), (first + left, count - left, rest - drawn)]
-    return quotas
+        for i, have in enumerate(rest.tolist()):
+            if not wanted:
+                break
+            behind -= have
+            drawn[i] = _hypergeometric(rng, have, behind, wanted)
+            wanted -= int(drawn[i])
+        waiting += [(first, left, colours, drawn), (first + left, count - left, colours, rest - drawn)]
+
+
+def _even(total: int, shards: int) -> np.ndarray:
+    """Sizes of shards that differ by one at most."""
+    return np.diff([total * i // shards for i in range(shards + 1)]).astype(np.int64)
 
 
 def _hypergeometric(rng: np.random.Generator, good: int, bad: int, sample: int) -> int:
-    """``rng.hypergeometric`` takes populations below 1e9; beyond it the normal law is as exact as the count allows."""
+    """``rng.hypergeometric`` takes populations below 1e9; beyond it the distribution is inverted.
+
+    Chances follow from the ratio of each to the one before, over 12 standard deviations either way; what lies beyond has
+    a chance below 1e-30.
+    """
     if good + bad < 10**9:
         return int(rng.hypergeometric(good, bad, sample))
     total = good + bad
     mean = sample * good / total
-    spread = math.sqrt(mean * (bad / total) * ((total - sample) / max(1, total - 1)))
-    return int(min(good, sample, max(0, sample - bad, round(rng.normal(mean, spread)))))
+    reach = 12 * math.sqrt(mean * (bad / total) * ((total - sample) / (total - 1))) + 12
+    low = max(0, sample - bad, math.floor(mean - reach))
+    high = min(good, sample, math.ceil(mean + reach))
+    k = np.arange(low, high, dtype=np.float64)
+    ratio = np.log(good - k) + np.log(sample - k) - np.log(k + 1) - np.log(bad - sample + k + 1)
+    log_chance = np.r_[0.0, np.cumsum(ratio)]
+    reached = np.cumsum(np.exp(log_chance - log_chance.max()))
+    return low + int(np.searchsorted(reached, rng.random() * reached[-1], side="right"))
 
 
 def _permuted(seed: int, blocks: np.ndarray) -> np.ndarray:
@@ -141,21 +174,13 @@ def mix(docs: DataFrame, options: MixOptions = MixOptions(), id_column: str = "d
         F.pmod(F.xxhash64(F.lit(options.seed), F.col(f"`{id_column}`")), F.lit(options.blocks_per_source)).alias("_block"),
     )
     words = scratch.store(marked.groupBy("_source", "_block").agg(F.sum("_size").alias("words")), "mix-blocks")
-    rows = words.groupBy("_source").agg(F.sum("words").alias("words")).limit(options.max_sources + 1).collect()
-    if len(rows) > options.max_sources:
-        raise ValueError(f"more than {options.max_sources} sources")
-    sizes = {row["_source"]: int(row["words"]) for row in rows}
-    targets = share_out(sizes, options)
-    plan = spark.createDataFrame(
-        [(name, size, targets[name]) for name, size in sizes.items()],
-        T.StructType([T.StructField("_s", T.StringType()), T.StructField("_source_size", T.LongType()),
-                      T.StructField("_target", T.DoubleType())]),
-    )
-
-    # At most max_sources small rows, checked above: broadcast, or a join on sources would gather a hot one.
-    named = F.broadcast(plan)
-    blocks = words.join(named, F.col("_source").eqNullSafe(F.col("_s")), "inner").drop("_s")
-    seed, most = options.seed, options.most_repeats
+    sizes = words.groupBy(F.col("_source").alias("_s")).agg(F.sum("words").alias("words"))
+    numbered = number_rows(sizes.withColumn("_last", F.col("_s").isNull()), ["_last", "_s"], "_number", scratch=scratch).rows
+    sources = scratch.store(
+        with_targets(numbered, options).select("_s", "_number", F.col("words").alias("_source_size"), "_target"), "mix-sources")
+    # A source has at most blocks_per_source rows here, so none is hot.
+    blocks = scratch.store(words.join(sources, F.col("_source").eqNullSafe(F.col("_s"))).drop("_s"), "mix-plan")
+    seed, most, groups = options.seed, options.most_repeats, options.groups
 
     def choose(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("_block").reset_index(drop=True)
@@ -163,36 +188,49 @@ def mix(docs: DataFrame, options: MixOptions = MixOptions(), id_column: str = "d
         order = _permuted(seed, numbers)
         copies = block_copies(group["words"].to_numpy(), order, float(group["_target"].iloc[0]), most)
         taken = np.repeat(numbers, copies)
-        return pd.DataFrame({"_source": [group["_source"].iloc[0]] * len(taken), "_block": taken,
-                             "_rank": np.argsort(_permuted(seed + 1, taken * 8 + _number_in_run(taken)))})
-
-    units = scratch.store(blocks.groupBy("_source").applyInPandas(choose, _UNITS), "mix-units")
-    drawn = {row["_source"]: int(row["n"]) for row in units.groupBy("_source").agg(F.count("*").alias("n")).collect()}
-    names = sorted(drawn, key=lambda name: (name is None, name or ""))
-    wanted = max(options.least_shards, math.ceil(sum(targets.values()) / options.shard_words))
-    shards = max(1, min(sum(drawn.values()), wanted))
-    quotas = split_quotas(np.array([drawn[name] for name in names], dtype=np.int64), shards, options.seed)
-    ends = {name: np.cumsum(quotas[:, i]) for i, name in enumerate(names)}
-
-    def place(group: pd.DataFrame) -> pd.DataFrame:
-        name = group["_source"].iloc[0]
-        name = None if pd.isna(name) else name
-        group = group.sort_values(["_block", "_rank"]).reset_index(drop=True)
-        numbers = group["_block"].to_numpy()
-        shard = np.searchsorted(ends[name], group["_rank"].to_numpy(), side="right")
-        return pd.DataFrame({"_source": [name] * len(group), "_block": numbers,
-                             "_copy": _number_in_run(numbers), "_shard": shard})
+        source = int(group["_number"].iloc[0])
+        return pd.DataFrame({"_number": np.full(len(taken), source), "_block": taken,
+                             "_rank": np.argsort(_permuted(seed + 1, taken * 8 + _number_in_run(taken))),
+                             "_group": np.full(len(taken), source % groups, dtype=np.int32)})
+
+    units = scratch.store(
+        blocks.select("_number", "_block", "words", "_target").groupBy("_number").applyInPandas(choose, _UNITS), "mix-units")
+    drawn = dict(units.groupBy("_group").agg(F.count("*").alias("n")).collect())  # one row for each group of sources
+    total = sum(drawn.values())
+    planned = blocks.agg(F.sum("words")).first()[0] or 0
+    shards = max(1, min(total, max(options.least_shards, math.ceil(planned / options.shard_words))))
+    names = sorted(drawn)
+    quotas = np.zeros((len(names), shards), dtype=np.int64)
+    for shard, found, quota in split_quotas(np.array([drawn[name] for name in names]), _even(total, shards), [seed]):
+        quotas[found, shard] = quota
+    shares = spark.createDataFrame(
+        [(name, row.tolist()) for name, row in zip(names, quotas)], "_group int, _quotas array<bigint>")
+
+    def place(group: pd.DataFrame, share: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["_number", "_block", "_rank"]).reset_index(drop=True)
+        numbers, of, counts = np.unique(group["_number"].to_numpy(), return_inverse=True, return_counts=True)
+        of_group = [seed, int(share["_group"].iloc[0]) + 1]
+        parts = list(split_quotas(counts, np.asarray(share["_quotas"].iloc[0], dtype=np.int64), of_group))
+        shard = np.repeat([part[0] for part in parts], [len(part[1]) for part in parts])
+        colour, quota = (np.concatenate([part[i] for part in parts]) for i in (1, 2))
+        order = np.lexsort((shard, colour))
+        dealt = np.repeat(shard[order], quota[order])  # the shard of every rank, source after source
+        before = np.cumsum(counts) - counts
+        block = group["_block"].to_numpy()
+        return pd.DataFrame({"_number": group["_number"], "_block": block,
+                             "_copy": _number_in_run(of * options.blocks_per_source + block),
+                             "_shard": dealt[before[of] + group["_rank"].to_numpy()]})
 
     places = (
-        units.groupBy("_source").applyInPandas(place, _PLACES)
-        .groupBy(F.col("_source").alias("_s"), F.col("_block").alias("_b"))
+        units.groupBy("_group").cogroup(shares.groupBy("_group")).applyInPandas(place, _PLACES)
+        .groupBy(F.col("_number").alias("_n"), F.col("_block").alias("_b"))
         .agg(F.array_sort(F.collect_list(F.struct("_copy", "_shard"))).alias("_places"))
     )
-    same = F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b"))
     empty = F.array().cast("array<struct<_copy:int,_shard:bigint>>")
-    drawn_blocks = blocks.join(places, same, "left").select(
+    drawn_blocks = blocks.join(places, (F.col("_number") == F.col("_n")) & (F.col("_block") == F.col("_b")), "left").select(
         F.col("_source").alias("_s"), F.col("_block").alias("_b"), "_source_size", "_target",
         F.coalesce("_places", empty).alias("_places"))
+    same = F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b"))
     return marked.join(drawn_blocks, same).drop("_s", "_b", "_block")
 
 
