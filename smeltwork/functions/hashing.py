@@ -12,6 +12,7 @@ from smeltwork.functions.naming import ref
 # Fixed value: the text between two column values in a joined digest.
 SEPARATOR = "||"
 DIGEST_BITS = 256
+_UNPACKED = bytes(DIGEST_BITS // 8 + 1)  # longer than a packed digest, so that no text looks like one
 
 
 def row_digest(columns: Sequence[str], mode: str = "joined", missing_in: Sequence[str] | None = None) -> Column:
@@ -36,6 +37,18 @@ def row_digest(columns: Sequence[str], mode: str = "joined", missing_in: Sequenc
     return F.sha2(F.concat_ws(SEPARATOR, *texts), DIGEST_BITS)
 
 
+def packed(digest: Column) -> Column:
+    """A digest in half the bytes, to be moved or compared; other text as its own bytes and a mark. NULL stays NULL."""
+    likely = (F.length(digest) == DIGEST_BITS // 4) & (F.lower(digest) == digest)
+    return F.coalesce(F.when(likely, F.unhex(digest)), F.concat(digest.cast("binary"), F.lit(_UNPACKED)))
+
+
+def unpacked(digest: Column) -> Column:
+    """The text that ``packed`` was given."""
+    text = F.substring(digest, F.lit(1), F.length(digest) - len(_UNPACKED)).cast("string")
+    return F.when(F.length(digest) == DIGEST_BITS // 8, F.lower(F.hex(digest))).otherwise(text)
+
+
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     """The bucket of a row: by its keys' text, NULL apart from the empty text."""
     return F.pmod(F.xxhash64(*[F.struct(ref(key).cast("string")) for key in keys]), F.lit(buckets)).cast("int")

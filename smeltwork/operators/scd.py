@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smeltwork.functions.clock import BatchClock
-from smeltwork.functions.hashing import row_digest
-from smeltwork.functions.naming import ref
+from smeltwork.functions.hashing import packed, row_digest, unpacked
+from smeltwork.functions.naming import ref, refs
 from smeltwork.operators.joining import anti, lookup, right_side, same_key, without_right
 from smeltwork.operators.quality import require_unique
 from smeltwork.operators.surrogate import Numbered, existing_keys, highest_key, key_text, number_rows
@@ -206,7 +206,7 @@ def scd1(
     active, closed = _split_active(dimension)
     if skip_unchanged:
         space = scratch or Scratch(dimension.sparkSession, keep=True)
-        differing = space.store(new_versions(active, staged, keys), "differing")
+        differing = space.store(_differing(active, batch), "differing")
         if not rehashed and not differing.limit(1).count():
             return Merge(aligned(closed, columns, staged), aligned(active, columns, staged), 0, False, max_key)
         batch = replace(batch, silver=differing.select(*[ref(name) for name in batch.silver.columns]))
@@ -216,15 +216,20 @@ def scd1(
     done = _numbered(fresh, keys, sk, base, scratch)
 
     carried = [name for name in columns if name in staged.columns and name not in keys]
-    incoming = right_side(staged, keys, F.lit(True).alias(_HIT), *[ref(name).alias(f"_new_{name}") for name in carried])
-    old = aligned(active, columns, staged)
-    met = old.join(incoming, same_key(keys), "left")
+    incoming = right_side(
+        batch.silver, keys, F.lit(True).alias(_HIT), *[ref(name) for name in batch.silver.columns if name not in keys])
+    held = aligned(active, columns, staged).withColumn(HASH, packed(ref(HASH)))
+    old = held.select(*[ref(name) if name in keys else ref(name).alias(f"_old_{name}") for name in columns])
+    # Digests of the batch are worked out beside the rows they replace: neither side moves them as text.
+    met = batch.stage(old.join(incoming, same_key(keys), "left"))
+    before = {name: ref(name) if name in keys else ref(f"_old_{name}") for name in columns}
+    before[HASH] = unpacked(before[HASH])
     take = F.col(_HIT).isNotNull()
     if skip_unchanged:
-        take = take & ~ref(HASH).eqNullSafe(ref(f"_new_{HASH}"))
+        take = take & ~before[HASH].eqNullSafe(ref(HASH))
     updated = met.select(
         *[
-            F.when(take, ref(f"_new_{name}")).otherwise(ref(name)).alias(name) if name in carried else ref(name)
+            (F.when(take, ref(name)).otherwise(before[name]) if name in carried else before[name]).alias(name)
             for name in columns
         ]
     )
@@ -238,14 +243,31 @@ def new_versions(active: DataFrame, staged: DataFrame, keys: Sequence[str]) -> D
     Joined on the key alone: the cut of the active rows and this join then share one
     partitioning. An active key has one row, so nothing fans out.
     """
-    known = existing_keys(active, staged, keys, HASH)
-    met = lookup(staged, known, keys, ref(HASH).alias(_KNOWN))
-    return met.where(F.col(_KNOWN).isNull() | (F.col(_KNOWN) != ref(HASH))).drop(_KNOWN)
+    return _unlike(_beside_known(active, staged, keys), packed(ref(HASH)))
+
+
+def _differing(active: DataFrame, batch: Batch) -> DataFrame:
+    """The batch's rows, unstaged, that ``new_versions`` finds; their digests are worked out after the join and not moved."""
+    met = batch.stage(_beside_known(active, batch.silver, batch.keys))
+    return _unlike(met, F.unhex(ref(HASH))).select(*refs(batch.silver.columns))
+
+
+def _beside_known(active: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with the packed digest of the active row of their key."""
+    known = existing_keys(active.withColumn(HASH, packed(ref(HASH))), rows, keys, HASH)
+    return lookup(rows, known, keys, ref(HASH).alias(_KNOWN))
+
+
+def _unlike(met: DataFrame, digest: Column) -> DataFrame:
+    return met.where(F.col(_KNOWN).isNull() | (F.col(_KNOWN) != digest)).drop(_KNOWN)
 
 
 def expire(active: DataFrame, replaced: DataFrame, keys: Sequence[str], clock: BatchClock) -> DataFrame:
     """Active rows, ended at the batch instant where ``replaced`` holds their key."""
-    met = lookup(active, replaced, keys, F.lit(True).alias(_HIT))
+    slim = active.withColumn(HASH, packed(ref(HASH))) if HASH in active.columns else active
+    met = lookup(slim, replaced, keys, F.lit(True).alias(_HIT))
+    if HASH in active.columns:
+        met = met.withColumn(HASH, unpacked(ref(HASH)))
     return _end_where_hit(met, active.columns, clock)
 
 
@@ -281,8 +303,8 @@ def scd2(
     active, closed = _split_active(dimension)
     base, highest = _base(dimension, sk, max_key), None
     if dense_sk:
-        done = _numbered(new_versions(active, staged, keys), keys, sk, base, scratch)
-        inserted, count, highest = done.rows, done.count, base + done.count
+        done = _numbered(_differing(active, batch), keys, sk, base, scratch)
+        inserted, count, highest = batch.stage(done.rows), done.count, base + done.count
     else:
         everything = _numbered(batch.silver, keys, sk, base, scratch).rows
         inserted = new_versions(active, aligned(batch.stage(everything), [sk, *staged.columns]), keys)

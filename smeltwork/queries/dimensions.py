@@ -18,7 +18,7 @@ from smeltwork.operators.snapshot import snapshot
 from smeltwork.operators.surrogate import highest_key, key_text, number_rows, preserve_keys
 from smeltwork.operators.views import batch_validation
 from smeltwork.queries.registry import Query, digest_sql, instant_text, table
-from smeltwork.session import Scratch
+from smeltwork.session import DIMENSION_CODEC, Scratch
 
 T1, T2, T3 = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"
 CLOCK1, CLOCK2, CLOCK3 = (BatchClock.at(text, "timestamp_ntz") for text in (T1, T2, T3))
@@ -269,7 +269,7 @@ def _switch(source: Source, strategies: Sequence[str]) -> Query:
         later = ((source.second(spark, sf_dir), CLOCK2), (source.third(spark, sf_dir), CLOCK3))
         for strategy, (batch, clock) in zip(strategies, later):
             merged = scd.merge(strategy, dimension, _batch(source, batch, clock), source.sk, space)
-            dimension = space.store(merged.rows, "dimension")
+            dimension = space.store(merged.rows, "dimension", DIMENSION_CODEC)
         return shown(dimension)
 
     make = {"SCD1": source.scd1_sql, "SCD2": source.scd2_sql}

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from smeltwork.functions.clock import BatchClock
+from smeltwork.functions.hashing import packed, unpacked
 from smeltwork.operators import quality, scd
 from smeltwork.session import Scratch
 from tests.conftest import plan_of, rows_of
@@ -210,3 +211,33 @@ def test_large_batches_share_one_partitioning(spark):
     finally:
         spark.conf.set(name, before)
     assert plan.count("Exchange hashpartitioning") == 3 and "CartesianProduct" not in plan
+
+
+@pytest.mark.parametrize("digest", ["ab" * 32, "AB" * 32, "zz" * 32, "h1", "", None, "é" * 64, "\0" * 33])
+def test_a_packed_digest_comes_back(spark, digest):
+    frame = spark.createDataFrame([(digest,)], "d string").select("d", packed(F.col("d")).alias("p"))
+    row = frame.select("d", "p", unpacked(F.col("p")).alias("again")).first()
+    assert row.again == digest
+    assert (row.p is None) == (digest is None) and (digest == "ab" * 32) == (row.p is not None and len(row.p) == 32)
+
+
+def test_merges_move_no_digest_as_text(spark):
+    """Digests of the batch are made above the joins, those of the dimension travel packed."""
+    old = stored(spark, scd.initial_load(batch_of(spark, THREE, CLOCKS[0]), SK))
+    batch = batch_of(spark, [("2", "B", "g"), ("0", "n", "g")], CLOCKS[1])
+    found = scd._differing(old, batch)
+    above, _, below = plan_of(found).partition("Join")
+    assert "sha2" in above and "unhex" in below and "sha2" not in below
+    assert "unhex" in plan_of(scd.expire(old, batch.silver, KEYS, CLOCKS[1])).partition("Join")[2]
+    above, _, below = plan_of(scd.scd1(old, batch, SK, max_key=3).rows.where("k = '2'")).partition("Join")
+    assert "sha2" in above and "unhex" in below
+
+
+def test_merges_take_digests_that_are_other_text(spark):
+    """A dimension made elsewhere may hold any text as its digests: unchanged rows keep it."""
+    old = stored(spark, scd.initial_load(batch_of(spark, THREE, CLOCKS[0]), SK))
+    old = old.withColumn("hash_key", F.when(F.col("k") == "3", "other").when(F.col("k") == "1", F.lit(None)).otherwise(F.col("hash_key")))
+    batch = batch_of(spark, [("2", "b", "g")], CLOCKS[1])
+    for merged in (scd.scd2(old, batch, SK), scd.scd1(old, batch, SK, skip_unchanged=True), scd.scd1(old, batch, SK)):
+        held = {row.k: row.hash_key for row in merged.rows.collect()}
+        assert held["3"] == "other" and held["1"] is None and len(held["2"]) == 64
