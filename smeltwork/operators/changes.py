@@ -13,7 +13,7 @@ from smeltwork.operators.joining import anti, lookup
 
 CHANGE = "silver_change"
 ADDED, CHANGED, GONE = "added", "changed", "gone"
-_BEFORE, _AFTER = "_digest_before", "_digest_after"
+_BEFORE = "_digest_before"
 
 
 def change_set(before: DataFrame, after: DataFrame, keys: Sequence[str], ignoring: Sequence[str] = ()) -> DataFrame:
@@ -23,12 +23,13 @@ def change_set(before: DataFrame, after: DataFrame, keys: Sequence[str], ignorin
     Columns in ``ignoring`` make no difference: a row delivered again unchanged is no change.
     """
     columns = sorted({*before.columns, *after.columns} - {*keys, *ignoring})
-    old = before.select(*refs(keys), row_digest(columns, "struct", missing_in=before.columns).alias(_BEFORE))
-    new = after.select("*", row_digest(columns, "struct", missing_in=after.columns).alias(_AFTER))
-    met = lookup(new, old, keys, ref(_BEFORE))
-    differs = met.where(ref(_BEFORE).isNull() | (ref(_BEFORE) != ref(_AFTER)))
+    old = before.select(*refs(keys), F.unhex(row_digest(columns, "struct", missing_in=before.columns)).alias(_BEFORE))
+    # The other digest is worked out after the join, so the rows move without it.
+    met = lookup(after, old, keys, ref(_BEFORE))
+    now = F.unhex(row_digest(columns, "struct", missing_in=after.columns))
+    differs = met.where(ref(_BEFORE).isNull() | (ref(_BEFORE) != now))
     kind = F.when(ref(_BEFORE).isNull(), F.lit(ADDED)).otherwise(F.lit(CHANGED))
-    upserts = differs.withColumn(CHANGE, kind).drop(_BEFORE, _AFTER)
+    upserts = differs.withColumn(CHANGE, kind).drop(_BEFORE)
     gone = anti(before.select(*refs(keys)), after, keys).withColumn(CHANGE, F.lit(GONE))
     return upserts.unionByName(gone, allowMissingColumns=True)
 

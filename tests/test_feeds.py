@@ -21,7 +21,7 @@ from smeltwork.plans.runner import RunOptions, run_layers
 from smeltwork.plans.silver import SilverOptions, cleanse_target, run_silver
 from smeltwork.sources import ledger, zones as store
 from smeltwork.sources.readers import ReadOptions
-from smeltwork.sources.zones import Zones, read_bronze, read_changes, read_gold, read_state
+from smeltwork.sources.zones import Zones, read_bronze, read_changes, read_gold, read_state, write_gold
 from smeltwork.streaming.ingest import stream_targets
 from tests.conftest import plan_of, rows_of
 from tests.test_layers import CLOCKS, control_of, put, target_row
@@ -459,3 +459,27 @@ def test_attempts_are_found_in_one_listing(spark, tmp_path, base):
     Path(f"{folder}/batch_id=open/v=1").mkdir(parents=True)  # has not finished
     assert store.bronze_attempts(spark, folder) == ["batch_id=2024-01-01 06h/v=1", "batch_id=b1/v=2", "batch_id=x%y/v=1"]
     assert store.bronze_attempts(spark, f"{folder}-none") == []
+
+
+def test_spliced_versions_are_worked_out_once(spark):
+    """The windows over all events run before the numbering, not again for each reader of the result."""
+    changes = spark.createDataFrame([(1, f"2024-01-0{day}", value) for day, value in ((1, "a"), (2, "b"), (3, "b"))], "k int, t string, v string")
+    done = splice(None, None, changes.withColumn("t", F.to_timestamp("t")), ["k"], "t", ["v"], "the_sk")
+    assert done.inserted == 2 and done.rows.count() == 2
+    assert "Window" not in plan_of(done.rows)
+
+
+def test_change_sets_move_rows_without_their_digest(spark):
+    before = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "k int, v string")
+    after = spark.createDataFrame([(1, "a"), (2, "B"), (3, ""), (4, "d")], "k int, v string")
+    found = change_set(before, after, ["k"])
+    assert rows_of(found) == sorted([(2, "B", "changed"), (3, "", "changed"), (4, "d", "added")], key=repr)
+    upserts = plan_of(found).partition("Join")
+    assert "sha2" in upserts[0]
+
+
+def test_dimensions_lie_in_the_closer_codec(spark, tmp_path):
+    rows = spark.createDataFrame([("1", True, "h"), ("2", False, "h")], "k string, is_active boolean, hash_key string")
+    write_gold(rows, f"{tmp_path}/gold")
+    written = [path.name for path in (tmp_path / "gold").rglob("part-*.parquet")]
+    assert written and all(name.endswith(".zstd.parquet") for name in written)
