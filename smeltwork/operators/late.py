@@ -118,6 +118,8 @@ def splice(
         F.col(_TIME).alias(_START), F.when(open_end, BatchClock("", kind).open_end).otherwise(F.col("_after")["value"]).alias(_END),
         open_end.alias(_ACTIVE), F.col(_DIGEST).alias(HASH),
     )
+    # Read three times from here on: by the borders of the numbering, by the numbering and by the caller.
+    shaped = space.store(shaped, "late-versions")
     base = max_key
     if base is None:
         base = highest_key(dimension, sk).first()["max_key"] if dimension is not None else 0
