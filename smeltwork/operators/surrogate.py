@@ -20,7 +20,8 @@ KEY_DIGITS = 3
 
 def key_text(number: Column) -> Column:
     """The published form: zero-padded, and longer when the number needs it."""
-    return F.format_string(f"%0{KEY_DIGITS}d", number)
+    padded = F.format_string(f"%0{KEY_DIGITS}d", number)  # slow, so only where there is something to pad
+    return F.when(number >= 10 ** (KEY_DIGITS - 1), number.cast("string")).otherwise(padded)
 
 
 def highest_key(frame: DataFrame, sk: str) -> DataFrame:

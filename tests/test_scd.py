@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from smeltwork.functions.clock import BatchClock
 from smeltwork.functions.hashing import packed, unpacked
 from smeltwork.operators import quality, scd
-from smeltwork.session import Scratch
+from smeltwork.operators.surrogate import key_text
+from smeltwork.session import Scratch, split_unsorted
 from tests.conftest import plan_of, rows_of
 
 T = [f"2024-0{month}-01 00:00:00" for month in range(1, 10)]
@@ -241,3 +242,30 @@ def test_merges_take_digests_that_are_other_text(spark):
     for merged in (scd.scd2(old, batch, SK), scd.scd1(old, batch, SK, skip_unchanged=True), scd.scd1(old, batch, SK)):
         held = {row.k: row.hash_key for row in merged.rows.collect()}
         assert held["3"] == "other" and held["1"] is None and len(held["2"]) == 64
+
+
+def test_key_text_pads_as_before(spark):
+    numbers = spark.createDataFrame([(n,) for n in (-1234, -5, 0, 7, 42, 99, 100, 999, 1000, 12345678901, None)], "n bigint")
+    for row in numbers.select("n", key_text(F.col("n")).alias("got"), F.format_string("%03d", F.col("n")).alias("want")).collect():
+        assert row.got == row.want
+    large = plan_of(spark.range(200, 300).select(key_text(F.col("id")).alias("sk")))
+    assert "CASE WHEN" in large  # Java's formatter only below 100
+
+
+def test_a_split_write_needs_no_sort(spark, tmp_path):
+    """Also in a session that does not set the number of writers."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    own = spark.conf.get(name)
+    spark.conf.unset(name)
+    seen = []
+    try:
+        with split_unsorted(spark):
+            seen.append(spark.conf.get(name))
+        seen.append(spark.conf.get(name, "0"))
+        spark.conf.set(name, "7")
+        with split_unsorted(spark):
+            seen.append(spark.conf.get(name))
+        seen.append(spark.conf.get(name))
+    finally:
+        spark.conf.set(name, own)
+    assert seen == ["4", "0", "7", "7"]
