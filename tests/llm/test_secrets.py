@@ -3,6 +3,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -170,3 +171,32 @@ def test_very_long_text(make_docs):
     text = ("word " * 20_000) + "token=" + random_token(9, 30) + " tail" * 20_000
     spans = secrets.scan(make_docs([(1, text)]), None, SecretOptions()).first()["base"]
     assert [(s["start"], s["end"]) for s in spans] == [(100_000, 100_036)]
+
+
+def plain_spans(text):
+    """The patterns' spans and, where the models mark every token with a letter, the tokens apart from them."""
+    base = [tuple(map(int, span.split(":")[1:])) for span in plain_base(text).split(",") if span]
+    tokens = [(m.start(), m.end()) for m in re.finditer("[A-Za-z0-9+/_=-]+", text) if len(m[0]) >= 16 and re.search("[A-Za-z]", m[0])]
+    return sorted(base + [(a, b) for a, b in tokens if all(b <= start or end <= a for start, end in base)])
+
+
+def test_models_spans_overlap_no_patterns_span(make_docs):
+    rng, texts = random.Random(11), []
+    for i in range(150):
+        parts = [rng.choice([f"password{rng.choice(['', chr(34)])}: {random_token(i, 12)}", "AKIA" + "Z9" * rng.randrange(5, 9), random_token(i, 33, "0123456789abcdef"),
+                             random_token(rng.random(), rng.randrange(12, 30)), "1" * 20, "\U0001f600", "é", "see", "token=x "]) for _ in range(rng.randrange(300))]
+        texts.append("".join(part + rng.choice([" ", " ", "\n", "", "/"]) for part in parts))
+    found = secrets.scan(make_docs(list(enumerate(texts))), [1.0] * (32**2 + 9)).collect()
+    assert {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"]] for r in found} == {i: plain_spans(text) for i, text in enumerate(texts)}
+
+
+def test_work_grows_with_the_length_of_texts_and_tokens(make_docs):
+    """Thousands of matches in one text and a token of many characters: with the square of either, this takes many minutes."""
+    lines = "".join(f"{random_token(i, 32, '0123456789abcdef')} password: {random_token(i, 12)} and {random_token(-i, 20)}\n" for i in range(4000))
+    docs = make_docs([(1, lines), (2, f"see {random_token(1, 50_000)} there")])
+    began = time.monotonic()
+    samples = secrets.samples_of(docs).where("random").count()
+    spans = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"]] for r in secrets.scan(docs, [1.0] * (32**2 + 9)).collect()}
+    secrets.train(docs.sparkSession.createDataFrame([(random_token(2, 50_000), True), (random_token(3, 50_000), False)], "token string, random boolean"))
+    assert time.monotonic() - began < 90
+    assert samples == 16_000 and len(spans[1]) == 12_000 and spans == {1: sorted([m.span() for m in re.finditer(r'[0-9a-f]{32}|password: \w+|(?<=and )\w+', lines)]), 2: [(4, 50_004)]}
